@@ -22,7 +22,8 @@ def ring(*points: tuple[Column, Column]) -> Column:
 
 
 def ring_edges(r: Column) -> Column:
-    pairs = F.arrays_zip(F.slice(r, 1, F.size(r) - 1).alias("a"), F.slice(r, F.lit(2), F.size(r) - 1).alias("b"))
+    n = F.greatest(F.size(r) - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice(r, F.lit(1), n).alias("a"), F.slice(r, F.lit(2), n).alias("b"))
     return F.transform(pairs, lambda p: F.struct(p["a"]["x"].alias("x1"), p["a"]["y"].alias("y1"), p["b"]["x"].alias("x2"), p["b"]["y"].alias("y2")))
 
 
@@ -174,6 +175,11 @@ def unusable_reason(rings: Column) -> Column:
     )
 
 
+def _over_rings(rings: Column, function, *args) -> Column:
+    """function(ring, *args) of every ring, each bound to a variable: expressions that use it often do not repeat it."""
+    return F.transform(rings, lambda r: function(r, *args))
+
+
 def clip_to_box(rings: Column, box: tuple[float, float, float, float]) -> Column:
     """Rings clipped to (minx, miny, maxx, maxy), one side after another; rings that vanish are dropped."""
     minx, miny, maxx, maxy = box
@@ -192,12 +198,9 @@ def clip_to_box(rings: Column, box: tuple[float, float, float, float]) -> Column
         out = F.flatten(F.transform(ring_edges(r), step))
         return F.when(F.size(out) > 0, F.concat(out, F.slice(out, 1, 1))).otherwise(out)
 
-    def clipped(r: Column) -> Column:
-        for axis, bound, above in (("x", minx, True), ("x", maxx, False), ("y", miny, True), ("y", maxy, False)):
-            r = side(r, axis, bound, above)
-        return r
-
-    return F.filter(F.transform(rings, clipped), lambda r: (F.size(r) >= 4) & (F.abs(ring_area(r)) > 0))
+    for one in (("x", minx, True), ("x", maxx, False), ("y", miny, True), ("y", maxy, False)):
+        rings = _over_rings(rings, side, *one)
+    return F.filter(rings, lambda r: (F.size(r) >= 4) & (F.abs(ring_area(r)) > 0))
 
 
 # Albers equal-area on the GRS80 ellipsoid; standard parallels -18 and -36, origin (132, 0).
@@ -234,9 +237,11 @@ def from_albers(x: Column, y: Column) -> dict[str, Column]:
     rho = F.hypot(x, F.lit(_RHO0) - y)
     theta = F.atan2(flip * x, flip * (F.lit(_RHO0) - y))
     q = (F.lit(_C) - (rho * _N / _A) ** 2) / _N
-    phi = F.asin(q / 2)
-    for _ in range(5):
+
+    def step(phi: Column, q: Column) -> Column:
         s = F.sin(phi)
         w = 1 - _E2 * s * s
-        phi = phi + w * w / (2 * F.cos(phi)) * (q / (1 - _E2) - s / w + F.ln((1 - _E * s) / (1 + _E * s)) / (2 * _E))
+        return phi + w * w / (2 * F.cos(phi)) * (q / (1 - _E2) - s / w + F.ln((1 - _E * s) / (1 + _E * s)) / (2 * _E))
+
+    phi = F.aggregate(F.array_repeat(q, 5), F.asin(q / 2), step)
     return {"lon": 132 + F.degrees(theta) / _N, "lat": F.degrees(phi)}

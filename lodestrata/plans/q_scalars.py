@@ -67,7 +67,7 @@ def footprint_shapes(spark, sf):
     "p10_p13_pixel_values",
     f"{with_views('pixels')} SELECT tile, prow, pcol, yr, CASE WHEN nir <> -999 THEN nir / 10000.0 END AS nir_value, CASE WHEN swir1 <> -999 THEN swir1 / 10000.0 END AS swir_value, "
     "CASE WHEN bs <> 255 THEN CAST(bs AS DOUBLE) END AS bare, bs <> 255 AND bs > 100 AS beyond, nir <> -999 AND swir1 <> -999 AND nir + swir1 <> 0 AS is_valid, "
-    "CASE WHEN nir <> -999 AND swir1 <> -999 THEN round((nir - swir1) * 1.0 / (nir + swir1), 6) END AS ndmi FROM pixels",
+    "CASE WHEN nir <> -999 AND swir1 <> -999 THEN round((nir / 10000.0 - swir1 / 10000.0) / (nir / 10000.0 + swir1 / 10000.0), 6) END AS ndmi FROM pixels",
 )
 def pixel_values(spark, sf):
     p = view(spark, sf, "pixels").withColumns({"n": S.decode_index_band(F.col("nir")), "s": S.decode_index_band(F.col("swir1")), "bare": S.decode_share(F.col("bs"))})
