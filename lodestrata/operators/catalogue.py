@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .contracts import keep_first
+
 BYTES_OF = {"uint8": 1, "int16": 2, "uint16": 2, "float32": 4, "float64": 8}
 ASSUMED_BYTES, COMPRESSION = 2, 0.6
 
@@ -82,7 +84,7 @@ def select_items(items: DataFrame, tiles: DataFrame) -> DataFrame:
 
 def first_seen(items: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The first row of each key in source order; the others are refused."""
-    return items.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).filter("_rn = 1").drop("_rn")
+    return keep_first(items, keys, [order])
 
 
 def append_aligned(register: DataFrame, extra: DataFrame, key: str = "row_no") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXAMPLES = 5
@@ -77,9 +77,14 @@ def single_value(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count_distinct(value).alias("n_values"), F.min(value).alias(value))
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in a data order."""
-    return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rn = 1").drop("_rn")
+def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key in a data order, nulls last; rows that tie are told apart by all their values.
+
+    An aggregate, so a key with very many rows is reduced where its rows are.
+    """
+    whole = F.struct(*df.columns)
+    row = F.min_by(whole, F.struct(*[c for name in order for c in (F.col(name).isNull(), F.col(name))], whole)).alias("_row")
+    return df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(row).select("_row.*")
 
 
 def counts_with_total(df: DataFrame, column: Column, domain: tuple[str, ...]) -> DataFrame:

@@ -15,7 +15,7 @@ def owners_by_project(owners: DataFrame) -> DataFrame:
     Rows with an end date have ended. Of several rows of a (project, owner) pair the first in source order counts.
     """
     current = owners.filter(S.is_blank(F.col("end_date")) & ~S.is_blank(F.col("project_code")))
-    one = keep_first(current, ["project_code", "owner_code"], [F.col("row_no")])
+    one = keep_first(current, ["project_code", "owner_code"], ["row_no"])
     entry = F.struct(S.sort_name(F.col("owner_name")).alias("name"), "owner_code", S.render_owner(F.col("owner_name"), F.col("holding_pct")).alias("text"))
     return one.groupBy("project_code").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["text"]), "; ").alias("owners"),
@@ -78,16 +78,17 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def crosswalk_population(sites: DataFrame) -> DataFrame:
     """Every site with the reasons that keep it out: no id, an id that repeats (all its copies), no place."""
-    from pyspark.sql import Window
-
-    copies = F.count("*").over(Window.partitionBy("site_id"))
-    return sites.withColumns(
+    known = F.col("site_id").isNotNull()
+    many = sites.filter(known).groupBy("site_id").agg((F.count("*") > 1).alias("_many"))
+    # rows without an id never meet in one task: they stay out of the join
+    rows = sites.filter(known).join(many, "site_id").select(*sites.columns, "_many").unionByName(sites.filter(~known).withColumn("_many", F.lit(False)))
+    return rows.withColumns(
         {
-            "null_id": F.col("site_id").isNull(),
-            "duplicate_id": F.col("site_id").isNotNull() & (copies > 1),
+            "null_id": ~known,
+            "duplicate_id": F.col("_many"),
             "no_place": F.col("x").isNull() | F.col("y").isNull() | F.coalesce(F.isnan("x") | F.isnan("y"), F.lit(False)),
         }
-    ).withColumn("included", ~(F.col("null_id") | F.col("duplicate_id") | F.col("no_place")))
+    ).drop("_many").withColumn("included", ~(F.col("null_id") | F.col("duplicate_id") | F.col("no_place")))
 
 
 def population_counts(sites: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .contracts import violations
+from .contracts import keep_first, violations
 
 
 def coverage_summary(t: DataFrame, context: DataFrame) -> DataFrame:
@@ -64,7 +64,6 @@ def located_layers(summary: DataFrame, register: DataFrame) -> tuple[DataFrame,
     """All located sites; one located row per summary site; and the count of summary sites without a place, which refuses the layers."""
     place = F.col("x").isNotNull() & F.col("y").isNotNull()
     sites = register.filter(place)
-    w = Window.partitionBy("site_id").orderBy("row_no")
-    one = sites.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select("site_id", "x", "y")
+    one = keep_first(sites.filter(F.col("site_id").isNotNull()), ["site_id"], ["row_no"]).select("site_id", "x", "y")
     layer = summary.join(one, "site_id", "left")
     return sites, layer.filter(place), layer.agg(F.count_if(~place).alias("unlocated"))

@@ -9,14 +9,14 @@ from ..functions import scalars as S
 from .contracts import keep_first
 
 REGIONS = ("pilbara", "goldfields_esperance", "other_wa")
-MIN_FOOTPRINTS, MIN_YEARS, USE_ALL_BELOW, SELECT_N, FULL_PX = 10, 10, 30, 30, 144
+MIN_FOOTPRINTS, MIN_YEARS, SELECT_N, FULL_PX = 10, 10, 30, 144
 STRATUM = ["region", "commodity_group", "shape_class"]
 STATUSES = ("eligible", "no_usable_footprint", "crosswalk_not_high_confidence", "threshold_not_computed", "insufficient_pixel_support")
 
 
 def modal_commodity(links: DataFrame, sites: DataFrame) -> DataFrame:
     """The commonest group among each footprint's distinct sites; of equally common ones the first by name, with how many tie."""
-    groups = keep_first(sites.filter(F.col("site_id").isNotNull()), ["site_id"], [F.col("row_no")]).select("site_id", S.classify_commodity(F.col("commodity")).alias("g"))
+    groups = keep_first(sites.filter(F.col("site_id").isNotNull()), ["site_id"], ["row_no"]).select("site_id", S.classify_commodity(F.col("commodity")).alias("g"))
     counted = links.select("footprint_id", "site_id").distinct().join(groups, "site_id").groupBy("footprint_id", "g").agg(F.count("*").alias("n"))
     w = Window.partitionBy("footprint_id")
     ranked = counted.withColumns({"rn": F.row_number().over(w.orderBy(F.desc("n"), "g")), "rk": F.rank().over(w.orderBy(F.desc("n")))})
@@ -37,11 +37,14 @@ def stratum_adequacy(footprints: DataFrame) -> DataFrame:
 
 
 def select_footprints(footprints: DataFrame) -> DataFrame:
-    """Footprints of adequate strata: all of fewer than 30, else the 30 of least SHA-256."""
-    fine = footprints.filter(F.col("n_full_support_years") >= MIN_YEARS).select(*STRATUM, "footprint_id").distinct()
-    w = Window.partitionBy(*STRATUM)
-    ranked = fine.withColumns({"rn": F.row_number().over(w.orderBy(F.sha2("footprint_id", 256), "footprint_id")), "n": F.count("*").over(w)})
-    return ranked.filter((F.col("n") >= MIN_FOOTPRINTS) & ((F.col("n") < USE_ALL_BELOW) | (F.col("rn") <= SELECT_N))).select(*STRATUM, "footprint_id")
+    """Footprints of adequate strata: all of up to 30, else the 30 of least SHA-256.
+
+    The ranks are cut off at 30 before the shuffle, and strata are counted by an aggregate.
+    """
+    fine = footprints.filter(F.col("n_full_support_years") >= MIN_YEARS).select(*STRATUM, "footprint_id").distinct().withColumn("_code", F.sha2("footprint_id", 256))
+    ranked = fine.withColumn("_rn", F.row_number().over(Window.partitionBy(*STRATUM).orderBy("_code", "footprint_id"))).filter(F.col("_rn") <= SELECT_N)
+    adequate = stratum_adequacy(footprints).filter("adequate").select(*STRATUM)
+    return ranked.join(F.broadcast(adequate), STRATUM).select(*STRATUM, "footprint_id")  # at most 54 strata
 
 
 def _finite(c: str):
@@ -85,7 +88,7 @@ def assign_eligibility(register: DataFrame, crosswalk: DataFrame, support: DataF
     """
     if criteria_passed and forced:
         raise ValueError("a threshold that passed can't be forced")
-    one = keep_first(crosswalk, ["site_id"], [F.asc_nulls_last("footprint_id")]).select("site_id", "footprint_id", "confidence")
+    one = keep_first(crosswalk, ["site_id"], ["footprint_id"]).select("site_id", "footprint_id", "confidence")
     per = support.groupBy("footprint_id").agg(F.min("support_px").alias("support_px"))
     df = register.join(one, "site_id", "left").join(per, "footprint_id", "left")
     none, high = F.col("footprint_id").isNull(), F.col("confidence") == "high"

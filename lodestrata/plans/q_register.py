@@ -12,7 +12,7 @@ from .registry import query
 
 _CURRENT = f"""{with_views("sites", "owners")},
 cur AS (SELECT * FROM owners WHERE (end_date IS NULL OR trim(end_date) = '') AND coalesce(trim(project_code), '') <> ''),
-one AS (SELECT * FROM cur QUALIFY row_number() OVER (PARTITION BY project_code, owner_code ORDER BY row_no) = 1),
+one AS (SELECT * FROM cur QUALIFY row_number() OVER (PARTITION BY project_code, owner_code ORDER BY row_no, owner_name NULLS FIRST, holding_pct NULLS FIRST, end_date NULLS FIRST) = 1),
 by_project AS (SELECT project_code, string_agg(concat({NAME_SQL}, CASE WHEN ({PCT_SQL}) IS NULL THEN ' (holding not stated)' ELSE concat(' (', {PCT_SQL}, '%)') END), '; ' ORDER BY {SORT_SQL}, owner_code) AS owners,
   count(*) AS n_owners, count(*) FILTER (trim(owner_name) = '') AS n_unnamed, count(*) FILTER (({PCT_SQL}) IS NULL) AS n_unstated FROM one GROUP BY 1)"""
 
