@@ -182,14 +182,14 @@ def _followed(docs: DataFrame) -> DataFrame:
     quantiles = [i / n_parts for i in range(1, n_parts)]
     cuts = docs.agg(F.percentile_approx("key", F.array(*map(F.lit, quantiles)), 10 * n_parts).alias("q")).first()["q"] or []
     cuts = sorted(set(cuts))
-    edges = spark.createDataFrame([(cuts,)], "cuts array<long>")
+    edges = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<long>") if cuts else F.array().cast("array<long>")  # folds into one literal
     jumps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))]) if cuts else F.array().cast("array<int>")
 
     def part(df: DataFrame) -> DataFrame:
         """Adds the number of cuts below the key, by binary search."""
-        below = lambda at, jump: F.try_element_at("cuts", at + jump) < F.col("key")
+        below = lambda at, jump: F.try_element_at(edges, at + jump) < F.col("key")
         at = F.aggregate(jumps, F.lit(0), lambda at, jump: F.when(F.coalesce(below(at, jump), F.lit(False)), at + jump).otherwise(at))
-        return df.join(F.broadcast(edges)).withColumn("part", at).drop("cuts")
+        return df.withColumn("part", at)
 
     firsts = part(docs.select("key")).groupBy("part").agg(F.min("key").alias("key")).orderBy("part").collect()
     before = [firsts[i - 1]["part"] for i in range(len(firsts))]
