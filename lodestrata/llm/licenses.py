@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .base import arrow_rows, grams, pieces, text_bytes, words
 
-K, GAP, SHARE = 2, 8, 0.6
+K, GAP, SHARE = 2, 8, 0.75
 WORD = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
