@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding by shared-prefix Viterbi.
 
-Texts are marked as the model does it (a leading mark, blanks become marks) and cut where a mark
-follows other characters: no piece of such a model reaches over that place. The distinct words that a
-worker has not met are sorted, which is a depth-first walk of their trie: forward scores and back
-pointers of the prefix that a word shares with the one before it are kept, and only the rest is scored.
+Texts are marked as the model does it (a leading mark, blanks become marks) and cut into words where two
+neighbouring characters stand together in no piece: no path reaches over that place, so the best path of
+the text is that of its words. The distinct words that a worker has not met are sorted, which is a
+depth-first walk of their trie: forward scores and back pointers of the prefix that a word shares with
+the one before it are kept, and only the rest is scored.
 The best path has the largest sum of piece scores; of equal ones, the longest last piece. A character
 that no piece covers becomes the pieces of its UTF-8 bytes.
 
@@ -16,7 +17,6 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from .base import arrow_rows
 
-MARK, WORD = "▁", re.compile("▁*[^▁]+|▁+")
+MARK = "▁"
 #: Distinct words whose ids a worker remembers; beyond it, it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 800_000
 
 
 class Pieces:
@@ -44,30 +44,37 @@ class Pieces:
         self.byte = {int(self.names[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.ids = {p: i for i, p in enumerate(self.names) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))}
         self.score = {p: model.get_score(i) for p, i in self.ids.items()}
-        self.most = max(map(len, self.ids))
         self.unknown = min(self.score.values()) - 10.0
-        self.longest = {}  # of the pieces that end with a character, so that ends no piece has cost nothing
-        for p in self.ids:
-            self.longest[p[-1]] = max(self.longest.get(p[-1], 0), len(p))
+        # all ends of pieces, with the score of those that are pieces: a walk to the left stops where no piece goes on
+        self.ends: dict[str, float | None] = {p[i:]: None for p in self.ids for i in range(len(p))}
+        self.ends.update(self.score)
+        # which neighbours some piece holds; characters of no piece have number 0 and no neighbours
+        letters = sorted(set("".join(self.ids)))
+        self.number = np.zeros(0x110000, np.uint16)
+        self.number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.joined = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        pairs = np.array([(ord(a), ord(b)) for p in self.ids for a, b in zip(p, p[1:])]).reshape(-1, 2)
+        self.joined[self.number[pairs[:, 0]], self.number[pairs[:, 1]]] = True
         self.bytes = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.encode() for i, p in enumerate(self.names)]
         self.known: dict[str, tuple[int, ...]] = {}
 
     def learn(self, words: set[str]) -> None:
         """Ids of words, in sorted order, each from where it leaves the one before."""
-        score, best, back, before = self.score.get, [0.0], [0], ""
+        ends, unknown, best, back, before = self.ends.get, self.unknown, [0.0], [0], ""
         for word in sorted(words):
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
             del best[shared + 1 :], back[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                top, start = None, end - 1
-                for at in range(max(0, end - self.longest.get(word[end - 1], 1)), end):
-                    s = score(word[at:end])
-                    if s is not None and (top is None or best[at] + s > top):
-                        top, start = best[at] + s, at
-                if top is None or start != end - 1 and word[end - 1] not in self.ids and best[end - 1] + self.unknown > top:
-                    top, start = best[end - 1] + self.unknown, end - 1
+                at = start = end - 1
+                score = ends(word[at:end], False)
+                top = best[at] + (unknown if score is None or score is False else score)
+                while at and score is not False:
+                    at -= 1
+                    score = ends(word[at:end], False)
+                    if score is not None and score is not False and best[at] + score >= top:
+                        top, start = best[at] + score, at
                 best.append(top)
                 back.append(start)
             ids, end = [], len(word)
@@ -78,8 +85,17 @@ class Pieces:
             self.known[word] = tuple(reversed(ids))
             before = word
 
+    def words(self, text: str) -> list[str]:
+        """The marked text, cut wherever two neighbours stand together in no piece."""
+        if not text:
+            return []
+        text = MARK + text.replace(" ", MARK)
+        code = self.number[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        at = [0, *(np.flatnonzero(~self.joined[code[:-1], code[1:]]) + 1).tolist(), len(text)]
+        return [text[a:b] for a, b in zip(at, at[1:])]
+
     def encode(self, texts: list[str]) -> list[list[int]]:
-        cut = [WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        cut = [self.words(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         self.learn(set(chain.from_iterable(cut)) - self.known.keys())
@@ -122,7 +138,8 @@ def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = loaded(path)
         for batch in batches:
-            texts = [model.decode(ids or []) for ids in batch.column(2).to_pylist()]
+            ends, flat = batch.column(2).offsets.to_pylist(), batch.column(2).values.to_numpy().tolist()
+            texts = [model.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "n_chars", "ids", "text"])
 
     return encoded.select("doc_id", "n_chars", "ids").mapInArrow(run, "doc_id long, n_chars long, ids array<int>, text string")
@@ -135,7 +152,7 @@ def pieces_digest(docs: DataFrame, path: str) -> DataFrame:
         "doc_id",
         "n_chars",
         F.size("ids").cast("long").alias("n_ids"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.xxhash64("ids").alias("ids_hash"),
         F.length("text").cast("long").alias("decoded_chars"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
