@@ -9,10 +9,11 @@
 2. Equal texts are one node from here on. BANDS bands of ROWS values give candidates: at similarity 0.8
    a pair shares no band with probability 2e-5.
 3. Candidates are checked by the exact overlap of their multisets, and links of SIMILAR or more join into
-   classes: first one pair a node (with the least node of the band that it shares most often), then the
-   other least nodes that are not yet in its class, then all pairs within a band whose classes still
-   differ. A pair that is never checked is in one class already, so classes are those of all candidates.
-   No group is collected, and no pair is listed within a class.
+   classes. Each band has a head that hashing chooses. First every node meets the one head that it shares
+   most bands with; then, in TURNS turns with other heads, the TRIES heads of other classes that it shares
+   most bands with; then all pairs within a band whose classes still differ. A pair that is never checked
+   is in one class already, so classes are those of all candidates. No group is collected, and no pair is
+   listed within a class.
 
 Result: one row per document with the least doc_id of its class. Null text is empty text; texts without
 words are alike only if equal. Rows that share a doc_id but not a text count by text; a null doc_id is a
@@ -33,6 +34,8 @@ from .base import arrow_rows, cut, grams, mix, pieces, text_bytes, words
 SHINGLE, SIMILAR, ROWS, BANDS = 5, 0.8, 8, 60
 M = ROWS * BANDS
 NO_ID = -(2**63)
+#: Turns with other heads before the remaining pairs are listed, heads that a node meets in each, and rows to a partition of the small tables in between.
+TURNS, TRIES, PART = 3, 4, 250_000
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,17 +123,23 @@ def overlaps(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long, similarity double")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` materialised, in one partition for every PART rows: a small table then needs no shuffles, a large one is dealt out as usual."""
+    df = cut(df)
+    return df.coalesce(max(1, -(-df.count() // PART)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): root is the least node connected with it, for nodes of edges (a, b). Alternating stars."""
-    edges = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = settled(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        edges = cut(small.select("e.u", "e.v").filter("u <> v").distinct())
+        edges = settled(small.select("e.u", "e.v").filter("u <> v").distinct())
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -145,35 +154,46 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = signed.groupBy("text_key").agg(F.min("node").alias("node"), F.min_by("bands", "node").alias("bands"))
     nodes = cut(nodes)
     bands = nodes.select("node", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("tail")).filter("head < tail").select("band", "head")
-    members = cut(bands.join(shared, "band"))  # every node of every band of two or more, with the band's least node
-    stars = cut(members.filter("head < node").groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("n")))
-    wanted = members.select("node").distinct()
-    keyed = nodes.join(wanted, "node", "left_semi").select("node", "text_key")
+    shared = bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("band")
+    members = cut(bands.join(shared, "band", "left_semi"))  # every node of every band of two or more
+    keyed = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "text_key")
     texts = docs.select("node", "text_key", "text").join(keyed, ["node", "text_key"], "left_semi").select("node", "text")
     texts = cut(texts.groupBy("node").agg(F.min("text").alias("text")))
 
     def checked(pairs: DataFrame) -> DataFrame:
         one, two = texts.select(F.col("node").alias("a"), F.col("text").alias("one")), texts.select(F.col("node").alias("b"), F.col("text").alias("two"))
-        return cut(overlaps(pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "one", "two")).filter(F.col("similarity") >= SIMILAR))
-
-    def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """The pairs whose nodes are not in one class."""
-        ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
-        pairs = pairs.join(ra, "a", "left").join(rb, "b", "left")
-        return pairs.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-
-    first = stars.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
-    links = checked(first)
-    roots = components(links)
-    links = cut(links.unionByName(checked(apart(stars.join(first, ["a", "b"], "left_anti"), roots))))
+        return settled(overlaps(pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "one", "two")).filter(F.col("similarity") >= SIMILAR))
+
+    def headed(rows: DataFrame, turn: int) -> DataFrame:
+        """Rows (band, node, root) with a head for each band, one that hashing chooses, and another in each turn."""
+        heads = rows.groupBy("band").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", "band", F.lit(turn))).alias("h"))
+        return rows.join(heads, "band").select("node", "root", F.col("h.node").alias("head"), F.col("h.root").alias("head_root")).filter("node <> head")
+
+    def still_open(rows: DataFrame, roots: DataFrame) -> DataFrame:
+        """Rows (band, node, root) with new roots, of the bands that hold several classes; a band that holds one never opens again."""
+        rows = rows.select("band", "node").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+        mixed = rows.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
+        return settled(rows.join(mixed, "band", "left_semi"))
+
+    a, b = F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")
+    def chosen(rows: DataFrame, tries: int) -> DataFrame:
+        """Pairs of each node with the ``tries`` heads of other classes that it shares most bands with; a node has BANDS heads at most."""
+        n = rows.filter("root <> head_root").groupBy("node", "head").agg(F.count("*").alias("n"))
+        best = F.slice(F.array_sort(F.collect_list(F.struct(-F.col("n"), F.xxhash64("node", "head"), F.col("head").alias("head")))), 1, tries)
+        return n.groupBy("node").agg(best.alias("x")).select("node", F.explode("x.head").alias("head")).select(a, b).distinct()
+
+    tried = settled(chosen(headed(members.withColumn("root", F.col("node")), 0), 1))
+    links = checked(tried)
     roots = components(links)
-    placed = cut(members.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
-    mixed = cut(placed.join(mixed, "band", "left_semi"))
-    one, two = (mixed.select("band", F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
-    rest = one.join(two, "band").filter("a < b and ra <> rb").select("a", "b").distinct()
-    rest = rest.join(stars, ["a", "b"], "left_anti")
+    placed = still_open(members, roots)
+    for turn in range(TURNS):
+        pairs = settled(chosen(headed(placed, turn + 1), TRIES).join(tried, ["a", "b"], "left_anti"))
+        more = checked(pairs)
+        links, tried = links.unionByName(more), tried.unionByName(pairs)
+        roots = components(links)
+        placed = still_open(placed, roots)
+    one, two = (placed.select("band", F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+    rest = one.join(two, "band").filter("a < b and ra <> rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     more = checked(rest)
     if more.head(1):
         roots = components(links.unionByName(more))
