@@ -11,9 +11,12 @@
 3. Candidates are checked by the exact overlap of their multisets, and links of SIMILAR or more join into
    classes. Each band has a head that hashing chooses. First every node meets the one head that it shares
    most bands with; then, in TURNS turns with other heads, the TRIES heads of other classes that it shares
-   most bands with; then all pairs within a band whose classes still differ. A pair that is never checked
-   is in one class already, so classes are those of all candidates. No group is collected, and no pair is
-   listed within a class.
+   most bands with; then all pairs within a band whose classes still differ.
+4. Shingles that one open node alone holds are in no overlap. The others, its common ones, mark LONGS
+   words of bits by their hashes; each bit that the other node lacks takes at least one from the common
+   weight. What is left bounds the overlap, so nodes and pairs whose bound is below SIMILAR go unread. A
+   pair that is never checked is thus in one class already or below SIMILAR, and classes are those of all
+   candidates. No group is collected, and no pair is listed within a class.
 
 Result: one row per document with the least doc_id of its class. Null text is empty text; texts without
 words are alike only if equal. Rows that share a doc_id but not a text count by text; a null doc_id is a
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import arrow_rows, cut, grams, mix, pieces, text_bytes, words
@@ -35,7 +38,9 @@ SHINGLE, SIMILAR, ROWS, BANDS = 5, 0.8, 8, 60
 M = ROWS * BANDS
 NO_ID = -(2**63)
 #: Turns with other heads before the remaining pairs are listed, heads that a node meets in each, and rows to a partition of the small tables in between.
-TURNS, TRIES, PART = 3, 4, 250_000
+TURNS, TRIES, PART = 2, 4, 250_000
+#: Words of 64 bits that mark a node's common shingles.
+LONGS = 8
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,6 +109,45 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "node long, text_key binary, bands array<long>")
 
 
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """(node, shingle): every text's shingles, each once, of rows (node, text)."""
+    arrow_rows(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = text_bytes(batch.column(1))
+            node = batch.column(0).to_numpy()
+            for a, b in pieces(offsets):
+                of, g, _ = shingles(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                yield pa.RecordBatch.from_arrays([pa.array(node[a:b][of]), pa.array(g.view(np.int64))], ["node", "shingle"])
+
+    return texts.mapInArrow(run, "node long, shingle long")
+
+
+def marked(texts: DataFrame) -> DataFrame:
+    """(node, weight, common, bits array<long>) of rows (node, text, lone array<long>): number of shingles, number without the lone ones, and their bits."""
+    arrow_rows(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = text_bytes(batch.column(1))
+            for a, b in pieces(offsets):
+                of, g, n = shingles(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                weight = np.bincount(of, n, b - a).astype(np.int64)
+                for row, one in enumerate(batch.column(2).slice(a, b - a)):
+                    if one.is_valid and len(one.values):
+                        x, y = np.searchsorted(of, [row, row + 1])
+                        n[x:y][np.isin(g[x:y], one.values.to_numpy(zero_copy_only=False).view(np.uint64))] = 0
+                bits = np.zeros((b - a, LONGS * 64), bool)
+                bits[of[n > 0], (g[n > 0] >> np.uint64(32)) % np.uint64(LONGS * 64)] = True
+                longs = np.packbits(bits, axis=1).view(np.int64).reshape(-1)
+                longs = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * LONGS), pa.array(longs))
+                common = np.bincount(of, n, b - a).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(weight), pa.array(common), longs], ["node", "weight", "common", "bits"])
+
+    return texts.mapInArrow(run, "node long, weight long, common long, bits array<long>")
+
+
 def overlaps(pairs: DataFrame) -> DataFrame:
     """(a, b, similarity) of rows (a, b, one, two): weighted Jaccard similarity of the texts' shingle multisets."""
     arrow_rows(pairs.sparkSession)
@@ -164,36 +208,59 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         one, two = texts.select(F.col("node").alias("a"), F.col("text").alias("one")), texts.select(F.col("node").alias("b"), F.col("text").alias("two"))
         return settled(overlaps(pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "one", "two")).filter(F.col("similarity") >= SIMILAR))
 
+    def may_link(one: str, two: str) -> Column:
+        """Whether ``one`` and ``two`` may be as like as SIMILAR, by their common weights and the bits that the other lacks."""
+        lacks = lambda x, y: sum((F.bit_count(F.col(f"{x}.bits")[i].bitwiseAND(F.bitwise_not(F.col(f"{y}.bits")[i]))) for i in range(LONGS)), F.lit(0))
+        most = F.least(F.col(f"{one}.common") - lacks(one, two), F.col(f"{two}.common") - lacks(two, one))
+        return most * (1 + SIMILAR) >= SIMILAR * (F.col(f"{one}.weight") + F.col(f"{two}.weight")) - 1e-6
+
     def headed(rows: DataFrame, turn: int) -> DataFrame:
-        """Rows (band, node, root) with a head for each band, one that hashing chooses, and another in each turn."""
-        heads = rows.groupBy("band").agg(F.min_by(F.struct("node", "root"), F.xxhash64("node", "band", F.lit(turn))).alias("h"))
-        return rows.join(heads, "band").select("node", "root", F.col("h.node").alias("head"), F.col("h.root").alias("head_root")).filter("node <> head")
+        """Rows (band, me, head) of rows (band, me): each band has a head that hashing chooses, and another in each turn."""
+        heads = rows.groupBy("band").agg(F.min_by("me", F.xxhash64("me.node", "band", F.lit(turn))).alias("head"))
+        return rows.join(heads, "band").filter("me.root <> head.root")
 
-    def still_open(rows: DataFrame, roots: DataFrame) -> DataFrame:
-        """Rows (band, node, root) with new roots, of the bands that hold several classes; a band that holds one never opens again."""
-        rows = rows.select("band", "node").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-        mixed = rows.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
+    def of_several(rows: DataFrame) -> DataFrame:
+        """``rows`` of the bands that hold several classes; a band that holds one never opens again."""
+        mixed = rows.groupBy("band").agg(F.min("me.root").alias("lo"), F.max("me.root").alias("hi")).filter("lo < hi").select("band")
         return settled(rows.join(mixed, "band", "left_semi"))
 
-    a, b = F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")
+    def still_open(rows: DataFrame, roots: DataFrame) -> DataFrame:
+        """``rows`` with new roots, of the bands that hold several classes."""
+        rows = rows.withColumn("node", F.col("me.node")).join(roots, "node", "left")
+        return of_several(rows.select("band", F.col("me").withField("root", F.coalesce("root", "node")).alias("me")))
+
+    def within_reach(rows: DataFrame) -> DataFrame:
+        """``rows`` with weights and bits of what open texts have in common, without nodes that none of their band can be as like as SIMILAR."""
+        nodes = texts.join(rows.select("me.node").distinct(), "node", "left_semi")
+        lone = shingle_rows(nodes).groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
+        lone = lone.groupBy("node").agg(F.collect_list("shingle").alias("lone"))  # no more than the node's own text holds
+        held = settled(marked(nodes.join(lone, "node", "left").select("node", "text", "lone")))
+        rows = rows.select("band", F.col("me.node").alias("node"), F.col("me.root").alias("root")).join(held, "node")
+        least = rows.groupBy("band").agg(F.min("weight").alias("least"))
+        near = F.col("common") * (1 + SIMILAR) >= SIMILAR * (F.col("weight") + F.greatest("least", SIMILAR * F.col("weight"))) - 1e-6
+        return of_several(rows.join(least, "band").filter(near).select("band", F.struct("node", "root", "weight", "common", "bits").alias("me")))
+
     def chosen(rows: DataFrame, tries: int) -> DataFrame:
         """Pairs of each node with the ``tries`` heads of other classes that it shares most bands with; a node has BANDS heads at most."""
-        n = rows.filter("root <> head_root").groupBy("node", "head").agg(F.count("*").alias("n"))
+        n = rows.groupBy(F.col("me.node").alias("node"), F.col("head.node").alias("head")).agg(F.count("*").alias("n"))
         best = F.slice(F.array_sort(F.collect_list(F.struct(-F.col("n"), F.xxhash64("node", "head"), F.col("head").alias("head")))), 1, tries)
-        return n.groupBy("node").agg(best.alias("x")).select("node", F.explode("x.head").alias("head")).select(a, b).distinct()
+        return n.groupBy("node").agg(best.alias("x")).select("node", F.explode("x.head").alias("head")).select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
 
-    tried = settled(chosen(headed(members.withColumn("root", F.col("node")), 0), 1))
+    first = members.select("band", F.struct("node", F.col("node").alias("root")).alias("me"))
+    tried = settled(chosen(headed(first, 0), 1))
     links = checked(tried)
     roots = components(links)
-    placed = still_open(members, roots)
+    placed = within_reach(still_open(first, roots))
     for turn in range(TURNS):
-        pairs = settled(chosen(headed(placed, turn + 1), TRIES).join(tried, ["a", "b"], "left_anti"))
+        pairs = settled(chosen(headed(placed, turn + 1).filter(may_link("me", "head")), TRIES).join(tried, ["a", "b"], "left_anti"))
         more = checked(pairs)
         links, tried = links.unionByName(more), tried.unionByName(pairs)
         roots = components(links)
         placed = still_open(placed, roots)
-    one, two = (placed.select("band", F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
-    rest = one.join(two, "band").filter("a < b and ra <> rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    placed = within_reach(placed)
+    one, two = (placed.select("band", F.col("me").alias(x)) for x in "ab")
+    rest = one.join(two, "band").filter("a.node < b.node and a.root <> b.root").filter(may_link("a", "b"))
+    rest = rest.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = checked(rest)
     if more.head(1):
         roots = components(links.unionByName(more))
