@@ -230,15 +230,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return of_several(rows.select("band", F.col("me").withField("root", F.coalesce("root", "node")).alias("me")))
 
     def within_reach(rows: DataFrame) -> DataFrame:
-        """``rows`` with weights and bits of what open texts have in common, without nodes that none of their band can be as like as SIMILAR."""
+        """``rows`` with weights and bits of what open texts have in common, without nodes whose common weight alone keeps all others below SIMILAR."""
         nodes = texts.join(rows.select("me.node").distinct(), "node", "left_semi")
         lone = shingle_rows(nodes).groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
         lone = lone.groupBy("node").agg(F.collect_list("shingle").alias("lone"))  # no more than the node's own text holds
         held = settled(marked(nodes.join(lone, "node", "left").select("node", "text", "lone")))
+        held = held.filter(F.col("common") >= SIMILAR * F.col("weight") - 1e-6)
         rows = rows.select("band", F.col("me.node").alias("node"), F.col("me.root").alias("root")).join(held, "node")
-        least = rows.groupBy("band").agg(F.min("weight").alias("least"))
-        near = F.col("common") * (1 + SIMILAR) >= SIMILAR * (F.col("weight") + F.greatest("least", SIMILAR * F.col("weight"))) - 1e-6
-        return of_several(rows.join(least, "band").filter(near).select("band", F.struct("node", "root", "weight", "common", "bits").alias("me")))
+        return of_several(settled(rows.select("band", F.struct("node", "root", "weight", "common", "bits").alias("me"))))
 
     def chosen(rows: DataFrame, tries: int) -> DataFrame:
         """Pairs of each node with the ``tries`` heads of other classes that it shares most bands with; a node has BANDS heads at most."""
