@@ -1,10 +1,11 @@
 """Best-fit packing of tokenised documents into sequences of at most SIZE tokens, by hierarchical residuals.
 
 A document is its ids and END. Longer documents are cut into pieces of SIZE tokens, the first of which
-may be shorter. Full pieces are sequences of their own. All others are items: partitions pack theirs by
-best fit, longest first, in runs of at most RUN items, and emit bins with at most SLACK tokens left.
-The other bins become items of the next round, over a FAN-th of the partitions, and so on until one
-partition is left or a round joins nothing. Memory is bounded by RUN items a task at every level.
+may be shorter. Full pieces are sequences of their own. All others are items, dealt by hash into groups of
+about RUN items at most, each with the whole mix of lengths. A group is packed as one by best fit, longest
+first, and emits bins with at most SLACK tokens left. The other bins become items of the next round, over a
+FAN-th of the groups or as many as RUN asks for, and so on until the groups get no fewer or a round joins
+nothing. Memory is bounded by about RUN items a task at every level.
 
 Null and empty texts are the one id END. Equal and repeated rows are documents of their own, told apart by
 where they stand in the input. An empty table gives no rows. Other columns are ignored. Ids are those
@@ -104,32 +105,20 @@ def best_fit(lengths: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndar
 
 
 def _round(items: DataFrame, level: int, size: int) -> DataFrame:
-    """(item, bin, at, fill) of rows (item, length), which come longest first within a partition."""
+    """(item, bin, at, fill) of rows (item, length); a partition is one group."""
     arrow_rows(items.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = (level + 1) << 58 | TaskContext.get().partitionId() << 36
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def packed() -> pa.RecordBatch:
-            nonlocal number
+        held = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+        if held:
             item, length = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.lexsort((item, -length))
             item, length = item[order], length[order]
             bins, offsets, fills = best_fit(length, size)
-            out = pa.RecordBatch.from_arrays([pa.array(item), pa.array(bins + number), pa.array(offsets), pa.array(fills[bins])], ["item", "bin", "at", "fill"])
-            number += len(fills)
-            held.clear()
-            return out
-
-        for batch in batches:
-            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-            if sum(len(x) for x, _ in held) >= RUN:
-                yield packed()
-        if held:
-            yield packed()
+            yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(bins + number), pa.array(offsets), pa.array(fills[bins])], ["item", "bin", "at", "fill"])
 
     return items.mapInArrow(run, StructType([StructField(x, LongType()) for x in ("item", "bin", "at", "fill")]))
 
@@ -137,11 +126,10 @@ def _round(items: DataFrame, level: int, size: int) -> DataFrame:
 def place(items: DataFrame, size: int = SIZE) -> DataFrame:
     """(item, sequence_id, offset) of rows (item, length)."""
     spark = items.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-items.count() // RUN))
     placed, level, waiting = None, 0, items
     while True:
-        dealt = waiting.repartition(parts, "item").sortWithinPartitions(F.desc("length"), "item")
-        packed = cut(_round(dealt, level, size))
+        packed = cut(_round(waiting.repartition(groups, "item"), level, size))
         now = packed.select("item", F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
         if placed is None:
             placed = now
@@ -149,11 +137,13 @@ def place(items: DataFrame, size: int = SIZE) -> DataFrame:
             move = now.select(F.col("item").alias("sequence_id"), F.col("sequence_id").alias("to"), F.col("offset").alias("by"))
             placed = placed.join(move, "sequence_id", "left").select("item", F.coalesce("to", "sequence_id").alias("sequence_id"), (F.col("offset") + F.coalesce("by", F.lit(0))).alias("offset"))
             placed = cut(placed)
-        open_bins = packed.filter(F.col("fill") < size - SLACK).groupBy("bin").agg(F.first("fill").alias("length"))
-        counts = packed.agg(F.count("*"), F.countDistinct("bin")).first()
-        if parts == 1 or (level and counts[0] == counts[1]):
+        bins = packed.groupBy("bin").agg(F.count("*").alias("n"), F.first("fill").alias("length"))
+        is_open = F.col("length") < size - SLACK
+        counts = bins.agg(F.sum("n").alias("items"), F.count("*").alias("bins"), F.count_if(is_open).alias("open")).first()
+        fewer = max(1, groups // FAN, -(-counts["open"] // RUN))
+        if fewer >= groups or (level and counts["items"] == counts["bins"]):
             return placed
-        waiting, parts, level = open_bins.withColumnRenamed("bin", "item"), max(1, parts // FAN), level + 1
+        waiting, groups, level = bins.filter(is_open).select(F.col("bin").alias("item"), "length"), fewer, level + 1
 
 
 def pack_documents(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:

@@ -152,6 +152,15 @@ def test_best_fit_takes_the_fullest_bin():
     assert bins.tolist() == [0, 1, 0, 1, 1] and offsets.tolist() == [0, 0, 6, 5, 8] and fills.tolist() == [10, 10]
 
 
+def test_packing_mixes_lengths_beyond_a_run(spark, monkeypatch):
+    """Items that only fit those of the other length, many times more than RUN of them."""
+    monkeypatch.setattr(packing, "RUN", 500)
+    items = spark.range(4000).select(F.col("id").alias("item"), F.when(F.col("id") % 2 == 0, 700).otherwise(324).cast("long").alias("length"))
+    rows = packing.place(items).collect()
+    assert len(rows) == 4000 and len({(r.sequence_id, r.offset) for r in rows}) == 4000
+    assert len({r.sequence_id for r in rows}) <= 2000 * 1.03 + 1
+
+
 def test_pipeline_against_brute_force(spark):
     import corpus_pipeline as P
 
