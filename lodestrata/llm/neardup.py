@@ -18,9 +18,11 @@
    pair that is never checked is thus in one class already or below SIMILAR, and classes are those of all
    candidates. No group is collected, and no pair is listed within a class.
 
-Result: one row per document with the least doc_id of its class. Null text is empty text; texts without
-words are alike only if equal. Rows that share a doc_id but not a text count by text; a null doc_id is a
-document of its own class number (the least long). Empty tables give no rows; other columns are ignored.
+Result: one row per document with its class number. Texts are nodes of their own, whatever their doc_ids.
+A node's number is the least doc_id of its text; of several texts with one such id all but the first, and
+texts known only under null ids, have 62 bits of their hash above HASHED instead. A class has its least
+node's number: the least doc_id that is not another text's. Null text is empty text; texts without words
+are alike only if equal. Empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ from .base import arrow_rows, cut, grams, mix, pieces, text_bytes, words
 
 SHINGLE, SIMILAR, ROWS, BANDS = 5, 0.8, 8, 60
 M = ROWS * BANDS
-NO_ID = -(2**63)
+#: Numbers of nodes that no doc_id names start here; ids are taken to lie below.
+HASHED = 2**62
 #: Turns with other heads before the remaining pairs are listed, heads that a node meets in each, and rows to a partition of the small tables in between.
 TURNS, TRIES, PART = 2, 4, 250_000
 #: Words of 64 bits that mark a node's common shingles.
@@ -88,7 +91,7 @@ def bag_signatures(of: np.ndarray, element: np.ndarray, weight: np.ndarray, n: i
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(node, text_key, bands array<long>) of rows (node, text_key, text); no bands for texts without words."""
+    """(doc_id, text_key, bands array<long>) of rows (doc_id, text_key, text); no bands for texts without words."""
     arrow_rows(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,9 +107,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                 some = np.isfinite(sig[:, 0])
                 ends = np.r_[0, np.cumsum(np.where(some, BANDS, 0))].astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(key[some].reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), bands], ["node", "text_key", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), bands], ["doc_id", "text_key", "bands"])
 
-    return docs.mapInArrow(run, "node long, text_key binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_key binary, bands array<long>")
 
 
 def shingle_rows(texts: DataFrame) -> DataFrame:
@@ -191,17 +194,20 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, class_id): one row per document."""
+    """(doc_id, text_key, class_id, stays): one row per document; the rows that stay are one document of each class, repeated or not."""
     text = F.coalesce("text", F.lit(""))
-    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("node"), F.unhex(F.md5(text)).alias("text_key"), text.alias("text"))
-    signed = cut(signatures(docs.select("node", "text_key", "text")))
-    nodes = signed.groupBy("text_key").agg(F.min("node").alias("node"), F.min_by("bands", "node").alias("bands"))
-    nodes = cut(nodes)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("text_key"), text.alias("text"))
+    signed = cut(signatures(docs))
+    named = signed.groupBy("text_key").agg(F.min("doc_id").alias("least")).filter("least is not null")
+    named = named.groupBy("least").agg(F.min("text_key").alias("text_key")).select("text_key", F.col("least").alias("name"))
+    hashed = F.shiftrightunsigned(F.xxhash64("text_key"), 2).bitwiseOR(F.lit(HASHED))
+    nodes = signed.groupBy("text_key").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")).join(named, "text_key", "left")
+    nodes = cut(nodes.select("text_key", "least", F.coalesce("name", hashed).alias("node"), "bands"))
     bands = nodes.select("node", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("band")
     members = cut(bands.join(shared, "band", "left_semi"))  # every node of every band of two or more
-    keyed = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "text_key")
-    texts = docs.select("node", "text_key", "text").join(keyed, ["node", "text_key"], "left_semi").select("node", "text")
+    keyed = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("least").alias("_id"), F.col("text_key").alias("_key"))
+    texts = docs.join(keyed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))).select("node", "text")
     texts = cut(texts.groupBy("node").agg(F.min("text").alias("text")))
 
     def checked(pairs: DataFrame) -> DataFrame:
@@ -263,14 +269,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = checked(rest)
     if more.head(1):
         roots = components(links.unionByName(more))
-    classed = nodes.select("text_key", "node").join(roots, "node", "left").select("text_key", F.coalesce("root", "node").alias("class_id"))
-    return signed.select(F.when(F.col("node") != NO_ID, F.col("node")).alias("doc_id"), "text_key").join(classed, "text_key")
+    classed = nodes.select("text_key", "node", "least").join(roots, "node", "left").select("text_key", "node", "least", F.coalesce("root", "node").alias("class_id"))
+    stays = (F.col("node") == F.col("class_id")) & F.col("doc_id").eqNullSafe(F.col("least"))
+    return signed.select("doc_id", "text_key").join(classed, "text_key").select("doc_id", "text_key", "class_id", stays.alias("stays"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each class stays: the one whose doc_id names it; all columns as they are."""
-    gone = near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).filter("doc_id is not null").select("doc_id").distinct()
-    return docs.join(cut(gone), "doc_id", "left_anti").select(docs.columns)
+    """One document of each class stays, the one of least doc_id of the text that names the class; all columns as they are."""
+    rows = cut(near_duplicates(docs).groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.first("stays").alias("stays"), F.count("*").alias("n")))
+    d = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_doc_id"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("_text_key"))
+    if rows.filter("stays and n > 1").head(1):  # of repeated rows, any one
+        d = d.groupBy("_doc_id", "_text_key").agg(F.first("_row").alias("_row"))
+    d = d.join(rows.filter("not stays"), F.col("_doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_anti")
+    return d.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, extra columns with clashing names."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -198,3 +200,22 @@ def test_group_of_near_copies_and_common_passage(spark):
     rows += [(200 + i, t, "", "") for i, (_, t, _, _) in enumerate(rows[:20])]
     got = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == brute.classes([(i, t) for i, t, _, _ in rows])
+
+
+def test_near_duplicates_where_ids_repeat_or_miss(spark):
+    """Texts count by text: under one doc_id, under none, and as repeated rows."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(120)) for x in "abcd")
+    near = lambda t: t + " end"
+    rows = [(3, a), (7, a), (7, b), (8, near(b)), (None, c), (None, c), (None, d), (9, near(d)), (5, d + " x y"), (11, "own"), (11, "own"), (12, near(c))]
+    df = made(spark, [(i, t, "", "") for i, t in rows])
+    got = {(r.doc_id, bytes(r.text_key)): r.class_id for r in neardup.near_duplicates(df).collect()}
+    by = lambda i, t: got[i, hashlib.md5(t.encode()).digest()]
+    assert by(3, a) == by(7, a) == 3 and by(7, b) == by(8, near(b)) == 7
+    assert by(None, c) == by(12, near(c)) == 12 and by(None, d) == by(9, near(d)) == by(5, d + " x y") == 5 and by(11, "own") == 11
+    kept = neardup.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(3, a), (7, b), (12, near(c)), (5, d + " x y"), (11, "own")])
+    alone = made(spark, [(None, c, "", ""), (None, c, "", ""), (None, a, "", ""), (7, a + " z", "", ""), (7, b, "", ""), (7, d, "", "")])
+    left = sorted(r.text for r in neardup.keep_one(alone).collect())
+    assert left in (sorted([a, b, c, d]), sorted([a + " z", b, c, d]))
+    assert len({r.class_id for r in neardup.classes(alone).collect()}) == 4
