@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch handed to Python; texts may be long, so batches stay small.
 BATCH_ROWS = 512
+#: Elements of an array, and code points of a text, that are handled as one block in expressions.
+BLOCK, PAGE = 256, 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,33 +28,99 @@ def arrow_rows(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """Materialises ``df`` in the session's checkpoint folder, so that lost executors lose nothing.
 
-    The folder is the one that the cluster names in spark.checkpoint.dir; only where that is unset
-    (as in tests) a temporary one is set.
+    The folder is the one that the cluster names in spark.checkpoint.dir. Where that is unset, one is made
+    in a local session only: on a cluster executors could not read each other's.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint(eager=True)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with ``value`` evaluated once: lambdas evaluate what they capture anew for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def scanned(values: Column, op: Callable[[Column, Column], Column], zero: Column, levels: int = 1) -> Column:
+    """For each element of an array, ``op`` (associative) over all elements before it; ``zero`` for the first.
+
+    An array that grows in an aggregate is copied at every step, so the array is scanned in blocks of
+    BLOCK, whose starts are the scan of the blocks' totals: some BLOCK / 2 copies an element.
+    """
+
+    def plain(x: Column, start: Column) -> Column:
+        state = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda acc, v: F.struct(op(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(x, state, step, lambda acc: acc["out"])
+
+    if not levels:
+        return plain(values, zero)
+
+    def in_blocks(x: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / BLOCK).cast("int")), lambda i: F.slice(x, i * BLOCK + 1, F.lit(BLOCK)))
+
+        def joined(cut: Column) -> Column:
+            starts = scanned(F.transform(cut, lambda b: F.aggregate(b, zero, op)), op, zero, levels - 1)
+            return F.flatten(F.zip_with(cut, starts, plain))
+
+        return F.when(F.size(x) <= BLOCK, plain(x, zero)).otherwise(let(blocks, joined))
+
+    return let(values, in_blocks)
+
+
+def sums_before(lengths: Column) -> Column:
+    return scanned(lengths, lambda a, b: a + b, F.lit(0))
+
+
 def located(text: Column, pattern: str) -> Column:
     """array<struct<s:int,e:int,m:string>>: leftmost non-overlapping matches, in code points, end exclusive.
 
     The pieces between matches and the matches themselves come from the same Java matcher, so their
     lengths add up to the offsets. ``text`` must not be null.
     """
-    pairs = F.arrays_zip(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     none = F.array().cast("array<struct<s:int,e:int,m:string>>")
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["0"])
-        end = start + F.length(pair["1"])
-        found = F.struct(start.alias("s"), end.alias("e"), pair["1"].alias("m"))
-        return F.when(pair["1"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["out"], F.array(found)).alias("out")))
+    def placed(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        reach = F.zip_with(gaps, found, lambda gap, m: F.length(gap) + F.length(m))
+        spans = let(reach, lambda r: F.zip_with(sums_before(r), r, lambda before, n: before + n))
+        return F.zip_with(found, spans, lambda m, e: F.struct((e - F.length(m)).alias("s"), e.alias("e"), m.alias("m")))
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) == 0, none).otherwise(placed(found)))
+
+
+def joined(spans: Column, touching: bool = False) -> Column:
+    """Sorted spans (struct with s and e) with those that overlap (or touch) as one: the first one's fields, the last end."""
+
+    def merge(x: Column) -> Column:
+        def with_ends(before: Column) -> Column:
+            apart = (lambda i: x[i]["s"] > before[i]) if touching else (lambda i: x[i]["s"] >= before[i])
+            firsts = F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: (i == 0) | apart(i))
+            last = F.array_max(F.transform(x, lambda s: s["e"]))
+            return let(firsts, lambda f: F.transform(f, lambda i, k: x[i].withField("e", F.coalesce(before[F.get(f, k + 1)], last))))
+
+        before = scanned(F.transform(x, lambda s: s["e"]), lambda a, b: F.greatest(a, b), F.lit(-1))
+        return F.when(F.size(x) < 2, x).otherwise(let(before, with_ends))
+
+    return let(spans, merge)
+
+
+def parts(text: Column, cuts: Callable[[Callable[[Column, Column], Column]], Column]) -> Column:
+    """cuts(part), where part(s, e) are the code points s to e of ``text``, read from blocks of it and not from its start."""
+
+    def of(blocks: Column) -> Column:
+        def part(s: Column, e: Column) -> Column:
+            first, last = F.floor(s / PAGE).cast("int"), F.floor(e / PAGE).cast("int")
+            some = F.array_join(F.slice(blocks, first + 1, F.least(last, F.size(blocks) - 1) - first + 1), "")
+            return F.when(e <= s, "").otherwise(F.substring(some, s - first * PAGE + 1, e - s))
+
+        return cuts(part)
 
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0)), of)
 
 
 def span_text(spans: Column) -> Column:

@@ -7,9 +7,11 @@ replacement is undone exactly. The loss mask is a list of code-point ranges of t
 assistant's texts.
 
 Null text and null role are empty text. Turns sort by turn (null first), then role and text, so ties
-and repeated rows have one result and every row is kept. A null conv_id is a conversation of its own.
-An empty table gives no rows. Other columns are ignored. A conversation is one output string and so
-is bounded by what a row can hold; it is the only group, and rows of different conversations never meet.
+and repeated rows have one result and every row is kept. Rows without a conv_id belong together with no
+other: each is a conversation of one turn, so they make no hot group. An empty table gives no rows. Other
+columns are ignored. A conversation is one output string and so is bounded by what a row can hold; it is
+the only group. Time is linear in its length: places come from block-wise running sums, texts under the
+mask from blocks of the output.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .base import let, parts, sums_before
+
 TURN, END = "<|turn|>", "<|end|>"
 
 
@@ -35,43 +39,29 @@ def unescape(text: Column) -> Column:
 def format_chats(turns: DataFrame) -> DataFrame:
     """conv_id, formatted string, loss array<struct<s:int,e:int>> from rows (conv_id, turn, role, text)."""
     row = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("turns"))
-    # islands of one role: the places where the role differs from the one before, each with the next such place
-    previous = F.concat(F.array(F.lit(None).cast("string")), F.transform("turns", lambda t: t["role"]))
-    changes = F.filter(
-        F.transform(F.arrays_zip(F.col("turns"), previous.alias("p")), lambda z, i: F.when((i == 0) | (z["turns"]["role"] != z["p"]), i)),
-        lambda i: i.isNotNull(),
-    )
-    grouped = grouped.withColumn("first", changes)
-    bounds = F.arrays_zip(F.col("first").alias("a"), F.concat(F.slice("first", F.lit(2), F.size("turns")), F.array(F.size("turns"))).alias("b"))
-    blocks = F.transform(
-        bounds,
-        lambda x: F.struct(
-            F.element_at("turns", x["a"] + 1)["role"].alias("role"),
-            F.transform(F.slice("turns", x["a"] + 1, x["b"] - x["a"]), lambda t: escape(t["text"])).alias("texts"),
-        ),
-    )
-    merged = grouped.select("conv_id", blocks.alias("blocks"))
-    out = F.array_join(F.transform("blocks", lambda b: F.concat(F.lit("<|"), escape(b["role"]), F.lit("|>"), F.array_join(b["texts"], TURN), F.lit(END))), "")
-    none = F.array().cast("array<struct<s:int,e:int>>")
-
-    def place(acc: Column, b: Column) -> Column:
-        start = acc["at"] + F.length(escape(b["role"])) + 4
-        ranges = F.aggregate(
-            b["texts"],
-            F.struct(start.alias("at"), none.alias("out")),
-            lambda a, t: F.struct(
-                (a["at"] + F.length(t) + len(TURN)).alias("at"),
-                F.concat(a["out"], F.array(F.struct(a["at"].alias("s"), (a["at"] + F.length(t)).alias("e")))).alias("out"),
-            ),
-        )
-        return F.struct(
-            (ranges["at"] - len(TURN) + len(END)).alias("at"),
-            F.when(b["role"] == "assistant", F.concat(acc["out"], ranges["out"])).otherwise(acc["out"]).alias("out"),
-        )
-
-    loss = F.aggregate("blocks", F.struct(F.lit(0).alias("at"), none.alias("out")), place, lambda a: a["out"])
-    return merged.select("conv_id", out.alias("formatted"), loss.alias("loss"))
+    alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    keyed = turns.select("conv_id", alone.alias("alone"), row.alias("row"))
+    grouped = keyed.groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list("row")).alias("turns"))
+    coded = grouped.select("conv_id", F.transform("turns", lambda t: F.struct(escape(t["role"]).alias("role"), escape(t["text"]).alias("text"))).alias("turns"))
+
+    def opened(x: Column) -> Column:
+        """Each turn with what stands before it: the end of another role's block and its own mark, or the mark between turns of one role."""
+        before = F.zip_with(x, F.slice(F.concat(F.array(F.lit(None).cast("string")), F.transform(x, lambda t: t["role"])), F.lit(1), F.size(x)), lambda t, last: F.struct(t.alias("t"), last.alias("last")))
+        head = lambda t: F.concat(F.lit("<|"), t["role"], F.lit("|>"))
+        mark = lambda z: F.when(z["last"].isNull(), head(z["t"])).when(z["last"] == z["t"]["role"], TURN).otherwise(F.concat(F.lit(END), head(z["t"])))
+        return F.transform(before, lambda z: F.struct(z["t"]["role"].alias("role"), mark(z).alias("mark"), z["t"]["text"].alias("text")))
+
+    # runs of one role merge: their texts stand in one block
+    merged = coded.select("conv_id", let(F.col("turns"), opened).alias("turns"))
+
+    def masked(x: Column) -> Column:
+        """The assistant's texts, by running sums of the lengths before them."""
+        sizes = F.transform(x, lambda t: F.length(t["mark"]) + F.length(t["text"]))
+        places = F.zip_with(x, sums_before(sizes), lambda t, at: F.struct(t["role"].alias("role"), (at + F.length(t["mark"])).alias("s"), (at + F.length(t["mark"]) + F.length(t["text"])).alias("e")))
+        return F.transform(F.filter(places, lambda p: p["role"] == "assistant"), lambda p: F.struct(p["s"].alias("s"), p["e"].alias("e")))
+
+    out = F.concat(F.array_join(F.transform("turns", lambda t: F.concat(t["mark"], t["text"])), ""), F.lit(END))
+    return merged.select("conv_id", out.alias("formatted"), let(F.col("turns"), masked).alias("loss"))
 
 
 def parse_chats(formatted: DataFrame) -> DataFrame:
@@ -85,7 +75,7 @@ def parse_chats(formatted: DataFrame) -> DataFrame:
         ),
     )
     turns = F.flatten(F.transform(parsed, lambda p: F.transform(p["texts"], lambda t: F.struct(p["role"].alias("role"), unescape(t).alias("text")))))
-    loss = F.array_join(F.transform("loss", lambda x: unescape(F.substring("formatted", x["s"] + 1, x["e"] - x["s"]))), "")
+    loss = parts(F.col("formatted"), lambda part: F.array_join(F.transform("loss", lambda x: unescape(part(x["s"], x["e"]))), ""))
     return formatted.select("conv_id", "formatted", turns.alias("turns"), loss.alias("loss_text"))
 
 

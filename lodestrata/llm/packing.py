@@ -9,13 +9,13 @@ nothing. Memory is bounded by about RUN items a task at every level.
 
 Null and empty texts are the one id END. Equal and repeated rows are documents of their own, told apart by
 where they stand in the input. An empty table gives no rows. Other columns are ignored. Ids are those
-of the vocabulary file's byte-level BPE; its path is a parameter and must exist on every executor.
+that tokenizers gives for the vocabulary file, its added tokens included where a text holds them; the file's path
+is a parameter and must exist on every executor.
 """
 
 from __future__ import annotations
 
-import base64
-import os
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -36,22 +36,38 @@ _LOADED: dict = {}
 
 
 def encoder(path: str):
-    """Function from text to ids. The .json file's vocabulary also comes as a file of ranks beside it, which
-    another public library encodes several times faster, to the same ids; without that file the first is used."""
-    if path not in _LOADED:
-        ranks = os.path.splitext(path)[0] + ".tiktoken"
-        if os.path.exists(ranks):
-            import tiktoken
-
-            with open(ranks, "rb") as f:
-                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            _LOADED[path] = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=table, special_tokens={}).encode_ordinary
-        else:
-            from tokenizers import Tokenizer
+    """Function from text to ids, those of the byte-level BPE in the tokenizers file ``path``, with its added tokens.
 
-            tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
-            _LOADED[path] = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    tiktoken merges the same vocabulary five times faster; that its merges are in the order of their ids is checked.
+    """
+    if path not in _LOADED:
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        model, before = file["model"], file["pre_tokenizer"] or {}
+        vocab = model["vocab"]
+        # the format writes bytes as characters: printable ones as themselves, the others in order from 256
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+        made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        added = {t["content"]: t["id"] for t in file["added_tokens"]}
+        trims = any(t[k] for t in file["added_tokens"] for k in ("lstrip", "rstrip", "single_word"))
+        if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or file["normalizer"] or trims or made != sorted(made):
+            raise ValueError("a byte-level BPE with merges in the order of their ids is required")
+        ranks = {bytes(map(byte.__getitem__, piece)): i for piece, i in vocab.items() if piece not in added}
+        coded = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=added)
+        plainer = Tokenizer.from_file(path)
+
+        def encode(text: str) -> list[int]:
+            try:
+                return coded.encode(text, allowed_special="all")
+            except ValueError:  # its matcher's stack is too small for runs of some 10**6 blanks
+                return plainer.encode(text, add_special_tokens=False).ids
+
+        _LOADED[path] = encode
     return _LOADED[path]
 
 
@@ -127,23 +143,23 @@ def place(items: DataFrame, size: int = SIZE) -> DataFrame:
     """(item, sequence_id, offset) of rows (item, length)."""
     spark = items.sparkSession
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-items.count() // RUN))
-    placed, level, waiting = None, 0, items
+    rounds, waiting = [], items
     while True:
-        packed = cut(_round(waiting.repartition(groups, "item"), level, size))
-        now = packed.select("item", F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
-        if placed is None:
-            placed = now
-        else:  # what moved is in a bin of the round before
-            move = now.select(F.col("item").alias("sequence_id"), F.col("sequence_id").alias("to"), F.col("offset").alias("by"))
-            placed = placed.join(move, "sequence_id", "left").select("item", F.coalesce("to", "sequence_id").alias("sequence_id"), (F.col("offset") + F.coalesce("by", F.lit(0))).alias("offset"))
-            placed = cut(placed)
+        packed = cut(_round(waiting.repartition(groups, "item"), len(rounds), size))
+        rounds.append(packed.select("item", F.col("bin").alias("sequence_id"), F.col("at").alias("offset")))
         bins = packed.groupBy("bin").agg(F.count("*").alias("n"), F.first("fill").alias("length"))
         is_open = F.col("length") < size - SLACK
         counts = bins.agg(F.sum("n").alias("items"), F.count("*").alias("bins"), F.count_if(is_open).alias("open")).first()
         fewer = max(1, groups // FAN, -(-counts["open"] // RUN))
-        if fewer >= groups or (level and counts["items"] == counts["bins"]):
-            return placed
-        waiting, groups, level = bins.filter(is_open).select(F.col("bin").alias("item"), "length"), fewer, level + 1
+        if fewer >= groups or (len(rounds) > 1 and counts["items"] == counts["bins"]):
+            break
+        waiting, groups = bins.filter(is_open).select(F.col("bin").alias("item"), "length"), fewer
+    # a bin of one round is an item of the next: from the last round down, each names the sequence that it ends in
+    placed = rounds.pop()
+    while rounds:
+        move = placed.select(F.col("item").alias("sequence_id"), F.col("sequence_id").alias("to"), F.col("offset").alias("by"))
+        placed = rounds.pop().join(move, "sequence_id", "left").select("item", F.coalesce("to", "sequence_id").alias("sequence_id"), (F.col("offset") + F.coalesce("by", F.lit(0))).alias("offset"))
+    return placed
 
 
 def pack_documents(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Statistics come from a text's bytes and words alone (shares of character classes, repetition of words,
 lines and word pairs, lengths). Training takes at most SAMPLE labelled rows, those of least hash of
-doc_id among the rows that the fold rule leaves; that bound is the only use of a sample, and only their
-statistics reach the driver. Statistics are cut at quantiles into BINS bins; each tree halves its nodes
+doc_id among the rows that the fold rule leaves, and one text of each (of several, the one of greatest
+statistics); that bound is the only use of a sample, and only their statistics reach the driver. Statistics are cut at quantiles into BINS bins; each tree halves its nodes
 DEPTH times by the split of largest gain and is stored as a complete tree in three arrays, which numpy
 walks for all rows of a batch at once. Every document is scored whole.
 
@@ -170,10 +170,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).dropna()
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).filter(~held_out(F.col("doc_id")))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = _mapped(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"), ["quality"], lambda x: x, ArrayType(DoubleType()), pa.list_(pa.float64()))
-    got = rows.orderBy(F.xxhash64("value"), "kept").limit(2 * sample).collect()
+    rows = _mapped(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"), ["doc_id", "quality"], lambda x: x, ArrayType(DoubleType()), pa.list_(pa.float64()))
+    rows = rows.groupBy("kept.doc_id").agg(F.max(F.struct("value", "kept.quality")).alias("x"))
+    got = sorted(rows.select("doc_id", "x.value", "x.quality").collect())  # no more than ``sample``
     x = np.array([r["value"] for r in got]).reshape(-1, len(NAMES))
-    return Trees.fit(x, np.array([float(r["kept"]["quality"]) for r in got]))
+    return Trees.fit(x, np.array([float(r["quality"]) for r in got]))
 
 
 def score_quality(docs: DataFrame, model: Trees) -> DataFrame:

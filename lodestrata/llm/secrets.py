@@ -1,12 +1,15 @@
 """Secret scans with DataFrame functions only: fixed patterns, and windows of high entropy per character class.
 
-Candidate strings are maximal runs of a character class. A window of WINDOW characters slides over
-each; its Shannon entropy follows from counts that change by the one character that enters and the
-one that leaves. Windows at or over the class's threshold merge into spans. Candidates that an
-allow-list pattern matches give no entropy span; spans of the fixed patterns always stay.
+Candidate strings are maximal runs of a character class, cut at allow-listed substrings; those that an
+allow-list pattern matches whole give no entropy span. A window of WINDOW characters slides over each
+candidate, and its Shannon entropy follows from counts, held as one character per member of the class,
+of which each step changes two: that of the character that enters and that of the one that leaves. Windows at or over
+the class's threshold that overlap or touch merge into spans. Long candidates are scanned in pages, each
+with the WINDOW - 1 characters after it. Spans of the fixed patterns always stay.
 
 Null text is empty text. Empty text and an empty table give no spans. Every row is scanned alone and
-whole, so repeated rows, ties and hot sources cost what their bytes cost; other columns are ignored.
+whole, in time linear in its length and its matches, so repeated rows, ties and hot sources cost what
+their bytes cost; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import as_spans, located, span_text
+from .base import PAGE, as_spans, joined, let, located, span_text
 
 ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: A failing run holds no passing one, so the least length can stand in the pattern.
@@ -29,67 +32,64 @@ WINDOW = 20
 CLASSES = {
     "entropy_hex": (r"[0-9a-f]{20,}", "0123456789abcdef", 3.0),
     "entropy_base64": (r"[A-Za-z0-9+/_=-]{20,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.8),
+    "entropy_upper_hex": (r"[0-9A-F]{20,}", "0123456789ABCDEF", 3.0),
 }
-#: Candidates that are no secrets: plain words, numbers, paths and joined words, counting sequences, samples, UUIDs.
+#: Candidates that are no secrets: plain words, numbers, paths and joined words, UUIDs.
 ALLOWED = (
     r"^[A-Za-z]+$",
     r"^[0-9]+$",
     r"^[A-Za-z]+([/_=-]+[A-Za-z]*)+$",
-    r"(?i)(example|sample|placeholder|changeme|dummy|redacted)",
-    r"(?i)(0123456789|abcdefghij|qwertyuiop)",
-    r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
+    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
 )
+#: Substrings that are in no secret: samples, counting sequences.
+INNOCENT = r"(?i)example|sample|placeholder|changeme|dummy|redacted|0123456789|abcdefghij|qwertyuiop"
+#: Counts 0..WINDOW as characters.
+_DIGITS = "".join(chr(65 + c) for c in range(WINDOW + 1))
 
 
-def _hot_windows(run: Column, alphabet: str, least: float) -> Column:
-    """array<struct<s:int,e:int>>: merged windows of ``run`` with at least ``least`` bits of entropy."""
+def _hot_windows(page: Column, alphabet: str, least: float) -> Column:
+    """array<struct<s:int,e:int>>: merged windows of ``page``, which is no longer than PAGE + WINDOW, with at least ``least`` bits of entropy."""
     # c log2 c for c = 0..WINDOW; the entropy of a window is log2(WINDOW) - sum(c log2 c) / WINDOW
     weigh = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)])
-    weight = lambda c: F.element_at(weigh, c + 1)
-    codes = F.transform(F.split(run, ""), lambda ch: F.call_function("instr", F.lit(alphabet), ch))
-    steps = F.arrays_zip(codes, F.concat(F.array_repeat(F.lit(None).cast("int"), WINDOW), codes))
-    spans = F.array().cast("array<struct<s:int,e:int>>")
-    zero = F.struct(
-        F.lit(0).alias("at"),
-        F.array_repeat(F.lit(0), len(alphabet)).alias("counts"),
-        F.lit(0.0).alias("sum"),
-        spans.alias("out"),
-    )
-
-    def step(acc: Column, pair: Column) -> Column:
-        enters, leaves = pair["0"], pair["1"]
-        moved = leaves.isNull() | (leaves != enters)
-        c_in = F.element_at(acc["counts"], enters)
-        c_out = F.when(leaves.isNull(), F.lit(1)).otherwise(F.element_at(acc["counts"], F.coalesce(leaves, F.lit(1))))
-        total = F.when(moved, acc["sum"] + weight(c_in + 1) - weight(c_in) + weight(c_out - 1) - weight(c_out)).otherwise(acc["sum"])
-        counts = F.when(
-            moved,
-            F.transform(acc["counts"], lambda v, k: v + F.when(k + 1 == enters, 1).otherwise(0) - F.when(k + 1 == F.coalesce(leaves, F.lit(0)), 1).otherwise(0)),
-        ).otherwise(acc["counts"])
-        end = acc["at"] + 1
+    weight = lambda c: F.get(weigh, c)
+    count = lambda counts, k: F.ascii(F.substring(counts, k, F.lit(1))) - 65
+    put = lambda counts, k, c: F.overlay(counts, F.substring(F.lit(_DIGITS), c + 1, F.lit(1)), k, F.lit(1))
+    codes = F.transform(F.filter(F.split(page, ""), lambda ch: ch != ""), lambda ch: F.call_function("instr", F.lit(alphabet), ch))
+    steps = lambda codes: F.zip_with(codes, F.slice(F.concat(F.array_repeat(F.lit(0), WINDOW), codes), F.lit(1), F.size(codes)), lambda i, o: F.struct(i.alias("enters"), o.alias("leaves")))
+    zero = F.struct(F.lit(0).alias("at"), F.lit("A" * len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
+
+    def leave(acc: Column, k: Column) -> Column:
+        c = count(acc["counts"], k)
+        return F.when(k == 0, acc).otherwise(F.struct(acc["at"].alias("at"), put(acc["counts"], k, c - 1).alias("counts"), (acc["sum"] + weight(c - 1) - weight(c)).alias("sum"), acc["out"].alias("out")))
+
+    def enter(acc: Column, k: Column) -> Column:
+        c = count(acc["counts"], k)
+        total, end = acc["sum"] + weight(c + 1) - weight(c), acc["at"] + 1
         high = (end >= WINDOW) & (F.lit(math.log2(WINDOW)) - total / WINDOW >= least - 1e-9)
         last = F.try_element_at(acc["out"], F.lit(-1))
-        joins = F.coalesce(last["e"] >= end - WINDOW, F.lit(False))
         fresh = F.array(F.struct((end - WINDOW).alias("s"), end.alias("e")))
-        longer = F.array(F.struct(last["s"].alias("s"), end.alias("e")))
-        out = F.when(~high, acc["out"]).when(joins, F.concat(F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1), longer)).otherwise(F.concat(acc["out"], fresh))
-        return F.when(enters.isNull(), acc).otherwise(F.struct(end.alias("at"), counts.alias("counts"), total.alias("sum"), out.alias("out")))
-
-    return F.aggregate(steps, zero, step, lambda acc: acc["out"])
-
-
-def _entropy_spans(text: Column, kind: str, rank: int, allowed: tuple[str, ...]) -> Column:
-    pattern, alphabet, least = CLASSES[kind]
-    runs = F.filter(located(text, pattern), lambda run: ~reduce(Column.__or__, [run["m"].rlike(p) for p in allowed], F.lit(False)))
-    return F.flatten(
-        F.transform(
-            runs,
-            lambda run: F.transform(
-                _hot_windows(run["m"], alphabet, least),
-                lambda w: F.struct((run["s"] + w["s"]).alias("s"), F.lit(rank).alias("rank"), (run["s"] + w["e"]).alias("e"), F.lit(kind).alias("kind")),
-            ),
-        )
-    )
+        longer = F.concat(F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1), F.array(F.struct(last["s"].alias("s"), end.alias("e"))))
+        out = F.when(~high, acc["out"]).when(last["e"] >= end - WINDOW, longer).otherwise(F.concat(acc["out"], fresh))
+        return F.struct(end.alias("at"), put(acc["counts"], k, c + 1).alias("counts"), total.alias("sum"), out.alias("out"))
+
+    return F.aggregate(let(codes, steps), zero, lambda acc, pair: let(leave(acc, pair["leaves"]), lambda a: enter(a, pair["enters"])), lambda acc: acc["out"])
+
+
+def _pieces(run: Column) -> Column:
+    """array<struct<s:int,m:string>>: what INNOCENT leaves of a run (struct of s and m)."""
+
+    def placed(cut: Column) -> Column:
+        ends = F.concat(F.array(F.lit(0)), F.transform(cut, lambda c: c["e"]))
+        return F.zip_with(F.split(run["m"], INNOCENT, -1), ends, lambda m, s: F.struct((run["s"] + s).alias("s"), m.alias("m")))
+
+    return let(located(run["m"], INNOCENT), placed)
+
+
+def _paged(piece: Column) -> Column:
+    """array<struct<s:int,m:string>>: pages of a piece, each with the WINDOW - 1 characters after it."""
+    more = lambda cut, i: F.coalesce(F.left(F.get(cut, i + 1), F.lit(WINDOW - 1)), F.lit(""))
+    cut = F.regexp_extract_all(piece["m"], F.lit(f".{{1,{PAGE}}}"), F.lit(0))
+    return let(cut, lambda cut: F.transform(cut, lambda page, i: F.struct((piece["s"] + i * PAGE).alias("s"), F.concat(page, more(cut, i)).alias("m"))))
 
 
 def scan_secrets(docs: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
@@ -97,8 +97,18 @@ def scan_secrets(docs: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFra
     text = F.coalesce(F.col("text"), F.lit(""))
     assign = F.filter(located(text, ASSIGN), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 1)) >= 8)
     base = F.concat(as_spans(assign, "assign", 0), as_spans(located(text, ACCESS), "access", 1), as_spans(located(text, HEX), "hex", 2))
-    extra = F.concat(*[_entropy_spans(text, kind, 3 + i, allowed) for i, kind in enumerate(CLASSES)])
-    return docs.select("doc_id", base.alias("base"), extra.alias("extra"))
+    found = docs.select("doc_id", base.alias("base"), *[located(text, pattern).alias(kind) for kind, (pattern, _, _) in CLASSES.items()])
+    may_hide = lambda x: (F.length(x["m"]) >= WINDOW) & ~reduce(Column.__or__, [x["m"].rlike(p) for p in allowed], F.lit(False))
+    found = found.select("doc_id", "base", *[F.filter(F.flatten(F.transform(kind, _pieces)), may_hide).alias(kind) for kind in CLASSES])
+    found = found.select("doc_id", "base", *[F.flatten(F.transform(kind, _paged)).alias(kind) for kind in CLASSES])
+
+    def hot(kind: str) -> Column:
+        _, alphabet, least = CLASSES[kind]
+        return F.flatten(F.transform(kind, lambda page: F.transform(_hot_windows(page["m"], alphabet, least), lambda w: F.struct((page["s"] + w["s"]).alias("s"), (page["s"] + w["e"]).alias("e")))))
+
+    found = found.select("doc_id", "base", *[hot(kind).alias(kind) for kind in CLASSES])
+    extra = F.concat(*[as_spans(joined(F.col(kind), touching=True), kind, 3 + i) for i, kind in enumerate(CLASSES)])
+    return found.select("doc_id", "base", extra.alias("extra"))
 
 
 def secrets_digest(docs: DataFrame) -> DataFrame:

@@ -1,8 +1,12 @@
 """Plain single-process versions of the contracts, written apart from the operators."""
 
 import hashlib
+import math
 import re
 import zlib
+from collections import Counter
+
+import regex
 
 
 def sha(text):
@@ -23,6 +27,30 @@ def secrets(text):
     return out
 
 
+def entropy_spans(text, classes, allowed, innocent, window=20):
+    """kind:start:end of merged windows, every window's counts taken anew."""
+    out = []
+    for rank, (kind, (pattern, _, least)) in enumerate(classes.items()):
+        for run in re.finditer(pattern, text):
+            at, cut = 0, []
+            for m in re.finditer(innocent, run[0]):
+                cut.append((at, run[0][at : m.start()]))
+                at = m.end()
+            for start, piece in [*cut, (at, run[0][at:])]:
+                if len(piece) < window or any(re.search(a, piece) for a in allowed):
+                    continue
+                hot = []
+                for i in range(len(piece) - window + 1):
+                    counts = Counter(piece[i : i + window]).values()
+                    if -sum(c / window * math.log2(c / window) for c in counts) >= least - 1e-9:
+                        if hot and i <= hot[-1][1]:
+                            hot[-1][1] = i + window
+                        else:
+                            hot.append([i, i + window])
+                out += [(run.start() + start + s, rank, run.start() + start + e, kind) for s, e in hot]
+    return [(k, s, e) for s, _, e, k in sorted(out)]
+
+
 def luhn(digits):
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -42,6 +70,43 @@ def private(text):
     return out
 
 
+def terms(texts, near=3, doubt=1, remove=0.95, generalise=0.8):
+    """For each text the revealing terms (kind, start, end), by counting all documents."""
+    word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
+    rank, found, n_e, n_te, n_t = ["email", "ip", "card", "phone"], [], Counter(), Counter(), Counter()
+    for text in texts:
+        merged = []
+        for s, _, e, k in sorted((s, rank.index(k), e, k) for k, s, e in private(text)):
+            if merged and s < merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], e)
+            else:
+                merged.append([s, e, k, text[s:e]])
+        places, of = [], set()
+        for i, (s, e, k, m) in enumerate(merged):
+            digits, numbers = re.sub("[^0-9]", "", m), [str(int(x)) for x in m.split(".")] if k == "ip" else []
+            value = m.lower() if k == "email" else ".".join(numbers) if k == "ip" else digits
+            group = m.lower().split("@")[-1] if k == "email" else ".".join(numbers[:2]) if k == "ip" else digits[: 6 if k == "card" else 4]
+            before, after = merged[i - 1][1] if i else 0, merged[i + 1][0] if i + 1 < len(merged) else len(text)
+            sides = [(before, list(word.finditer(text[before:s]))[-near:]), (e, list(word.finditer(text[e:after]))[:near])]
+            for entity in ((k, "value", value), (k, "group", group)):
+                of.add(entity)
+                places += [(entity, w[0].lower(), by + w.start(), by + w.end()) for by, ws in sides for w in ws]
+        found.append(places)
+        n_e.update(of)
+        n_te.update({(x[0], x[1]) for x in places})
+        n_t.update({w[0] for w in word.finditer(text.lower())})
+    n, out = len(texts), []
+    for places in found:
+        best = {}
+        for entity, term, s, e in places:
+            if n_t[term] and n_e[entity] < n:
+                information = math.log2(n / n_e[entity])
+                told = (math.log2(n_te[entity, term] / (n_t[term] + doubt)) + information) / information
+                best[s, e] = max(best.get((s, e), 0), told)
+        out.append([("term_removed" if v >= remove else "term_general", *k) for k, v in best.items() if v >= generalise])
+    return out
+
+
 def words(text):
     return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
 

@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, extra columns with clashing names."""
 
 import hashlib
+import time
 
 import numpy as np
 import pytest
@@ -83,7 +84,8 @@ def test_entropy_spans(spark):
     texts = [f"see {key} here", "AbstractSingletonProxyFactoryBean", "01234567890123456789", f"key example{key}"]
     df = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA)
     got = {r.doc_id: r.spans for r in secrets.secrets_digest(df).collect()}
-    assert got[0] == f"entropy_base64:4:{4 + len(key)}" and got[1] == got[2] == got[3] == ""
+    assert got[0] == f"entropy_base64:4:{4 + len(key)}" and got[1] == got[2] == ""
+    assert got[3] == f"entropy_base64:11:{11 + len(key)}"  # only what is allowed is left out, not the run that holds it
 
 
 def test_private_patterns(spark):
@@ -94,12 +96,65 @@ def test_private_patterns(spark):
 
 
 def test_revealing_terms_go(spark):
-    rows = [(i, f"the clerk Quillon{i % 2} wrote to boss{i % 2}@corp.example today", "", "") for i in range(8)] + [(100 + i, f"the clerk met number {i} today", "", "") for i in range(40)]
+    rows = [(i, f"the clerk Quillon{i % 2} wrote to boss{i % 2}@corp.example today", "", "") for i in range(8)] + [(100 + i, f"the clerk met number {i} today", "", "") for i in range(400)]
+    rows.append((900, "Hapax wrote to one@other.example", "", ""))
+    rows += [(600 + i, f"we wrote to somebody {i} and them today", "", "") for i in range(40)]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("n_chars", F.length("text").cast("long"))
     got = {r.doc_id: r for r in privacy.sanitise(df).collect()}
     assert len(got) == len(rows) and "Quillon" not in got[0].text and "<email>" in got[0].text and "clerk" in got[0].text
-    assert all(got[100 + i].text == f"the clerk met number {i} today" for i in range(40))
+    assert all(got[100 + i].text == f"the clerk met number {i} today" for i in range(400))
     assert all(r.n_chars == len(r.text) for r in got.values())
+    spans = {r.doc_id: r.spans for r in privacy.private_digest(df).collect()}
+    texts = [t for _, t, _, _ in rows]
+    kinds = ["email", "ip", "card", "phone", "term_general", "term_removed"]
+    want = [brute.listed(brute.private(t) + x, kinds) for t, x in zip(texts, brute.terms(texts), strict=True)]
+    assert [spans[i] for i, _, _, _ in rows] == want
+    assert any("term_removed" in x for x in want) and any("term_general" in x for x in want)
+
+
+def test_one_text_with_many_matches(spark):
+    """Times grow with the matches of one text, not with their square; spans are those of a plain scan."""
+    line = "password: 'h8Jk2LmN9qRs' q9X2mB7vK4tZ8pL1wR5sD3fG6hJ0nY Bob a@b.co at 1.2.3.4 +1 (555) 123-4567\n"
+    took = {}
+    for n in (5_000, 40_000):
+        text = line * n
+        df = spark.createDataFrame([(1, text, "", ""), (2, "x", "", "")], SCHEMA)
+        start = time.perf_counter()
+        found = {r.doc_id: r for r in secrets.secrets_digest(df).collect()}
+        private = {r.doc_id: r for r in privacy.private_digest(df).collect()}
+        clean = {r.doc_id: r.text for r in privacy.sanitise(df).collect()}
+        took[n] = time.perf_counter() - start
+        assert found[1].base_sha256 == brute.sha(brute.listed(brute.secrets(text), ["assign", "access", "hex"]))
+        assert private[1].base_sha256 == brute.sha(brute.listed(brute.private(text), ["email", "ip", "card", "phone"]))
+        assert not brute.private(clean[1]) and clean[2] == "x"
+    assert took[40_000] < 60
+
+
+def test_long_conversation(spark):
+    turns = [(1, i, ("user", "assistant", "assistant")[i % 3], f"<{i}> \U0001f600" * (i % 5)) for i in range(20_000)]
+    r = chat.chats_digest(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()[0]
+    said = "".join(t for _, _, role, t in turns if role == "assistant")
+    assert (r.n_turns, r.loss_chars, r.loss_sha256) == (len(turns), len(said), brute.sha(said))
+    assert r.turns_sha256 == brute.sha("".join(f"{role}\n{t}\n" for _, _, role, t in turns))
+
+
+def test_chats_without_id_stay_apart(spark):
+    turns = spark.createDataFrame([(None, 1, "user", "a"), (None, 1, "user", "a"), (None, 2, "assistant", "b")], "conv_id long, turn long, role string, text string")
+    assert sorted((r.n_turns, r.loss_chars) for r in chat.chats_digest(turns).collect()) == [(1, 0), (1, 0), (1, 1)]
+
+
+def test_packing_ids_with_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    path = vocabulary("byte_bpe_50k.json")
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>\n\n  y <|endofte", "  \n", "\U0001f600\x00", " " * 5000 + "a", "I'm we'll It'S 中文\u3000x"]
+    df = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA)
+    tokenizer = Tokenizer.from_file(path)
+    for r in packing.token_pieces(df, path).filter("start = 0 and length < 1024").collect():
+        ids = [*tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, packing.END]
+        if len(ids) <= 1024:
+            assert (r.length, r.ids_crc32) == (len(ids), brute.crc(ids))
+    assert packing.encoder(path)(" " * 2_000_000 + "a") == tokenizer.encode(" " * 2_000_000 + "a", add_special_tokens=False).ids
 
 
 def test_jpeg_slow_and_fast_agree():
