@@ -12,9 +12,10 @@
 5. Likeness: for each filter of the digest with fewer filters, its best overlap with the other's
    filters beyond what chance gives, normalised to 0..1; the mean of these, weighted by features.
 
-Texts below 128 bytes are repeated with a length-marking separator up to 128. Null text is empty text.
-Equal texts have equal fingerprints. Documents follow each other by (doc_id, text), null doc_id first;
-repeated rows are documents of their own. An empty table gives no rows; one document is its own next.
+Every text, long, short or empty, is followed by PAD zero bytes, in the histogram as in its digest; so
+each byte starts a window. Null text is empty text.
+Equal texts have equal fingerprints. Documents follow each other by (doc_id, hash of text, text), null
+doc_id first; repeated rows are documents of their own. An empty table gives no rows; one document is its own next.
 Other columns are ignored.
 """
 
@@ -22,17 +23,18 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import arrow_rows, mix, pieces, text_bytes
 
 W, VOTES, BITS, HASHES, FULL, STEP = 64, 16, 2048, 5, 160, 256
-LEVELS = 6 * STEP + 1
+LEVELS, PAD = 6 * STEP + 1, 2 * W - 1
 _G = np.zeros(W + 2)
 _G[1:] = np.arange(1, W + 2) * np.log2(np.arange(1, W + 2))
 #: What the sum of c log2 c gains when a count goes from c to c + 1, in 2**-20.
@@ -57,12 +59,12 @@ def levels(raw: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(bits * STEP), 0, LEVELS - 1).astype(np.int32)
 
 
-def padded(text: bytes) -> bytes:
-    """Texts below 128 bytes, repeated; longer ones as they are."""
-    if len(text) >= 2 * W:
-        return text
-    unit = text + b"\x00" + str(len(text)).encode()
-    return (unit * (2 * W // len(unit) + 1))[: 2 * W]
+def padded(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of rows, each with PAD zero bytes after it."""
+    n = len(offsets) - 1
+    out = np.zeros(len(raw) + n * PAD, np.uint8)
+    out[np.arange(len(raw)) + np.repeat(np.arange(n) * PAD, np.diff(offsets))] = raw
+    return out, offsets + np.arange(n + 1) * PAD
 
 
 def _features(raw: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,12 +97,10 @@ def _features(raw: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> tuple[
 def digests(texts: list[bytes], ranks: np.ndarray) -> list[bytes]:
     """Digest of each text: a 2-byte count of features and 256 bytes for each filter."""
     out: list[bytes] = []
-    texts = [padded(t) for t in texts]
     offsets = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) for t in texts], out=offsets[1:])
     for a, b in pieces(offsets):
-        raw = np.frombuffer(b"".join(texts[a:b]), np.uint8)
-        cuts = offsets[a : b + 1] - offsets[a]
+        raw, cuts = padded(np.frombuffer(b"".join(texts[a:b]), np.uint8), offsets[a : b + 1] - offsets[a])
         at, of = _features(raw, cuts, ranks)
         eight = np.ascontiguousarray(raw[at[:, None] + np.arange(W)]).view(np.uint64)
         h = np.zeros(len(at), np.uint64)
@@ -148,10 +148,7 @@ def entropy_ranks(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             raw, offsets = text_bytes(batch.column(0))
             for a, b in pieces(offsets):
-                part = raw[offsets[a] : offsets[b]]
-                if len(part) < W:
-                    continue
-                cuts = offsets[a : b + 1] - offsets[a]
+                part, cuts = padded(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 inside = np.ones(len(part) - W + 1, bool)
                 for end in cuts[1:-1]:
                     inside[max(0, end - W + 1) : end] = False
@@ -169,37 +166,61 @@ def entropy_ranks(docs: DataFrame) -> np.ndarray:
     return ranks
 
 
+def _cuts(docs: DataFrame, n_parts: int) -> list[tuple[int, int]]:
+    """About n_parts - 1 cuts (key, mark) of rows (key, mark) into like parts. A key that fills several is cut by mark as well."""
+
+    def quantiles(column: str, n: int) -> Column:
+        return F.percentile_approx(column, F.array(*[F.lit(i / n) for i in range(1, n)]), 10 * n_parts)
+
+    keys = Counter(docs.agg(quantiles("key", n_parts).alias("q")).first()["q"] or [])
+    top = 2**63 - 1
+    cuts = {(k, top) for k in keys}
+    hot = {k: n for k, n in keys.items() if n > 1}
+    if hot:
+        most = max(hot.values())
+        rows = docs.filter(F.col("key").isin(list(hot))).groupBy("key").agg(quantiles("mark", most).alias("q")).collect()
+        cuts |= {(r["key"], r["q"][(i * (most - 1)) // hot[r["key"]]]) for r in rows for i in range(hot[r["key"]])}
+    return sorted(cuts)
+
+
 def _followed(docs: DataFrame) -> DataFrame:
-    """Rows (part, wrap, doc_id, text, extra), each part's rows together and sorted, with the first document
+    """Rows (part, extra, wrap, doc_id, text), each part's rows together and sorted, with the first document
     of the following part (of the last part: the first of all) as an extra row at its end.
 
-    Parts are ranges of doc_id between quantiles; their number is a multiple of the shuffle partitions,
-    and the driver holds two numbers a part. Texts are shuffled once.
+    Parts are ranges of (doc_id, hash of text) between quantiles, and every part is a task of its own; the
+    driver holds a few numbers a part. Texts are shuffled once.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    n_parts = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    quantiles = [i / n_parts for i in range(1, n_parts)]
-    cuts = docs.agg(F.percentile_approx("key", F.array(*map(F.lit, quantiles)), 10 * n_parts).alias("q")).first()["q"] or []
-    cuts = sorted(set(cuts))
-    edges = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<long>") if cuts else F.array().cast("array<long>")  # folds into one literal
-    jumps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))]) if cuts else F.array().cast("array<int>")
+    text = F.coalesce("text", F.lit(""))
+    docs = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("key"), F.xxhash64(text).alias("mark"), "doc_id", text.alias("text"))
+    cuts = _cuts(docs.select("key", "mark"), 3 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_parts = len(cuts) + 1
+    listed = lambda values, kind: F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>") if values else F.array().cast(f"array<{kind}>")  # noqa: E731 - folds into one literal
+    of_key, of_mark = listed([k for k, _ in cuts], "long"), listed([m for _, m in cuts], "long")
+    jumps = listed([1 << i for i in reversed(range(len(cuts).bit_length()))], "int")
+    # a number for each part that hashes to a partition of its own
+    tries = spark.range(40 * n_parts).select(F.col("id").cast("int").alias("slot")).groupBy(F.pmod(F.hash("slot"), F.lit(n_parts)).alias("at")).agg(F.min("slot").alias("slot"))
+    slots = listed([r["slot"] for r in tries.orderBy("at").collect()], "int")
 
     def part(df: DataFrame) -> DataFrame:
-        """Adds the number of cuts below the key, by binary search."""
-        below = lambda at, jump: F.try_element_at(edges, at + jump) < F.col("key")
-        at = F.aggregate(jumps, F.lit(0), lambda at, jump: F.when(F.coalesce(below(at, jump), F.lit(False)), at + jump).otherwise(at))
-        return df.withColumn("part", at)
-
-    firsts = part(docs.select("key")).groupBy("part").agg(F.min("key").alias("key")).orderBy("part").collect()
-    before = [firsts[i - 1]["part"] for i in range(len(firsts))]
-    heads = spark.createDataFrame([(r["key"], b, i == 0) for i, (r, b) in enumerate(zip(firsts, before, strict=True))], "head long, before int, wraps boolean")
-    rows = part(docs).join(F.broadcast(heads), F.col("key") == F.col("head"), "left")
+        """Adds the number of cuts below (key, mark), by binary search."""
+
+        def below(at: Column) -> Column:
+            key, mark = F.try_element_at(of_key, at), F.try_element_at(of_mark, at)
+            return F.coalesce((key < F.col("key")) | ((key == F.col("key")) & (mark < F.col("mark"))), F.lit(False))
+
+        return df.withColumn("part", F.aggregate(jumps, F.lit(0), lambda at, jump: F.when(below(at + jump), at + jump).otherwise(at)))
+
+    firsts = part(docs.select("key", "mark")).groupBy("part").agg(F.min(F.struct("key", "mark")).alias("head")).orderBy("part").collect()
+    heads = [(*r["head"], firsts[i - 1]["part"], i == 0) for i, r in enumerate(firsts)]
+    heads = spark.createDataFrame(heads, "head_key long, head_mark long, before int, wraps boolean")
+    rows = part(docs).join(F.broadcast(heads), (F.col("key") == F.col("head_key")) & (F.col("mark") == F.col("head_mark")), "left")
     own = F.struct(F.col("part"), F.lit(False).alias("extra"), F.lit(False).alias("wrap"))
     again = F.struct(F.col("before").alias("part"), F.lit(True).alias("extra"), F.col("wraps").alias("wrap"))
-    rows = rows.select("key", "doc_id", "text", F.explode(F.when(F.col("head").isNull(), F.array(own)).otherwise(F.array(own, again))).alias("p"))
-    rows = rows.select("p.part", "p.extra", "p.wrap", "key", "doc_id", "text")
-    return rows.repartition(n_parts, "part").sortWithinPartitions("part", "wrap", "extra", "key", "text").drop("key")
+    rows = rows.select("key", "mark", "doc_id", "text", F.explode(F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, again))).alias("p"))
+    rows = rows.select("p.part", "p.extra", "p.wrap", F.element_at(slots, F.col("p.part") + 1).alias("slot"), "key", "mark", "doc_id", "text")
+    rows = rows.repartition(n_parts, "slot").sortWithinPartitions("part", "wrap", "extra", "key", "mark", "text")
+    return rows.select("part", "extra", "wrap", "doc_id", "text")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 Hashes of all runs of K words of all documents are joined by Spark to those of the templates (a table
 of a few hundred rows, so the broadcast is bounded). A match at document word d and template word t
-votes for the diagonal d - t; votes are summed by (document, template, diagonal); diagonals of a
-template that lie within GAP of each other and whose words touch or overlap merge, which follows
-passages with words put in or left out. What remains is checked word by word in its document: the
-matched share of the template's words, by longest common subsequence within the span.
+votes for the diagonal d - t; votes are summed by (document, template, diagonal); diagonals that
+lie within GAP of the next one merge where their words, too, touch, overlap or lie within GAP, which follows
+passages with words put in or left out. A merged line counts each of the template's places once and needs
+half of SHARE of them. What remains is checked word by word in its document: the longest common
+subsequence of the template's words and of a window of the span half as long again as the template, as a
+share of the template; the best window counts.
 
 Phrases are templates too: theirs need all votes on one diagonal and all words equal.
 
@@ -18,7 +20,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -105,20 +106,43 @@ def candidate_spans(docs: DataFrame) -> DataFrame:
     hits = text_grams(docs).join(F.broadcast(template_grams(docs)), "gram")
     key = ["doc_id", "text_key", "template"]
     lines = hits.groupBy(*key, (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        F.countDistinct("at").alias("votes"), F.min("at").alias("first"), F.max("at").alias("last"), F.first("phrase").alias("phrase"), F.first("most").alias("most")
+        F.collect_set("place").alias("places"), F.min("at").alias("first"), F.max("at").alias("last"), F.first("phrase").alias("phrase"), F.first("most").alias("most")
+    )  # a diagonal has no more places than its template
+    lines = lines.filter(~F.col("phrase") | (F.size("places") >= F.col("most")))
+    # bundles of neighbouring diagonals, and in each bundle islands by first word, where a later line joins if it starts within GAP of what came before
+    across = Window.partitionBy(*key).orderBy("diagonal")
+    apart = F.col("phrase") | (F.col("diagonal") - F.lag("diagonal").over(across) > GAP)
+    lines = lines.withColumn("bundle", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(across.rowsBetween(Window.unboundedPreceding, 0)))
+    along = Window.partitionBy(*key, "bundle").orderBy("first", "diagonal")
+    reach = F.max("last").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    starts = reach.isNull() | (F.col("first") > reach + GAP)
+    lines = lines.withColumn("island", F.sum(starts.cast("int")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = lines.groupBy(*key, "bundle", "island").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"), F.first("most").alias("most")
     )
-    lines = lines.filter(~F.col("phrase") | (F.col("votes") >= F.col("most")))
-    # neighbouring diagonals: islands by first word, where a later line joins if it starts within GAP of what came before
-    w = Window.partitionBy(*key).orderBy("first", "diagonal")
-    reach = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    starts = F.col("phrase") | reach.isNull() | (F.col("first") > reach + GAP)
-    lines = lines.withColumn("island", F.sum(starts.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = lines.groupBy(*key, "island").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.sum("votes").alias("votes"), F.first("most").alias("most"))
-    merged = merged.filter(F.col("votes") >= F.col("most") * (SHARE / 2))
+    merged = merged.filter(F.size("places") >= F.col("most") * (SHARE / 2))
     span = F.struct("template", F.greatest(F.least("first", "low"), F.lit(0)).alias("first"), (F.greatest(F.col("last"), F.col("high") + F.col("most") - 1) + K - 1).alias("last"))
     return merged.groupBy("doc_id", "text_key").agg(F.collect_list(span).alias("spans"))
 
 
+def common(here: list[str], wanted: list[str]) -> int:
+    """Length of the longest common subsequence of two word lists, a row of the table at a time as the bits of one integer."""
+    places: dict[str, int] = {}
+    for i, w in enumerate(wanted):
+        places[w] = places.get(w, 0) | 1 << i
+    every = left = (1 << len(wanted)) - 1
+    for w in here:
+        hit = left & places.get(w, 0)
+        left = (left + hit | left - hit) & every
+    return len(wanted) - left.bit_count()
+
+
+def share_of(here: list[str], wanted: list[str]) -> float:
+    """The share of ``wanted`` that the best window of ``here`` holds in order."""
+    wide, step = len(wanted) * 3 // 2, max(1, len(wanted) // 2)
+    return max(common(here[at : at + wide], wanted) for at in range(0, max(1, len(here) - wide + step), step)) / len(wanted)
+
+
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row per document: words, checked spans of phrases and templates, labels and score."""
     docs = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
@@ -141,8 +165,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
                     base_labels.add(label)
                     score = 1.0
                 continue
-            same = sum(m.size for m in SequenceMatcher(None, here, wanted, autojunk=False).get_matching_blocks())
-            share = same / len(wanted)
+            share = share_of(here, wanted)
             score = max(score, share)
             if share >= SHARE:
                 labels.add(label)

@@ -1,11 +1,13 @@
 """Plain single-process versions of the contracts, written apart from the operators."""
 
+import functools
 import hashlib
 import math
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import regex
 
 
@@ -122,6 +124,64 @@ def licenses(text):
     return len(ws), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
 
 
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = last[j] + 1 if x == y else max(last[j + 1], row[j])
+    return row[-1]
+
+
+def license_labels(text, templates, share=0.75):
+    """Labels of templates of which some window of half as many words again holds so large a share in order."""
+    ws, out = words(text), set()
+    for label, wanted in templates:
+        wide, step = len(wanted) * 3 // 2, max(1, len(wanted) // 4)
+        for at in range(0, max(1, len(ws) - wide + step), step):
+            here = ws[at : at + wide]
+            if sum((Counter(here) & Counter(wanted)).values()) >= share * len(wanted) and lcs(here, wanted) >= share * len(wanted):
+                out.add(label)
+    return out
+
+
+@functools.cache
+def window_levels(text, f):
+    """Entropy level of every window of the padded text, each counted anew."""
+    raw = text.encode() + bytes(f.PAD)
+    out = []
+    for i in range(len(raw) - f.W + 1):
+        counts = Counter(raw[i : i + f.W]).values()
+        total = sum(int(f._GAIN[:c].sum()) for c in counts)  # the operator's own fixed-point terms, so that ties fall alike
+        out.append(min(max(round((6.0 - total / (f.W << 20)) * f.STEP), 0), f.LEVELS - 1))
+    return raw, out
+
+
+def entropy_ranks(texts, f):
+    n = Counter(x for t in texts for x in window_levels(t, f)[1])
+    ranks = {level: i for i, level in enumerate(sorted(range(f.LEVELS), key=lambda x: (n[x], x)))}
+    return ranks | {level: f.LEVELS for level in range(f.STEP)}
+
+
+def fingerprint(text, ranks, f):
+    raw, level = window_levels(text, f)
+    votes = Counter()
+    for at in range(len(level) - f.W + 1):
+        votes[min(range(at, at + f.W), key=lambda i: (ranks[level[i]], i))] += 1
+    chosen = sorted(i for i, n in votes.items() if n >= f.VOTES) or [min(votes, key=lambda i: (-votes[i], i))]
+    out = b""
+    for a in range(0, len(chosen), f.FULL):
+        bits = [0] * f.BITS
+        for i in chosen[a : a + f.FULL]:
+            h = np.zeros(1, np.uint64)
+            for k in range(0, f.W, 8):
+                h = f.mix(h ^ (np.frombuffer(raw[i + k : i + k + 8], np.uint64) + np.uint64(k // 8 + 1)))
+            for k in range(f.HASHES):
+                bits[int(h[0]) >> 11 * k & f.BITS - 1] = 1
+        out += np.packbits(bits).tobytes()
+    return ((len(chosen) - 1) % f.FULL + 1).to_bytes(2, "big") + out
+
+
 def bag(text):
     ws = words(text)
     out = {}
