@@ -94,10 +94,10 @@ def edges_cross(a: Column, b: Column) -> Column:
 
 
 def polygons_intersect(one: Column, two: Column) -> Column:
-    """Whether two edge arrays' polygons share a point: an edge meets another, or one lies inside the other."""
+    """Whether two edge arrays' polygons share a point: an edge meets another, or a ring of one lies inside the other."""
     meet = F.exists(one, lambda a: F.exists(two, lambda b: edges_meet(a, b)))
-    corner = lambda es: F.element_at(es, 1)
-    return meet | covers(one, corner(two)["x1"], corner(two)["y1"]) | covers(two, corner(one)["x1"], corner(one)["y1"])
+    holds = lambda es, of: F.exists(of, lambda e: in_fill(es, e["x1"], e["y1"]))
+    return meet | holds(one, two) | holds(two, one)
 
 
 def interiors_overlap(one: Column, two: Column) -> Column:
@@ -125,10 +125,23 @@ def ring_area(r: Column) -> Column:
     return _sum(F.transform(ring_edges(r), lambda e: (e["x1"] * e["y2"] - e["x2"] * e["y1"]) / 2))
 
 
+def _signs(rings: Column) -> Column:
+    """1 for each ring at an even depth, -1 for holes: how many other rings hold a corner of it that is not on them."""
+
+    def depth(r: Column, i: Column) -> Column:
+        def holds(other: Column, j: Column) -> Column:
+            es = ring_edges(other)
+            free = F.filter(r, lambda p: ~on_edge(es, p["x"], p["y"]))
+            return F.exists(F.slice(free, 1, 1), lambda p: (i != j) & in_fill(es, p["x"], p["y"]))
+
+        return F.size(F.filter(rings, holds))
+
+    return F.when(F.size(rings) == 1, F.array(F.lit(1))).otherwise(F.transform(rings, lambda r, i: F.when(depth(r, i) % 2 == 0, 1).otherwise(-1)))
+
+
 def area(rings: Column) -> Column:
-    """The first ring less the others: one part with holes."""
-    sizes = F.transform(rings, lambda r: F.abs(ring_area(r)))
-    return 2 * F.element_at(sizes, 1) - _sum(sizes)
+    """Of all parts, less their holes."""
+    return _sum(F.zip_with(rings, _signs(rings), lambda r, sign: sign * F.abs(ring_area(r))))
 
 
 def perimeter(rings: Column) -> Column:
@@ -136,15 +149,21 @@ def perimeter(rings: Column) -> Column:
 
 
 def centroid(rings: Column) -> dict[str, Column]:
-    """Area centroid of the first ring, taken about its first corner, which keeps large coordinates exact."""
-    r = F.element_at(rings, 1)
-    x0, y0 = F.element_at(r, 1)["x"], F.element_at(r, 1)["y"]
-    near = F.transform(r, lambda p: F.struct((p["x"] - x0).alias("x"), (p["y"] - y0).alias("y")))
-    es = ring_edges(near)
+    """Area centroid of all parts less their holes, taken about the first corner, which keeps large coordinates exact."""
+    first = F.element_at(F.element_at(rings, 1), 1)
+    x0, y0 = first["x"], first["y"]
     w = lambda e: e["x1"] * e["y2"] - e["x2"] * e["y1"]
-    total = _sum(F.transform(es, w))
-    cx, cy = _sum(F.transform(es, lambda e: w(e) * (e["x1"] + e["x2"]))), _sum(F.transform(es, lambda e: w(e) * (e["y1"] + e["y2"])))
-    return {"cx": x0 + F.try_divide(cx, 3 * total), "cy": y0 + F.try_divide(cy, 3 * total)}
+
+    def moments(r: Column, sign: Column) -> Column:
+        es = ring_edges(F.transform(r, lambda p: F.struct((p["x"] - x0).alias("x"), (p["y"] - y0).alias("y"))))
+        total = _sum(F.transform(es, w))
+        way = sign * F.signum(total)
+        sums = (total, _sum(F.transform(es, lambda e: w(e) * (e["x1"] + e["x2"]))), _sum(F.transform(es, lambda e: w(e) * (e["y1"] + e["y2"]))))
+        return F.struct(*[(way * v).alias(k) for k, v in zip("axy", sums, strict=True)])
+
+    each = F.zip_with(rings, _signs(rings), moments)
+    total, sum_x, sum_y = (_sum(each[k]) for k in "axy")
+    return {"cx": x0 + F.try_divide(sum_x, 3 * total), "cy": y0 + F.try_divide(sum_y, 3 * total)}
 
 
 def interior_point(rings: Column) -> Column:

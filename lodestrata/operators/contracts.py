@@ -98,3 +98,12 @@ def counts_with_total(df: DataFrame, column: Column, domain: tuple[str, ...]) ->
 def tri_state_counts(df: DataFrame, value: str) -> DataFrame:
     """Computed, zero among these, and not computed."""
     return df.agg(F.count(value).alias("computed"), F.count_if(F.col(value) == 0).alias("zero"), F.count_if(F.col(value).isNull()).alias("not_computed"))
+
+
+def numbered(ordered: DataFrame, name: str) -> DataFrame:
+    """``ordered`` (an orderBy result) with a long column of places from 0, by partition counts: no window over all rows."""
+    at = F.monotonically_increasing_id()
+    rows = ordered.withColumn("_at", at).withColumn("_part", F.shiftright("_at", 33))
+    counts = rows.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.alias("b").join(counts.alias("a"), F.col("a._part") < F.col("b._part"), "left").groupBy("b._part").agg(F.coalesce(F.sum("a._n"), F.lit(0)).alias("_before"))  # a row for each partition
+    return rows.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at") - F.shiftleft("_part", 33)).drop("_at", "_part", "_before")

@@ -22,13 +22,21 @@ def pixel_centre(tile: Column, row: Column, col: Column) -> dict[str, Column]:
 
 
 def build_assignment(polygons: DataFrame, id_col: str, x0: float, y0: float, dx: float, dy: float, nx: int, ny: int, strict: bool = True) -> DataFrame:
-    """(id, ix, iy, x, y): grid points of a rectilinear grid inside each polygon. Points are made from each polygon's own box, so the whole grid is never listed."""
+    """(id, ix, iy, x, y): grid points of a rectilinear grid inside each polygon. Points are made from each polygon's own box, so the whole grid is never listed.
+
+    A polygon's grid rows are listed first, each with the few edges that reach its height, and dealt out;
+    a large polygon is so spread over tasks, and points are tested against their row's edges alone.
+    """
     b = G.bounds(F.col("rings"))
     lo = lambda v, o, d: F.greatest(F.ceil((v - o) / d), F.lit(0).cast("long"))
     hi = lambda v, o, d, n: F.least(F.floor((v - o) / d), F.lit(n - 1).cast("long"))
     p = polygons.select(id_col, G.edges(F.col("rings")).alias("_e"), lo(b["minx"], x0, dx).alias("x1"), hi(b["maxx"], x0, dx, nx).alias("x2"), lo(b["miny"], y0, dy).alias("y1"), hi(b["maxy"], y0, dy, ny).alias("y2"))
-    p = p.filter("x1 <= x2 and y1 <= y2").withColumn("iy", F.explode(F.sequence("y1", "y2"))).withColumn("ix", F.explode(F.sequence("x1", "x2")))
-    p = p.withColumns({"x": x0 + F.col("ix") * dx, "y": y0 + F.col("iy") * dy})
+    p = p.filter("x1 <= x2 and y1 <= y2").withColumn("iy", F.explode(F.sequence("y1", "y2"))).withColumn("y", y0 + F.col("iy") * dy)
+    at = F.col("y")
+    p = p.withColumn("_e", F.filter("_e", lambda e: at.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))))
+    reach = lambda f, g: f(F.transform("_e", lambda e: g(e["x1"], e["x2"])))
+    p = p.withColumns({"x1": F.greatest("x1", F.ceil((reach(F.array_min, F.least) - x0) / dx)), "x2": F.least("x2", F.floor((reach(F.array_max, F.greatest) - x0) / dx))}).filter("x1 <= x2")
+    p = p.repartition(id_col, "iy").withColumn("ix", F.explode(F.sequence("x1", "x2"))).withColumn("x", x0 + F.col("ix") * dx)
     test = G.contains if strict else G.covers
     return p.filter(test(F.col("_e"), F.col("x"), F.col("y"))).select(id_col, "ix", "iy", "x", "y")
 

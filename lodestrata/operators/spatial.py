@@ -48,31 +48,34 @@ def count_intersecting(points: DataFrame, polygons: DataFrame, id_col: str, cell
 
 
 def within_distance(points: DataFrame, polygons: DataFrame, id_col: str, metres: float, cell: float) -> DataFrame:
-    """Columns of points, polygon id and exact distance, for all polygons no farther than ``metres``."""
+    """Columns of points, polygon id and exact distance (0 inside and on the boundary), for all polygons no farther than ``metres``."""
     near = points_by_cell(points, cell).join(polygons_by_cell(polygons, id_col, cell, metres), ["_gx", "_gy"])
     x, y = F.col("x"), F.col("y")
-    near = near.filter(x.between(F.col("_minx") - metres, F.col("_maxx") + metres) & y.between(F.col("_miny") - metres, F.col("_maxy") + metres))
-    distance = F.when(G.covers(F.col("_edges"), x, y), 0.0).otherwise(G.distance_to_edges(F.col("_edges"), x, y))
-    return near.withColumn("distance_m", distance).filter(F.col("distance_m") <= metres).select(*points.columns, id_col, "distance_m")
+    off = lambda v, lo, hi: F.greatest(F.col(lo) - v, v - F.col(hi), F.lit(0.0))
+    of_box = F.hypot(off(x, "_minx", "_maxx"), off(y, "_miny", "_maxy"))
+    distance = F.when((of_box == 0) & G.covers(F.col("_edges"), x, y), 0.0).otherwise(G.distance_to_edges(F.col("_edges"), x, y))
+    return near.filter(of_box <= metres).withColumn("distance_m", distance).filter(F.col("distance_m") <= metres).select(*points.columns, id_col, "distance_m")
 
 
 def crosswalk(points: DataFrame, polygons: DataFrame, id_col: str, cell: float, metres: float = MATCH_METRES) -> DataFrame:
     """Rows (site_id, footprint, stage, distance, confidence, ambiguity_n, shared_by_n) of points (site_id, x, y) with distinct ids.
 
     Containment first; points in no polygon get all polygons within ``metres``; the rest one unmatched row.
-    confidence: high inside, medium near one polygon, low near several, none.
+    confidence: high inside, medium near one polygon, low near several, none. One grid join serves both
+    stages: what lies at distance 0 contains the point. Its rows are shuffled by site_id once, for the
+    window that settles a site's stage (of the few polygons about one point), and joined there.
     """
     points = points.select("site_id", "x", "y")
-    inside = points_in_polygons(points, polygons, id_col, cell).select("site_id", id_col, F.lit("containment").alias("stage"), F.lit(0.0).alias("distance_m"))
-    outside = points.join(inside.select("site_id").distinct(), "site_id", "left_anti")
-    near = within_distance(outside, polygons, id_col, metres, cell).select("site_id", id_col, F.lit("proximity").alias("stage"), "distance_m")
-    matched = inside.unionByName(near)
-    rows = points.select("site_id").join(matched, "site_id", "left").withColumn("stage", F.coalesce("stage", F.lit("unmatched")))
-    rows = rows.withColumn("ambiguity_n", F.when(F.col("stage") == "unmatched", F.lit(0)).otherwise(F.count("*").over(Window.partitionBy("site_id"))))
+    of_site = Window.partitionBy("site_id")
+    found = within_distance(points, polygons, id_col, metres, cell).select("site_id", id_col, "distance_m")
+    inside = F.min("distance_m").over(of_site) == 0
+    matched = found.withColumn("_inside", inside).filter(~F.col("_inside") | (F.col("distance_m") == 0))
+    matched = matched.withColumn("ambiguity_n", F.count("*").over(of_site)).withColumn("stage", F.when(F.col("_inside"), "containment").otherwise("proximity")).drop("_inside")
+    rows = points.select("site_id").join(matched, "site_id", "left").withColumns({"stage": F.coalesce("stage", F.lit("unmatched")), "ambiguity_n": F.coalesce("ambiguity_n", F.lit(0))})
     confidence = F.when(F.col("stage") == "containment", "high").when(F.col("stage") == "unmatched", "none").when(F.col("ambiguity_n") == 1, "medium").otherwise("low")
     rows = rows.withColumn("confidence", confidence)
     # sites per polygon, aggregated before the join so that one polygon's sites never meet in a window
-    shared = matched.groupBy(id_col).agg(F.count_distinct("site_id").alias("shared_by_n"))
+    shared = matched.groupBy(id_col).agg(F.count("*").alias("shared_by_n"))
     return rows.join(shared, id_col, "left").select("site_id", id_col, "stage", "distance_m", "confidence", "ambiguity_n", F.coalesce("shared_by_n", F.lit(1)).cast("long").alias("shared_by_n"))
 
 

@@ -33,13 +33,16 @@ def subsample_errors(values: DataFrame, keys: list[str], member: Column, value:
     """(keys, support_px, replicate, reduced, full, abs_error): the mean over the first n members against the mean over all.
 
     One ranking a replicate serves all sizes: running means along it are picked at rank n. Groups with fewer members lack that size.
+    Means over all are taken once, before rows are repeated by replicate; of these only a code and the value are carried, and the
+    ranking is cut at the largest size where the rows are.
     """
-    rows = values.filter(F.col(value).isNotNull()).withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    ranked = hash_rank(rows, [*keys, "replicate"], seed, F.col("replicate"), member)
-    group = Window.partitionBy(*keys, "replicate")
-    running = group.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    means = ranked.select(*keys, "replicate", "rank", F.avg(value).over(running).alias("reduced"), F.avg(value).over(group).alias("full"))
-    picked = means.filter(F.col("rank").isin(*supports))
+    rows = values.filter(F.col(value).isNotNull()).select(*keys, member.alias("_member"), F.col(value).alias("_v"))
+    whole = rows.groupBy(*keys).agg(F.avg("_v").alias("full"))
+    each = rows.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    ranked = hash_rank(each, [*keys, "replicate"], seed, F.col("replicate"), F.col("_member")).filter(F.col("rank") <= max(supports))
+    running = Window.partitionBy(*keys, "replicate").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    means = ranked.select(*keys, "replicate", "rank", F.avg("_v").over(running).alias("reduced"))
+    picked = means.filter(F.col("rank").isin(*supports)).join(whole, keys)
     return picked.select(*keys, F.col("rank").alias("support_px"), "replicate", "reduced", "full", F.abs(F.col("reduced") - F.col("full")).alias("abs_error"))
 
 

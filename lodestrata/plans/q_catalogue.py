@@ -88,12 +88,12 @@ _RANGE_SQL = "ranges AS (SELECT * FROM (VALUES " + ", ".join(f"('{s}', {a}, {b})
 
 @query(
     "j08_touched_tile_years",
-    f"""{with_views("sites", "catalogue")}, {_ITEMS}, {_RANGE_SQL}, t AS (SELECT DISTINCT source_id, tx, ty, item_year, minx, miny, maxx, maxy FROM items), w AS (SELECT DISTINCT x, y FROM sites WHERE x IS NOT NULL AND row_no % 500 = 0),
+    f"""{with_views("sites", "catalogue")}, {_ITEMS}, {_RANGE_SQL}, t AS (SELECT DISTINCT source_id, tx, ty, item_year, minx, miny, maxx, maxy FROM items), w AS (SELECT DISTINCT x, y FROM sites WHERE x IS NOT NULL),
 h AS (SELECT * FROM t WHERE EXISTS (SELECT 1 FROM w WHERE x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy)) SELECT source_id, count(*) FILTER (item_year BETWEEN first_year AND last_year) AS tile_years, count(*) FILTER (item_year NOT BETWEEN first_year AND last_year) AS outside_range FROM h JOIN ranges USING (source_id) GROUP BY 1""",
 )
 def touched_tile_years(spark, sf):
     ranges = spark.createDataFrame([(s, a, b) for s, (a, b) in _RANGES.items()], "source_id string, first_year int, last_year int")
-    return K.touched_tile_years(view(spark, sf, "sites").filter("row_no % 500 = 0"), items(spark, sf), ranges)
+    return K.touched_tile_years(view(spark, sf, "sites"), items(spark, sf), ranges)
 
 
 @query("j27_selected_items", f"{with_views('catalogue')} SELECT source_id, tx, ty, item_year, min(item_no) AS item_no, count(*) AS n_items FROM catalogue WHERE tx % 2 = 0 GROUP BY 1, 2, 3, 4")

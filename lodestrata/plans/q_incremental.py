@@ -13,8 +13,11 @@ from .registry import query
 
 
 def shared_folder(spark) -> str:
-    """A new folder under the one that the cluster shares; a temporary one where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-")
+    """A new folder under the one that the cluster shares; a temporary one in a local session only."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    named = named or tempfile.mkdtemp(prefix="spark-stream-")
     return f"{named.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
@@ -31,10 +34,11 @@ def _is_folder(spark, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
-@query("x1_stream_item_index", f"{with_views('catalogue')} SELECT DISTINCT source_id, item_no % 1000 AS item_id FROM catalogue")
+@query("x1_stream_item_index", f"{with_views('catalogue')} SELECT DISTINCT source_id, item_no AS item_id FROM catalogue")
 def stream_item_index(spark, sf):
     root = shared_folder(spark)
-    items = _orders(spark, sf).select(F.col("collection_id").alias("source_id"), (F.col("item_no") % 1000).alias("item_id"))
+    items = _orders(spark, sf).select(F.col("collection_id").alias("source_id"), F.col("item_no").alias("item_id"))
+    items = items.unionByName(items)  # every item comes twice
     return I.stream_item_index(items, ["source_id", "item_id"], f"{root}/index", f"{root}/checkpoint")
 
 

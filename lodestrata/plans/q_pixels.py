@@ -50,22 +50,22 @@ def zonal_stats(spark, sf):
     return z.select("tile", F.round("mean", 6).alias("mean"), F.round("sum", 6).alias("sum"), "min", "max", "n")
 
 
-@query("s05_member_values", f"{_V} SELECT m.tile, m.prow, m.pcol, v.yr, v.bare FROM (SELECT DISTINCT tile, prow, pcol FROM v WHERE prow < 5) m LEFT JOIN v ON m.tile = v.tile AND m.prow = v.prow AND m.pcol = v.pcol")
+@query("s05_member_values", f"{_V} SELECT m.tile, m.prow, m.pcol, v.yr, v.bare FROM (SELECT DISTINCT tile, prow, pcol FROM v UNION SELECT DISTINCT tile, prow, pcol + 100 FROM v) m LEFT JOIN v ON m.tile = v.tile AND m.prow = v.prow AND m.pcol = v.pcol")
 def member_values(spark, sf):
     v = values(spark, sf)
-    members = v.filter("prow < 5").select("tile", "prow", "pcol").distinct()
+    there = v.select("tile", "prow", "pcol").distinct()
+    members = there.unionByName(there.withColumn("pcol", F.col("pcol") + 100))  # and some that have no pixel
     return P.read_member_values(v, members, ["tile", "prow", "pcol"]).select("tile", "prow", "pcol", "yr", "bare")
 
 
-_MEMBERS = f"""{with_views("footprints")}, f AS (SELECT *, CAST(ceil((cx - hx - 15) / 30) AS BIGINT) AS x1, CAST(floor((cx + hx - 15) / 30) AS BIGINT) AS x2, CAST(ceil((cy - hy - 15) / 30) AS BIGINT) AS y1, CAST(floor((cy + hy - 15) / 30) AS BIGINT) AS y2 FROM footprints WHERE part_no % 20 = 0),
+_MEMBERS = f"""{with_views("footprints")}, f AS (SELECT *, CAST(ceil((cx - hx - 15) / 30) AS BIGINT) AS x1, CAST(floor((cx + hx - 15) / 30) AS BIGINT) AS x2, CAST(ceil((cy - hy - 15) / 30) AS BIGINT) AS y1, CAST(floor((cy + hy - 15) / 30) AS BIGINT) AS y2 FROM footprints),
 p AS (SELECT * FROM (SELECT f.*, unnest(range(x1, x2 + 1)) AS gx FROM f)), q AS (SELECT p.*, unnest(range(y1, y2 + 1)) AS gy FROM p), c AS (SELECT *, gx * 30 + 15.0 AS x, gy * 30 + 15.0 AS y FROM q),
 m AS (SELECT footprint_id, CAST(floor(gx / 40.0) AS BIGINT) AS tile_x, CAST(floor(gy / 40.0) AS BIGINT) AS tile_y, 39 - (gy - 40 * CAST(floor(gy / 40.0) AS BIGINT)) AS prow, gx - 40 * CAST(floor(gx / 40.0) AS BIGINT) AS pcol FROM c WHERE {COVERED_SQL})"""
 
 
 @query("j11_pixel_members", f"{_MEMBERS} SELECT footprint_id, count(*) AS support_px, sha256(string_agg(concat(tile_x, ',', tile_y, ',', prow, ',', pcol), ';' ORDER BY concat(tile_x, ',', tile_y, ',', prow, ',', pcol))) AS members_sha256 FROM m GROUP BY 1")
 def pixel_members(spark, sf):
-    some = footprint_polygons(spark, sf).filter("part_no % 20 = 0")
-    return P.member_digests(P.pixel_members(some, "footprint_id", 0.0, 0.0, 30.0, 40), "footprint_id")
+    return P.member_digests(P.pixel_members(footprint_polygons(spark, sf), "footprint_id", 0.0, 0.0, 30.0, 40), "footprint_id")
 
 
 @query(
@@ -91,13 +91,17 @@ def invalid_contiguity(spark, sf):
 
 @query(
     "a34_window_sample",
-    f"""{_V}, pt AS (SELECT p_partkey AS key, p_partkey % 10 AS tile, (p_partkey * 7) % 40 AS prow, (p_partkey * 13) % 40 AS pcol FROM part), x AS (SELECT * FROM v WHERE yr = 1996)
-SELECT key, count(x.tile) AS n_member, count(x.bare) AS n_valid, round(avg(x.bare), 6) AS value FROM pt LEFT JOIN x ON x.tile = pt.tile AND x.prow BETWEEN pt.prow - 1 AND pt.prow + 1 AND x.pcol BETWEEN pt.pcol - 1 AND pt.pcol + 1 GROUP BY 1""",
+    f"""{_V}, pt AS (SELECT p_partkey AS key, p_partkey % 10 AS tile, (p_partkey * 7) % 40 AS prow, (p_partkey * 13) % 40 AS pcol FROM part), x AS (SELECT * FROM v), y AS (SELECT DISTINCT yr FROM v)
+SELECT key, y.yr, count(x.tile) AS n_member, count(x.bare) AS n_valid, round(avg(x.bare), 6) AS value FROM pt CROSS JOIN y LEFT JOIN x ON x.yr = y.yr AND x.tile = pt.tile AND x.prow BETWEEN pt.prow - 1 AND pt.prow + 1 AND x.pcol BETWEEN pt.pcol - 1 AND pt.pcol + 1 GROUP BY 1, 2""",
 )
 def window_sample(spark, sf):
     k = F.col("p_partkey")
     points = spark.read.parquet(f"{sf}/part.parquet").select(k.alias("key"), (k % 10).alias("tile"), ((k * 7) % 40).alias("prow"), ((k * 13) % 40).alias("pcol"))
-    return P.window_sample(values(spark, sf).filter("yr = 1996"), points, 3, "bare").withColumn("value", F.round("value", 6))
+    v = values(spark, sf)
+    points = points.join(F.broadcast(v.select("yr").distinct()))  # the years of a range
+    by_year = lambda df: df.withColumn("tile", F.struct("tile", "yr"))
+    got = P.window_sample(by_year(v), by_year(points).withColumn("key", F.struct("key", "yr")), 3, "bare")
+    return got.select("key.key", "key.yr", "n_member", "n_valid", F.round("value", 6).alias("value"))
 
 
 _BREAK = f"""{_V}, b AS (SELECT tile, site, yr, count(*) AS n_member, count(*) FILTER (NOT ok) AS n_invalid, count(*) FILTER (NOT ok) * 1.0 / count(*) AS invalid_share, count(*) FILTER (nir IS NULL) AS null_nir, count(*) FILTER (swir1 IS NULL) AS null_swir1, count(*) FILTER (swir2 IS NULL) AS null_swir2,

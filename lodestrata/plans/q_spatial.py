@@ -8,7 +8,7 @@ from ..functions import geometry as G
 from ..operators import contracts as C
 from ..operators import register as R
 from ..operators import spatial as X
-from .fixtures import fire_polygons, footprint_polygons, region_polygons, view, with_views
+from .fixtures import compound_polygons, fire_polygons, footprint_polygons, region_polygons, view, with_views
 from .registry import query
 
 CELL, REGION_CELL = 2500.0, 20000.0
@@ -59,6 +59,12 @@ def within_distance(spark, sf):
     return crosswalk_rows(spark, sf).filter("stage = 'proximity'").select("site_id", "footprint_id", F.round("distance_m", 6).alias("distance_m"))
 
 
+@query("t1_ordered_crosswalk", f"{CROSSWALK} SELECT row_number() OVER (ORDER BY site_id NULLS LAST, footprint_id NULLS LAST) - 1 AS place, site_id, footprint_id FROM crosswalk")
+def ordered_crosswalk(spark, sf):
+    """Places in the order, without a window over all rows: the sorted partitions' row numbers and the rows before each partition."""
+    return C.numbered(X.ordered_crosswalk(crosswalk_rows(spark, sf).select("site_id", "footprint_id"), "footprint_id"), "place")
+
+
 @query("crosswalk", f"{CROSSWALK} SELECT site_id, footprint_id, stage, round(distance_m, 6) AS distance_m, confidence, ambiguity_n, shared_by_n FROM crosswalk")
 def crosswalk(spark, sf):
     rows = crosswalk_rows(spark, sf).select("site_id", "footprint_id", "stage", F.round("distance_m", 6).alias("distance_m"), "confidence", F.col("ambiguity_n").cast("long").alias("ambiguity_n"), "shared_by_n")
@@ -124,30 +130,76 @@ def nearest_cell(spark, sf):
 
 @query(
     "j12_zonal_assignment",
-    f"{with_views('footprints')}, g AS (SELECT i.i * 250.0 AS x, j.i * 250.0 AS y FROM range(400) i(i), range(400) j(i)) SELECT x, y, footprint_id FROM g, footprints WHERE part_no % 10 = 0 AND x BETWEEN cx - hx AND cx + hx AND y BETWEEN cy - hy AND cy + hy AND {STRICT_SQL}",
+    f"{with_views('footprints')}, g AS (SELECT i.i * 250.0 AS x, j.i * 250.0 AS y FROM range(400) i(i), range(400) j(i)) SELECT x, y, footprint_id FROM g, footprints WHERE x BETWEEN cx - hx AND cx + hx AND y BETWEEN cy - hy AND cy + hy AND {STRICT_SQL}",
 )
 def zonal_assignment(spark, sf):
     from ..operators.pixels import build_assignment
 
-    some = footprint_polygons(spark, sf).filter("part_no % 10 = 0")
-    return build_assignment(some, "footprint_id", 0.0, 0.0, 250.0, 250.0, 400, 400).select("x", "y", "footprint_id")
+    return build_assignment(footprint_polygons(spark, sf), "footprint_id", 0.0, 0.0, 250.0, 250.0, 400, 400).select("x", "y", "footprint_id")
+
+
+#: The sum of two diamonds about one centre has the corners of both, added in the order of their slopes; on an axis it reaches as far as both.
+#: A point (dx, dy) lies inside if it is inside the hull's two sides: from (aw + bw, 0) along the steeper, then along the flatter one to (0, ah + bh).
+_STEEP = "CASE WHEN ah * bw >= bh * aw THEN {0} ELSE {1} END"
+_DIAMONDS = f"(dx + {_STEEP.format('aw / ah', 'bw / bh')} * dy < aw + bw) AND (dy + {_STEEP.format('bh / bw', 'ah / aw')} * dx < ah + bh)"
 
 
 @query(
     "j24_v11_region_overlaps",
-    f"{with_views('footprints')}, s AS (SELECT * FROM footprints WHERE kind = 'rect') SELECT least(a.footprint_id, b.footprint_id) AS a, greatest(a.footprint_id, b.footprint_id) AS b FROM s a JOIN s b ON a.footprint_id < b.footprint_id AND abs(a.cx - b.cx) < a.hx + b.hx AND abs(a.cy - b.cy) < a.hy + b.hy",
+    f"""{with_views("footprints")}, s AS (SELECT a.footprint_id AS a, b.footprint_id AS b, abs(a.cx - b.cx) AS dx, abs(a.cy - b.cy) AS dy, a.kind AS ka, b.kind AS kb, a.hx AS aw, a.hy AS ah, b.hx AS bw, b.hy AS bh FROM footprints a JOIN footprints b ON a.footprint_id < b.footprint_id AND abs(a.cx - b.cx) < a.hx + b.hx AND abs(a.cy - b.cy) < a.hy + b.hy)
+ SELECT a, b FROM s WHERE CASE WHEN ka = 'rect' AND kb = 'rect' THEN true WHEN kb = 'rect' THEN greatest(dx - bw, 0) * ah + greatest(dy - bh, 0) * aw < aw * ah WHEN ka = 'rect' THEN greatest(dx - aw, 0) * bh + greatest(dy - ah, 0) * bw < bw * bh
+ ELSE {_DIAMONDS} END""",
 )
 def region_overlaps(spark, sf):
-    return X.overlapping_pairs(footprint_polygons(spark, sf).filter("kind = 'rect'"), "footprint_id", CELL)
+    return X.overlapping_pairs(footprint_polygons(spark, sf), "footprint_id", CELL)
 
 
 @query(
     "j25_clipped",
-    f"{with_views('footprints')}, c AS (SELECT footprint_id, greatest(cx - hx, 20000) AS x1, least(cx + hx, 70000) AS x2, greatest(cy - hy, 30000) AS y1, least(cy + hy, 60000) AS y2 FROM footprints WHERE kind = 'rect') SELECT footprint_id, round((x2 - x1) * (y2 - y1), 6) AS area FROM c WHERE x2 > x1 AND y2 > y1",
+    f"""{with_views("footprints")}, c AS (SELECT *, greatest(cx - hx, 20000) AS x1, least(cx + hx, 70000) AS x2, greatest(cy - hy, 30000) AS y1, least(cy + hy, 60000) AS y2 FROM footprints),
+ r AS (SELECT footprint_id, (x2 - x1) * (y2 - y1) AS area FROM c WHERE kind = 'rect' AND x2 > x1 AND y2 > y1),
+ k AS (SELECT DISTINCT footprint_id, cx, cy, hx, hy, x1, x2, y1, y2, unnest([x1, x2, cx, {", ".join(f"cx {s} hx * (1 - abs({y} - cy) / hy)" for s in "+-" for y in ("y1", "y2"))}]) AS x FROM c WHERE kind = 'diamond' AND x2 > x1 AND y2 > y1),
+ h AS (SELECT *, greatest(least(cy + hy * (1 - abs(x - cx) / hx), y2) - greatest(cy - hy * (1 - abs(x - cx) / hx), y1), 0) AS high FROM k WHERE x BETWEEN x1 AND x2),
+ d AS (SELECT footprint_id, (lead(x) OVER w - x) * (high + lead(high) OVER w) / 2 AS strip FROM h WINDOW w AS (PARTITION BY footprint_id ORDER BY x))
+ SELECT footprint_id, round(area, 4) AS area FROM r UNION ALL SELECT footprint_id, round(sum(strip), 4) FROM d GROUP BY 1 HAVING sum(strip) > 1e-6""",
 )
 def clipped(spark, sf):
-    cut = footprint_polygons(spark, sf).filter("kind = 'rect'").withColumn("rings", G.clip_to_box(F.col("rings"), (20000.0, 30000.0, 70000.0, 60000.0))).filter(F.size("rings") > 0)
-    return cut.select("footprint_id", F.round(G.area(F.col("rings")), 6).alias("area"))
+    cut = footprint_polygons(spark, sf).withColumn("rings", G.clip_to_box(F.col("rings"), (20000.0, 30000.0, 70000.0, 60000.0))).filter(F.size("rings") > 0)
+    return cut.select("footprint_id", F.round(G.area(F.col("rings")), 4).alias("area"))
+
+
+_OTHER = "abs(x - cx - 2 * hx) {0} hx / 2 AND abs(y - cy - 2 * hy) {0} hy / 2"
+COMPOUND_SQL = f"CASE kind WHEN 'frame' THEN abs(x - cx) <= hx AND abs(y - cy) <= hy AND NOT (abs(x - cx) < hx / 2 AND abs(y - cy) < hy / 2) ELSE (abs(x - cx) <= hx AND abs(y - cy) <= hy) OR ({_OTHER.format('<=')}) END"
+
+
+@query(
+    "p27_a11_multipart_measures",
+    f"""{with_views("compounds")} SELECT compound_id, CASE kind WHEN 'frame' THEN 3 * hx * hy ELSE 5 * hx * hy END AS area, 6 * (hx + hy) AS perimeter, CASE kind WHEN 'frame' THEN 2 * hx ELSE 3.5 * hx END AS width_m, CASE kind WHEN 'frame' THEN 2 * hy ELSE 3.5 * hy END AS height_m,
+ round(CASE kind WHEN 'frame' THEN cx ELSE cx + 0.4 * hx END, 4) AS centre_x, round(CASE kind WHEN 'frame' THEN cy ELSE cy + 0.4 * hy END, 4) AS centre_y FROM compounds""",
+)
+def multipart_measures(spark, sf):
+    rings = F.col("rings")
+    box, centre = G.bounds(rings), G.centroid(rings)
+    return compound_polygons(spark, sf).select(
+        "compound_id", F.round(G.area(rings), 6).alias("area"), F.round(G.perimeter(rings), 6).alias("perimeter"), (box["maxx"] - box["minx"]).alias("width_m"), (box["maxy"] - box["miny"]).alias("height_m"),
+        F.round(centre["cx"], 4).alias("centre_x"), F.round(centre["cy"], 4).alias("centre_y"),
+    )
+
+
+@query("j02_multipart_covered_by", f"{with_views('sites', 'compounds')} SELECT row_no, compound_id FROM sites, compounds WHERE x BETWEEN cx - hx AND cx + 2.5 * hx AND y BETWEEN cy - hy AND cy + 2.5 * hy AND {COMPOUND_SQL}")
+def multipart_covered_by(spark, sf):
+    return X.points_in_polygons(view(spark, sf, "sites").select("row_no", "x", "y"), compound_polygons(spark, sf), "compound_id", CELL).select("row_no", "compound_id")
+
+
+@query(
+    "j09_multipart_fire_counts",
+    f"""{with_views("compounds", "fires")}, t AS (SELECT compound_id, kind, fire_year, half, hx, hy, abs(f.cx - p.cx) AS dx, abs(f.cy - p.cy) AS dy, abs(f.cx - p.cx - 2 * hx) AS ox, abs(f.cy - p.cy - 2 * hy) AS oy FROM compounds p, fires f
+ WHERE f.cx BETWEEN p.cx - hx - half AND p.cx + 2.5 * hx + half AND f.cy BETWEEN p.cy - hy - half AND p.cy + 2.5 * hy + half)
+SELECT compound_id, fire_year, count(*) AS n FROM t WHERE CASE kind WHEN 'frame' THEN dx <= hx + half AND dy <= hy + half AND NOT (dx + half < hx / 2 AND dy + half < hy / 2) ELSE (dx <= hx + half AND dy <= hy + half) OR (ox <= hx / 2 + half AND oy <= hy / 2 + half) END GROUP BY 1, 2""",
+)
+def multipart_fire_counts(spark, sf):
+    shapes = compound_polygons(spark, sf).select(F.col("compound_id").alias("footprint_id"), "rings")
+    return X.fire_year_counts(shapes, fire_polygons(spark, sf), CELL).withColumnRenamed("footprint_id", "compound_id")
 
 
 @query(

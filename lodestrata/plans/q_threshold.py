@@ -8,16 +8,16 @@ from ..functions import scalars as S
 from ..operators import contracts as C
 from ..operators import subsample as U
 from ..operators import threshold as T
-from .fixtures import view, with_views
+from .fixtures import planted, planted_sql, view, with_views
 from .q_pixels import _V, values
 from .q_scalars import GROUP_SQL, SHAPE_SQL
 from .q_spatial import CROSSWALK, crosswalk_rows
 from .registry import query
 
-SUPPORTS, REPLICATES, SEED = (4, 9, 16, 25), 3, "d3"
+SUPPORTS, REPLICATES, SEED = (4, 9, 16, 25, 36, 49, 64, 81), 100, "d3"
 KEYS = ["tile", "site", "yr"]
 _MEMBER = "concat(tile, ',', prow, ',', pcol)"
-_ERRORS = f"""{_V}, b AS (SELECT w.*, r.replicate, (nir - swir1) / (nir + swir1) AS v FROM w, range({REPLICATES}) r(replicate) WHERE ok AND yr IN (1994, 1995, 1996)),
+_ERRORS = f"""{_V}, b AS (SELECT w.*, r.replicate, (nir - swir1) / (nir + swir1) AS v FROM w, range({REPLICATES}) r(replicate) WHERE ok),
 k AS (SELECT *, row_number() OVER (PARTITION BY tile, site, yr, replicate ORDER BY sha256(concat('{SEED}', '|', replicate, '|', {_MEMBER}))) AS rank FROM b),
 c AS (SELECT tile, site, yr, replicate, rank, avg(v) OVER (PARTITION BY tile, site, yr, replicate ORDER BY rank ROWS UNBOUNDED PRECEDING) AS reduced, avg(v) OVER (PARTITION BY tile, site, yr, replicate) AS whole FROM k),
 errors AS (SELECT tile, site, yr, rank AS support_px, replicate, reduced, whole, abs(reduced - whole) AS abs_error FROM c WHERE rank IN {SUPPORTS})"""
@@ -28,7 +28,7 @@ def _member():
 
 
 def valid_values(spark, sf):
-    v = values(spark, sf).filter(F.col("yr").isin(1994, 1995, 1996)).filter(S.valid_index_pixel(F.col("nir"), F.col("swir1"), F.col("swir2")))
+    v = values(spark, sf).filter(S.valid_index_pixel(F.col("nir"), F.col("swir1"), F.col("swir2")))
     return v.withColumn("v", S.norm_diff(F.col("nir"), F.col("swir1")))
 
 
@@ -151,9 +151,17 @@ def eligible_sites(spark, sf):
     return eligibility(spark, sf).select("row_no", "site_id", "footprint_id", "support_px", "trajectory_status", "eligible", "threshold_px", "forced_threshold")
 
 
-@query("v02_eligibility_checks", "SELECT unnest(['unknown_status', 'eligible_without_status', 'judged_without_verdict']) AS \"check\", 0 AS n, '' AS examples")
+_BAD_VERDICTS = {
+    "unknown_status": ("row_no % 7 = 0 AND trajectory_status <> 'eligible'", "trajectory_status", "'odd'"),
+    "eligible_without_status": ("row_no % 7 = 1 AND trajectory_status <> 'eligible'", "eligible", "true"),
+    "judged_without_verdict": ("row_no % 7 = 2 AND trajectory_status IN ('eligible', 'insufficient_pixel_support')", "eligible", "NULL"),
+}
+_VERDICTS = _ELIGIBLE + ", v AS (SELECT *, CASE trajectory_status WHEN 'eligible' THEN true WHEN 'insufficient_pixel_support' THEN false END AS eligible FROM e)"
+
+
+@query("v02_eligibility_checks", f"{_VERDICTS} {planted_sql('v', _BAD_VERDICTS, 'row_no')}")
 def eligibility_checks(spark, sf):
-    return T.eligibility_checks(eligibility(spark, sf))
+    return T.eligibility_checks(planted(eligibility(spark, sf), _BAD_VERDICTS))
 
 
 @query("a36_eligibility_counts", f"{_ELIGIBLE}, d AS (SELECT unnest(['eligible', 'no_usable_footprint', 'crosswalk_not_high_confidence', 'threshold_not_computed', 'insufficient_pixel_support']) AS name), c AS (SELECT trajectory_status AS name, count(*) AS n FROM e GROUP BY 1) SELECT name, coalesce(n, 0) AS n FROM d LEFT JOIN c USING (name) UNION ALL SELECT 'total', count(*) FROM e")
@@ -181,12 +189,12 @@ def single_digest(spark, sf):
 
 @query(
     "v17_missing_metrics",
-    f"""{with_views("catalogue")}, p AS (SELECT DISTINCT concat('t', tx) AS stratum, source_id, CASE source_id WHEN 'fc' THEN 'share' ELSE 'index' END AS kind, CASE WHEN source_id = 'fc' THEN CASE item_no % 3 WHEN 0 THEN 'bare' WHEN 1 THEN 'pv' ELSE 'npv' END ELSE CASE WHEN item_no % 2 = 0 AND tx % 3 = 0 THEN 'nbr' ELSE 'ndmi' END END AS metric FROM catalogue WHERE ty < 4),
+    f"""{with_views("catalogue")}, p AS (SELECT DISTINCT concat('t', tx) AS stratum, source_id, CASE source_id WHEN 'fc' THEN 'share' ELSE 'index' END AS kind, CASE WHEN source_id = 'fc' THEN CASE item_no % 3 WHEN 0 THEN 'bare' WHEN 1 THEN 'pv' ELSE 'npv' END ELSE CASE WHEN item_no % 2 = 0 AND tx % 3 = 0 THEN 'nbr' ELSE 'ndmi' END END AS metric FROM catalogue),
 n AS (SELECT * FROM (VALUES ('share', 'bare'), ('share', 'pv'), ('share', 'npv'), ('index', 'nbr'), ('index', 'ndmi')) t(kind, metric)) SELECT DISTINCT p.stratum, p.source_id, n.metric FROM p JOIN n USING (kind) WHERE (p.stratum, p.source_id, n.metric) NOT IN (SELECT (stratum, source_id, metric) FROM p)""",
 )
 def missing_metrics(spark, sf):
     k = F.col("item_no")
     share = F.when(k % 3 == 0, "bare").when(k % 3 == 1, "pv").otherwise("npv")
     index = F.when((k % 2 == 0) & (F.col("tx") % 3 == 0), "nbr").otherwise("ndmi")
-    p = view(spark, sf, "catalogue").filter("ty < 4").select(F.concat(F.lit("t"), F.col("tx").cast("string")).alias("stratum"), "source_id", S.kind_of(F.col("source_id")).alias("kind"), F.when(F.col("source_id") == "fc", share).otherwise(index).alias("metric"))
+    p = view(spark, sf, "catalogue").select(F.concat(F.lit("t"), F.col("tx").cast("string")).alias("stratum"), "source_id", S.kind_of(F.col("source_id")).alias("kind"), F.when(F.col("source_id") == "fc", share).otherwise(index).alias("metric"))
     return T.missing_metrics(p.distinct(), S.METRICS_OF)

@@ -51,9 +51,9 @@ def fan_out(spark, sf):
     return trajectories(spark, sf).select(*COLUMNS)
 
 
-@query("w5_transition_years", f"{with_views('catalogue')}, c AS (SELECT DISTINCT concat(tx, '_', ty) AS key, source_id, item_year AS year FROM catalogue WHERE source_id <> 'fc' AND item_no % 3 = 0), s AS (SELECT key, year, list_sort(list(source_id)) AS s FROM c GROUP BY 1, 2) SELECT a.key, a.year, len(a.s) > 1 OR coalesce(a.s <> p.s, false) OR coalesce(a.s <> n.s, false) AS adjacent FROM s a LEFT JOIN s p ON a.key = p.key AND p.year = a.year - 1 LEFT JOIN s n ON a.key = n.key AND n.year = a.year + 1")
+@query("w5_transition_years", f"{with_views('catalogue')}, c AS (SELECT DISTINCT concat(tx, '_', ty) AS key, source_id, item_year AS year FROM catalogue WHERE source_id <> 'fc'), s AS (SELECT key, year, list_sort(list(source_id)) AS s FROM c GROUP BY 1, 2) SELECT a.key, a.year, len(a.s) > 1 OR coalesce(a.s <> p.s, false) OR coalesce(a.s <> n.s, false) AS adjacent FROM s a LEFT JOIN s p ON a.key = p.key AND p.year = a.year - 1 LEFT JOIN s n ON a.key = n.key AND n.year = a.year + 1")
 def transition_years(spark, sf):
-    c = view(spark, sf, "catalogue").filter("source_id <> 'fc' AND item_no % 3 = 0")
+    c = view(spark, sf, "catalogue").filter("source_id <> 'fc'")
     return T.transition_years(c.select(F.concat_ws("_", F.col("tx").cast("string"), F.col("ty").cast("string")).alias("key"), "source_id", F.col("item_year").alias("year")))
 
 
