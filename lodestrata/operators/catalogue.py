@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .contracts import keep_first
+from .contracts import duplicates, keep_first, together, violations
 
 BYTES_OF = {"uint8": 1, "int16": 2, "uint16": 2, "float32": 4, "float64": 8}
 ASSUMED_BYTES, COMPRESSION = 2, 0.6
@@ -21,10 +21,21 @@ def flatten_items(items: DataFrame) -> DataFrame:
     )
 
 
-def item_violations(flat: DataFrame) -> DataFrame:
-    from .contracts import violations
-
-    return violations(flat, {"no_box": F.col("maxy").isNull(), "no_assets": F.col("n_assets") <= 0, "no_datetime": F.col("datetime").isNull()}, F.col("item_id"))
+def item_violations(flat: DataFrame, required: dict[str, tuple[str, ...]]) -> DataFrame:
+    """(check, n, examples) of flattened items: each source must have items, each item its box, date and the source's required assets, and its id once."""
+    wanted = F.create_map(*[x for s, names in required.items() for x in (F.lit(s), F.array(*map(F.lit, names)))])
+    lacks = F.size(F.array_except(F.try_element_at(wanted, F.col("source_id")), F.split(F.coalesce("asset_identity", F.lit("")), r"\|"))) > 0
+    rules = {
+        "no_box": F.col("maxy").isNull(),
+        "no_assets": F.coalesce("n_assets", F.lit(0)) <= 0,
+        "missing_asset": lacks,
+        "no_datetime": F.col("datetime").isNull(),
+        "unreadable_datetime": F.col("datetime").isNotNull() & ~F.col("datetime").rlike("^[0-9]{4}"),
+        "unknown_source": ~F.col("source_id").isin(*required),
+    }
+    names = flat.sparkSession.createDataFrame([(s,) for s in required], "source_id string")
+    empty = names.join(flat.select("source_id").distinct(), "source_id", "left_anti").agg(F.lit("empty_source").alias("check"), F.count("*").alias("n"), F.concat_ws(",", F.min("source_id"), F.max("source_id")).alias("examples"))
+    return together(violations(flat, rules, F.col("item_id")), empty, duplicates(flat, ["source_id", "item_id"], "duplicate_id"))
 
 
 def flatten_assets(items: DataFrame) -> DataFrame:

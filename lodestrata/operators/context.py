@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from .contracts import duplicates, together, violations
 
+#: Parts of names that no column may have, for context is no cause.
+FORBIDDEN = ("caus", "attribut", "driver", "explan")
 PAYLOAD = (
     "fire_status", "fire_record_count", "fire_coverage_status", "fire_reason", "cell", "annual_rainfall_mm", "rain_days_ge_1mm", "rainfall_anomaly_mm", "climate_status", "climate_reason",
 )
@@ -110,7 +112,20 @@ def context_checks(c: DataFrame, sites: DataFrame, years: tuple[int, int]) -> Da
     }
     n_years = years[1] - years[0] + 1
     short = sites.select("site_id").distinct().join(c.groupBy("site_id").agg(F.count("*").alias("n")), "site_id", "left").agg(F.lit("years_per_site").alias("check"), F.count_if(F.coalesce("n", F.lit(0)) != n_years).alias("n"), F.lit("").alias("examples"))
-    return together(violations(c, rules, col("site_id")), short, duplicates(c, ["site_id", "year"]))
+    named = sorted(name for name in c.columns if any(part in name.lower() for part in FORBIDDEN))
+    names = c.sparkSession.createDataFrame([("forbidden_name", len(named), ",".join(named))], "check string, n long, examples string")
+    return together(violations(c, rules, col("site_id")), short, duplicates(c, ["site_id", "year"]), names)
+
+
+def status_reconciliation(joined: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
+    """(status, value, n_source, n_joined, agree): how often each status value stands in its source and in the joined rows."""
+
+    def one(status: str, source: DataFrame) -> DataFrame:
+        count = lambda df, name: df.groupBy(F.col(status).alias("value")).agg(F.count("*").alias(name))
+        both = count(source, "n_source").join(count(joined.filter("context_row_status = 'joined'"), "n_joined"), "value", "full").na.fill(0, ["n_source", "n_joined"])
+        return both.select(F.lit(status).alias("status"), "value", "n_source", "n_joined", (F.col("n_source") == F.col("n_joined")).alias("agree"))
+
+    return together(*[one(status, source) for status, source in sources.items()])
 
 
 def context_holes(trajectories: DataFrame, context: DataFrame) -> DataFrame:

@@ -69,16 +69,37 @@ RULES = {
     "wkt": r"\b(POLYGON|MULTIPOLYGON|LINESTRING|MULTILINESTRING|POINT|MULTIPOINT)\s*\(",
     "geojson": '"FeatureCollection"|"coordinates"',
 }
+# Tokens of a register's lineage, the first three as they are written, the others in any case.
+LINEAGE = r"SiteCode|ProjectCode|OwnerName|(?i:owners_at_snapshot|dmirs_001|minedex)"
+# Endings of sources and documents, which may speak of paths, and of data files (and none), whose content must be no geometry and no register.
+CODE = ("py", "md", "rst", "toml", "cfg", "ini", "yml", "yaml")
+DATA = ("csv", "tsv", "json", "txt", "bin", "")
 # File endings of bulk data, and names of evidence files.
 BULK = ("zip", "parquet", "gpkg", "tif", "tiff", "nc", "zarr", "feather", "arrow", "shp", "shx", "dbf", "prj", "cpg", "geojson", "csv", "tsv", "xlsx")
 EVIDENCE = r"^(SHA256SUMS\.txt|licence_evidence\.json|.*\.run_manifest\.json)$"
 
 
+def wkb_head(data: Column) -> Column:
+    """Whether bytes begin as a binary geometry does: byte order 0 or 1, then a type of 1 to 7 in that order."""
+    return F.hex(F.substring(data, 1, 5)).rlike("^(000000000[1-7]|010[1-7]000000)$")
+
+
 def audit_text(df: DataFrame, key: str, text: str, name: str | None = None, allowed: DataFrame | None = None) -> DataFrame:
-    """(key, rule): rules that each document breaks; never its content. ``allowed`` lists pairs to leave out."""
-    tests = {rule: F.col(text).rlike(p) for rule, p in RULES.items()}
+    """(key, rule): rules that each document breaks; never its content. ``allowed`` lists pairs to leave out.
+
+    ``text`` may be a binary column; its bytes are tested for a binary geometry's head and read as UTF-8 otherwise.
+    With file names, local paths are no finding in sources and documents, and geometry and lineage only in data files.
+    """
+    binary = isinstance(df.schema[text].dataType, BinaryType)
+    said = F.try_validate_utf8(F.col(text).cast("string")) if binary else F.col(text)
+    said = F.coalesce(said, F.decode(F.col(text), "ISO-8859-1")) if binary else said
+    tests = {rule: said.rlike(p) for rule, p in RULES.items()} | {"lineage": said.rlike(LINEAGE), "wkb": wkb_head(F.col(text).cast("binary"))}
     if name:
         file = F.regexp_extract(F.col(name), r"([^/]*)$", 1)
+        ending = F.lower(F.regexp_extract(file, r".\.([^.]*)$", 1))
+        tests["local_path"] &= ~ending.isin(*CODE)
+        for rule in ("wkt", "geojson", "lineage", "wkb"):
+            tests[rule] &= ending.isin(*DATA)
         tests |= {"bulk_extension": F.lower(file).rlike(rf"\.({'|'.join(BULK)})$"), "evidence_name": file.rlike(EVIDENCE)}
     hits = F.array_compact(F.array(*[F.when(F.coalesce(t, F.lit(False)), F.lit(r)) for r, t in tests.items()]))
     found = df.select(key, F.explode(hits).alias("rule"))

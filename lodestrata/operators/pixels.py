@@ -52,8 +52,8 @@ def pixel_members(polygons: DataFrame, id_col: str, x0: float, y0: float, step:
 
 def member_digests(members: DataFrame, id_col: str) -> DataFrame:
     """Support and a digest of the sorted members of each polygon; a polygon's members are bounded by its area."""
-    name = F.format_string("%d,%d,%d,%d", "tile_x", "tile_y", "prow", "pcol")
-    return members.groupBy(id_col).agg(F.count("*").alias("support_px"), F.sha2(F.array_join(F.array_sort(F.collect_list(name)), ";"), 256).alias("members_sha256"))
+    name = F.concat_ws(",", *[F.col(c).cast("string") for c in ("tile_x", "tile_y", "prow", "pcol")])
+    return members.groupBy(id_col).agg(F.count("*").alias("support_px"), F.sha2(F.array_join(F.sort_array(F.collect_list(name)), ";"), 256).alias("members_sha256"))
 
 
 def read_member_values(pixels: DataFrame, members: DataFrame, keys: list[str]) -> DataFrame:

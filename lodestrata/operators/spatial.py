@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from .contracts import duplicates, together, violations
 
 MATCH_METRES = 2000.0
 
@@ -149,3 +150,33 @@ def nearest_cell(points: DataFrame, cells: DataFrame, x0: float, y0: float, step
     there = F.col("_known").isNotNull()
     reason = F.when(F.col("cell_x").isNull() | F.col("cell_y").isNull(), "no_place").when(~there, "outside_grid")
     return out.select(key, F.when(there, F.col("cell_x")).alias("cell_x"), F.when(there, F.col("cell_y")).alias("cell_y"), reason.alias("reason"))
+
+
+def feature_checks(features: DataFrame, id_col: str, crs: str, expected_crs: str, required: tuple[str, ...], date_col: str | None = None, type_col: str | None = None) -> DataFrame:
+    """(check, n, examples): ids, geometry and its type of a polygon layer, its one extract date, and whether it has its CRS and columns."""
+    rules = {
+        "null_id": F.col(id_col).isNull(),
+        "unusable": G.unusable_reason(F.col("rings")).isNotNull(),
+        "not_positive": G.area(F.col("rings")) <= 0,
+    }
+    if type_col:
+        rules["not_polygonal"] = ~F.coalesce(F.col(type_col), F.lit("")).isin("Polygon", "MultiPolygon")
+    missing = sorted(set(required) - set(features.columns))
+    found = [("wrong_crs", int(crs != expected_crs), crs if crs != expected_crs else ""), ("missing_column", len(missing), ",".join(missing))]
+    out = [violations(features, rules, F.col(id_col)), duplicates(features.filter(F.col(id_col).isNotNull()), [id_col], "duplicate_id"), features.sparkSession.createDataFrame(found, "check string, n long, examples string")]
+    if date_col:  # one extract: no date more, and none fewer
+        n = F.count_distinct(date_col)
+        out.append(features.agg(F.lit("extract_dates").alias("check"), F.abs(n - 1).alias("n"), F.concat_ws(",", F.min(date_col).cast("string"), F.max(date_col).cast("string")).alias("examples")))
+    return together(*out)
+
+
+def region_checks(regions: DataFrame, required: tuple[str, ...], cell: float) -> DataFrame:
+    """(check, n, examples) of regions (region_name, rings): names there, once and as required; geometry usable; interiors apart."""
+    names = regions.sparkSession.createDataFrame([(r,) for r in required], "region_name string")
+    absent = names.join(regions.select("region_name").distinct(), "region_name", "left_anti").agg(F.lit("missing_region").alias("check"), F.count("*").alias("n"), F.concat_ws(",", F.min("region_name"), F.max("region_name")).alias("examples"))
+    reason = G.unusable_reason(F.col("rings"))
+    named = violations(regions, {"null_name": F.col("region_name").isNull(), "unusable": reason.isNotNull()}, F.col("region_name"))
+    apart = overlapping_pairs(regions.filter(F.col("region_name").isNotNull() & reason.isNull()).dropDuplicates(["region_name"]), "region_name", cell)
+    shown = F.concat_ws("|", "a", "b")
+    overlaps = apart.agg(F.lit("overlap").alias("check"), F.count("*").alias("n"), F.concat_ws(",", F.min(shown), F.max(shown)).alias("examples"))
+    return together(named, absent, duplicates(regions.filter(F.col("region_name").isNotNull()), ["region_name"], "duplicate_name"), overlaps)

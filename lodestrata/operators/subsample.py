@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def hash_rank(df: DataFrame, keys: list[str], seed: str, replicate: Column, member: Column, name: str = "rank") -> DataFrame:
     """Adds the 1-based rank of each member by the SHA-256 of seed|replicate|member: one order for all sizes, whatever the row order."""
-    code = F.sha2(F.concat_ws("|", F.lit(seed), replicate.cast("string"), member), 256)
+    code = F.unhex(F.sha2(F.concat_ws("|", F.lit(seed), replicate.cast("string"), member), 256))  # half as long as its text, in the same order
     w = Window.partitionBy(*keys).orderBy("_code", member)
     return df.withColumn("_code", code).withColumn(name, F.row_number().over(w)).drop("_code")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .contracts import duplicates, together, violations
@@ -108,3 +110,36 @@ def acceptance(t: DataFrame, sites: DataFrame, expected: DataFrame) -> DataFrame
         return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("n")) for c in one.columns])).alias("x")).select("x.*")
 
     return together(flat(inventory), flat(linked), flat(identity), trajectory_checks(t).select("check", "n"))
+
+
+def claimed_totals(t: DataFrame, claims: DataFrame, sites: DataFrame) -> DataFrame:
+    """(check, n, claimed, found): rows against what the run that wrote them claims.
+
+    claims: (collection_id, year, rows, not_computable) by partition; sites: (site_id). n is the number of partitions, totals or sites that differ.
+    """
+    per = t.groupBy("collection_id", "year").agg(F.count("*").alias("f_rows"), F.count_if(~F.col("computable")).alias("f_not"))
+    both = per.join(claims, ["collection_id", "year"], "full").na.fill(0, ["rows", "not_computable", "f_rows", "f_not"])  # a row for each partition
+    names = t.select("site_id").distinct().withColumn("_t", F.lit(True)).join(sites.select("site_id").distinct().withColumn("_s", F.lit(True)), "site_id", "full")
+    total = lambda a, b: F.struct((F.sum(a) != F.sum(b)).cast("long").alias("n"), F.sum(a).alias("claimed"), F.sum(b).alias("found"))
+    differ = lambda a, b: F.struct(F.count_if(F.col(a) != F.col(b)).alias("n"), F.lit(None).cast("long").alias("claimed"), F.lit(None).cast("long").alias("found"))
+    parts = both.agg(differ("rows", "f_rows").alias("partition_rows"), differ("not_computable", "f_not").alias("partition_not_computable"), total("rows", "f_rows").alias("total_rows"), total("not_computable", "f_not").alias("total_not_computable"))
+    seen = names.agg(F.struct(F.count_if(F.col("_t").isNull() | F.col("_s").isNull()).alias("n"), F.count("_s").alias("claimed"), F.count("_t").alias("found")).alias("sites"))
+
+    def flat(one: DataFrame) -> DataFrame:
+        return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c)["n"].alias("n"), F.col(c)["claimed"].alias("claimed"), F.col(c)["found"].alias("found")) for c in one.columns])).alias("x")).select("x.*")
+
+    return together(flat(parts), flat(seen))
+
+
+def path_checks(rows: DataFrame, keys: tuple[str, ...], path: str) -> DataFrame:
+    """Key columns of rows against the key=value folders of the files that hold them."""
+    said = [F.regexp_extract(F.col(path), f"(?:^|/){k}=([^/]*)/", 1) for k in keys]
+    lacks, differs = (reduce(Column.__or__, x) for x in ([v == "" for v in said], [(v != "") & (v != F.col(k).cast("string")) for k, v in zip(keys, said, strict=True)]))
+    return violations(rows, {"key_against_path": differs, "no_key_in_path": lacks}, F.concat_ws("/", *[F.col(k).cast("string") for k in keys]))
+
+
+def digest_bracket(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, verdict): partitions whose digest is not the same after as before a run: changed, vanished or new."""
+    both = before.withColumnRenamed("digest", "_a").join(after.withColumnRenamed("digest", "_b"), keys, "full")
+    verdict = F.when(F.col("_b").isNull(), "vanished").when(F.col("_a").isNull(), "new").when(F.col("_a") != F.col("_b"), "changed")
+    return both.select(*keys, verdict.alias("verdict")).filter(F.col("verdict").isNotNull())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import catalogue as K
 from ..operators import contracts as C
-from .fixtures import view, with_views
+from .fixtures import planted, planted_sql, view, with_views
 from .registry import query
 
 _BOX = "CAST(tx * 10000 AS DOUBLE) AS minx, CAST(ty * 10000 AS DOUBLE) AS miny, CAST(tx * 10000 + 10000 AS DOUBLE) AS maxx, CAST(ty * 10000 + 10000 AS DOUBLE) AS maxy"
@@ -56,9 +56,26 @@ def asset_disclosures(spark, sf):
     return K.asset_disclosures(K.flatten_assets(nested_items(spark, sf)))
 
 
-@query("v08_item_checks", f"{with_views('catalogue')} SELECT 'no_box' AS \"check\", 0 AS n, '' AS examples UNION ALL SELECT 'no_assets', 0, '' UNION ALL SELECT 'no_datetime', count(*) FILTER (item_year IS NULL), '' FROM catalogue")
+_BAD_ITEMS = {
+    "no_box": ("item_no % 17 = 0", "bbox", "array(1.0D)"),
+    "no_assets": ("item_no % 19 = 0", "assets", "NULL"),
+    "missing_asset": ("(item_no % 2 <> 0 AND source_id IN ('gm5', 'gm7')) OR (item_no % 19 = 0 AND source_id <> 'gm8')", "", ""),
+    "no_datetime": ("item_no % 11 = 0", "properties", "named_struct('datetime', NULL, 'region_code', properties.region_code, 'dataset_version', properties.dataset_version)"),
+    "unreadable_datetime": ("item_no % 13 = 0 AND item_no % 11 <> 0", "properties", "named_struct('datetime', 'soon', 'region_code', properties.region_code, 'dataset_version', properties.dataset_version)"),
+    "unknown_source": ("source_id = 'gm8'", "", ""),
+    "duplicate_id": ("item_no % 50 = 3", "", ""),
+}
+_ALL_ITEMS = "every AS (SELECT source_id, item_no FROM catalogue UNION ALL SELECT source_id, item_no FROM catalogue WHERE item_no % 50 = 3)"
+
+
+@query(
+    "v08_item_checks",
+    f"""{with_views("catalogue")}, {_ALL_ITEMS} {planted_sql("every", {k: v for k, v in _BAD_ITEMS.items() if k != "duplicate_id"}, "concat('i', item_no)")} UNION ALL {planted_sql("catalogue", {"duplicate_id": _BAD_ITEMS["duplicate_id"]}, "concat(source_id, '|i', item_no)")} UNION ALL SELECT 'empty_source', 1, 'gm9,gm9'""",
+)
 def item_checks(spark, sf):
-    return K.item_violations(K.flatten_items(nested_items(spark, sf)))
+    n = nested_items(spark, sf).withColumn("item_no", F.substring("id", 2, 20).cast("long"))
+    n = planted(n.unionByName(n.filter("item_no % 50 = 3")), {k: v for k, v in _BAD_ITEMS.items() if v[1]}).drop("item_no")
+    return K.item_violations(K.flatten_items(n), {"fc": ("nir",), "gm5": ("nir", "swir1"), "gm7": ("nir", "swir1"), "gm9": ("nir",)})
 
 
 _COVER = f"""{with_views("sites", "catalogue")}, {_ITEMS}, b AS (SELECT DISTINCT source_id, item_year, minx, miny, maxx, maxy FROM items),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import context as K
 from ..operators import spatial as X
-from .fixtures import fire_polygons, footprint_polygons, view, with_views
+from .fixtures import fire_polygons, footprint_polygons, planted, planted_sql, view, with_views
 from .q_spatial import CELL, CROSSWALK, crosswalk_rows
 from .registry import query
 
@@ -97,9 +97,38 @@ def context_join(spark, sf):
 _CHECKS = ["unknown_row_status", "payload_on_absent", "absent_without_reason", "joined_with_reason", "joined_without_status", "unknown_with_count", "computed_without_total", "complete_flag", "year_outside_range", "years_per_site", "duplicate_key"]
 
 
-@query("v03_context_checks", f"SELECT unnest({_CHECKS}) AS \"check\", 0 AS n, '' AS examples")
+_BAD_ROWS = {
+    "payload_on_absent": ("year = 1992", "fire_status", "'recorded'"),
+    "absent_without_reason": ("year = 1993", "no_context_row_reason", "NULL"),
+    "joined_with_reason": ("year = 1994", "no_context_row_reason", "'why'"),
+    "joined_without_status": ("year = 1995 AND NOT context_complete", "climate_status", "NULL"),
+    "unknown_with_count": ("year = 1996 AND fire_status = 'unknown'", "fire_record_count", "1"),
+    "computed_without_total": ("year = 1997 AND climate_status = 'computed'", "annual_rainfall_mm", "NULL"),
+    "complete_flag": ("year = 1998", "context_complete", "NOT context_complete"),
+    "year_outside_range": ("year = 1999", "year", "2099"),
+    "unknown_row_status": ("year = 2001", "context_row_status", "'odd'"),
+}
+_GONE, _TWICE = "year = 2000 AND site_id LIKE '%1'", "year = 2000 AND site_id LIKE '%2'"
+
+
+@query(
+    "v03_context_checks",
+    f"""{CONTEXT} {planted_sql("context", _BAD_ROWS, "site_id")} UNION ALL SELECT 'years_per_site', count(*) FILTER (site_id LIKE '%1' OR site_id LIKE '%2'), '' FROM pairs UNION ALL SELECT 'duplicate_key', count(*), concat_ws(',', min(concat(site_id, '|2000')), max(concat(site_id, '|2000'))) FROM context WHERE {_TWICE}
+UNION ALL SELECT 'forbidden_name', 1, 'fire_cause'""",
+)
 def context_checks(spark, sf):
-    return K.context_checks(context(spark, sf), pairs(spark, sf), ALL_YEARS)
+    c = context(spark, sf).filter(f"NOT ({_GONE})")
+    rows = planted(c, _BAD_ROWS).unionByName(c.filter(_TWICE)).withColumn("fire_cause", F.lit(None).cast("string"))
+    return K.context_checks(rows, pairs(spark, sf), ALL_YEARS)
+
+
+@query(
+    "v03_status_reconciliation",
+    f"""{CONTEXT}, k AS (SELECT 'fire_status' AS status, fire_status AS value, count(*) AS n_source, count(*) FILTER (site_id NOT LIKE '%1') AS n_joined FROM fire GROUP BY 1, 2 UNION ALL
+ SELECT 'climate_status', CASE WHEN climate_reason IS NULL THEN 'computed' ELSE 'not_computable' END, count(*), count(*) FILTER (site_id NOT LIKE '%1') FROM climate GROUP BY 1, 2) SELECT *, n_source = n_joined AS agree FROM k""",
+)
+def status_reconciliation(spark, sf):
+    return K.status_reconciliation(context(spark, sf).filter("site_id NOT LIKE '%1'"), {"fire_status": fire(spark, sf), "climate_status": climate(spark, sf)})
 
 
 @query("v03_join_checks", f"{CONTEXT}, x AS (SELECT count(*) AS n, concat(min(site_id), ',', max(site_id)) AS e FROM fire WHERE year = 1994) SELECT 'only_in_fire' AS \"check\", n, e AS examples FROM x UNION ALL SELECT unnest(['only_in_climate', 'footprint_disagrees', 'year_outside_range', 'duplicate_fire', 'duplicate_climate']), 0, ''")
@@ -117,9 +146,10 @@ def daily_grid_checks(spark, sf):
     return K.daily_grid_checks(view(spark, sf, "daily_rain"))
 
 
-@query("v10_grid_spacing", "SELECT count(DISTINCT l_discount) AS n_values, 0 AS n_gaps FROM lineitem")
+@query("v10_grid_spacing", "WITH v AS (SELECT DISTINCT CAST(CASE l_discount WHEN 0.05 THEN 0.2 ELSE l_discount END AS DOUBLE) AS v FROM lineitem), n AS (SELECT v, lead(v) OVER (ORDER BY v) AS w FROM v) SELECT count(*) AS n_values, count(*) FILTER (round(w - v, 6) <> 0.01) AS n_gaps FROM n")
 def grid_spacing(spark, sf):
-    return K.spacing_checks(spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_discount").cast("double").alias("v0")), "v0", 0.01)
+    v = F.col("l_discount").cast("double")  # one value is moved away, which leaves two gaps
+    return K.spacing_checks(spark.read.parquet(f"{sf}/lineitem.parquet").select(F.when(v == 0.05, 0.2).otherwise(v).alias("v0")), "v0", 0.01)
 
 
 @query("v14_context_holes", f"{with_views('catalogue')} SELECT year, CASE WHEN year >= 1996 THEN 'hole' ELSE 'absent' END AS verdict FROM (SELECT DISTINCT item_year AS year FROM catalogue) WHERE year NOT IN (1996, 1997, 1999)")

@@ -8,7 +8,7 @@ from ..functions import geometry as G
 from ..operators import contracts as C
 from ..operators import register as R
 from ..operators import spatial as X
-from .fixtures import compound_polygons, fire_polygons, footprint_polygons, region_polygons, view, with_views
+from .fixtures import compound_polygons, fire_polygons, footprint_polygons, planted, planted_sql, region_polygons, view, with_views
 from .registry import query
 
 CELL, REGION_CELL = 2500.0, 20000.0
@@ -220,10 +220,35 @@ def footprint_stats(spark, sf):
     return footprint_polygons(spark, sf).select("footprint_id", F.round(G.area(F.col("rings")), 6).alias("area_m2"), (b["maxx"] - b["minx"]).alias("width_m"), (b["maxy"] - b["miny"]).alias("height_m"))
 
 
+_BOWTIE = "array(array(named_struct('x', 0D, 'y', 0D), named_struct('x', 9D, 'y', 9D), named_struct('x', 9D, 'y', 0D), named_struct('x', 0D, 'y', 9D), named_struct('x', 0D, 'y', 0D)))"
+_BAD_FEATURES = {
+    "null_id": ("part_no % 47 = 0", "footprint_id", "NULL"),
+    "unusable": ("part_no % 41 = 0 OR part_no % 43 = 0", "rings", f"CASE WHEN part_no % 43 = 0 THEN {_BOWTIE} END"),
+    "not_positive": ("part_no % 43 = 0", "", ""),
+    "not_polygonal": ("part_no % 53 = 0", "geometry_type", "'Point'"),
+}
+
+
 @query(
     "v07_feature_checks",
-    f"""{with_views("footprints")} SELECT 'null_id' AS "check", 0 AS n, '' AS examples UNION ALL SELECT 'unusable', 0, '' UNION ALL SELECT 'not_positive', 0, ''""",
+    f"""{with_views("footprints")}, f AS (SELECT part_no, CASE WHEN part_no % 47 <> 0 THEN footprint_id END AS footprint_id FROM footprints) {planted_sql("f", _BAD_FEATURES, "footprint_id")} UNION ALL SELECT 'duplicate_id', count(*), concat_ws(',', min(footprint_id), max(footprint_id)) FROM f WHERE part_no % 20 = 9 AND part_no % 41 <> 0 AND part_no % 43 <> 0 AND part_no % 47 <> 0 AND part_no % 53 <> 0
+UNION ALL SELECT 'wrong_crs', 1, 'EPSG:4326' UNION ALL SELECT 'missing_column', 1, 'holder' UNION ALL SELECT 'extract_dates', count(DISTINCT part_no % 59 = 0) - 1, '2026-01-01,2026-02-01' FROM footprints""",
 )
 def feature_checks(spark, sf):
-    p = footprint_polygons(spark, sf)
-    return C.violations(p, {"null_id": F.col("footprint_id").isNull(), "unusable": G.unusable_reason(F.col("rings")).isNotNull(), "not_positive": G.area(F.col("rings")) <= 0}, F.col("footprint_id"))
+    p = footprint_polygons(spark, sf).withColumns({"geometry_type": F.lit("Polygon"), "extracted": F.when(F.col("part_no") % 59 == 0, "2026-02-01").otherwise("2026-01-01")})
+    bad = planted(p, {k: v for k, v in _BAD_FEATURES.items() if v[1]})
+    sound = "part_no % 41 <> 0 AND part_no % 43 <> 0 AND part_no % 47 <> 0 AND part_no % 53 <> 0"
+    return X.feature_checks(bad.unionByName(bad.filter(f"part_no % 20 = 9 AND {sound}")), "footprint_id", "EPSG:4326", "EPSG:3577", ("footprint_id", "holder"), "extracted", "geometry_type")
+
+
+@query(
+    "v11_region_checks",
+    f"""{with_views("footprints")}, s AS (SELECT a.footprint_id AS a, b.footprint_id AS b FROM footprints a JOIN footprints b ON a.footprint_id < b.footprint_id AND abs(a.cx - b.cx) < a.hx + b.hx AND abs(a.cy - b.cy) < a.hy + b.hy AND a.kind = 'rect' AND b.kind = 'rect' AND a.part_no % 37 <> 0 AND b.part_no % 37 <> 0 AND a.part_no % 41 <> 0 AND b.part_no % 41 <> 0),
+ f AS (SELECT part_no, CASE WHEN part_no % 37 <> 0 THEN footprint_id END AS footprint_id FROM footprints WHERE kind = 'rect') {planted_sql("f", {"null_name": ("part_no % 37 = 0", "", ""), "unusable": ("part_no % 41 = 0", "", "")}, "footprint_id")}
+ UNION ALL SELECT 'missing_region', 1, 'Nowhere,Nowhere' UNION ALL SELECT 'duplicate_name', count(*), concat_ws(',', min(footprint_id), max(footprint_id)) FROM f WHERE part_no % 20 = 10 AND part_no % 37 <> 0 AND part_no % 41 <> 0 UNION ALL SELECT 'overlap', count(*), concat_ws(',', min(concat(a, '|', b)), max(concat(a, '|', b))) FROM s""",
+)
+def region_checks(spark, sf):
+    p = footprint_polygons(spark, sf).filter("kind = 'rect'")  # regions of one shape; j24 has all kinds
+    bad = planted(p, {"a": ("part_no % 37 = 0", "footprint_id", "NULL"), "b": ("part_no % 41 = 0", "rings", "NULL")})
+    again = bad.filter("part_no % 20 = 10 AND part_no % 37 <> 0 AND part_no % 41 <> 0")
+    return X.region_checks(bad.unionByName(again).withColumnRenamed("footprint_id", "region_name"), ("M1", "M2", "Nowhere"), CELL)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import summary as Y
-from .fixtures import view, with_views
+from .fixtures import planted, planted_sql, view, with_views
 from .q_trajectory import TRAJ, trajectories
 from .registry import query
 
@@ -75,10 +75,22 @@ def site_summary(spark, sf):
 _CHECKS = ["null_required", "years_disagree", "fire_vocabulary", "last_fire_year", *[f"{m}_overlap_resolved" for m in METRICS]]
 
 
-@query("v04_summary_checks", f"SELECT unnest({_CHECKS}) AS \"check\", 0 AS n, '' AS examples")
+_BAD_SITES = {
+    "null_required": ("site_id LIKE 's0%'", "year_min", "NULL"),
+    "years_disagree": ("site_id LIKE 's1%'", "years_computable", "years_computable + 1"),
+    "fire_vocabulary": ("site_id LIKE 's2%' AND fire_status_latest IS NOT NULL", "fire_status_latest", "'odd'"),
+    "last_fire_year": ("site_id LIKE 's3%'", "last_recorded_fire_year", "CASE WHEN last_recorded_fire_year IS NULL THEN 1990 END"),
+}
+_OVERLAPS = {f"{m}_overlap_resolved": f"site_id LIKE 's{4 + i}%'" for i, m in enumerate(METRICS)}
+
+
+@query("v04_summary_checks", f"{TRAJ}, latest AS (SELECT DISTINCT site_id, max(year) FILTER (context_ok) OVER (PARTITION BY site_id) AS y FROM (SELECT site_id, year, year <> 1995 AS context_ok FROM traj)), s AS (SELECT site_id, CASE WHEN y IS NOT NULL THEN 'some' END AS fire_status_latest, 0 AS year_min, 0 AS years_computable, 0 AS last_recorded_fire_year FROM latest) {planted_sql('s', _BAD_SITES, 'site_id')} UNION ALL {planted_sql('s', {k: (w, '', '') for k, w in _OVERLAPS.items()}, 'site_id')}")
 def summary_checks(spark, sf):
     t = trajectories(spark, sf)
-    return Y.summary_checks(Y.site_summary(t, context(t), METRICS), METRICS)
+    s = planted(Y.site_summary(t, context(t), METRICS), _BAD_SITES)
+    for m, where in zip(METRICS, _OVERLAPS.values(), strict=True):
+        s = planted(s, {"a": (where, f"{m}_latest", "0.5"), "b": (where, f"{m}_latest_collections", "2")})
+    return Y.summary_checks(s, METRICS)
 
 
 _LAYER = f"{with_views('sites')}, m AS (SELECT DISTINCT site_id FROM sites WHERE site_id IS NOT NULL AND row_no % 2 = 0), p AS (SELECT site_id, x, y FROM sites WHERE x IS NOT NULL QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY row_no) = 1)"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import contracts as C
 from ..operators import pixels as P
 from ..operators import trajectory as T
-from .fixtures import view, with_views
+from .fixtures import planted, planted_sql, view, with_views
 from .q_pixels import _REASON, _V, values
 from .registry import query
 
@@ -86,9 +86,59 @@ def reason_counts(spark, sf):
 _RULES = ["null_in_required", "unknown_metric", "unknown_reason", "computable_without_value", "value_without_computable", "reason_with_computable", "no_reason", "share_below_one", "duplicate_key"]
 
 
-@query("v01_trajectory_checks", f"SELECT unnest({_RULES}) AS \"check\", 0 AS n, '' AS examples")
+_BAD_ROWS = {
+    "null_in_required": ("year = 1995 AND metric = 'nbr'", "footprint_id", "NULL"),
+    "unknown_metric": ("year = 1996 AND metric = 'pv'", "metric", "'odd'"),
+    "unknown_reason": ("year = 2001 AND NOT computable", "reason", "'odd'"),
+    "computable_without_value": ("year = 1997 AND metric = 'bare' AND computable", "value", "NULL"),
+    "value_without_computable": ("year = 1998 AND NOT computable", "value", "0.5"),
+    "reason_with_computable": ("year = 1999 AND computable", "reason", "'zero_valid_pixels'"),
+    "no_reason": ("year = 2000 AND NOT computable", "reason", "NULL"),
+    "share_below_one": ("year = 1997 AND metric = 'ndmi'", "shared_sites", "0"),
+}
+_TWICE = "year = 1996 AND metric = 'bare'"
+_KEY_TEXT = "concat_ws('|', site_id, year, metric, collection_id)"
+
+
+@query("v01_trajectory_checks", f"{TRAJ} {planted_sql('traj', _BAD_ROWS, 'site_id')} UNION ALL {planted_sql('traj', {'duplicate_key': (_TWICE, '', '')}, _KEY_TEXT)}")
 def trajectory_checks(spark, sf):
-    return T.trajectory_checks(trajectories(spark, sf))
+    t = trajectories(spark, sf)
+    return T.trajectory_checks(planted(t, _BAD_ROWS).unionByName(t.filter(_TWICE)))
+
+
+_CLAIMS = "SELECT collection_id, year, count(*) + CASE WHEN year = 1997 THEN 1 ELSE 0 END AS rows, count(*) FILTER (WHERE NOT computable) + CASE WHEN year = 1996 THEN 2 ELSE 0 END AS not_computable FROM {} GROUP BY 1, 2"
+
+
+@query(
+    "v05_claimed_totals",
+    f"""{TRAJ}, c AS ({_CLAIMS.format("traj")}), d AS (SELECT count(*) FILTER (year = 1997) AS a, count(*) FILTER (year = 1996) AS b FROM c), t AS (SELECT count(*) AS n, count(*) FILTER (NOT computable) AS k FROM traj)
+SELECT 'partition_rows' AS "check", a AS n, CAST(NULL AS BIGINT) AS claimed, CAST(NULL AS BIGINT) AS found FROM d UNION ALL SELECT 'partition_not_computable', b, NULL, NULL FROM d UNION ALL SELECT 'total_rows', 1, t.n + a, t.n FROM d, t UNION ALL SELECT 'total_not_computable', 1, k + 2 * b, k FROM d, t
+UNION ALL SELECT 'sites', 2, count(DISTINCT site_id), count(DISTINCT site_id) FROM traj""",
+)
+def claimed_totals(spark, sf):
+    t = trajectories(spark, sf)
+    sites = t.select("site_id").distinct()
+    wrong = F.min("site_id").alias("site_id")  # the claim has one site under another name
+    claimed = sites.join(F.broadcast(sites.agg(wrong)), "site_id", "left_anti").unionByName(sites.agg(F.concat(F.min("site_id"), F.lit("x")).alias("site_id")))
+    return T.claimed_totals(t, spark.sql(_CLAIMS.format("{t}"), t=t), claimed)
+
+
+@query("v05_paths", f"{with_views('catalogue')} SELECT 'key_against_path' AS \"check\", count(*) FILTER (item_no % 9 = 0) AS n, concat_ws(',', min(source_id || '/' || item_year) FILTER (item_no % 9 = 0), max(source_id || '/' || item_year) FILTER (item_no % 9 = 0)) AS examples FROM catalogue UNION ALL SELECT 'no_key_in_path', count(*) FILTER (item_no % 9 = 1), concat_ws(',', min(source_id || '/' || item_year) FILTER (item_no % 9 = 1), max(source_id || '/' || item_year) FILTER (item_no % 9 = 1)) FROM catalogue")
+def paths(spark, sf):
+    k = F.col("item_no") % 9
+    year = F.when(k == 0, F.col("item_year") + 1).otherwise(F.col("item_year")).cast("string")
+    path = F.concat(F.lit("s3://t/source_id="), "source_id", F.when(k == 1, "/").otherwise("/item_year="), year, F.lit("/part-0.parquet"))
+    return T.path_checks(view(spark, sf, "catalogue").withColumn("path", path), ("source_id", "item_year"), "path")
+
+
+@query("v05_bracket", f"{with_views('catalogue')} SELECT source_id, item_year, CASE WHEN item_year = 1996 THEN 'vanished' WHEN item_year = 1997 THEN 'new' ELSE 'changed' END AS verdict FROM (SELECT source_id, item_year, count(*) FILTER (item_no % 50 = 7) AS k FROM catalogue GROUP BY 1, 2) WHERE item_year IN (1996, 1997) OR k > 0")
+def bracket(spark, sf):
+    from ..sources.tables import partition_digest
+
+    c, keys = view(spark, sf, "catalogue"), ["source_id", "item_year"]
+    digest = lambda df: partition_digest(df, keys, ["item_no", "tx", "ty"])
+    after = c.withColumn("tx", F.when(F.col("item_no") % 50 == 7, F.col("tx") + 1).otherwise(F.col("tx")))
+    return T.digest_bracket(digest(c.filter("item_year <> 1997")), digest(after.filter("item_year <> 1996")), keys)
 
 
 @query(

@@ -27,5 +27,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable], Callable]:
     return put
 
 
-for _module in ("scalars", "register", "spatial", "catalogue", "pixels", "threshold", "trajectory", "context", "summary", "export", "incremental"):
+for _module in ("scalars", "register", "spatial", "catalogue", "pixels", "threshold", "trajectory", "context", "summary", "export", "incremental", "sources"):
     import_module(f".q_{_module}", __package__)

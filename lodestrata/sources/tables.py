@@ -12,30 +12,43 @@ from ..operators.contracts import Refused, column_gap
 KNOWN_CRS = ("EPSG:4326", "EPSG:7844", "EPSG:4283", "EPSG:3577")
 
 
-def scan_coded_csv(spark: SparkSession, path: str, code_cols: list[str]) -> DataFrame:
-    """CSV with a header; code columns stay text, so leading zeros survive; other columns are inferred; a byte order mark goes."""
-    text = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True).csv(path)
+def scan_coded_csv(spark: SparkSession, path: str, code_cols: list[str], types: dict[str, str] | None = None) -> DataFrame:
+    """CSV with a header; code columns stay text, so leading zeros survive; a byte order mark goes.
+
+    ``types`` declares the other columns (name -> type; values that do not parse are null), and the files are read once.
+    Without it they are inferred, which costs a pass more. Records may span lines, so a file is not split: give many files.
+    """
+    options = {"header": True, "multiLine": True, "escape": '"'}
+    text = spark.read.options(**options).csv(path)
     text = text.toDF(*[c.lstrip("﻿") for c in text.columns])
-    missing = sorted(set(code_cols) - set(text.columns))
+    missing = sorted((set(code_cols) | set(types or {})) - set(text.columns))
     if missing:
         raise Refused(f"missing columns: {missing}")
-    typed = spark.read.option("header", True).option("inferSchema", True).option("multiLine", True).csv(path)
-    kinds = {c.lstrip("﻿"): t for c, t in typed.dtypes}
-    return text.select(*[F.col(f"`{c}`") if c in code_cols else F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in text.columns])
+    if types is None:
+        types = {c.lstrip("﻿"): t for c, t in spark.read.options(**options, inferSchema=True).csv(path).dtypes}
+    return text.select(*[F.col(f"`{c}`").alias(c) if c in code_cols or c not in types else F.col(f"`{c}`").try_cast(types[c]).alias(c) for c in text.columns])
 
 
 _GEOMETRY = StructType([StructField("type", StringType()), StructField("coordinates", StringType())])
 
 
 def scan_features(spark: SparkSession, path: str, id_col: str, crs: str) -> DataFrame:
-    """id, rings and box of the polygons of GeoJSON files (one FeatureCollection each), or of a Parquet table that has them. Unknown CRS are refused."""
+    """id, rings and box of the polygons of a layer. Unknown CRS are refused.
+
+    A path that ends in .parquet is a table with rings; one in .geojsonl has a feature a line and is read in splits, the
+    form for large layers; others are GeoJSON files of one FeatureCollection each, every one read by one task.
+    """
     if crs not in KNOWN_CRS:
         raise Refused(f"unknown CRS {crs}")
     if path.endswith(".parquet"):
         rows = spark.read.parquet(path).select(F.col(id_col).cast("string").alias(id_col), F.col("rings").cast(G.RINGS).alias("rings"))
     else:
-        schema = StructType([StructField("features", ArrayType(StructType([StructField("properties", StructType([StructField(id_col, StringType())])), StructField("geometry", _GEOMETRY)])))])
-        f = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f")).select(F.col(f"f.properties.{id_col}").alias(id_col), "f.geometry.*")
+        feature = StructType([StructField("properties", StructType([StructField(id_col, StringType())])), StructField("geometry", _GEOMETRY)])
+        if path.endswith(".geojsonl"):
+            f = spark.read.schema(feature).json(path).select(F.struct("properties", "geometry").alias("f"))
+        else:
+            f = spark.read.schema(StructType([StructField("features", ArrayType(feature))])).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
+        f = f.select(F.col(f"f.properties.{id_col}").alias(id_col), "f.geometry.*")
         numbers = lambda depth: F.from_json("coordinates", "array<" * depth + "double" + ">" * depth)
         points = lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
         polygon = F.transform(numbers(3), points)
@@ -48,9 +61,9 @@ def scan_features(spark: SparkSession, path: str, id_col: str, crs: str) -> Data
 ITEM_SCHEMA = "features array<struct<id:string,bbox:array<double>,properties:struct<datetime:string,region_code:string,dataset_version:string>,assets:map<string,struct<href:string,shape:array<int>,blocks:array<int>,data_type:string>>>>"
 
 
-def scan_catalogue_pages(spark: SparkSession, pattern: str) -> DataFrame:
-    """One row per feature of all captured pages; source_id is the name of the page's folder."""
-    pages = spark.read.schema(ITEM_SCHEMA).option("multiLine", True).json(pattern)
+def scan_catalogue_pages(spark: SparkSession, pattern: str, one_line: bool = False) -> DataFrame:
+    """One row per feature of all captured pages; source_id is the name of the page's folder. With one_line a file holds a page a line and is read in splits."""
+    pages = spark.read.schema(ITEM_SCHEMA).option("multiLine", not one_line).json(pattern)
     return pages.select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1).alias("source_id"), F.explode("features").alias("f")).select("source_id", "f.*")
 
 
@@ -128,10 +141,10 @@ def scan_columns(spark: SparkSession, root: str, columns: list[str]) -> DataFram
     return spark.read.parquet(root).select(*columns)
 
 
-def verify_file_digests(spark: SparkSession, folder: str, sums: DataFrame) -> DataFrame:
-    """One row n_ok, n_bad, n_missing: recorded SHA-256 (name, sha256) against the folder's files."""
+def verify_file_digests(spark: SparkSession, folder: str, sums: DataFrame, depth: int = 1) -> DataFrame:
+    """One row n_ok, n_bad, n_missing: recorded SHA-256 (name, sha256) against the folder's files; a name is the last ``depth`` parts of a path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    got = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.sha2("content", 256).alias("got"))
+    got = files.select(F.substring_index("path", "/", -depth).alias("name"), F.sha2("content", 256).alias("got"))
     j = sums.join(got, "name", "left")
     return j.agg(F.count_if(F.col("got") == F.lower("sha256")).alias("n_ok"), F.count_if(F.col("got") != F.lower("sha256")).alias("n_bad"), F.count_if(F.col("got").isNull()).alias("n_missing"))
 

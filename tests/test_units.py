@@ -57,6 +57,32 @@ def test_cover_boundary_and_hole(spark):
     assert rows[0].a == 300
 
 
+def _box(x1, y1, x2, y2):
+    return [(x1, y1), (x2, y1), (x2, y2), (x1, y2), (x1, y1)]
+
+
+def _polygons(spark, *rings):
+    return spark.createDataFrame([(i, r) for i, r in enumerate(rings)], f"id long, rings {G.RINGS}")
+
+
+def test_several_parts_holes_and_islands(spark):
+    two = [_box(0.0, 0.0, 2.0, 2.0), _box(10.0, 0.0, 14.0, 4.0)]
+    island = [_box(4.0, 4.0, 6.0, 6.0), _box(0.0, 0.0, 10.0, 10.0), _box(2.0, 2.0, 8.0, 8.0)]  # in a hole, in any order
+    touching = [_box(0.0, 0.0, 4.0, 4.0), [(0.0, 0.0), (2.0, 0.5), (2.0, 2.0), (0.0, 0.0)]]  # the hole shares a corner
+    c = G.centroid(F.col("rings"))
+    rows = _polygons(spark, two, island, touching).select("id", G.area(F.col("rings")).alias("a"), c["cx"].alias("cx"), c["cy"].alias("cy")).orderBy("id").collect()
+    assert (rows[0].a, rows[0].cx, rows[0].cy) == (20.0, pytest.approx((4 * 1 + 16 * 12) / 20), pytest.approx((4 * 1 + 16 * 2) / 20))
+    assert (rows[1].a, rows[1].cx, rows[1].cy) == (100.0 - 36 + 4, 5.0, 5.0)
+    assert rows[2].a == 16.0 - 1.5
+
+
+def test_polygons_meet_by_any_part(spark):
+    two, hole = [_box(0.0, 0.0, 2.0, 2.0), _box(10.0, 0.0, 14.0, 4.0)], [_box(0.0, 0.0, 10.0, 10.0), _box(2.0, 2.0, 8.0, 8.0)]
+    meets = lambda a, b: _polygons(spark, a).select(G.polygons_intersect(G.edges(F.col("rings")), G.edges(F.lit(None).cast(G.RINGS) if b is None else F.array(*[F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in r]) for r in b]))).alias("m")).first().m
+    assert meets(two, [_box(11.0, 1.0, 12.0, 2.0)]) and meets([_box(9.0, -1.0, 20.0, 5.0)], two) and meets([_box(-1.0, -1.0, 3.0, 3.0)], two)
+    assert not meets(two, [_box(4.0, 0.0, 6.0, 2.0)]) and not meets(hole, [_box(3.0, 3.0, 4.0, 4.0)]) and meets(hole, [_box(1.0, 1.0, 1.5, 1.5)])
+
+
 def test_interior_point_of_a_ring_shape(spark):
     df = spark.createDataFrame([(square(0, 0, 10) + square(0, 0, 5),)], f"rings {G.RINGS}").withColumn("p", G.interior_point(F.col("rings")))
     assert df.select(G.contains(G.edges(F.col("rings")), F.col("p.x"), F.col("p.y"))).first()[0]
@@ -210,6 +236,20 @@ def test_partition_digest_ignores_order(spark):
     assert one == two and one != W.data_digest(W.partition_digest(df.filter("id > 0"), ["k"], ["id"]), ["k"]).first()
 
 
+def test_binary_geometry_and_lineage(spark):
+    from lodestrata.operators import export as E
+
+    rows = [(1, "a.bin", bytes.fromhex("0103000000") + b"x"), (2, "a.md", bytes.fromhex("0103000000")), (3, "a.json", b"OwnerName"), (4, "a.json", b"ownername"), (5, "b/a", b"see MINEDEX"), (6, "a.py", b"/home/x"), (7, "a.html", b"/home/x \xff"), (8, "x", bytes.fromhex("0108000000"))]
+    got = E.audit_text(spark.createDataFrame(rows, "k int, name string, text binary"), "k", "text", "name").collect()
+    assert sorted((r.k, r.rule) for r in got) == [(1, "wkb"), (3, "lineage"), (5, "lineage"), (7, "local_path")]
+
+
+def test_places_in_an_order(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(5)
+    rows = C.numbered(df.orderBy("v"), "place").collect()
+    assert sorted((r.place, r.v) for r in rows) == [(i, i) for i in range(1000)]
+
+
 def test_stream_refuses_strays(spark, tmp_path):
     from lodestrata.streaming.incremental import stream_trajectories
 
@@ -227,3 +267,16 @@ def test_library_does_not_need_the_subpackage():
     for f in root.rglob("*.py"):
         if "llm" not in f.parts:
             assert "llm" not in f.read_text(), f
+
+
+def test_entry_without_the_subpackage(tmp_path):
+    """A copy without the operators' folders still imports and has all other queries."""
+    import pathlib
+    import shutil
+    import subprocess
+    import sys
+
+    here = pathlib.Path(__file__).parent.parent
+    shutil.copytree(here, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 130 and not any(n.startswith('op') or n == 'pipeline' for n in q) and set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", check=True)
