@@ -12,8 +12,9 @@ all others bit by bit. ``to_rgb`` inverse-transforms with numpy, doubles chroma
 
 Null text is empty text; it and all others get zero bytes up to a positive multiple of 64, so there is
 always a picture. Equal texts have equal files, tensors and features; repeated rows are rows of their
-own; an empty table gives no rows. Other columns are ignored. Very long texts make large pictures (to
-1.4 GB, the format's limit); rows are handled one at a time beyond the batch's shared shapes.
+own; an empty table gives no rows. Other columns are ignored. A text's bytes are cut into frames of FRAME,
+a picture each, whose files stand one after the other; so the arrays of one picture, some 30 times its
+bytes, are all that a text needs beside its bytes, its file and, where they are asked for, its tensors.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from .base import arrow_rows
 #: Order in which a block's 64 coefficients are stored: along anti-diagonals of the 8 x 8 square, turning at its edges.
 ZIGZAG = np.array(sorted(range(64), key=lambda i: (i // 8 + i % 8, i // 8 if (i // 8 + i % 8) % 2 else i % 8)))
 AC, BIAS, MOST_RUN = 63, 256, 32767
+#: Bytes to a picture, a multiple of 64.
+FRAME = 1 << 20
 BLOCKS_MCU = 6
 #: Code lengths -> symbols. One bit for "next coefficient, 8 bits"; five for end-of-band runs.
 DC_TABLE = {1: [0], 4: list(range(1, 8))}
@@ -141,14 +144,15 @@ def encode(payloads: list[bytes]) -> list[bytes]:
 _MARKER = re.compile(rb"\xff[^\x00\xd0-\xd7\xff]")
 
 
-def _parsed(data: bytes) -> dict:
-    """Frame, tables and scans (with the tables then in force) of a file."""
-    if data[:2] != b"\xff\xd8":
+def _parsed(data: bytes, at: int = 0) -> dict:
+    """Frame, tables and scans (with the tables then in force) of the file that begins at ``at``, and where it ends."""
+    if data[at : at + 2] != b"\xff\xd8":
         raise ValueError("no JPEG file")
-    at, out, tables, quant = 2, {"scans": []}, {}, {}
+    at, out, tables, quant = at + 2, {"scans": []}, {}, {}
     while at < len(data):
         marker = data[at + 1]
         if marker == 0xD9:
+            at += 2
             break
         size = struct.unpack_from(">H", data, at + 2)[0]
         body = data[at + 4 : at + 2 + size]
@@ -184,7 +188,7 @@ def _parsed(data: bytes) -> dict:
             which = [(body[1 + 2 * i], body[2 + 2 * i] >> 4, body[2 + 2 * i] & 15) for i in range(n)]
             out["scans"].append((which, body[1 + 2 * n], body[2 + 2 * n], body[3 + 2 * n] >> 4, body[3 + 2 * n] & 15, data[at:end].replace(b"\xff\0", b"\xff"), dict(tables)))
             at = end
-    return out | {"quant": quant}
+    return out | {"quant": quant, "end": at}
 
 
 class _Reader:
@@ -221,10 +225,9 @@ def _slow_scan(coef: dict[int, np.ndarray], scan: tuple, grid: dict[int, tuple],
     known = {(kind, t): {v: k for k, v in codes(table).items()} for x, table in tables.items() for kind, t in [(x >> 4, x & 15)]}
     if first == 0:
         order = []
-        if len(which) == 1:
-            order = [(0, b) for b in range(grid[which[0][0]][1] * grid[which[0][0]][3])]
-            width = grid[which[0][0]]
-            order = [(0, r * width[2] + c) for r in range(width[3]) for c in range(width[1])]
+        if len(which) == 1:  # a component alone is read by rows of its own blocks
+            _, across, stride, down, _, _ = grid[which[0][0]]
+            order = [(0, r * stride + c) for r in range(down) for c in range(across)]
         else:
             for my in range(mcu[1]):
                 for mx in range(mcu[0]):
@@ -320,9 +323,9 @@ def _fixed_scan(coef: dict[int, np.ndarray], scan: tuple) -> bool:
     return True
 
 
-def decode(data: bytes, fast: bool = True) -> dict:
-    """Coefficients (zigzag order) by component, and what to_rgb needs besides."""
-    f = _parsed(data)
+def decode(data: bytes, fast: bool = True, at: int = 0) -> dict:
+    """Coefficients (zigzag order) by component of the file that begins at ``at``, and what to_rgb needs besides."""
+    f = _parsed(data, at)
     most_h, most_v = max(p[1] for p in f["parts"]), max(p[2] for p in f["parts"])
     mcu = -(-f["wide"] // (8 * most_h)), -(-f["high"] // (8 * most_v))
     grid, coef = {}, {}
@@ -361,34 +364,58 @@ def to_rgb(picture: dict) -> np.ndarray:
     return np.clip(np.rint(rgb), 0, 255).astype(np.uint8)[: picture["high"], : picture["wide"]]
 
 
-def feature(rgb: np.ndarray) -> str:
-    """Means of the channels, and shares of 4 brightness levels, in thousandths."""
-    grey = rgb[..., 1].ravel() >> 6
-    share = np.bincount(grey, minlength=4) * 1000 // grey.size
-    return ",".join(str(int(x)) for x in (*(rgb.reshape(-1, 3).mean(0) * 1000 // 255), *share))
+def pictures(data: bytes) -> Iterator[dict]:
+    """The decoded pictures of files that stand one after the other."""
+    at = 0
+    while at < len(data):
+        picture = decode(data, at=at)
+        yield picture
+        at = picture["end"]
+
+
+def tally(rgb: np.ndarray) -> np.ndarray:
+    """Sums of the channels, numbers of pixels at 4 brightness levels: these add up over pictures."""
+    return np.r_[rgb.reshape(-1, 3).sum(0, dtype=np.int64), np.bincount(rgb[..., 1].ravel() >> 6, minlength=4)]
 
 
-def media_columns(docs: DataFrame) -> DataFrame:
-    """One row per document: the file, its pixels (rgb, height, width), and the payload as read back."""
+def feature(total: np.ndarray) -> str:
+    """Means of the channels, and shares of 4 brightness levels, in thousandths, from a tally."""
+    n = total[3:].sum()
+    return ",".join(str(int(x)) for x in (*(total[:3] * 1000 // (255 * n)), *(total[3:] * 1000 // n)))
+
+
+def media_columns(docs: DataFrame, tensors: bool = True) -> DataFrame:
+    """One row per document: the file, the payload as read back, the feature of its pixels and, if asked for, the pictures' tensors."""
     arrow_rows(docs.sparkSession)
+    picture = pa.struct([("height", pa.int32()), ("width", pa.int32()), ("rgb", pa.binary())])
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media", pa.binary())]
-        + [("media_sha256", pa.string()), ("height", pa.int32()), ("width", pa.int32()), ("rgb", pa.binary()), ("feature", pa.string())]
+        + [("media_sha256", pa.string()), ("feature", pa.string()), ("pictures", pa.list_(picture))]
     )
 
+    def read(doc_id: int | None, n_bytes: int, n_payload: int, media: bytes) -> tuple:
+        digest, tail, left, total, shown = hashlib.sha256(), b"", n_payload, np.zeros(7, np.int64), []
+        for one in pictures(media):
+            back = payload(one)[: min(left, FRAME)]
+            left -= len(back)
+            digest.update(back)
+            tail = (tail + back)[-64:]
+            rgb = to_rgb(one)
+            total += tally(rgb)
+            if tensors:
+                shown.append({"height": rgb.shape[0], "width": rgb.shape[1], "rgb": rgb.tobytes()})
+        return doc_id, n_bytes, n_payload - left, digest.hexdigest(), zlib.crc32(tail), media, hashlib.sha256(media).hexdigest(), feature(total), shown
+
     def rows(ids: list, texts: list[bytes]) -> pa.RecordBatch:
         wanted = [t + b"\0" * (-len(t) % 64 if t else 64) for t in texts]
-        cells = []
-        for i, text, want, media in zip(ids, texts, wanted, encode(wanted), strict=True):
-            picture = decode(media)
-            back = payload(picture)[: len(want)]
-            rgb = to_rgb(picture)
-            cells.append((i, len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), media, hashlib.sha256(media).hexdigest(), *rgb.shape[:2], rgb.tobytes(), feature(rgb)))
+        files = iter(encode([w[a : a + FRAME] for w in wanted for a in range(0, len(w), FRAME)]))
+        media = [b"".join(next(files) for _ in range(0, len(w), FRAME)) for w in wanted]
+        cells = [read(i, len(t), len(w), m) for i, t, w, m in zip(ids, texts, wanted, media, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*cells, strict=True), schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, held, size = [], [], [], 0
+            ids, held, size = [], [], 0
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids.append(i)
                 held.append(t.encode())
@@ -399,10 +426,10 @@ def media_columns(docs: DataFrame) -> DataFrame:
             if ids:
                 yield rows(ids, held)
 
-    spec = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media binary, media_sha256 string, height int, width int, rgb binary, feature string"
+    spec = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media binary, media_sha256 string, feature string, pictures array<struct<height:int,width:int,rgb:binary>>"
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, spec)
 
 
 def media_digest(docs: DataFrame) -> DataFrame:
-    m = media_columns(docs)
+    m = media_columns(docs, tensors=False)
     return m.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.octet_length("media").cast("long").alias("media_bytes"), "media_sha256", "feature")

@@ -5,6 +5,7 @@ import hashlib
 import zlib
 from collections import defaultdict
 
+import duckdb
 import pytest
 
 from lodestrata.llm import queries as Q
@@ -105,6 +106,18 @@ def test_chats(spark):
         assert (r.loss_chars, r.loss_sha256) == (len(loss), brute.sha(loss))
 
 
+@pytest.mark.parametrize("name", sorted(Q.ORACLES))
+def test_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = con.execute(Q.ORACLES[name])
+    names = [c[0] for c in want.description]
+    df = Q.QUERIES[name](spark, SF)
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(tuple(r) for r in df.select(names).collect()) == sorted(want.fetchall())
+
+
 def test_media(spark, docs):
     got = by_id(Q.op5_media_columns(spark, SF))
     assert got.keys() == docs.keys()

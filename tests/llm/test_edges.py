@@ -194,6 +194,63 @@ def test_jpeg_slow_and_fast_agree():
         assert media.to_rgb(fast).shape == (fast["high"], fast["wide"], 3)
 
 
+def test_long_text_in_frames(spark):
+    text = "".join(chr(32 + i * 7919 % 90) for i in range(3 * media.FRAME + 1000))
+    r = media.media_columns(spark.createDataFrame([(1, text, "", ""), (2, None, "", "")], SCHEMA)).orderBy("doc_id").collect()
+    want = text.encode() + bytes(-len(text) % 64)
+    assert (r[0].payload_bytes, r[0].payload_sha256) == (len(want), hashlib.sha256(want).hexdigest()) and len(r[0].pictures) == 4 and len(r[1].pictures) == 1
+    assert all(len(p.rgb) == p.height * p.width * 3 for p in r[0].pictures)
+
+
+def test_media_feature_brute_force(spark):
+    """Pixels by the plain double sum of the inverse transform, block by block, from the bit-by-bit decoder's coefficients."""
+    text = "Plain words, and a few more of them: é. " * 9
+    r = media.media_columns(spark.createDataFrame([(1, text, "", "")], SCHEMA)).first()
+    f = media.decode(r.media, fast=False)
+    scale = lambda u: np.sqrt(0.5) if u == 0 else 1.0
+    planes = {}
+    for c, (_, across, stride, down, h, _) in f["grid"].items():
+        plane = np.zeros((down * 8, stride * 8))
+        for b, zz in enumerate(f["coef"][c]):
+            block = np.zeros(64)
+            block[media.ZIGZAG] = zz
+            block = block.reshape(8, 8)
+            for y in range(8):
+                for x in range(8):
+                    total = sum(scale(u) * scale(v) * block[v, u] * np.cos((2 * x + 1) * u * np.pi / 16) * np.cos((2 * y + 1) * v * np.pi / 16) for u in range(8) for v in range(8))
+                    plane[b // stride * 8 + y, b % stride * 8 + x] = total / 4 + 128
+        planes[c] = plane if h == 2 else plane.repeat(2, 0).repeat(2, 1)
+    y, cb, cr = planes[1], planes[2] - 128, planes[3] - 128
+    rgb = np.clip(np.rint(np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], 2)), 0, 255).astype(int)
+    own = np.frombuffer(r.pictures[0].rgb, np.uint8).reshape(r.pictures[0].height, r.pictures[0].width, 3).astype(int)
+    assert np.abs(own - rgb).max() <= 1
+    assert r.feature == media.feature(media.tally(own.astype(np.uint8)))
+
+
+def test_trees_walk_as_one_row_at_a_time():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, len(quality.NAMES)))
+    y = ((x[:, 0] > 0) ^ (x[:, 3] > 0.5)).astype(float)
+    model = quality.Trees.fit(x, y)
+    for row, score in zip(x, model.score(x), strict=True):
+        margin = model.prior
+        for feature, threshold, leaf in zip(model.feature, model.threshold, model.leaf, strict=True):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > threshold[node] else 1)
+            margin += leaf[node - len(feature)]
+        assert score == pytest.approx(1 / (1 + np.exp(-margin)))
+    assert ((model.score(x) > 0.5) == (y > 0)).mean() > 0.95
+
+
+def test_training_takes_one_row_of_each_id(spark):
+    """Ids that repeat, in the table and among the labels, count once; scores don't depend on their order."""
+    rows = [(i % 40, ("good words here and there %d" if i % 2 else "xx!! yy!! %d") % (i % 40), "", "") for i in range(400)]
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] * 3, "doc_id long, quality int, toxic int")
+    one, two = (quality.train(spark.createDataFrame(r, SCHEMA), marks) for r in (rows, rows[::-1]))
+    assert (one.leaf == two.leaf).all() and (one.feature == two.feature).all()
+
+
 def test_jpeg_flat_picture():
     """A picture with only a DC coefficient is one grey level everywhere."""
     picture = media.decode(media.encode([bytes(64)])[0])
@@ -230,6 +287,51 @@ def test_pieces_brute_force():
         assert sum(model.score[model.names[i]] for i in known) + missing * model.unknown == pytest.approx(total)
 
 
+def test_piece_ids_brute_force(spark):
+    """Ids of whole texts by the plain recurrence over all ends and lengths: largest sum, of equal ones the longest last piece."""
+    path = vocabulary("piece_bpe_32k.model")
+    model = pieces.loaded(path)
+    longest = max(map(len, model.score))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("length(text) between 1 and 1200")
+    for r in pieces.encode_pieces(docs, path).join(docs.select("doc_id", "text"), "doc_id").collect():
+        text = "▁" + r.text.replace(" ", "▁")
+        best, back = [0.0], [0]
+        for end in range(1, len(text) + 1):
+            options = [(best[at] + model.score[text[at:end]], end - at) for at in range(max(0, end - longest), end) if text[at:end] in model.score]
+            if text[end - 1] not in model.score:
+                options.append((best[-1] + model.unknown, 1))
+            score, size = max(options)
+            best.append(score)
+            back.append(end - size)
+        ids, end = [], len(text)
+        while end:
+            piece = text[back[end] : end]
+            ids = ([model.ids[piece]] if piece in model.ids else [model.byte[b] for b in piece.encode()]) + ids
+            end = back[end]
+        assert r.ids == ids, r.doc_id
+
+
+def test_stages_with_hard_rows(spark):
+    """Nulls, repeated rows, clashing columns and empty tables in every stage of the pipeline; all but the last return the columns of their input."""
+    import corpus_pipeline as P
+
+    sf = "/root/testdata/sf0.001"
+    rows = [*ROWS, (9, "mail to someone@corp.example or +1 (555) 123-4567 " + "with plain words " * 20, None, None), (None, None, None, None), (None, "", None, None)]
+    df = made(spark, rows)
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, df, sf)
+        assert out.columns == df.columns and out.schema["doc_id"] == df.schema["doc_id"], name
+        kept = out.collect()
+        assert len(kept) <= len(rows) and {r.doc_id for r in kept} <= {r[0] for r in rows}
+        if name == "pii":
+            assert len(kept) == len(rows) and not any(brute.private(r.text) for r in kept if r.text) and sum(r.text is None for r in kept) == 2
+        if name == "near_dedup":
+            assert sorted(r.text or "" for r in kept) == sorted({r[1] or "" for r in rows})
+        assert stage(spark, made(spark, []), sf).collect() == []
+    packed = P.STAGES[-1][1](spark, df, sf).collect()
+    assert sum(r.piece == 0 for r in packed) == len(rows) and P.STAGES[-1][1](spark, made(spark, []), sf).collect() == []
+
+
 def test_best_fit_takes_the_fullest_bin():
     bins, offsets, fills = packing.best_fit(np.array([6, 5, 4, 3, 2]), 10)
     assert bins.tolist() == [0, 1, 0, 1, 1] and offsets.tolist() == [0, 0, 6, 5, 8] and fills.tolist() == [10, 10]
