@@ -78,7 +78,7 @@ _CODED = "length({0}) + 3 * (length({0}) - length(replace(replace(replace({0}, '
 ORACLES: dict[str, str] = {
     "op3_chat_formatting": f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM conversations
   UNION ALL SELECT -7, 0, 'user', {_SAID}, NULL UNION ALL SELECT -7, 1, 'assistant', {_SAID}, NULL),
-o AS (SELECT *, row_number() OVER w AS at, lag(role) OVER w AS last, {_CODED.format("text")} AS text_size, {_CODED.format("role")} AS role_size FROM turns WINDOW w AS (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text))
-SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY at)) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
- sha256(coalesce(string_agg(text, '' ORDER BY at) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(text_size + CASE WHEN last IS NULL THEN role_size + {len("<||>")} WHEN last = role THEN {len(chat.TURN)} ELSE {len(chat.END)} + role_size + {len("<||>")} END) + {len(chat.END)} AS BIGINT) AS formatted_chars FROM o GROUP BY conv_id, alone""",
+o AS (SELECT *, row_number() OVER w AS place, lag(role) OVER w AS last, {_CODED.format("text")} AS text_size, {_CODED.format("role")} AS role_size FROM turns WINDOW w AS (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY place)) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(text_size + CASE WHEN last IS NULL THEN role_size + {len("<||>")} WHEN last = role THEN {len(chat.TURN)} ELSE {len(chat.END)} + role_size + {len("<||>")} END) + {len(chat.END)} AS BIGINT) AS formatted_chars FROM o GROUP BY conv_id, alone""",
 }
