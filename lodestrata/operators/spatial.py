@@ -48,14 +48,22 @@ def count_intersecting(points: DataFrame, polygons: DataFrame, id_col: str, cell
     return points.select(key, "x", "y").join(counted, key, "left").select(key, F.when(placed, F.coalesce("_n", F.lit(0))).alias("n"))
 
 
-def within_distance(points: DataFrame, polygons: DataFrame, id_col: str, metres: float, cell: float) -> DataFrame:
-    """Columns of points, polygon id and exact distance (0 inside and on the boundary), for all polygons no farther than ``metres``."""
+def _in_reach(points: DataFrame, polygons: DataFrame, id_col: str, metres: float, cell: float) -> DataFrame:
+    """Columns of points, id, edges and _inside (covered or not) of all polygons whose box is no farther than ``metres``."""
     near = points_by_cell(points, cell).join(polygons_by_cell(polygons, id_col, cell, metres), ["_gx", "_gy"])
-    x, y = F.col("x"), F.col("y")
     off = lambda v, lo, hi: F.greatest(F.col(lo) - v, v - F.col(hi), F.lit(0.0))
-    of_box = F.hypot(off(x, "_minx", "_maxx"), off(y, "_miny", "_maxy"))
-    distance = F.when((of_box == 0) & G.covers(F.col("_edges"), x, y), 0.0).otherwise(G.distance_to_edges(F.col("_edges"), x, y))
-    return near.filter(of_box <= metres).withColumn("distance_m", distance).filter(F.col("distance_m") <= metres).select(*points.columns, id_col, "distance_m")
+    of_box = F.hypot(off(F.col("x"), "_minx", "_maxx"), off(F.col("y"), "_miny", "_maxy"))
+    return near.filter(of_box <= metres).select(*points.columns, id_col, "_edges", ((of_box == 0) & G.covers(F.col("_edges"), F.col("x"), F.col("y"))).alias("_inside"))
+
+
+def _with_distance(near: DataFrame, metres: float) -> DataFrame:
+    distance = F.when(F.col("_inside"), 0.0).otherwise(G.distance_to_edges(F.col("_edges"), F.col("x"), F.col("y")))
+    return near.withColumn("distance_m", distance).filter(F.col("distance_m") <= metres)
+
+
+def within_distance(points: DataFrame, polygons: DataFrame, id_col: str, metres: float, cell: float) -> DataFrame:
+    """Columns of points, polygon id and exact distance (0 inside and on the boundary), for all polygons no farther than ``metres``."""
+    return _with_distance(_in_reach(points, polygons, id_col, metres, cell), metres).select(*points.columns, id_col, "distance_m")
 
 
 def crosswalk(points: DataFrame, polygons: DataFrame, id_col: str, cell: float, metres: float = MATCH_METRES) -> DataFrame:
@@ -63,15 +71,16 @@ def crosswalk(points: DataFrame, polygons: DataFrame, id_col: str, cell: float,
 
     Containment first; points in no polygon get all polygons within ``metres``; the rest one unmatched row.
     confidence: high inside, medium near one polygon, low near several, none. One grid join serves both
-    stages: what lies at distance 0 contains the point. Its rows are shuffled by site_id once, for the
-    window that settles a site's stage (of the few polygons about one point), and joined there.
+    stages. Its pairs are shuffled by site_id without edges; a window over the few polygons about one point settles its
+    stage, and distances are taken only where no polygon holds the point.
     """
     points = points.select("site_id", "x", "y")
     of_site = Window.partitionBy("site_id")
-    found = within_distance(points, polygons, id_col, metres, cell).select("site_id", id_col, "distance_m")
-    inside = F.min("distance_m").over(of_site) == 0
-    matched = found.withColumn("_inside", inside).filter(~F.col("_inside") | (F.col("distance_m") == 0))
-    matched = matched.withColumn("ambiguity_n", F.count("*").over(of_site)).withColumn("stage", F.when(F.col("_inside"), "containment").otherwise("proximity")).drop("_inside")
+    near = _in_reach(points, polygons, id_col, metres, cell).drop("_edges")
+    near = near.withColumn("_held", F.max("_inside").over(of_site)).filter(F.col("_inside") | ~F.col("_held"))
+    shapes = polygons.filter(F.size(F.flatten("rings")) > 0).select(id_col, G.edges(F.col("rings")).alias("_edges"))
+    matched = _with_distance(near.join(shapes, id_col), metres).select("site_id", id_col, "distance_m", F.when(F.col("_inside"), "containment").otherwise("proximity").alias("stage"))
+    matched = matched.withColumn("ambiguity_n", F.count("*").over(of_site))
     rows = points.select("site_id").join(matched, "site_id", "left").withColumns({"stage": F.coalesce("stage", F.lit("unmatched")), "ambiguity_n": F.coalesce("ambiguity_n", F.lit(0))})
     confidence = F.when(F.col("stage") == "containment", "high").when(F.col("stage") == "unmatched", "none").when(F.col("ambiguity_n") == 1, "medium").otherwise("low")
     rows = rows.withColumn("confidence", confidence)
