@@ -10,13 +10,18 @@
    a pair shares no band with probability 2e-5.
 3. Candidates are checked by the exact overlap of their multisets, and links of SIMILAR or more join into
    classes. Each band has a head that hashing chooses. First every node meets the one head that it shares
-   most bands with; then, in TURNS turns with other heads, the TRIES heads of other classes that it shares
-   most bands with; then all pairs within a band whose classes still differ.
+   most bands with; then, in TURNS turns with other heads, the last time the lightest nodes, the TRIES heads
+   of other classes that it shares most bands with; then all pairs within a band whose classes still differ.
 4. Shingles that one open node alone holds are in no overlap. The others, its common ones, mark LONGS
    words of bits by their hashes; each bit that the other node lacks takes at least one from the common
    weight. What is left bounds the overlap, so nodes and pairs whose bound is below SIMILAR go unread. A
    pair that is never checked is thus in one class already or below SIMILAR, and classes are those of all
    candidates. No group is collected, and no pair is listed within a class.
+5. Bands that still hold more than CROWD nodes in the end are split by shingles, exactly: in one order of all
+   shingles, rare ones first, two nodes as like as SIMILAR have a first shingle in common, and from there on each
+   must hold what their overlap takes. A node goes to the shingles of which this can be true beside the lightest
+   node there, and shingles whose nodes are of one class go. Within a band (or shingle) the nodes of its largest
+   class meet those of the others only, so a huge class costs its size, not the square of it.
 
 Result: one row per document with its class number. Texts are nodes of their own, whatever their doc_ids.
 A node's number is the least doc_id of its text; of several texts with one such id all but the first, and
@@ -31,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import arrow_rows, cut, grams, mix, pieces, text_bytes, words
@@ -44,6 +49,8 @@ HASHED = 2**62
 TURNS, TRIES, PART = 2, 4, 250_000
 #: Words of 64 bits that mark a node's common shingles.
 LONGS = 8
+#: Bands with more open nodes are split by shingles before their pairs are listed.
+CROWD = 256
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,7 +120,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def shingle_rows(texts: DataFrame) -> DataFrame:
-    """(node, shingle): every text's shingles, each once, of rows (node, text)."""
+    """(node, shingle, n): every text's shingles, each once with its count, of rows (node, text)."""
     arrow_rows(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,10 +128,10 @@ def shingle_rows(texts: DataFrame) -> DataFrame:
             raw, offsets = text_bytes(batch.column(1))
             node = batch.column(0).to_numpy()
             for a, b in pieces(offsets):
-                of, g, _ = shingles(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                yield pa.RecordBatch.from_arrays([pa.array(node[a:b][of]), pa.array(g.view(np.int64))], ["node", "shingle"])
+                of, g, n = shingles(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                yield pa.RecordBatch.from_arrays([pa.array(node[a:b][of]), pa.array(g.view(np.int64)), pa.array(n)], ["node", "shingle", "n"])
 
-    return texts.mapInArrow(run, "node long, shingle long")
+    return texts.mapInArrow(run, "node long, shingle long, n long")
 
 
 def marked(texts: DataFrame) -> DataFrame:
@@ -221,8 +228,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return most * (1 + SIMILAR) >= SIMILAR * (F.col(f"{one}.weight") + F.col(f"{two}.weight")) - 1e-6
 
     def headed(rows: DataFrame, turn: int) -> DataFrame:
-        """Rows (band, me, head) of rows (band, me): each band has a head that hashing chooses, and another in each turn."""
-        heads = rows.groupBy("band").agg(F.min_by("me", F.xxhash64("me.node", "band", F.lit(turn))).alias("head"))
+        """Rows (band, me, head) of rows (band, me): each band has a head that hashing chooses, and another in each turn; the last is of least weight."""
+        chance = F.xxhash64("me.node", "band", F.lit(turn))
+        heads = rows.groupBy("band").agg(F.min_by("me", F.struct("me.weight", chance) if turn == TURNS else chance).alias("head"))
         return rows.join(heads, "band").filter("me.root <> head.root")
 
     def of_several(rows: DataFrame) -> DataFrame:
@@ -251,6 +259,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         best = F.slice(F.array_sort(F.collect_list(F.struct(-F.col("n"), F.xxhash64("node", "head"), F.col("head").alias("head")))), 1, tries)
         return n.groupBy("node").agg(best.alias("x")).select("node", F.explode("x.head").alias("head")).select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
 
+    def enough(left: str, one: str, two: str) -> Column:
+        """Whether ``left`` of a node's weight is an overlap that makes nodes of the weights ``one`` and ``two`` as like as SIMILAR."""
+        return F.col(left) * (1 + SIMILAR) >= SIMILAR * (F.col(one) + F.col(two)) - 1e-6
+
+    def split(rows: DataFrame) -> DataFrame:
+        """``rows`` with the bands of more than CROWD nodes replaced by shingles, and in ``me`` what a node holds from there on (left)."""
+        crowded = settled(rows.groupBy("band").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("band"))
+        rows = rows.withColumn("me", F.col("me").withField("left", F.col("me.common")))
+        if not crowded.head(1):
+            return rows
+        crowd = settled(rows.join(crowded, "band", "left_semi").groupBy("me.node").agg(F.first("me").alias("me")))
+        held = cut(shingle_rows(texts.join(crowd.select("node"), "node", "left_semi")))
+        frequent = held.groupBy("shingle").agg(F.count("*").alias("f")).filter("f > 1")
+        onwards = Window.partitionBy("node").orderBy(F.desc("f"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one text's shingles
+        held = held.join(frequent, "shingle").select("node", "shingle", F.sum("n").over(onwards).alias("left")).join(crowd, "node")
+        held = held.filter(F.col("left") >= SIMILAR * F.col("me.weight") - 1e-6)
+        held = settled(held.select(F.col("shingle").alias("band"), F.col("me").withField("left", F.col("left")).alias("me")))
+        lightest = held.groupBy("band").agg(F.min("me.weight").alias("least"))
+        held = held.join(lightest, "band").filter(enough("me.left", "me.weight", "least")).select("band", "me")
+        return rows.join(crowded, "band", "left_anti").unionByName(of_several(held))
+
+    def pairs_of(rows: DataFrame) -> DataFrame:
+        """Pairs (a, b) of nodes of one band and two classes that may link; those of a band's largest class meet the others only."""
+        sizes = rows.groupBy("band", F.col("me.root").alias("root")).agg(F.count("*").alias("n"))
+        rows = rows.join(sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("top")), "band")
+        one, two = rows.select("band", "top", F.col("me").alias("a")), rows.filter("me.root <> top").select("band", F.col("me").alias("b"))
+        met = one.join(two, "band").filter("a.root <> b.root and (a.root = top or a.node < b.node)")
+        met = met.filter(enough("a.left", "a.weight", "b.weight") & enough("b.left", "a.weight", "b.weight") & may_link("a", "b"))
+        return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+
     first = members.select("band", F.struct("node", F.col("node").alias("root")).alias("me"))
     tried = settled(chosen(headed(first, 0), 1))
     links = checked(tried)
@@ -263,10 +301,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         roots = components(links)
         placed = still_open(placed, roots)
     placed = within_reach(placed)
-    one, two = (placed.select("band", F.col("me").alias(x)) for x in "ab")
-    rest = one.join(two, "band").filter("a.node < b.node and a.root <> b.root").filter(may_link("a", "b"))
-    rest = rest.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = checked(rest)
+    more = checked(pairs_of(settled(split(placed))).join(tried, ["a", "b"], "left_anti"))
     if more.head(1):
         roots = components(links.unionByName(more))
     classed = nodes.select("text_key", "node", "least").join(roots, "node", "left").select("text_key", "node", "least", F.coalesce("root", "node").alias("class_id"))

@@ -402,3 +402,25 @@ def test_near_duplicates_where_ids_repeat_or_miss(spark):
     left = sorted(r.text for r in neardup.keep_one(alone).collect())
     assert left in (sorted([a, b, c, d]), sorted([a + " z", b, c, d]))
     assert len({r.class_id for r in neardup.classes(alone).collect()}) == 4
+
+
+def test_crowded_bands(spark, monkeypatch):
+    """A template with own words at its end, about as long as the threshold allows: bands split by shingles give the classes of all pairs."""
+    rng = np.random.default_rng(5)
+    word = lambda: f"v{rng.integers(0, 10**6)}"
+    rows = []
+    for first, size in ((0, 90), (200, 60)):
+        template = [word() for _ in range(size)] + ["again and again it says so"] * 3
+        for i in range(first, first + 70):
+            rows.append((i, " ".join(template + [word() for _ in range(int(rng.integers(0, 30)))]), "", ""))
+    rows += [(400 + i, f"{t} {word()}", "", "") for i, (_, t, _, _) in enumerate(rows[::5])]
+    expected = brute.classes([(i, t) for i, t, _, _ in rows])
+    assert 3 < len(set(expected.values())) < len(rows)
+    listed = []
+    monkeypatch.setattr(neardup, "overlaps", lambda pairs, of=neardup.overlaps: listed.append(pairs.count()) or of(pairs))
+    for crowd in (2, 10**6):
+        monkeypatch.setattr(neardup, "CROWD", crowd)
+        got = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert got == expected
+    half = len(listed) // 2
+    assert listed[half - 1] <= listed[-1]
