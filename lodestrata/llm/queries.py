@@ -1,10 +1,10 @@
-"""The registered queries of the ten operators: production parameters over whole tables."""
+"""The registered queries of the operators: production parameters over whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprint, licenses, media, neardup, packing, pieces, privacy, quality, secrets
+from . import chat, fingerprint, licenses, media, neardup, packing, pieces, privacy, quality, secrets, wavelet
 from .base import table
 
 
@@ -54,6 +54,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.middles_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -67,6 +71,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_pii,
         op10_best_fit_packing,
+        op12_fill_in_middle,
     )
 }
 
@@ -81,4 +86,10 @@ ORACLES: dict[str, str] = {
 o AS (SELECT *, row_number() OVER w AS place, lag(role) OVER w AS last, {_CODED.format("text")} AS text_size, {_CODED.format("role")} AS role_size FROM turns WINDOW w AS (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY place)) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(text_size + CASE WHEN last IS NULL THEN role_size + {len("<||>")} WHEN last = role THEN {len(chat.TURN)} ELSE {len(chat.END)} + role_size + {len("<||>")} END) + {len(chat.END)} AS BIGINT) AS formatted_chars FROM o GROUP BY conv_id, alone""",
+    "op12_fill_in_middle": """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256(concat('1:', CAST(doc_id AS VARCHAR))) AS h FROM documents),
+u AS (SELECT *, length(t) AS n, CAST(concat('0x', substr(h, 1, 8)) AS BIGINT) AS h1, CAST(concat('0x', substr(h, 9, 8)) AS BIGINT) AS h2, CAST(concat('0x', substr(h, 17, 8)) AS BIGINT) AS h3, CAST(concat('0x', substr(h, 25, 8)) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS m, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+x AS (SELECT *, t[1:p] AS pre, t[p + 1:m] AS mid, t[m + 1:] AS post FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN m - p END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', pre, '<S>', post, '<M>', mid) ELSE concat('<S>', post, '<P>', pre, '<M>', mid) END) AS output_sha256, sha256(concat(pre, mid, post)) AS restored_sha256 FROM x""",
 }

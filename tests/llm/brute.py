@@ -228,3 +228,20 @@ def classes(rows, least=0.8):
 
 def crc(ids):
     return zlib.crc32(b"".join(int(x).to_bytes(4, "little") for x in ids))
+
+
+def draws(doc_id):
+    digest = hashlib.sha256(f"1:{doc_id}".encode()).hexdigest()
+    return [*(int(digest[8 * i : 8 * i + 8], 16) for i in range(4)), digest[:8]]
+
+
+def middle(doc_id, text):
+    """form, first and second cut, output."""
+    h1, h2, h3, h4, _ = draws(doc_id)
+    low, high = sorted((h1 % (len(text) + 1), h2 % (len(text) + 1)))
+    pre, mid, post = text[:low], text[low:high], text[high:]
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return "plain", low, high, text
+    if h4 % 100 < 20:
+        return "spm", low, high, f"<S>{post}<P>{pre}<M>{mid}"
+    return "psm", low, high, f"<P>{pre}<S>{post}<M>{mid}"
