@@ -245,3 +245,51 @@ def middle(doc_id, text):
     if h4 % 100 < 20:
         return "spm", low, high, f"<S>{post}<P>{pre}<M>{mid}"
     return "psm", low, high, f"<P>{pre}<S>{post}<M>{mid}"
+
+
+def damaged(rows):
+    """Rows (conv_id, turn, role, text) after damage."""
+    out = []
+    for conv, turn, role, text in rows:
+        shown = [" " if v is None else str(v) for v in (conv, turn)]
+        kind = zlib.crc32(":".join(shown).encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+def repaired(rows):
+    """gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of one conversation's damaged rows, by trying every edit."""
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.sha256(r[3].encode()).digest()))
+    faults, seen = [], set()
+    for _, _, role, text in rows:
+        solid = re.sub(r"[\x20\x09-\x0D]", "", text)
+        faults.append("blank" if not solid else "duplicate" if (role, text) in seen else "" if solid[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:], strict=False))
+
+    @functools.cache
+    def best(i, so_far, inserts):
+        """Cheapest (cost, audit, lines) for rows from i on, where ``so_far`` is the role initials up to here, shortened."""
+        options = [(0, "", ())] if i == len(rows) and so_far in ("", "a") else []
+        for role in ("user", "assistant"):
+            if inserts < 4 and (so_far, role[0]) in {("", "u"), ("s", "u"), ("u", "a"), ("a", "u")}:
+                c, a, x = best(i, role[0], inserts + 1)
+                options.append((5 + c, "I" + a, (f"{role}:", *x)))
+        if i < len(rows):
+            c, a, x = best(i + 1, so_far, 0)
+            options.append((2 + c, "D" + a, x))
+            _, _, own, text = rows[i]
+            if faults[i] not in ("blank", "duplicate"):
+                extra = 5 if faults[i] == "truncated" else 0
+                for letter, price, role in (("K", 0, own), ("R", 1, "user"), ("R", 1, "assistant")):
+                    if (so_far, role[:1]) in {("", "s"), ("", "u"), ("s", "u"), ("u", "a"), ("a", "u")}:
+                        c, a, x = best(i + 1, role[:1], 0)
+                        options.append((price + extra + c, letter + a, (f"{role}:{text}", *x)))
+        return min(options) if options else (10**9, "", ())
+
+    cost, audit, lines = best(0, "", 0)
+    return gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(lines))

@@ -109,7 +109,7 @@ def test_chats(spark):
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(Q.ORACLES[name])
     names = [c[0] for c in want.description]
