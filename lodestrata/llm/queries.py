@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprint, licenses, media, neardup, packing, pieces, privacy, quality, repair, secrets, wavelet
+from . import chat, fingerprint, licenses, media, neardup, packing, pieces, privacy, quality, repair, rules, secrets, wavelet
 from .base import table
 
 
@@ -54,6 +54,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.rules_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.middles_digest(table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_pii,
         op10_best_fit_packing,
+        op11_quality_rules,
         op12_fill_in_middle,
         op13_conversation_repair,
     )

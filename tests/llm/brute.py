@@ -293,3 +293,64 @@ def repaired(rows):
 
     cost, audit, lines = best(0, "", 0)
     return gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(lines))
+
+
+def text_counts(text):
+    """Counts of one text for the quality rules, by plain scans."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    again = {i + j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(5)}
+    of = lambda pattern: len(re.findall(pattern, text))
+    return {
+        "n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": of(r"[#*$%&|<>]"), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(again),
+        "n_lines": len(lines), "n_distinct_words": len(set(words)), "n_upper": of("[A-Z]"), "n_digits": of("[0-9]"), "n_shouts": of("!"),
+    }
+
+
+def rule_list(rows, shares, precision, most_rules, most_conditions, least_cover):
+    """Sequential covering over (counts, bad, prunes) by trying every edge on every row."""
+
+    def value(c, share):
+        top, under, _, _ = shares[share]
+        return c[top] / (max(c[under], 1) if under else 1)
+
+    def holds(rule, c):
+        return all((value(c, s) >= edge) == over for s, over, edge in rule)
+
+    def best(rows):
+        bad = sum(b for _, b, _ in rows)
+        edges = [(s, over, b / unit) for s, (_, _, unit, top) in shares.items() for over in (True, False) for b in range(1, top + 1)]
+        least, chosen = 1e-9, None
+        for s, (_, _, unit, top) in shares.items():
+            values = np.array([value(c, s) for c, _, _ in rows])
+            marks = np.array([b for _, b, _ in rows], bool)
+            for over in (True, False):
+                for e in (x[2] for x in edges if x[0] == s and x[1] == over):
+                    inside = (values >= e) == over
+                    p, n = int((inside & marks).sum()), int((inside & ~marks).sum())
+                    gain = p * (math.log2(p / (p + n)) - math.log2(bad / len(rows))) if p else 0.0
+                    if gain > least + 1e-9:
+                        least, chosen = gain, (s, over, e)
+        return chosen
+
+    rules = []
+    while len(rules) < most_rules:
+        rule = ()
+        while len(rule) < most_conditions:
+            inside = [r for r in rows if not r[2] and holds(rule, r[0])]
+            found = best(inside) if any(b for _, b, _ in inside) else None
+            if not found:
+                break
+            rule = (*rule, found)
+        if not rule:
+            break
+        tally = lambda r, prunes: [sum(b == want and holds(r, c) for c, b, p in rows if p == prunes) for want in (True, False)]
+        worth = lambda p, n: (p - n) / (p + n) if p + n else -1.0
+        rule = max((rule[: k + 1] for k in range(len(rule))), key=lambda r: (worth(*tally(r, True)), -len(r)))
+        (a, b), (c, d) = tally(rule, True), tally(rule, False)
+        if a + c < least_cover or a < precision * (a + b) or c < precision * (c + d):
+            break
+        rules.append(rule)
+        rows = [r for r in rows if not holds(rule, r[0])]
+    return rules
