@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import append_partition, pending_partitions
+from .ledger import Deliveries
 
 
 def stream_item_index(stream: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
@@ -15,30 +15,70 @@ def stream_item_index(stream: DataFrame, keys: list[str], path: str, checkpoint:
     return stream.sparkSession.read.parquet(path)
 
 
-def stream_trajectories(stream: DataFrame, expected: DataFrame, root: str, checkpoint: str, keys: tuple[str, ...] = ("collection_id", "year")) -> None:
-    """Appends the partitions of each micro-batch that are not there yet.
+def _read_all(stream: DataFrame, put, checkpoint: str) -> None:
+    stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+#: Folders over which the items of one source are dealt.
+SHELVES = 64
+
 
-    A partition that comes again is left alone, so replays change nothing; one that nobody expects stops the stream.
+def index_items(stream: DataFrame, source: str, item: str, root: str, checkpoint: str, delivery: str) -> Deliveries:
+    """Keeps the first of each (source, item) of a stream, and counts by batch and source what arrived, was kept and was refused.
+
+    The items that are known are the index itself, not state in memory: a batch is compared with those shelves of it
+    (source, hash of the item) that hold items of the batch. An item without a source or id is refused.
     """
+    kept = stream.select(source, item, F.lit(0).alias("shelf")).schema
+    known = Deliveries(stream.sparkSession, root, kept, [source, "shelf"], [source], ("arrived", "kept", "refused"))
+    if not known.begin(delivery):
+        return known
 
-    def put(batch: DataFrame, _: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-        there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-        cols = list(keys)
+    def put(batch: DataFrame, number: int) -> None:
+        batch = batch.select(source, item, F.pmod(F.xxhash64(item), F.lit(SHELVES)).cast("int").alias("shelf")).persist()
+        try:
+            whole = batch.filter(F.col(source).isNotNull() & F.col(item).isNotNull()).distinct()
+            earlier = known.own(delivery).filter(F.col("batch") != number).select(source, item, "shelf").unionByName(known.rows().select(source, item, "shelf"))
+            shelves = F.broadcast(whole.select(source, "shelf").distinct())  # no more than sources x SHELVES
+            fresh = whole.join(earlier.join(shelves, [source, "shelf"], "left_semi"), [source, "shelf", item], "left_anti").persist()
+            arrived = batch.groupBy(source).agg(F.count("*").alias("arrived"))
+            counts = arrived.join(fresh.groupBy(source).agg(F.count("*").alias("kept")), source, "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
+            known.commit(fresh, counts.withColumn("refused", F.col("arrived") - F.col("kept")), delivery, number)
+            fresh.unpersist()
+        finally:
+            batch.unpersist()
+
+    _read_all(stream, put, checkpoint)
+    known.close(delivery)
+    return known
+
+
+def stream_trajectories(stream: DataFrame, expected: DataFrame, root: str, checkpoint: str, keys: tuple[str, ...] = ("collection_id", "year"), delivery: str = "first") -> Deliveries:
+    """Appends the partitions of a delivery that no closed delivery has, whatever the micro-batches they come in.
+
+    A partition belongs to the delivery that brings it first and takes all of that delivery's rows; it is closed, and
+    read, when the delivery is. In a later delivery it is left alone, so a replay changes nothing. Rows of a partition that
+    nobody expects stop the stream before any of their batch is written; what the delivery wrote until then stays open.
+    """
+    spark: SparkSession = stream.sparkSession
+    parts = Deliveries(spark, root, stream.schema, list(keys))
+    if not parts.begin(delivery):
+        return parts
+    cols = list(keys)
+    wanted = expected.select(*cols).distinct()
+
+    def put(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         try:
-            stray = batch.select(*cols).distinct().join(expected.select(*cols).distinct(), cols, "left_anti").limit(5).collect()
+            stray = batch.select(*cols).distinct().join(wanted, cols, "left_anti").limit(5).collect()
             if stray:
                 raise ValueError(f"partitions that nobody expects: {[tuple(r) for r in stray]}")
-            new = batch
-            if there:
-                have = spark.read.parquet(root).select(*[F.col(c).cast(batch.schema[c].dataType).alias(c) for c in cols])
-                todo = pending_partitions(batch, have, cols).filter("verdict = 'pending'").select(*cols)
-                new = batch.join(todo, cols, "left_semi")
-            if new.head(1):
-                append_partition(new, root, keys)
+            taken = parts.entries().join(parts.closed(), "delivery").select(*cols).distinct()
+            new = batch.join(taken, cols, "left_anti")
+            parts.commit(new, new.groupBy(*cols).agg(F.count("*").alias("rows")), delivery, number)
         finally:
             batch.unpersist()
 
-    stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    _read_all(stream, put, checkpoint)
+    parts.close(delivery)
+    return parts
