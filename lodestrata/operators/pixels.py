@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import scalars as S
-from .spatial import points_in_polygons
+from .contracts import enforce, violations
 
 PIXEL, TILE = 30.0, 96000.0
 MIN_VALID = 0.95
-NEAR_CELL = 5000.0
 
 
 def pixel_centre(tile: Column, row: Column, col: Column) -> dict[str, Column]:
@@ -21,11 +20,13 @@ def pixel_centre(tile: Column, row: Column, col: Column) -> dict[str, Column]:
     return {"x": a * TILE + (col + 0.5) * PIXEL, "y": (b + 1) * TILE - (row + 0.5) * PIXEL}
 
 
-def build_assignment(polygons: DataFrame, id_col: str, x0: float, y0: float, dx: float, dy: float, nx: int, ny: int, strict: bool = True) -> DataFrame:
-    """(id, ix, iy, x, y): grid points of a rectilinear grid inside each polygon. Points are made from each polygon's own box, so the whole grid is never listed.
+def grid_spans(polygons: DataFrame, id_col: str, x0: float, y0: float, dx: float, dy: float, nx: int, ny: int, strict: bool = True) -> DataFrame:
+    """(id, iy, y, first, last): runs of grid columns inside each polygon, row by row, by filling between a row's crossings.
 
-    A polygon's grid rows are listed first, each with the few edges that reach its height, and dealt out;
-    a large polygon is so spread over tasks, and points are tested against their row's edges alone.
+    A polygon's grid rows are listed with the few edges that reach their height, and dealt out, so a large polygon is spread
+    over tasks; the whole grid is never listed. Of a row the crossings are sorted and every second gap is filled. Columns
+    within a millionth of a step of a crossing, a corner or a level edge are judged by the exact predicate instead, one
+    by one; there are a few at most for each of those.
     """
     b = G.bounds(F.col("rings"))
     lo = lambda v, o, d: F.greatest(F.ceil((v - o) / d), F.lit(0).cast("long"))
@@ -33,19 +34,53 @@ def build_assignment(polygons: DataFrame, id_col: str, x0: float, y0: float, dx:
     p = polygons.select(id_col, G.edges(F.col("rings")).alias("_e"), lo(b["minx"], x0, dx).alias("x1"), hi(b["maxx"], x0, dx, nx).alias("x2"), lo(b["miny"], y0, dy).alias("y1"), hi(b["maxy"], y0, dy, ny).alias("y2"))
     p = p.filter("x1 <= x2 and y1 <= y2").withColumn("iy", F.explode(F.sequence("y1", "y2"))).withColumn("y", y0 + F.col("iy") * dy)
     at = F.col("y")
-    p = p.withColumn("_e", F.filter("_e", lambda e: at.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))))
-    reach = lambda f, g: f(F.transform("_e", lambda e: g(e["x1"], e["x2"])))
-    p = p.withColumns({"x1": F.greatest("x1", F.ceil((reach(F.array_min, F.least) - x0) / dx)), "x2": F.least("x2", F.floor((reach(F.array_max, F.greatest) - x0) / dx))}).filter("x1 <= x2")
-    p = p.repartition(id_col, "iy").withColumn("ix", F.explode(F.sequence("x1", "x2"))).withColumn("x", x0 + F.col("ix") * dx)
+    p = p.withColumn("_e", F.filter("_e", lambda e: at.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))).repartition(id_col, "iy")
+    near = 1e-6
+    column = lambda x: (x - x0) / dx
+    crossed = F.filter("_e", lambda e: (e["y1"] > at) != (e["y2"] > at))
+    crossings = F.array_sort(F.transform(crossed, lambda e: column(e["x1"] + (at - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"]))))
+    # where the fill is not to be trusted: at crossings, at corners on the row and along level edges
+    level = F.filter("_e", lambda e: (e["y1"] == at) | (e["y2"] == at))
+    one = lambda low, high: F.struct(F.ceil(low - near).alias("a"), F.floor(high + near).alias("b"))
+
+    def touched(e: Column) -> Column:
+        flat, corner = e["y1"] == e["y2"], F.when(e["y1"] == at, e["x1"]).otherwise(e["x2"])
+        return F.when(flat, one(column(F.least(e["x1"], e["x2"])), column(F.greatest(e["x1"], e["x2"])))).otherwise(one(column(corner), column(corner)))
+
+    p = p.withColumns({"_c": crossings, "_doubt": F.transform(level, touched)})
+    doubted = F.filter(F.concat("_doubt", F.transform("_c", lambda c: one(c, c))), lambda d: d["a"] <= d["b"])
+    columns = F.array_sort(F.array_distinct(F.flatten(F.transform(doubted, lambda d: F.sequence(d["a"], d["b"])))))
+    p = p.withColumn("_doubt", F.filter(columns, lambda c: c.between(F.col("x1"), F.col("x2"))))
+    pairs = F.filter(F.sequence(F.lit(0), F.floor(F.size("_c") / 2).cast("int")), lambda k: 2 * k + 1 < F.size("_c"))
+    fill = F.transform(pairs, lambda k: F.struct(F.greatest(F.ceil(F.get("_c", 2 * k)), F.col("x1")).alias("first"), F.least(F.floor(F.get("_c", 2 * k + 1)), F.col("x2")).alias("last")))
+    p = p.withColumn("_fill", F.filter(fill, lambda r: r["first"] <= r["last"]))
+
+    def apart(r: Column) -> Column:
+        """What a run leaves when the doubted columns are cut out of it."""
+        cuts = F.filter("_doubt", lambda c: c.between(r["first"], r["last"]))
+        starts, ends = F.concat(F.array(r["first"]), F.transform(cuts, lambda c: c + 1)), F.concat(F.transform(cuts, lambda c: c - 1), F.array(r["last"]))
+        return F.filter(F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("first"), e.alias("last"))), lambda x: x["first"] <= x["last"])
+
     test = G.contains if strict else G.covers
-    return p.filter(test(F.col("_e"), F.col("x"), F.col("y"))).select(id_col, "ix", "iy", "x", "y")
+    judged = F.filter("_doubt", lambda c: test(F.col("_e"), x0 + c * dx, at))
+    runs = F.concat(F.flatten(F.transform("_fill", apart)), F.transform(judged, lambda c: F.struct(c.alias("first"), c.alias("last"))))
+    return p.select(id_col, "iy", "y", F.explode(runs).alias("r")).select(id_col, "iy", "y", "r.first", "r.last")
+
+
+def build_assignment(polygons: DataFrame, id_col: str, x0: float, y0: float, dx: float, dy: float, nx: int, ny: int, strict: bool = True) -> DataFrame:
+    """(id, ix, iy, x, y): grid points of a rectilinear grid inside each polygon, from runs of columns that are listed only here."""
+    spans = grid_spans(polygons, id_col, x0, y0, dx, dy, nx, ny, strict)
+    return spans.withColumn("ix", F.explode(F.sequence("first", "last"))).select(id_col, "ix", "iy", (x0 + F.col("ix") * dx).alias("x"), "y")
+
+
+#: The grid of pixels has no end of its own: it is counted from here on.
+_BIG = 10**7
 
 
 def pixel_members(polygons: DataFrame, id_col: str, x0: float, y0: float, step: float, per_tile: int) -> DataFrame:
     """(id, tile_x, tile_y, prow, pcol): pixels whose centre a polygon covers, on every tile of per_tile x per_tile pixels that it touches."""
-    big = 10**7  # the grid has no end of its own
-    m = build_assignment(polygons, id_col, x0 + step / 2 - big * step, y0 + step / 2 - big * step, step, step, 2 * big, 2 * big, strict=False)
-    gx, gy = F.col("ix") - big, F.col("iy") - big
+    m = build_assignment(polygons, id_col, x0 + step / 2 - _BIG * step, y0 + step / 2 - _BIG * step, step, step, 2 * _BIG, 2 * _BIG, strict=False)
+    gx, gy = F.col("ix") - _BIG, F.col("iy") - _BIG
     tile = lambda g: F.floor(g / per_tile)
     return m.select(id_col, tile(gx).alias("tile_x"), tile(gy).alias("tile_y"), (per_tile - 1 - F.pmod(gy, F.lit(per_tile))).alias("prow"), F.pmod(gx, F.lit(per_tile)).alias("pcol"))
 
@@ -56,8 +91,21 @@ def member_digests(members: DataFrame, id_col: str) -> DataFrame:
     return members.groupBy(id_col).agg(F.count("*").alias("support_px"), F.sha2(F.array_join(F.sort_array(F.collect_list(name)), ";"), 256).alias("members_sha256"))
 
 
-def read_member_values(pixels: DataFrame, members: DataFrame, keys: list[str]) -> DataFrame:
-    """Pixel rows of exactly the members; members without a row keep null bands."""
+def member_checks(members: DataFrame, tiles: DataFrame) -> DataFrame:
+    """(check, n, examples): members (tile, prow, pcol) of a tile that is not among ``tiles`` (tile, height, width), and members beyond its bounds."""
+    known = members.join(tiles.select("tile", "height", "width").distinct(), "tile", "left")
+    beyond = (F.col("prow") < 0) | (F.col("pcol") < 0) | (F.col("prow") >= F.col("height")) | (F.col("pcol") >= F.col("width"))
+    shown = F.concat_ws(",", *[F.col(c).cast("string") for c in ("tile", "prow", "pcol")])
+    return violations(known, {"missing_tile": F.col("height").isNull(), "out_of_bounds": beyond}, shown)
+
+
+def read_member_values(pixels: DataFrame, members: DataFrame, keys: list[str], tiles: DataFrame | None = None) -> DataFrame:
+    """Pixel rows of exactly the members; members without a row keep null bands.
+
+    With ``tiles`` (tile, height, width) members of missing tiles and members out of bounds are refused.
+    """
+    if tiles is not None:
+        enforce(member_checks(members, tiles))
     return members.join(pixels, keys, "left")
 
 

@@ -1,8 +1,11 @@
 """Spatial joins: equi-joins on grid cells, then the exact predicate.
 
 Polygons are listed under every cell that their box touches, points under their own, so both sides are
-shuffled by cell and AQE splits crowded cells. ``cell`` should be near the polygons' usual width; a
-polygon much wider than that is listed often, but its edges are computed once.
+shuffled by cell. A cell's listing of a polygon holds only the edges that can matter there: those that reach the cell's
+heights and do not lie left of it, as the even-odd ray runs to the right. A point so tests the edges of its cell
+and not the whole polygon. Cells that hold more than CROWD points are split into quarters of quarters by their
+counts, points and polygons alike, so a crowded cell becomes many small ones; points that share one place stay
+together, and AQE splits their side of the join. ``cell`` should be near the polygons' usual width.
 """
 
 from __future__ import annotations
@@ -11,20 +14,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from .contracts import duplicates, together, violations
+from .contracts import duplicates, enforce, together, violations
 
 MATCH_METRES = 2000.0
+#: Points of a cell that is not split; depth of a split; cells that are split at most, those of most points.
+#: The cell of rank r holds no more than 1/r of all points, so those left whole hold no more than 1/MOST_SPLIT each.
+CROWD, DEEPEST, MOST_SPLIT = 50_000, 6, 10_000
+#: Edges that are kept with every cell as they are.
+FEW_EDGES = 16
 
 
-def _cells(df: DataFrame, minx: Column, miny: Column, maxx: Column, maxy: Column, cell: float) -> DataFrame:
-    span = lambda lo, hi: F.sequence(F.floor(lo / cell), F.floor(hi / cell))
-    return df.withColumn("_gx", F.explode(span(minx, maxx))).withColumn("_gy", F.explode(span(miny, maxy)))
+def _reaching(edges: Column, low: Column, high: Column, left: Column) -> Column:
+    """The edges that reach heights low to high and do not lie left of ``left``."""
+    near = lambda e: (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= high) & (F.greatest(e["x1"], e["x2"]) >= left)
+    return F.when(F.size(edges) <= FEW_EDGES, edges).otherwise(F.filter(edges, near))
 
 
 def polygons_by_cell(polygons: DataFrame, id_col: str, cell: float, grow: float = 0.0) -> DataFrame:
-    """id, box, edges and grid cells; empty and null polygons are in no cell."""
+    """id, box, grid cells and the edges that matter there; empty and null polygons are in no cell. Rows of cells are cut out before cells of rows."""
     p = polygons.filter(F.size(F.flatten("rings")) > 0).select(id_col, G.edges(F.col("rings")).alias("_edges"), *[v.alias(f"_{k}") for k, v in G.bounds(F.col("rings")).items()])
-    return _cells(p, F.col("_minx") - grow, F.col("_miny") - grow, F.col("_maxx") + grow, F.col("_maxy") + grow, cell)
+    span = lambda lo, hi: F.sequence(F.floor((F.col(lo) - grow) / cell), F.floor((F.col(hi) + grow) / cell))
+    pad = grow + cell * 1e-6  # more than the rounding of a place's cell
+    p = p.withColumn("_gy", F.explode(span("_miny", "_maxy")))
+    p = p.withColumn("_edges", _reaching(F.col("_edges"), F.col("_gy") * cell - pad, (F.col("_gy") + 1) * cell + pad, F.lit(float("-inf"))))
+    p = p.withColumn("_gx", F.explode(span("_minx", "_maxx")))
+    return p.withColumn("_edges", _reaching(F.col("_edges"), F.lit(float("-inf")), F.lit(float("inf")), F.col("_gx") * cell - pad))
 
 
 def points_by_cell(points: DataFrame, cell: float) -> DataFrame:
@@ -32,11 +46,34 @@ def points_by_cell(points: DataFrame, cell: float) -> DataFrame:
     return p.withColumns({"_gx": F.floor(F.col("x") / cell), "_gy": F.floor(F.col("y") / cell)})
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, id_col: str, cell: float, strict: bool = False) -> DataFrame:
+def crowded_cells(placed: DataFrame, crowd: int) -> DataFrame:
+    """_gx, _gy, _deep: how often the cells of most points are quartered, at most MOST_SPLIT of them."""
+    counted = placed.groupBy("_gx", "_gy").agg(F.count("*").alias("_n")).filter(F.col("_n") > crowd).orderBy(F.desc("_n"), "_gx", "_gy").limit(MOST_SPLIT)
+    return counted.select("_gx", "_gy", F.least(F.lit(DEEPEST), F.ceil(F.log2(F.col("_n") / crowd) / 2)).cast("int").alias("_deep"))
+
+
+def grid_join(points: DataFrame, polygons: DataFrame, id_col: str, cell: float, grow: float = 0.0, crowd: int = CROWD) -> DataFrame:
+    """Columns of points, id, box and _edges of the polygons that are listed in each point's cell."""
+    placed, listed = points_by_cell(points, cell), polygons_by_cell(polygons, id_col, cell, grow)
+    crowded = F.broadcast(crowded_cells(placed, crowd))
+    parts = F.expr("shiftleft(1, coalesce(_deep, 0))")
+    # the same growing function of a coordinate on both sides, so that no rounding parts a point from a box that holds it
+    part = lambda v, g: F.least(F.greatest(F.floor((v - g * cell) / cell * parts), F.lit(0)), parts - 1)
+    placed = placed.join(crowded, ["_gx", "_gy"], "left")
+    placed = placed.withColumns({"_sx": part(F.col("x"), F.col("_gx")), "_sy": part(F.col("y"), F.col("_gy"))}).drop("_deep")
+    listed = listed.join(crowded, ["_gx", "_gy"], "left")
+    span = lambda lo, hi, g: F.sequence(part(F.col(lo) - grow, F.col(g)), part(F.col(hi) + grow, F.col(g)))
+    listed = listed.withColumn("_sy", F.explode(span("_miny", "_maxy", "_gy"))).withColumn("_sx", F.explode(span("_minx", "_maxx", "_gx")))
+    side, pad = cell / parts, grow + cell * 1e-6
+    low, left = F.col("_gy") * cell + F.col("_sy") * side - pad, F.col("_gx") * cell + F.col("_sx") * side - pad
+    listed = listed.withColumn("_edges", F.when(F.col("_deep").isNull(), F.col("_edges")).otherwise(_reaching(F.col("_edges"), low, low + side + 2 * pad, left))).drop("_deep")
+    return placed.join(listed, ["_gx", "_gy", "_sx", "_sy"])
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, id_col: str, cell: float, strict: bool = False, crowd: int = CROWD) -> DataFrame:
     """All columns of points and the id of each polygon that covers (strictly: contains) it; inner join."""
-    near = points_by_cell(points, cell).join(polygons_by_cell(polygons, id_col, cell), ["_gx", "_gy"])
     x, y = F.col("x"), F.col("y")
-    near = near.filter(x.between(F.col("_minx"), F.col("_maxx")) & y.between(F.col("_miny"), F.col("_maxy")))
+    near = grid_join(points, polygons, id_col, cell, crowd=crowd).filter(x.between(F.col("_minx"), F.col("_maxx")) & y.between(F.col("_miny"), F.col("_maxy")))
     test = G.contains if strict else G.covers
     return near.filter(test(F.col("_edges"), x, y)).select(*points.columns, id_col)
 
@@ -48,39 +85,41 @@ def count_intersecting(points: DataFrame, polygons: DataFrame, id_col: str, cell
     return points.select(key, "x", "y").join(counted, key, "left").select(key, F.when(placed, F.coalesce("_n", F.lit(0))).alias("n"))
 
 
-def _in_reach(points: DataFrame, polygons: DataFrame, id_col: str, metres: float, cell: float) -> DataFrame:
-    """Columns of points, id, edges and _inside (covered or not) of all polygons whose box is no farther than ``metres``."""
-    near = points_by_cell(points, cell).join(polygons_by_cell(polygons, id_col, cell, metres), ["_gx", "_gy"])
-    off = lambda v, lo, hi: F.greatest(F.col(lo) - v, v - F.col(hi), F.lit(0.0))
-    of_box = F.hypot(off(F.col("x"), "_minx", "_maxx"), off(F.col("y"), "_miny", "_maxy"))
-    return near.filter(of_box <= metres).select(*points.columns, id_col, "_edges", ((of_box == 0) & G.covers(F.col("_edges"), F.col("x"), F.col("y"))).alias("_inside"))
-
+def within_distance(points: DataFrame, polygons: DataFrame, id_col: str, metres: float, cell: float, crowd: int = CROWD) -> DataFrame:
+    """Columns of points, polygon id and exact distance (0 inside and on the boundary), for all polygons no farther than ``metres``.
 
-def _with_distance(near: DataFrame, metres: float) -> DataFrame:
-    distance = F.when(F.col("_inside"), 0.0).otherwise(G.distance_to_edges(F.col("_edges"), F.col("x"), F.col("y")))
-    return near.withColumn("distance_m", distance).filter(F.col("distance_m") <= metres)
+    A cell holds all edges within ``metres`` of it, so a distance over them that is no greater is the polygon's.
+    """
+    x, y = F.col("x"), F.col("y")
+    off = lambda v, lo, hi: F.greatest(F.col(lo) - v, v - F.col(hi), F.lit(0.0))
+    of_box = F.hypot(off(x, "_minx", "_maxx"), off(y, "_miny", "_maxy"))
+    near = grid_join(points, polygons, id_col, cell, metres, crowd).filter(of_box <= metres)
+    inside = (of_box == 0) & G.covers(F.col("_edges"), x, y)
+    distance = F.when(inside, 0.0).otherwise(G.distance_to_edges(F.col("_edges"), x, y))
+    return near.withColumn("distance_m", distance).filter(F.col("distance_m") <= metres).select(*points.columns, id_col, "distance_m")
 
 
-def within_distance(points: DataFrame, polygons: DataFrame, id_col: str, metres: float, cell: float) -> DataFrame:
-    """Columns of points, polygon id and exact distance (0 inside and on the boundary), for all polygons no farther than ``metres``."""
-    return _with_distance(_in_reach(points, polygons, id_col, metres, cell), metres).select(*points.columns, id_col, "distance_m")
+def crosswalk_checks(points: DataFrame, polygons: DataFrame, id_col: str) -> DataFrame:
+    """(check, n, examples): null and repeated ids of either side. A repeated one would multiply rows and counts, so crosswalk() refuses them."""
+    sides = ((points, "site_id", "site"), (polygons, id_col, "polygon"))
+    nulls = [violations(df, {f"null_{name}_id": F.col(key).isNull()}) for df, key, name in sides]
+    return together(*nulls, *[duplicates(df.filter(F.col(key).isNotNull()), [key], f"duplicate_{name}_id") for df, key, name in sides])
 
 
 def crosswalk(points: DataFrame, polygons: DataFrame, id_col: str, cell: float, metres: float = MATCH_METRES) -> DataFrame:
-    """Rows (site_id, footprint, stage, distance, confidence, ambiguity_n, shared_by_n) of points (site_id, x, y) with distinct ids.
+    """Rows (site_id, footprint, stage, distance, confidence, ambiguity_n, shared_by_n) of points (site_id, x, y); refuses null and repeated ids.
 
     Containment first; points in no polygon get all polygons within ``metres``; the rest one unmatched row.
-    confidence: high inside, medium near one polygon, low near several, none. One grid join serves both
-    stages. Its pairs are shuffled by site_id without edges; a window over the few polygons about one point settles its
-    stage, and distances are taken only where no polygon holds the point.
+    confidence: high inside, medium near one polygon, low near several, none. Only points that no polygon holds are
+    looked at again for distances; what a point matches is counted in a window over the few polygons about it.
     """
+    enforce(crosswalk_checks(points, polygons, id_col))
     points = points.select("site_id", "x", "y")
     of_site = Window.partitionBy("site_id")
-    near = _in_reach(points, polygons, id_col, metres, cell).drop("_edges")
-    near = near.withColumn("_held", F.max("_inside").over(of_site)).filter(F.col("_inside") | ~F.col("_held"))
-    shapes = polygons.filter(F.size(F.flatten("rings")) > 0).select(id_col, G.edges(F.col("rings")).alias("_edges"))
-    matched = _with_distance(near.join(shapes, id_col), metres).select("site_id", id_col, "distance_m", F.when(F.col("_inside"), "containment").otherwise("proximity").alias("stage"))
-    matched = matched.withColumn("ambiguity_n", F.count("*").over(of_site))
+    held = points_in_polygons(points, polygons, id_col, cell).select("site_id", id_col, F.lit(0.0).alias("distance_m"), F.lit("containment").alias("stage"))
+    free = points.join(held.select("site_id").distinct(), "site_id", "left_anti")
+    near = within_distance(free, polygons, id_col, metres, cell).select("site_id", id_col, "distance_m", F.lit("proximity").alias("stage"))
+    matched = held.unionByName(near).withColumn("ambiguity_n", F.count("*").over(of_site))
     rows = points.select("site_id").join(matched, "site_id", "left").withColumns({"stage": F.coalesce("stage", F.lit("unmatched")), "ambiguity_n": F.coalesce("ambiguity_n", F.lit(0))})
     confidence = F.when(F.col("stage") == "containment", "high").when(F.col("stage") == "unmatched", "none").when(F.col("ambiguity_n") == 1, "medium").otherwise("low")
     rows = rows.withColumn("confidence", confidence)
@@ -119,6 +158,12 @@ def uncovered(points: DataFrame, regions: DataFrame, ceiling: float, cell: float
     return out.withColumn("share", share).withColumn("within_ceiling", F.col("share") <= ceiling)
 
 
+def split_uncovered(points: DataFrame, regions: DataFrame, cell: float, key: str = "row_no") -> tuple[DataFrame, DataFrame]:
+    """The points that a region covers, boundary included, with all their columns, and the keys of the others."""
+    hit = points_in_polygons(points.select(key, "x", "y"), regions, "region_name", cell).select(key).distinct()
+    return points.join(hit, key, "left_semi"), points.select(key).join(hit, key, "left_anti")
+
+
 def polygon_pairs(one: DataFrame, two: DataFrame, one_id: str, two_id: str, cell: float, keep: list[str] = []) -> DataFrame:  # noqa: B006
     """(one_id, two_id, keep...): pairs of polygons that share a point, each once.
 

@@ -58,6 +58,19 @@ def member_values(spark, sf):
     return P.read_member_values(v, members, ["tile", "prow", "pcol"]).select("tile", "prow", "pcol", "yr", "bare")
 
 
+@query(
+    "s05_member_refusals",
+    f"""{_V}, m AS (SELECT DISTINCT tile, prow, pcol FROM v UNION SELECT DISTINCT tile, prow, pcol + 100 FROM v WHERE tile < 4 UNION SELECT DISTINCT tile + 100, prow, pcol FROM v WHERE tile < 2), x AS (SELECT m.*, t.tile IS NULL AS gone, prow >= 40 OR pcol >= 40 AS beyond, concat_ws(',', m.tile, prow, pcol) AS shown FROM m LEFT JOIN (SELECT DISTINCT tile FROM v) t ON m.tile = t.tile)
+SELECT 'missing_tile' AS "check", count(*) FILTER (gone) AS n, concat_ws(',', min(shown) FILTER (gone), max(shown) FILTER (gone)) AS examples FROM x UNION ALL SELECT 'out_of_bounds', count(*) FILTER (beyond AND NOT gone), concat_ws(',', min(shown) FILTER (beyond AND NOT gone), max(shown) FILTER (beyond AND NOT gone)) FROM x""",
+)
+def member_refusals(spark, sf):
+    """Members of which some are beyond their tile's bounds and some of a tile that is not there."""
+    there = values(spark, sf).select("tile", "prow", "pcol").distinct()
+    members = there.unionByName(there.filter("tile < 4").withColumn("pcol", F.col("pcol") + 100)).unionByName(there.filter("tile < 2").withColumn("tile", F.col("tile") + 100))
+    tiles = there.select("tile", F.lit(40).alias("height"), F.lit(40).alias("width")).distinct()
+    return P.member_checks(members, tiles)
+
+
 _MEMBERS = f"""{with_views("footprints")}, f AS (SELECT *, CAST(ceil((cx - hx - 15) / 30) AS BIGINT) AS x1, CAST(floor((cx + hx - 15) / 30) AS BIGINT) AS x2, CAST(ceil((cy - hy - 15) / 30) AS BIGINT) AS y1, CAST(floor((cy + hy - 15) / 30) AS BIGINT) AS y2 FROM footprints),
 p AS (SELECT * FROM (SELECT f.*, unnest(range(x1, x2 + 1)) AS gx FROM f)), q AS (SELECT p.*, unnest(range(y1, y2 + 1)) AS gy FROM p), c AS (SELECT *, gx * 30 + 15.0 AS x, gy * 30 + 15.0 AS y FROM q),
 m AS (SELECT footprint_id, CAST(floor(gx / 40.0) AS BIGINT) AS tile_x, CAST(floor(gy / 40.0) AS BIGINT) AS tile_y, 39 - (gy - 40 * CAST(floor(gy / 40.0) AS BIGINT)) AS prow, gx - 40 * CAST(floor(gx / 40.0) AS BIGINT) AS pcol FROM c WHERE {COVERED_SQL})"""

@@ -112,6 +112,28 @@ def uncovered(spark, sf):
     return X.uncovered(view(spark, sf, "sites"), region_polygons(spark, sf), 0.05, REGION_CELL).withColumn("share", F.round("share", 6))
 
 
+@query("j06_covered_subset", f"{_REGION} SELECT s.row_no, s.site_id, x, y, n IS NOT NULL AS covered FROM sites s LEFT JOIN h ON s.row_no = h.row_no")
+def covered_subset(spark, sf):
+    covered, rest = X.split_uncovered(view(spark, sf, "sites"), region_polygons(spark, sf), REGION_CELL)
+    sites = view(spark, sf, "sites").select("row_no", "site_id", "x", "y")
+    return covered.select("row_no", "site_id", "x", "y", F.lit(True).alias("covered")).unionByName(rest.join(sites, "row_no").select("row_no", "site_id", "x", "y", F.lit(False).alias("covered")))
+
+
+_TWICE = f"""{with_views("sites", "footprints")}, p AS (SELECT site_id FROM sites WHERE x IS NOT NULL), f AS (SELECT footprint_id FROM footprints UNION ALL SELECT footprint_id FROM footprints WHERE part_no % 7 = 0 UNION ALL SELECT NULL FROM footprints WHERE part_no % 11 = 0)"""
+
+
+@query(
+    "j04_refusals",
+    f"""{_TWICE}, d AS (SELECT 'duplicate_site_id' AS "check", site_id AS v FROM p WHERE site_id IS NOT NULL GROUP BY site_id HAVING count(*) > 1), e AS (SELECT 'duplicate_polygon_id', footprint_id FROM f WHERE footprint_id IS NOT NULL GROUP BY footprint_id HAVING count(*) > 1)
+SELECT 'null_site_id' AS "check", count(*) FILTER (site_id IS NULL) AS n, '' AS examples FROM p UNION ALL SELECT 'null_polygon_id', count(*) FILTER (footprint_id IS NULL), '' FROM f UNION ALL SELECT 'duplicate_site_id', count(*), concat_ws(',', min(v), max(v)) FROM d UNION ALL SELECT 'duplicate_polygon_id', count(*), concat_ws(',', min(footprint_id), max(footprint_id)) FROM e""",
+)
+def crosswalk_refusals(spark, sf):
+    """What a crosswalk refuses: here of all located sites, and of footprints some of which come twice or without an id."""
+    f = footprint_polygons(spark, sf)
+    plus = f.unionByName(f.filter("part_no % 7 = 0")).unionByName(f.filter("part_no % 11 = 0").withColumn("footprint_id", F.lit(None).cast("string")))
+    return X.crosswalk_checks(view(spark, sf, "sites").filter("x IS NOT NULL"), plus, "footprint_id")
+
+
 @query(
     "j09_fire_year_counts",
     f"""{with_views("footprints", "fires")} SELECT footprint_id, fire_year, count(*) AS n FROM (SELECT footprint_id, kind, f.cx AS fx, f.cy AS fy, p.cx, p.cy, hx, hy, half, fire_year FROM footprints p, fires f
