@@ -35,23 +35,25 @@ def _cross(e: Column, x: Column, y: Column) -> Column:
     return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
 
 
-def on_edge(es: Column, x: Column, y: Column) -> Column:
-    def touches(e: Column) -> Column:
-        inside = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        return (_cross(e, x, y) == 0) & inside
+def on_one_edge(e: Column, x: Column, y: Column) -> Column:
+    inside = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+    return (_cross(e, x, y) == 0) & inside
+
 
-    return F.exists(es, touches)
+def on_edge(es: Column, x: Column, y: Column) -> Column:
+    return F.exists(es, lambda e: on_one_edge(e, x, y))
 
 
-def in_fill(es: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule, without regard to edges. Sides are told by cross products, which are exact for whole numbers."""
+def edge_crosses(e: Column, x: Column, y: Column) -> Column:
+    """Whether a ray to the right meets the edge. Sides are told by cross products, which are exact for whole numbers."""
+    up = e["y2"] > e["y1"]
+    left = F.when(up, _cross(e, x, y) > 0).otherwise(_cross(e, x, y) < 0)
+    return ((e["y1"] > y) != (e["y2"] > y)) & left
 
-    def crosses(e: Column) -> Column:
-        up = e["y2"] > e["y1"]
-        left = F.when(up, _cross(e, x, y) > 0).otherwise(_cross(e, x, y) < 0)
-        return ((e["y1"] > y) != (e["y2"] > y)) & left
 
-    return F.size(F.filter(es, crosses)) % 2 == 1
+def in_fill(es: Column, x: Column, y: Column) -> Column:
+    """Even-odd rule, without regard to edges."""
+    return F.size(F.filter(es, lambda e: edge_crosses(e, x, y))) % 2 == 1
 
 
 def covers(es: Column, x: Column, y: Column) -> Column:
@@ -64,14 +66,15 @@ def contains(es: Column, x: Column, y: Column) -> Column:
     return in_fill(es, x, y) & ~on_edge(es, x, y)
 
 
-def distance_to_edges(es: Column, x: Column, y: Column) -> Column:
-    def one(e: Column) -> Column:
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        t = F.coalesce(F.try_divide((x - e["x1"]) * dx + (y - e["y1"]) * dy, dx * dx + dy * dy), F.lit(0.0))
-        t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
-        return F.hypot(x - e["x1"] - t * dx, y - e["y1"] - t * dy)
+def edge_distance(e: Column, x: Column, y: Column) -> Column:
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    t = F.coalesce(F.try_divide((x - e["x1"]) * dx + (y - e["y1"]) * dy, dx * dx + dy * dy), F.lit(0.0))
+    t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
+    return F.hypot(x - e["x1"] - t * dx, y - e["y1"] - t * dy)
 
-    return F.array_min(F.transform(es, one))
+
+def distance_to_edges(es: Column, x: Column, y: Column) -> Column:
+    return F.array_min(F.transform(es, lambda e: edge_distance(e, x, y)))
 
 
 def edges_meet(a: Column, b: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from .contracts import duplicates, enforce, together, violations
+from .lineage import cut
 
 MATCH_METRES = 2000.0
 #: Points of a cell that is not split; depth of a split; cells that are split at most, those of most points.
@@ -88,15 +89,22 @@ def count_intersecting(points: DataFrame, polygons: DataFrame, id_col: str, cell
 def within_distance(points: DataFrame, polygons: DataFrame, id_col: str, metres: float, cell: float, crowd: int = CROWD) -> DataFrame:
     """Columns of points, polygon id and exact distance (0 inside and on the boundary), for all polygons no farther than ``metres``.
 
-    A cell holds all edges within ``metres`` of it, so a distance over them that is no greater is the polygon's.
+    A cell holds all edges within ``metres`` of it, so a distance over them that is no greater is the polygon's. Edges are
+    made rows, which are measured in compiled code (lambdas over arrays are not), and a pair's are put together again
+    as its least distance and its crossings; a pair that comes several times has so many times its edges.
     """
     x, y = F.col("x"), F.col("y")
     off = lambda v, lo, hi: F.greatest(F.col(lo) - v, v - F.col(hi), F.lit(0.0))
     of_box = F.hypot(off(x, "_minx", "_maxx"), off(y, "_miny", "_maxy"))
     near = grid_join(points, polygons, id_col, cell, metres, crowd).filter(of_box <= metres)
-    inside = (of_box == 0) & G.covers(F.col("_edges"), x, y)
-    distance = F.when(inside, 0.0).otherwise(G.distance_to_edges(F.col("_edges"), x, y))
-    return near.withColumn("distance_m", distance).filter(F.col("distance_m") <= metres).select(*points.columns, id_col, "distance_m")
+    pair = [*points.columns, id_col]
+    e = F.col("_e")
+    each = near.select(*pair, F.size("_edges").alias("_n"), F.explode("_edges").alias("_e"))
+    each = each.select(*pair, "_n", G.edge_distance(e, x, y).alias("_d"), G.edge_crosses(e, x, y).cast("int").alias("_c"), G.on_one_edge(e, x, y).alias("_on"))
+    sums = each.groupBy(*pair).agg(F.min("_d").alias("_d"), F.sum("_c").alias("_c"), F.bool_or("_on").alias("_on"), (F.count("*") / F.min("_n")).cast("int").alias("_times"))
+    inside = F.col("_on") | (F.col("_c") / F.col("_times") % 2 == 1)
+    found = sums.select(*pair, "_times", F.when(inside, 0.0).otherwise(F.col("_d")).alias("distance_m")).filter(F.col("distance_m") <= metres)
+    return found.withColumn("_times", F.explode(F.array_repeat(F.lit(True), F.col("_times")))).drop("_times")
 
 
 def crosswalk_checks(points: DataFrame, polygons: DataFrame, id_col: str) -> DataFrame:
@@ -111,15 +119,16 @@ def crosswalk(points: DataFrame, polygons: DataFrame, id_col: str, cell: float,
 
     Containment first; points in no polygon get all polygons within ``metres``; the rest one unmatched row.
     confidence: high inside, medium near one polygon, low near several, none. Only points that no polygon holds are
-    looked at again for distances; what a point matches is counted in a window over the few polygons about it.
+    looked at again for distances; what a point matches is counted in a window over the few polygons about it. The matches
+    of either stage are read several times, so each is made once, by cut().
     """
     enforce(crosswalk_checks(points, polygons, id_col))
     points = points.select("site_id", "x", "y")
     of_site = Window.partitionBy("site_id")
-    held = points_in_polygons(points, polygons, id_col, cell).select("site_id", id_col, F.lit(0.0).alias("distance_m"), F.lit("containment").alias("stage"))
+    held = cut(points_in_polygons(points, polygons, id_col, cell).select("site_id", id_col)).select("site_id", id_col, F.lit(0.0).alias("distance_m"), F.lit("containment").alias("stage"))
     free = points.join(held.select("site_id").distinct(), "site_id", "left_anti")
     near = within_distance(free, polygons, id_col, metres, cell).select("site_id", id_col, "distance_m", F.lit("proximity").alias("stage"))
-    matched = held.unionByName(near).withColumn("ambiguity_n", F.count("*").over(of_site))
+    matched = held.unionByName(cut(near)).withColumn("ambiguity_n", F.count("*").over(of_site))
     rows = points.select("site_id").join(matched, "site_id", "left").withColumns({"stage": F.coalesce("stage", F.lit("unmatched")), "ambiguity_n": F.coalesce("ambiguity_n", F.lit(0))})
     confidence = F.when(F.col("stage") == "containment", "high").when(F.col("stage") == "unmatched", "none").when(F.col("ambiguity_n") == 1, "medium").otherwise("low")
     rows = rows.withColumn("confidence", confidence)
