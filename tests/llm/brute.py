@@ -72,7 +72,12 @@ def private(text):
     return out
 
 
-def terms(texts, near=3, doubt=1, remove=0.95, generalise=0.8):
+def wilson(part, whole, z=1.6449):
+    p = part / whole
+    return (p + z * z / (2 * whole) - z * math.sqrt(p * (1 - p) / whole + z * z / (4 * whole * whole))) / (1 + z * z / whole)
+
+
+def terms(texts, near=3, remove=0.59, generalise=0.42):
     """For each text the revealing terms (kind, start, end), by counting all documents."""
     word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
     rank, found, n_e, n_te, n_t = ["email", "ip", "card", "phone"], [], Counter(), Counter(), Counter()
@@ -101,10 +106,10 @@ def terms(texts, near=3, doubt=1, remove=0.95, generalise=0.8):
     for places in found:
         best = {}
         for entity, term, s, e in places:
-            if n_t[term] and n_e[entity] < n:
-                information = math.log2(n / n_e[entity])
-                told = (math.log2(n_te[entity, term] / (n_t[term] + doubt)) + information) / information
-                best[s, e] = max(best.get((s, e), 0), told)
+            if n_t[term]:
+                told = wilson(n_te[entity, term], max(n_t[term], n_te[entity, term]))
+                if told > n_e[entity] / n:
+                    best[s, e] = max(best.get((s, e), 0), told)
         out.append([("term_removed" if v >= remove else "term_general", *k) for k, v in best.items() if v >= generalise])
     return out
 

@@ -98,6 +98,7 @@ def test_private_patterns(spark):
 def test_revealing_terms_go(spark):
     rows = [(i, f"the clerk Quillon{i % 2} wrote to boss{i % 2}@corp.example today", "", "") for i in range(8)] + [(100 + i, f"the clerk met number {i} today", "", "") for i in range(400)]
     rows.append((900, "Hapax wrote to one@other.example", "", ""))
+    rows += [(910 + i, f"Twofold wrote to pair{i}@two.example", "", "") for i in range(2)]  # twice, each time near the domain
     rows += [(600 + i, f"we wrote to somebody {i} and them today", "", "") for i in range(40)]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("n_chars", F.length("text").cast("long"))
     got = {r.doc_id: r for r in privacy.sanitise(df).collect()}
@@ -110,6 +111,7 @@ def test_revealing_terms_go(spark):
     want = [brute.listed(brute.private(t) + x, kinds) for t, x in zip(texts, brute.terms(texts), strict=True)]
     assert [spans[i] for i, _, _, _ in rows] == want
     assert any("term_removed" in x for x in want) and any("term_general" in x for x in want)
+    assert "Hapax" in got[900].text and got[910].text == "<name> wrote to <email>"
 
 
 def test_one_text_with_many_matches(spark):
