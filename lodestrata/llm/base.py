@@ -180,7 +180,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of up to ``most`` bytes, or one longer row: keeps numpy's arrays in the caches."""
+    """Row ranges of up to ``most`` bytes, or one longer row: keeps numpy's arrays in the caches. What works on a longer row walks it in blocks."""
     at, n = 0, len(offsets) - 1
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
@@ -188,11 +188,62 @@ def pieces(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]
         at = to
 
 
+#: Bytes whose words are found at once, with some 50 bytes of memory for each; a word that is longer is hashed in such parts.
+WORD_BLOCK = 1 << 20
+
+
 def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hashes, first and end bytes of all words, and the len + 1 offsets of the rows in them.
 
-    Words are runs of digits, letters a-z (A-Z lower-cased) and characters beyond ASCII.
+    Words are runs of digits, letters a-z (A-Z lower-cased) and characters beyond ASCII. Bytes are walked in blocks that end
+    with a word or row, so memory is 24 bytes a word and that of a block.
     """
+    found = list(word_blocks(raw, offsets))
+    none = np.zeros(0, np.int64)
+    hashes, starts, ends = (np.concatenate([f[i] for f in found]) if len(found) > 1 else found[0][i] if found else none.astype(t) for i, t in ((0, np.uint64), (1, np.int64), (2, np.int64)))
+    return hashes, starts, ends, np.searchsorted(starts, offsets)
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last of words(), in 8 bytes a word."""
+    hashes, counts = [], np.zeros(len(offsets) - 1, np.int64)
+    for h, starts, _ in word_blocks(raw, offsets):
+        counts += np.diff(np.searchsorted(starts, offsets))
+        hashes.append(h)
+    return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(counts)])
+
+
+def word_blocks(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hashes, first and end bytes of the words of successive blocks of up to WORD_BLOCK bytes."""
+    at = 0
+    while at < len(raw):
+        to = min(at + WORD_BLOCK, len(raw))
+        if to < len(raw) and _LOWER[raw[to - 1]] and _LOWER[raw[to]]:  # the end may cut a word: back to the last byte that ends none, or the last row's end
+            stop = np.flatnonzero(_LOWER[raw[at:to]] == 0)
+            row = int(offsets[np.searchsorted(offsets, to, "right") - 1])
+            to = max(at + int(stop[-1]) + 1 if len(stop) else at, row)
+        if to > at:
+            edges = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, to, "right")]
+            h, starts, ends = _words(raw[at:to], np.concatenate([[0], edges - at, [to - at]]))
+            yield h, starts + at, ends + at
+        else:  # one word fills the block
+            last = int(offsets[np.searchsorted(offsets, at, "right")])
+            to, total = at, np.uint64(0)
+            power, _ = _powers(WORD_BLOCK + 1)
+            while to < last:
+                low = _LOWER[raw[to : min(to + WORD_BLOCK, last)]]
+                gap = np.flatnonzero(low == 0)
+                n = int(gap[0]) if len(gap) else len(low)
+                part = (_VALUE[low[:n]] * power[:n]).sum(dtype=np.uint64)
+                total = np.uint64((int(total) + int(part) * pow(int(_BASE), to - at, 2**64)) % 2**64)
+                to += n
+                if n < len(low):
+                    break
+            yield mix(np.array([(int(total) + to - at) % 2**64], np.uint64)), np.array([at]), np.array([to])
+        at = to
+
+
+def _words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     low = _LOWER[raw]
     inside = low != 0
     edge = np.zeros(len(raw) + 1, bool)
@@ -209,7 +260,7 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_VALUE[low] * power[: len(raw)], dtype=np.uint64, out=total[1:])
     hashes = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-    return hashes, starts, ends, np.searchsorted(starts, offsets)
+    return hashes, starts, ends
 
 
 def grams(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -217,12 +268,16 @@ def grams(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    out = np.zeros(n, np.uint64)
-    for i in range(k):
-        out = (out ^ hashes[i : i + n]) * np.uint64(0xD6E8FEB86659FD93)
-        out ^= out >> np.uint64(32)
     whole = np.ones(n, bool)
     for end in rows[1:-1]:
         whole[max(0, end - k + 1) : end] = False
     at = np.flatnonzero(whole)
-    return mix(out[at]), at
+    found = np.empty(len(at), np.uint64)
+    for lo in range(0, len(at), WORD_BLOCK):  # in blocks: what is computed on the way is as long as one
+        own = at[lo : lo + WORD_BLOCK]
+        out = np.zeros(len(own), np.uint64)
+        for i in range(k):
+            out = (out ^ hashes[own + i]) * np.uint64(0xD6E8FEB86659FD93)
+            out ^= out >> np.uint64(32)
+        found[lo : lo + WORD_BLOCK] = mix(out)
+    return found, at

@@ -14,7 +14,7 @@
 
 Every text, long, short or empty, is followed by PAD zero bytes, in the histogram as in its digest; so
 each byte starts a window. Null text is empty text.
-Equal texts have equal fingerprints. Documents follow each other by (doc_id, hash of text, text), null
+A long text is walked in blocks, so that memory is some 10 bytes for each of its bytes. Equal texts have equal fingerprints. Documents follow each other by (doc_id, hash of text, text), null
 doc_id first; repeated rows are documents of their own. An empty table gives no rows; one document is its own next.
 Other columns are ignored.
 """
@@ -63,12 +63,19 @@ def padded(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Bytes and offsets of rows, each with PAD zero bytes after it."""
     n = len(offsets) - 1
     out = np.zeros(len(raw) + n * PAD, np.uint8)
-    out[np.arange(len(raw)) + np.repeat(np.arange(n) * PAD, np.diff(offsets))] = raw
+    if n == 1:
+        out[: len(raw)] = raw
+    else:
+        out[np.arange(len(raw)) + np.repeat(np.arange(n) * PAD, np.diff(offsets))] = raw
     return out, offsets + np.arange(n + 1) * PAD
 
 
-def _features(raw: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First bytes of the chosen windows of all rows, and each one's row."""
+#: Groups of windows of a longer row that are judged at once; a block looks 2 W - 2 bytes past its end.
+BLOCK = 1 << 20
+
+
+def _runs(raw: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring groups with one choice: the chosen windows' first bytes, their rows and votes."""
     level = ranks[levels(raw)].astype(np.int64)  # one per byte but the last 63
     key = (level << 32) | np.arange(len(level))
     least, width = key, 1
@@ -81,8 +88,28 @@ def _features(raw: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> tuple[
     group = np.flatnonzero(own)
     chosen, row = least[own] & 0xFFFFFFFF, rows[group]
     change = np.flatnonzero(np.r_[True, (chosen[1:] != chosen[:-1]) | (row[1:] != row[:-1])])
-    votes = np.diff(np.r_[change, len(chosen)])
-    at, of = chosen[change], row[change]
+    return chosen[change], row[change], np.diff(np.r_[change, len(chosen)])
+
+
+def _runs_in_blocks(raw: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """_runs() of one long row: those that go on from one block into the next are one."""
+    parts = []
+    for lo in range(0, len(raw) - (2 * W - 2), BLOCK):
+        block = raw[lo : lo + BLOCK + 2 * W - 2]
+        at, _, votes = _runs(block, np.array([0, len(block)]), ranks)
+        at = at + lo
+        if parts and parts[-1][0][-1] == at[0]:
+            parts[-1][1][-1] += votes[0]
+            at, votes = at[1:], votes[1:]
+        if len(at):
+            parts.append((at, votes))
+    at, votes = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    return at, np.zeros(len(at), np.int64), votes
+
+
+def _features(raw: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of the chosen windows of all rows, and each one's row."""
+    at, of, votes = _runs_in_blocks(raw, ranks) if len(offsets) == 2 and len(raw) > BLOCK else _runs(raw, offsets, ranks)
     # the window with most votes of each row stands in where none has enough
     order = np.lexsort((np.arange(len(at)), -votes, of))
     best = np.zeros(len(at), bool)
@@ -132,11 +159,14 @@ def likeness(one: bytes, two: bytes) -> float:
         parsed.append((np.unpackbits(packed, axis=1).astype(np.float32), sizes, d))
     parsed.sort(key=lambda x: (len(x[1]), x[1].sum(), x[2]))
     (x, nx, _), (y, ny, _) = parsed
-    common, sx, sy = x @ y.T, x.sum(1)[:, None], y.sum(1)[None, :]
-    chance, most = sx * sy / BITS, np.minimum(sx, sy)
-    floor = chance + 0.3 * (most - chance)
-    score = np.clip((common - floor) / np.maximum(most - floor, 1e-9), 0, 1)
-    return float(np.average(score.max(1), weights=nx))
+    best = []
+    for lo in range(0, len(x), 128):  # some filters of one against all of the other
+        some = x[lo : lo + 128]
+        common, sx, sy = some @ y.T, some.sum(1)[:, None], y.sum(1)[None, :]
+        chance, most = sx * sy / BITS, np.minimum(sx, sy)
+        floor = chance + 0.3 * (most - chance)
+        best.append(np.clip((common - floor) / np.maximum(most - floor, 1e-9), 0, 1).max(1))
+    return float(np.average(np.concatenate(best), weights=nx))
 
 
 def entropy_ranks(docs: DataFrame) -> np.ndarray:
@@ -149,6 +179,10 @@ def entropy_ranks(docs: DataFrame) -> np.ndarray:
             raw, offsets = text_bytes(batch.column(0))
             for a, b in pieces(offsets):
                 part, cuts = padded(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                if b - a == 1:
+                    for lo in range(0, len(part) - W + 1, BLOCK):
+                        total += np.bincount(levels(part[lo : lo + BLOCK + W - 1]), minlength=LEVELS)
+                    continue
                 inside = np.ones(len(part) - W + 1, bool)
                 for end in cuts[1:-1]:
                     inside[max(0, end - W + 1) : end] = False

@@ -13,20 +13,21 @@ Phrases are templates too: theirs need all votes on one diagonal and all words e
 
 Null text is empty text. Equal doc_ids with different texts are scanned apart, and repeated rows give
 repeated results. Empty texts have no words and null positions; an empty table gives no rows. Other
-columns are ignored.
+columns are ignored. A long text is walked in blocks: some 10 bytes of memory for each of its bytes, and only the words
+of spans become text.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import arrow_rows, grams, pieces, text_bytes, words
+from .base import arrow_rows, grams, pieces, text_bytes, word_hashes, words
 
 K, GAP, SHARE = 2, 8, 0.75
 WORD = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
@@ -70,6 +71,10 @@ def _templates() -> list[tuple[int, bool, str, list[str]]]:
     return [(i, i < len(PHRASES), label, word_list(text)) for i, (text, label) in enumerate(PHRASES + TEMPLATES)]
 
 
+#: Rows of one batch of grams.
+GRAM_ROWS = 1 << 16
+
+
 def text_grams(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, at, gram): all runs of K words of every text; text_key tells texts of one doc_id apart."""
     arrow_rows(docs.sparkSession)
@@ -79,13 +84,15 @@ def text_grams(docs: DataFrame) -> DataFrame:
             ids, keys = batch.column(0), batch.column(1)
             raw, offsets = text_bytes(batch.column(2))
             for a, b in pieces(offsets):
-                h, _, _, rows = words(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                g, at = grams(h, rows, K)
-                of = np.searchsorted(rows, at, "right") - 1
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(of + a)), keys.take(pa.array(of + a)), pa.array((at - rows[of]).astype(np.int32)), pa.array(g.view(np.int64))],
-                    ["doc_id", "text_key", "at", "gram"],
-                )
+                h, rows = word_hashes(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                g, places = grams(h, rows, K)
+                for lo in range(0, len(g), GRAM_ROWS):
+                    at = places[lo : lo + GRAM_ROWS]
+                    of = np.searchsorted(rows, at, "right") - 1
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(of + a)), keys.take(pa.array(of + a)), pa.array((at - rows[of]).astype(np.int32)), pa.array(g[lo : lo + GRAM_ROWS].view(np.int64))],
+                        ["doc_id", "text_key", "at", "gram"],
+                    )
 
     return docs.mapInArrow(run, "doc_id long, text_key long, at int, gram long")
 
@@ -153,37 +160,41 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     known = _templates()
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("base_at", pa.list_(pa.int64())), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())])
 
-    def check(text: str, spans: list[tuple[int, int, int]]) -> tuple:
-        ws = word_list(text)
+    def check(n: int, part: Callable[[int, int], list[str]], spans: list[tuple[int, int, int]]) -> tuple:
         base, labels, base_labels, score = set(), set(), set(), 0.0
         for number, first, last in spans:
             _, phrase, label, wanted = known[number]
-            here = ws[first : last + 1]
             if phrase:
-                if ws[first : first + len(wanted)] == wanted:
+                if part(first, first + len(wanted)) == wanted:
                     base.add((first, label))
                     base_labels.add(label)
                     score = 1.0
                 continue
-            share = share_of(here, wanted)
+            share = share_of(part(first, last + 1), wanted)
             score = max(score, share)
             if share >= SHARE:
                 labels.add(label)
-        return len(ws), [x for x, _ in sorted(base)], ",".join(sorted(base_labels)), ",".join(sorted(labels | base_labels)), score
+        return n, [x for x, _ in sorted(base)], ",".join(sorted(base_labels)), ",".join(sorted(labels | base_labels)), score
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_bytes(batch.column(1))
-            counts: list[np.ndarray] = []
-            for a, b in pieces(offsets):
-                counts.append(np.diff(words(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[3]))
             rows = []
-            for n, i in zip(np.concatenate(counts) if counts else [], range(len(batch)), strict=True):
-                if batch.column(2)[i].is_valid:
-                    spans = zip(*(batch.column(j)[i].as_py() for j in (2, 3, 4)), strict=True)
-                    rows.append(check(batch.column(1)[i].as_py(), list(spans)))
-                else:
-                    rows.append((int(n), [], "", "", 0.0))
+            for a, b in pieces(offsets):
+                own = raw[offsets[a] : offsets[b]]
+                _, starts, ends, cuts = words(own, offsets[a : b + 1] - offsets[a])
+                for i in range(a, b):
+                    n, base = int(cuts[i - a + 1] - cuts[i - a]), int(cuts[i - a])
+                    if not batch.column(2)[i].is_valid:
+                        rows.append((n, [], "", "", 0.0))
+                        continue
+
+                    def part(first: int, stop: int, n=n, base=base, own=own, starts=starts, ends=ends) -> list[str]:
+                        """Words first to stop of the row: only they become text."""
+                        first, stop = max(first, 0), min(stop, n)
+                        return word_list(bytes(own[starts[base + first] : ends[base + stop - 1]]).decode()) if first < stop else []
+
+                    rows.append(check(n, part, list(zip(*(batch.column(j)[i].as_py() for j in (2, 3, 4)), strict=True))))
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True))], schema=schema)
 

@@ -23,6 +23,8 @@
    node there, and shingles whose nodes are of one class go. Within a band (or shingle) the nodes of its largest
    class meet those of the others only, so a huge class costs its size, not the square of it.
 
+A long text is walked in blocks: some 12 bytes of memory for each of its bytes.
+
 Result: one row per document with its class number. Texts are nodes of their own, whatever their doc_ids.
 A node's number is the least doc_id of its text; of several texts with one such id all but the first, and
 texts known only under null ids, have 62 bits of their hash above HASHED instead. A class has its least
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import arrow_rows, cut, grams, mix, pieces, text_bytes, words
+from .base import arrow_rows, cut, grams, mix, pieces, text_bytes, word_hashes
 
 SHINGLE, SIMILAR, ROWS, BANDS = 5, 0.8, 8, 60
 M = ROWS * BANDS
@@ -55,8 +57,13 @@ CROWD = 256
 
 def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, shingle, count) of all rows' multisets, sorted by row and shingle."""
-    h, _, _, rows = words(raw, offsets)
+    h, rows = word_hashes(raw, offsets)
     g, at = grams(h, rows, SHINGLE)
+    if len(offsets) == 2 and len(g):  # a long text is alone: sorted in place
+        del h, at
+        g.sort()
+        new = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        return np.zeros(len(new), np.int64), g[new], np.diff(np.append(new, len(g)))
     of = np.searchsorted(rows, at, "right") - 1
     for i in np.flatnonzero((np.diff(rows) > 0) & (np.diff(rows) < SHINGLE)):
         one, _ = grams(h[rows[i] : rows[i + 1]], np.array([0, rows[i + 1] - rows[i]]), int(rows[i + 1] - rows[i]))
@@ -67,13 +74,27 @@ def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return of[new], g[new], np.diff(np.r_[new, len(g)])
 
 
+#: Elements whose points are drawn at once.
+BAG_BLOCK = 1 << 18
+
+
 def _uniform(x: np.ndarray) -> np.ndarray:
     return ((mix(x) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
 def bag_signatures(of: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int, m: int = M) -> np.ndarray:
-    """n x m signatures of multisets given as (row, element, integer weight); rows without elements stay infinite."""
+    """n x m signatures of multisets given as (row, element, integer weight); rows without elements stay infinite.
+
+    Elements come in blocks: a signature is the least over all of them, and what one block gives spares the next ones work.
+    """
     sig = np.full((n, m), np.inf)
+    for at in range(0, len(of), BAG_BLOCK):
+        _add_to_bags(sig, *(x[at : at + BAG_BLOCK] for x in (of, element, weight)))
+    return sig
+
+
+def _add_to_bags(sig: np.ndarray, of: np.ndarray, element: np.ndarray, weight: np.ndarray) -> None:
+    m = sig.shape[1]
     reach = np.where(weight > 1, np.ceil(np.log2(np.maximum(weight, 1))).astype(np.int64), 0) + 1
     row, w = np.repeat(of, reach), np.repeat(weight, reach)
     level = np.arange(len(row)) - np.repeat(np.cumsum(reach) - reach, reach)
@@ -94,7 +115,6 @@ def bag_signatures(of: np.ndarray, element: np.ndarray, weight: np.ndarray, n: i
         steps = min(64, steps * 2)
         go = time <= sig.max(1)[row]
         row, w, low, size, seed, time = row[go], w[go], low[go], size[go], seed[go], time[go]
-    return sig
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -168,8 +188,12 @@ def overlaps(pairs: DataFrame) -> DataFrame:
             sides = [text_bytes(batch.column(2)), text_bytes(batch.column(3))]
             for i in range(len(batch)):
                 (_, g1, n1), (_, g2, n2) = (shingles(raw[o[i] : o[i + 1]], np.array([0, o[i + 1] - o[i]])) for raw, o in sides)
-                _, x, y = np.intersect1d(g1, g2, assume_unique=True, return_indices=True)
-                both = np.minimum(n1[x], n2[y]).sum()
+                both = 0
+                for lo in range(0, len(g1), BAG_BLOCK):  # both are sorted
+                    some = g1[lo : lo + BAG_BLOCK]
+                    y = np.minimum(np.searchsorted(g2, some), max(len(g2) - 1, 0))
+                    hit = g2[y] == some if len(g2) else np.zeros(len(some), bool)
+                    both += np.minimum(n1[lo : lo + BAG_BLOCK][hit], n2[y[hit]] if len(g2) else 0).sum()
                 every = n1.sum() + n2.sum() - both
                 out[i] = both / every if every else 0.0
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], ["a", "b", "similarity"])

@@ -7,6 +7,7 @@ statistics); that bound is the only use of a sample, and only their statistics r
 DEPTH times by the split of largest gain and is stored as a complete tree in three arrays, which numpy
 walks for all rows of a batch at once. Every document is scored whole.
 
+A long text is walked in blocks: some 5 bytes of memory for each of its bytes.
 Null text is empty text and gets a score like any other. A label that is null or a document with several
 labels: null labels are left out, and of several the largest counts. Without any labelled row every score
 is 0.5. Repeated rows get equal scores; an empty table gives no rows; other columns are ignored.
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, StructField, StructType
 
-from .base import arrow_rows, mix, pieces, text_bytes, words
+from .base import arrow_rows, mix, pieces, text_bytes, word_blocks, words
 
 SAMPLE, BINS, DEPTH, TREES, RATE, SMOOTH, CUT = 20_000, 64, 4, 80, 0.15, 5.0, 0.3
 
@@ -57,9 +58,70 @@ def _grouped(values: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, n
     return np.bincount(r[new], minlength=n).astype(float), top
 
 
+#: Bytes of a longer row that are counted at once.
+BLOCK = 1 << 20
+
+
+def _long_statistics(raw: np.ndarray) -> np.ndarray:
+    """statistics() of one long row: bytes are counted in blocks; of its words only hashes are kept, 8 bytes each, and sorted in place."""
+    of_byte = sum(np.bincount(raw[lo : lo + BLOCK], minlength=256) for lo in range(0, len(raw), BLOCK)).astype(float)
+    share = np.bincount(_OF, of_byte, len(_CLASSES)) / len(raw)
+    of_byte /= len(raw)
+    entropy = -(of_byte * np.log2(np.maximum(of_byte, 1e-12))).sum()
+    hashes, lines, chars, long, row, spot, partial, last = [], [], 0, 0, -1, 0, 0, 0
+    newlines = 0  # before the byte ``last``
+    for h, starts, ends in word_blocks(raw, np.array([0, len(raw)])):
+        if not len(h):
+            continue
+        chars += int((ends - starts).sum())
+        long += int((ends - starts > 20).sum())
+        hashes.append(h)
+        here = np.flatnonzero(raw[last : starts[-1]] == 10) + last
+        line = newlines + np.searchsorted(here, starts)
+        newlines, last = newlines + len(here), int(starts[-1])
+        first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+        place = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h))))
+        goes_on = line == row
+        place[goes_on] += spot  # the words of the line that the last block left open come before
+        sums = np.add.reduceat(mix(h + place.astype(np.uint64)), first)
+        if goes_on[0]:
+            sums[0] = np.uint64((int(sums[0]) + partial) % 2**64)
+        elif row >= 0:
+            lines.append(np.array([partial], np.uint64))
+        row, spot, partial = int(line[-1]), int(place[-1]) + 1, int(sums[-1])
+        lines.append(sums[:-1])
+    if row >= 0:
+        lines.append(np.array([partial], np.uint64))
+    h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    del hashes
+    n_words, n_lines = float(len(h)), float(sum(map(len, lines)))
+    again = sum(int((h[lo + 1 : lo + BLOCK + 1] == h[lo : lo + BLOCK][: len(h) - lo - 1]).sum()) for lo in range(0, len(h), BLOCK))
+
+    def distinct(values: np.ndarray) -> tuple[float, float]:
+        if not len(values):
+            return 0.0, 0.0
+        values.sort()
+        new = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        return float(len(new)), float(np.diff(np.append(new, len(values))).max())
+
+    pair = np.empty(max(len(h) - 1, 0), np.uint64)
+    for lo in range(0, len(pair), BLOCK):
+        after, before = h[lo + 1 : lo + BLOCK + 1], h[lo : lo + BLOCK]
+        pair[lo : lo + BLOCK] = mix(after * np.uint64(3) + before[: len(after)])
+    pairs, _ = distinct(pair)
+    del pair
+    words_, top = distinct(h)
+    distinct_lines, _ = distinct(np.concatenate(lines) if lines else np.zeros(0, np.uint64))
+    some, most = max(n_words, 1.0), max(n_lines, 1.0)
+    more = [np.log1p(float(len(raw))), np.log1p(n_words), chars / some, words_ / some, again / some, pairs / some, top / some, distinct_lines / most, n_words / most, entropy, long / some]
+    return np.concatenate([share, more])[None, :]
+
+
 def statistics(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Rows x len(NAMES) statistics."""
     n = len(offsets) - 1
+    if n == 1 and len(raw) > BLOCK:
+        return _long_statistics(raw)
     size = np.diff(offsets).astype(float)
     row = np.repeat(np.arange(n), np.diff(offsets))
     share = np.bincount(row * len(_CLASSES) + _OF[raw], minlength=n * len(_CLASSES)).reshape(n, -1) / np.maximum(size, 1)[:, None]
