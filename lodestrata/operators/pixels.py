@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import scalars as S
 from .contracts import enforce, violations
+from .quantiles import exact_quantiles
 
 PIXEL, TILE = 30.0, 96000.0
 MIN_VALID = 0.95
@@ -183,4 +184,6 @@ def invalid_rates(breakdown: DataFrame, by: list[str]) -> DataFrame:
     """Over groups: how many there are, how many fail, and median, P90 and maximum of the failing ones' invalid share."""
     fails = F.col("n_invalid") > F.col("n_member") - F.ceil(F.round(F.col("n_member") * MIN_VALID, 9))
     share = F.when(fails, F.col("invalid_share"))
-    return breakdown.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(fails).alias("n_failing"), F.percentile(share, 0.5).alias("median"), F.percentile(share, 0.9).alias("p90"), F.max(share).alias("most"))
+    sums = breakdown.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(fails).alias("n_failing"), F.max(share).alias("most"))
+    middle = exact_quantiles(breakdown.withColumn("_share", share), by, "_share", {"median": 0.5, "p90": 0.9})
+    return sums.join(middle, by, "left").select(*by, "n", "n_failing", "median", "p90", "most")

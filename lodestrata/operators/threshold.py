@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from .contracts import keep_first
+from .quantiles import exact_quantiles
 
 REGIONS = ("pilbara", "goldfields_esperance", "other_wa")
 MIN_FOOTPRINTS, MIN_YEARS, SELECT_N, FULL_PX = 10, 10, 30, 144
@@ -47,18 +48,14 @@ def select_footprints(footprints: DataFrame) -> DataFrame:
     return ranked.join(F.broadcast(adequate), STRATUM).select(*STRATUM, "footprint_id")  # at most 54 strata
 
 
-def _finite(c: str):
-    return F.when(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf")), F.col(c))
-
-
 def p90_cells(errors: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
     """Linear P90 of the pooled finite errors; null fails."""
-    g = errors.groupBy(*keys).agg(F.percentile(_finite("abs_error"), 0.9).alias("value"))
+    g = errors.select(*keys).distinct().join(exact_quantiles(errors, keys, "abs_error", {"value": 0.9}), keys, "left")
     return g.select(*keys, F.lit("p90_abs_error").alias("criterion"), "value", F.coalesce(F.col("value") <= tolerance, F.lit(False)).alias("passed"))
 
 
 def spearman_cells(rhos: DataFrame, keys: list[str], least: float) -> DataFrame:
-    g = rhos.groupBy(*keys).agg(F.median(_finite("rho")).alias("value"))
+    g = rhos.select(*keys).distinct().join(exact_quantiles(rhos, keys, "rho", {"value": 0.5}), keys, "left")
     return g.select(*keys, F.lit("spearman_median").alias("criterion"), "value", F.coalesce(F.col("value") >= least, F.lit(False)).alias("passed"))
 
 

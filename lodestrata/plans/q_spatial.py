@@ -8,6 +8,7 @@ from ..functions import geometry as G
 from ..operators import contracts as C
 from ..operators import register as R
 from ..operators import spatial as X
+from ..operators.quantiles import exact_quantiles
 from .fixtures import compound_polygons, fire_polygons, footprint_polygons, planted, planted_sql, region_polygons, view, with_views
 from .registry import query
 
@@ -92,10 +93,13 @@ def high_confidence(spark, sf):
 )
 def sharing_stats(spark, sf):
     per = crosswalk_rows(spark, sf).filter("footprint_id IS NOT NULL").groupBy("footprint_id").agg(F.count_distinct("site_id").alias("n"))
-    return per.agg(
-        F.count("*").alias("footprints"), F.sum("n").alias("pairs"), F.round(F.avg("n"), 6).alias("mean_sites"), F.round(F.percentile("n", 0.5), 6).alias("median_sites"), F.max("n").alias("max_sites"),
+    sums = per.agg(
+        F.lit(1).alias("one"),
+        F.count("*").alias("footprints"), F.sum("n").alias("pairs"), F.round(F.avg("n"), 6).alias("mean_sites"), F.max("n").alias("max_sites"),
         F.round(F.count_if(F.col("n") > 1) / F.count("*"), 6).alias("shared_share"), F.round(F.sum("n") / F.count("*"), 6).alias("amplification"),
     )
+    middle = exact_quantiles(per, [], "n", {"median_sites": 0.5}).select(F.lit(1).alias("one"), F.round("median_sites", 6).alias("median_sites"))
+    return sums.join(middle, "one", "left").drop("one")
 
 
 REGION_NAMES = {"AFRICA": "pilbara", "AMERICA": "goldfields"}
