@@ -172,12 +172,17 @@ def centroid(rings: Column) -> dict[str, Column]:
 def interior_point(rings: Column) -> Column:
     """struct<x,y> strictly inside: the middle of the widest filled interval of a line across the polygon.
 
-    The line runs halfway between the two corner heights nearest the middle, so it meets no corner.
+    The line runs halfway between two neighbouring corner heights, so it meets no corner: those nearest the middle one
+    between which the polygon has an edge, as parts may leave a gap there.
     """
     es = edges(rings)
     heights = F.array_sort(F.array_distinct(F.transform(F.flatten(rings), lambda p: p["y"])))
     at = F.floor(F.size(heights) / 2).cast("int")
-    y = (F.element_at(heights, at) + F.element_at(heights, at + 1)) / 2
+    between = lambda k: (F.element_at(heights, k) + F.element_at(heights, k + 1)) / 2
+    filled = lambda k: F.exists(es, lambda e: (e["y1"] > between(k)) != (e["y2"] > between(k)))
+    others = F.filter(F.sequence(F.lit(1), F.size(heights) - 1), filled)
+    nearest = F.array_min(F.transform(others, lambda k: F.struct(F.abs(k - at).alias("far"), k.alias("k"))))["k"]
+    y = between(F.when(filled(at), at).otherwise(nearest))
     hit = F.filter(es, lambda e: (e["y1"] > y) != (e["y2"] > y))
     xs = F.array_sort(F.transform(hit, lambda e: e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])))
     gaps = F.transform(F.sequence(F.lit(1), F.size(xs) - 1, F.lit(2)), lambda i: F.struct((F.element_at(xs, i + 1) - F.element_at(xs, i)).alias("w"), ((F.element_at(xs, i + 1) + F.element_at(xs, i)) / 2).alias("x")))

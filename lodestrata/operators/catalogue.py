@@ -119,7 +119,31 @@ def volume_estimate(footprints: DataFrame, epochs: DataFrame, assets: DataFrame,
     out = rows.join(F.broadcast(assets), "source_id", "left")
     observed = F.col("sample_bytes").isNotNull()
     raw = F.col("px_years") * F.col("n_assets") * F.coalesce("sample_bytes", F.lit(ASSUMED_BYTES))
-    return out.select("source_id", "px_years", "footprint_years", F.when(observed, "observed").otherwise("assumed").alias("bytes_basis"), raw.alias("raw_bytes"), F.round(raw * COMPRESSION).cast("long").alias("estimated_bytes"))
+    return out.select("source_id", "px_years", "footprint_years", F.when(observed, "observed").otherwise("assumed").alias("bytes_basis"), raw.alias("raw_bytes"), F.floor(raw * F.lit(COMPRESSION)).cast("long").alias("estimated_bytes"))
+
+
+def volume_bounds(footprints: DataFrame, epochs: DataFrame, assets: DataFrame, tile_years: DataFrame, side: Column, tile_side: int) -> DataFrame:
+    """By source: raw and estimated bytes, range requests, tile-years and the bytes of whole tiles, which no read exceeds.
+
+    As volume_estimate(), with assets also of (block_w, block_h) and tile_years of (source_id, tx, ty, item_year). A request reads
+    one block of one asset; where a source with epochs has no block size, its requests are not known: null.
+    """
+    px = footprints.select("footprint_id", side.alias("side"))
+    rows = epochs.join(px, "footprint_id").join(F.broadcast(assets), "source_id")  # assets: one row a source
+    size, n = F.coalesce("sample_bytes", F.lit(ASSUMED_BYTES)), F.col("n_years") * F.col("n_assets")
+    blocks = F.ceil(F.col("side") / F.col("block_w")) * F.ceil(F.col("side") / F.col("block_h"))
+    read = rows.groupBy("source_id").agg(F.sum(F.col("side") * F.col("side") * n * size).alias("raw_bytes"), F.when(F.count_if((F.col("n_years") > 0) & (blocks * n).isNull()) == 0, F.coalesce(F.sum(blocks * n), F.lit(0))).alias("requests"))
+    tiles = tile_years.select("source_id", "tx", "ty", "item_year").distinct().groupBy("source_id").agg(F.count("*").alias("n_tile_years"))
+    out = assets.select("source_id", "n_assets", size.alias("_size")).join(read, "source_id", "left").join(tiles, "source_id", "left")
+    raw, years = F.coalesce("raw_bytes", F.lit(0)), F.coalesce("n_tile_years", F.lit(0))
+    requests = F.when(F.col("raw_bytes").isNull(), F.lit(0)).otherwise(F.col("requests"))
+    return out.select("source_id", raw.alias("raw_bytes"), F.floor(raw * F.lit(COMPRESSION)).cast("long").alias("estimated_bytes"), requests.cast("long").alias("requests"), years.alias("n_tile_years"), (years * tile_side * tile_side * F.col("n_assets") * F.col("_size")).alias("upper_bound_bytes"))
+
+
+def volume_totals(bounds: DataFrame) -> DataFrame:
+    """One row over all sources: the raw bytes compressed once, not the sum of what was cut off by source; requests null if those of any source are."""
+    requests = F.when(F.count_if(F.col("requests").isNull()) == 0, F.sum("requests"))
+    return bounds.agg(F.floor(F.sum("raw_bytes") * F.lit(COMPRESSION)).cast("long").alias("estimated_bytes"), requests.alias("requests"), F.sum("upper_bound_bytes").alias("upper_bound_bytes"))
 
 
 def epoch_covered_years(footprint_tiles: DataFrame, items: DataFrame) -> DataFrame:

@@ -155,6 +155,16 @@ def daily_grid_checks(daily: DataFrame) -> DataFrame:
     return full.withColumn("missing_days", S.expected_days(F.col("year")) - F.col("n_days")).filter("missing_days <> 0")
 
 
+def cover_checks(cells: DataFrame, x: str, y: str, box: tuple[float, float, float, float], step: float) -> DataFrame:
+    """(check, n, examples): sides of ``box`` (minx, miny, maxx, maxy) that a grid's outermost cells, half a step wide to either side, do not reach; all four of an empty grid."""
+    half = step / 2 + 1e-6
+    at = cells.agg(F.min(x).alias("x1"), F.min(y).alias("y1"), F.max(x).alias("x2"), F.max(y).alias("y2"))
+    sides = {"west": ("x1", F.col("x1") - half <= box[0]), "south": ("y1", F.col("y1") - half <= box[1]), "east": ("x2", F.col("x2") + half >= box[2]), "north": ("y2", F.col("y2") + half >= box[3])}
+    short = {side: ~F.coalesce(reached, F.lit(False)) for side, (_, reached) in sides.items()}
+    rows = [F.struct(F.lit(f"short_{side}").alias("check"), short[side].cast("long").alias("n"), F.when(short[side], F.coalesce((F.col(c) + 0.0).cast("string"), F.lit(""))).otherwise("").alias("examples")) for side, (c, _) in sides.items()]
+    return at.select(F.explode(F.array(*rows)).alias("c")).select("c.*")
+
+
 def spacing_checks(axis: DataFrame, value: str, step: float) -> DataFrame:
     """One row: distinct values of a grid axis and how many gaps between neighbours differ from the step. Values are the grid's, not the table's, so one sort holds them."""
     v = axis.select(F.col(value).alias("v")).distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .contracts import counts_with_total, keep_first
+from .contracts import counts_with_total, duplicates, keep_first, together
 
 
 def owners_by_project(owners: DataFrame) -> DataFrame:
@@ -125,3 +125,27 @@ def code_bundle_checks(sites: DataFrame, owners: DataFrame) -> DataFrame:
     counted = sites.agg(*[F.count_if(c).alias(k) for k, c in extra.items()])
     flat = counted.select(F.explode(F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("n")) for k in extra])).alias("c")).select("c.*")
     return flat.unionByName(repeated).unionByName(orphans).unionByName(unowned)
+
+
+def bundle_totals(sites: DataFrame, owners: DataFrame, layer: DataFrame) -> DataFrame:
+    """(total, n): what is told of a bundle and not refused, of its sites, owners and the layer (site_id) that comes beside them."""
+    repeated = sites.filter(F.col("site_id").isNotNull()).groupBy("site_id").count().filter("count > 1")
+    current = S.is_blank(F.col("end_date"))
+    known = ~S.is_blank(F.col("project_code"))
+    absent = sites.select("site_id").dropna().distinct().join(layer.select("site_id").dropna().distinct(), "site_id", "left_anti")
+    frames = [
+        repeated.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows_of_duplicated_ids")),
+        sites.agg(F.count_distinct(F.when(known, F.col("project_code"))).alias("projects")),
+        owners.agg(F.count_distinct(F.when(known & current, F.col("project_code"))).alias("projects_with_current_owner"), F.count_if(current).alias("owner_rows_current"), F.count_if(~current).alias("owner_rows_ended")),
+        absent.agg(F.count("*").alias("sites_absent_from_layer")),
+        layer.agg(F.count("*").alias("layer_rows")),
+    ]
+    return together(*[f.select(F.explode(F.array(*[F.struct(F.lit(c).alias("total"), F.col(c).cast("long").alias("n")) for c in f.columns])).alias("x")).select("x.*") for f in frames])
+
+
+def bundle_refusals(tables: dict[str, tuple[DataFrame, str]], layer: DataFrame) -> DataFrame:
+    """(check, n, examples): extract dates beyond the one that all tables (name -> frame, its date column) must share, and repeated ids of the layer."""
+    dates = together(*[df.select(F.col(c).cast("string").alias("date")).dropna().distinct().withColumn("name", F.lit(name)) for name, (df, c) in tables.items()])
+    shown = F.concat_ws("=", "name", "date")
+    one = dates.agg(F.lit("extract_dates").alias("check"), F.abs(F.count_distinct("date") - 1).alias("n"), F.concat_ws(",", F.min(shown), F.max(shown)).alias("examples"))
+    return one.unionByName(duplicates(layer.filter(F.col("site_id").isNotNull()), ["site_id"], "duplicate_layer_id"))

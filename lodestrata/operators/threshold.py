@@ -144,3 +144,11 @@ def missing_metrics(present: DataFrame, kinds: dict[str, tuple[str, ...]]) -> Da
     need = present.sparkSession.createDataFrame([(k, m) for k, ms in kinds.items() for m in ms], "kind string, metric string")
     want = present.select("stratum", "source_id", "kind").distinct().join(F.broadcast(need), "kind")
     return want.join(present, ["stratum", "source_id", "metric"], "left_anti").select("stratum", "source_id", "metric")
+
+
+def eligible_by_region(verdicts: DataFrame, regions: DataFrame, key: str = "row_no") -> DataFrame:
+    """region, n_sites, n_footprints: eligible sites and the distinct footprints behind them by region (null where none covers a site), and in all."""
+    eligible = verdicts.filter(F.col("trajectory_status") == "eligible").select(key, "footprint_id").join(regions.select(key, "region_name"), key, "left")
+    each = eligible.groupBy("region_name", "footprint_id").agg(F.count("*").alias("_n"))  # combined before footprints are told apart
+    by = each.groupBy("region_name").agg(F.sum("_n").alias("n_sites"), F.count_distinct("footprint_id").alias("n_footprints"))
+    return by.select(F.col("region_name").alias("region"), "n_sites", "n_footprints").unionByName(each.agg(F.lit("total").alias("region"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n_sites"), F.count_distinct("footprint_id").alias("n_footprints")))

@@ -159,7 +159,7 @@ def coverage_rates(spark, sf):
     f"""{_COVERED}, e AS (SELECT footprint_id, source_id, count(DISTINCT item_year) AS n_years FROM ft JOIN catalogue USING (tx, ty) GROUP BY 1, 2), px AS (SELECT footprint_id, power(greatest(CAST(ceil((2 * greatest(hx, hy) + 600) / 30.0) AS BIGINT) + 1, 67), 2)::BIGINT AS window_px FROM footprints),
 a AS (SELECT * FROM (VALUES ('fc', 3, 1), ('gm5', 2, 2), ('gm7', 2, 2), ('gm8', 2, NULL)) t(source_id, n_assets, sample_bytes)),
 r AS (SELECT source_id, CAST(sum(window_px * n_years) AS BIGINT) AS px_years, CAST(sum(n_years) AS BIGINT) AS footprint_years FROM e JOIN px USING (footprint_id) GROUP BY 1)
-SELECT source_id, px_years, footprint_years, CASE WHEN sample_bytes IS NOT NULL THEN 'observed' ELSE 'assumed' END AS bytes_basis, px_years * n_assets * coalesce(sample_bytes, 2) AS raw_bytes, CAST(round(px_years * n_assets * coalesce(sample_bytes, 2) * 0.6) AS BIGINT) AS estimated_bytes FROM r JOIN a USING (source_id)""",
+SELECT source_id, px_years, footprint_years, CASE WHEN sample_bytes IS NOT NULL THEN 'observed' ELSE 'assumed' END AS bytes_basis, px_years * n_assets * coalesce(sample_bytes, 2) AS raw_bytes, CAST(floor(px_years * n_assets * coalesce(sample_bytes, 2) * CAST(0.6 AS DOUBLE)) AS BIGINT) AS estimated_bytes FROM r JOIN a USING (source_id)""",
 )
 def volume_estimate(spark, sf):
     epochs = footprint_tiles(spark, sf).join(view(spark, sf, "catalogue"), ["tx", "ty"]).groupBy("footprint_id", "source_id").agg(F.count_distinct("item_year").alias("n_years"))
@@ -167,3 +167,28 @@ def volume_estimate(spark, sf):
     side = S.window_side(2 * F.greatest("hx", "hy"))
     f = view(spark, sf, "footprints")
     return K.volume_estimate(f, epochs, assets, side)
+
+
+_BOUNDS = f"""{_COVERED}, e AS (SELECT footprint_id, source_id, count(DISTINCT item_year) AS n_years FROM ft JOIN catalogue USING (tx, ty) GROUP BY 1, 2), px AS (SELECT footprint_id, greatest(CAST(ceil((2 * greatest(hx, hy) + 600) / 30.0) AS BIGINT) + 1, 67) AS side FROM footprints),
+a AS (SELECT * FROM (VALUES ('fc', 3, 1, 512, 256), ('gm5', 2, 2, 512, 512), ('gm7', 2, 2, 256, 512), ('gm8', 2, NULL, NULL, 512), ('gm9', 2, 2, NULL, NULL)) t(source_id, n_assets, sample_bytes, block_w, block_h)),
+r AS (SELECT source_id, CAST(sum(side * side * n_years * n_assets * coalesce(sample_bytes, 2)) AS BIGINT) AS raw_bytes, CASE WHEN count(*) FILTER (block_w IS NULL OR block_h IS NULL) = 0 THEN CAST(sum(ceil(side / block_w) * ceil(side / block_h) * n_years * n_assets) AS BIGINT) END AS requests FROM e JOIN px USING (footprint_id) JOIN a USING (source_id) GROUP BY 1),
+t AS (SELECT source_id, count(*) AS n FROM (SELECT DISTINCT source_id, tx, ty, item_year FROM ft JOIN catalogue USING (tx, ty) WHERE item_year BETWEEN 1993 AND 1997) GROUP BY 1),
+bounds AS (SELECT a.source_id, coalesce(raw_bytes, 0) AS raw_bytes, CAST(floor(coalesce(raw_bytes, 0) * CAST(0.6 AS DOUBLE)) AS BIGINT) AS estimated_bytes, CASE WHEN raw_bytes IS NULL THEN 0 ELSE requests END AS requests, coalesce(n, 0) AS n_tile_years, coalesce(n, 0) * 3200 * 3200 * n_assets * coalesce(sample_bytes, 2) AS upper_bound_bytes FROM a LEFT JOIN r USING (source_id) LEFT JOIN t USING (source_id))"""
+
+
+def _volume_bounds(spark, sf):
+    at = footprint_tiles(spark, sf).join(view(spark, sf, "catalogue"), ["tx", "ty"])
+    epochs = at.groupBy("footprint_id", "source_id").agg(F.count_distinct("item_year").alias("n_years"))
+    rows = [("fc", 3, 1, 512, 256), ("gm5", 2, 2, 512, 512), ("gm7", 2, 2, 256, 512), ("gm8", 2, None, None, 512), ("gm9", 2, 2, None, None)]
+    assets = spark.createDataFrame(rows, "source_id string, n_assets int, sample_bytes int, block_w int, block_h int")
+    return K.volume_bounds(view(spark, sf, "footprints"), epochs, assets, at.filter("item_year BETWEEN 1993 AND 1997"), S.window_side(2 * F.greatest("hx", "hy")), 3200)
+
+
+@query("a10_volume_bounds", f"{_BOUNDS} SELECT * FROM bounds")
+def volume_bounds(spark, sf):
+    return _volume_bounds(spark, sf)
+
+
+@query("a10_volume_totals", f"{_BOUNDS} SELECT CAST(floor(sum(raw_bytes) * CAST(0.6 AS DOUBLE)) AS BIGINT) AS estimated_bytes, CASE WHEN count(*) FILTER (requests IS NULL) = 0 THEN CAST(sum(requests) AS BIGINT) END AS requests, CAST(sum(upper_bound_bytes) AS BIGINT) AS upper_bound_bytes FROM bounds")
+def volume_totals(spark, sf):
+    return K.volume_totals(_volume_bounds(spark, sf))

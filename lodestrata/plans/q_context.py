@@ -152,6 +152,17 @@ def grid_spacing(spark, sf):
     return K.spacing_checks(spark.read.parquet(f"{sf}/lineitem.parquet").select(F.when(v == 0.05, 0.2).otherwise(v).alias("v0")), "v0", 0.01)
 
 
+@query(
+    "v10_grid_cover",
+    """WITH c AS (SELECT min(CAST(l_tax AS DOUBLE)) AS x1, max(CAST(l_tax AS DOUBLE)) AS x2, min(CAST(l_discount AS DOUBLE)) AS y1, max(CAST(l_discount AS DOUBLE)) AS y2 FROM lineitem)
+SELECT 'short_west' AS "check", CAST(x1 - 0.005 > 0.004 AS BIGINT) AS n, '' AS examples FROM c UNION ALL SELECT 'short_south', CAST(y1 - 0.005 > -0.02 AS BIGINT), CAST(y1 + 0.0 AS VARCHAR) FROM c UNION ALL SELECT 'short_east', CAST(x2 + 0.005 < 0.084 AS BIGINT), '' FROM c UNION ALL SELECT 'short_north', CAST(y2 + 0.005 < 0.2 AS BIGINT), CAST(y2 AS VARCHAR) FROM c""",
+)
+def grid_cover(spark, sf):
+    """A grid that reaches two sides of the box that it must cover, and not the other two."""
+    cells = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_tax").cast("double").alias("lon"), F.col("l_discount").cast("double").alias("lat"))
+    return K.cover_checks(cells, "lon", "lat", (0.004, -0.02, 0.084, 0.2), 0.01)
+
+
 @query("v14_context_holes", f"{with_views('catalogue')} SELECT year, CASE WHEN year >= 1996 THEN 'hole' ELSE 'absent' END AS verdict FROM (SELECT DISTINCT item_year AS year FROM catalogue) WHERE year NOT IN (1996, 1997, 1999)")
 def context_holes(spark, sf):
     c = view(spark, sf, "catalogue").select(F.col("item_year").alias("year"))

@@ -111,6 +111,38 @@ def code_bundle(spark, sf):
     return R.code_bundle_checks(view(spark, sf, "sites"), view(spark, sf, "owners"))
 
 
+_BUNDLE = f"""{with_views("sites", "owners")}, layer AS (SELECT site_id, row_no FROM sites WHERE row_no % 7 <> 3 AND site_id IS NOT NULL UNION ALL SELECT site_id, row_no FROM sites WHERE row_no % 53 = 0)"""
+
+
+def _layer(spark, sf):
+    """A second layer of sites: some are not in it, some are twice."""
+    s = view(spark, sf, "sites").select("site_id", "row_no")
+    return s.filter("row_no % 7 <> 3 AND site_id IS NOT NULL").unionByName(s.filter("row_no % 53 = 0"))
+
+
+@query(
+    "v06_bundle_totals",
+    f"""{_BUNDLE} SELECT 'rows_of_duplicated_ids' AS total, coalesce(CAST(sum(n) AS BIGINT), 0) AS n FROM (SELECT count(*) AS n FROM sites WHERE site_id IS NOT NULL GROUP BY site_id HAVING count(*) > 1)
+UNION ALL SELECT 'projects', count(DISTINCT project_code) FROM sites WHERE trim(project_code) <> '' UNION ALL SELECT 'projects_with_current_owner', count(DISTINCT project_code) FROM owners WHERE coalesce(trim(end_date), '') = '' AND trim(project_code) <> ''
+UNION ALL SELECT 'owner_rows_current', count(*) FROM owners WHERE coalesce(trim(end_date), '') = '' UNION ALL SELECT 'owner_rows_ended', count(*) FROM owners WHERE coalesce(trim(end_date), '') <> ''
+UNION ALL SELECT 'sites_absent_from_layer', count(DISTINCT site_id) FROM sites WHERE site_id IS NOT NULL AND site_id NOT IN (SELECT site_id FROM layer WHERE site_id IS NOT NULL) UNION ALL SELECT 'layer_rows', count(*) FROM layer""",
+)
+def bundle_totals(spark, sf):
+    return R.bundle_totals(view(spark, sf, "sites"), view(spark, sf, "owners"), _layer(spark, sf))
+
+
+@query(
+    "v06_bundle_refusals",
+    f"""{_BUNDLE}, dates AS (SELECT DISTINCT 'sites' AS name, CASE WHEN row_no % 1009 = 1 THEN '2026-08-15' ELSE '2026-08-14' END AS date FROM sites UNION SELECT 'owners', '2026-08-14' FROM owners UNION SELECT 'layer', '2026-08-13' FROM layer),
+d AS (SELECT site_id FROM layer WHERE site_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) SELECT 'extract_dates' AS "check", count(DISTINCT date) - 1 AS n, concat_ws(',', min(concat(name, '=', date)), max(concat(name, '=', date))) AS examples FROM dates UNION ALL SELECT 'duplicate_layer_id', count(*), concat_ws(',', min(site_id), max(site_id)) FROM d""",
+)
+def bundle_refusals(spark, sf):
+    """Dates of three tables of which one is of another day and one of two; ids of a layer of which some come twice."""
+    sites = view(spark, sf, "sites").withColumn("date", F.when(F.col("row_no") % 1009 == 1, "2026-08-15").otherwise("2026-08-14"))
+    owners, layer = view(spark, sf, "owners").withColumn("date", F.lit("2026-08-14")), _layer(spark, sf)
+    return R.bundle_refusals({"sites": (sites, "date"), "owners": (owners, "date"), "layer": (layer.withColumn("date", F.lit("2026-08-13")), "date")}, layer)
+
+
 @query("w8_single_status", f"{with_views('sites')} SELECT project_code, count(DISTINCT stage) AS n_values, min(stage) AS stage FROM sites WHERE project_code IS NOT NULL GROUP BY 1")
 def single_status(spark, sf):
     return C.single_value(view(spark, sf, "sites").filter("project_code IS NOT NULL"), ["project_code"], "stage")

@@ -170,11 +170,14 @@ _STEEP = "CASE WHEN ah * bw >= bh * aw THEN {0} ELSE {1} END"
 _DIAMONDS = f"(dx + {_STEEP.format('aw / ah', 'bw / bh')} * dy < aw + bw) AND (dy + {_STEEP.format('bh / bw', 'ah / aw')} * dx < ah + bh)"
 
 
+_NEAR_PAIRS = "near_pairs AS (SELECT a.footprint_id AS a, b.footprint_id AS b, abs(a.cx - b.cx) AS dx, abs(a.cy - b.cy) AS dy, a.kind AS ka, b.kind AS kb, a.hx AS aw, a.hy AS ah, b.hx AS bw, b.hy AS bh FROM footprints a JOIN footprints b ON a.footprint_id < b.footprint_id AND abs(a.cx - b.cx) < a.hx + b.hx AND abs(a.cy - b.cy) < a.hy + b.hy"
+_OVERLAP = f"""CASE WHEN ka = 'rect' AND kb = 'rect' THEN true WHEN kb = 'rect' THEN greatest(dx - bw, 0) * ah + greatest(dy - bh, 0) * aw < aw * ah WHEN ka = 'rect' THEN greatest(dx - aw, 0) * bh + greatest(dy - ah, 0) * bw < bw * bh
+ ELSE {_DIAMONDS} END"""
+
+
 @query(
     "j24_v11_region_overlaps",
-    f"""{with_views("footprints")}, s AS (SELECT a.footprint_id AS a, b.footprint_id AS b, abs(a.cx - b.cx) AS dx, abs(a.cy - b.cy) AS dy, a.kind AS ka, b.kind AS kb, a.hx AS aw, a.hy AS ah, b.hx AS bw, b.hy AS bh FROM footprints a JOIN footprints b ON a.footprint_id < b.footprint_id AND abs(a.cx - b.cx) < a.hx + b.hx AND abs(a.cy - b.cy) < a.hy + b.hy)
- SELECT a, b FROM s WHERE CASE WHEN ka = 'rect' AND kb = 'rect' THEN true WHEN kb = 'rect' THEN greatest(dx - bw, 0) * ah + greatest(dy - bh, 0) * aw < aw * ah WHEN ka = 'rect' THEN greatest(dx - aw, 0) * bh + greatest(dy - ah, 0) * bw < bw * bh
- ELSE {_DIAMONDS} END""",
+    f"""{with_views("footprints")}, {_NEAR_PAIRS}) SELECT a, b FROM near_pairs WHERE {_OVERLAP}""",
 )
 def region_overlaps(spark, sf):
     return X.overlapping_pairs(footprint_polygons(spark, sf), "footprint_id", CELL)
@@ -237,6 +240,29 @@ def interior_points(spark, sf):
     return p.select("footprint_id", G.contains(G.edges(F.col("rings")), F.col("p.x"), F.col("p.y")).alias("inside"), G.unusable_reason(F.col("rings")).alias("reason"))
 
 
+_BROKEN = {0: "'null'", 1: "'self_intersecting'", 2: "'degenerate'", 3: "'empty'"}
+
+
+@query(
+    "p28_p29_compound_points",
+    f"""{with_views("compounds")} SELECT compound_id, CASE WHEN k % 9 > 3 THEN round(CASE kind WHEN 'frame' THEN cx + 0.75 * hx ELSE cx END, 4) END AS inner_x, CASE WHEN k % 9 > 3 THEN round(cy, 4) END AS inner_y, CASE k % 9 {" ".join(f"WHEN {k} THEN {v}" for k, v in _BROKEN.items())} END AS reason
+FROM (SELECT *, row_number() OVER (ORDER BY compound_id) - 1 AS k FROM compounds)""",
+)
+def compound_points(spark, sf):
+    """Interior points of polygons with holes and with parts apart, four in nine of which are broken, each in its own way."""
+    p = C.numbered(compound_polygons(spark, sf).orderBy("compound_id"), "k")
+    x, y, w, h = (F.col(c) for c in ("cx", "cy", "hx", "hy"))
+    bow = F.array(G.ring((x - w, y - h), (x + w, y + h), (x + w, y - h), (x - w, y + 2 * h)))
+    flat = F.array(G.ring((x - w, y), (x, y), (x + w, y)))
+    none = F.array().cast(G.RINGS)
+    broken = F.col("k") % 9
+    p = p.withColumn("rings", F.when(broken == 0, F.lit(None).cast(G.RINGS)).when(broken == 1, bow).when(broken == 2, flat).when(broken == 3, none).otherwise(F.col("rings")))
+    p = p.withColumn("reason", G.unusable_reason(F.col("rings")))
+    p = p.withColumn("p", F.when(F.col("reason").isNull(), G.interior_point(F.when(F.col("reason").isNull(), F.col("rings")))))
+    held = F.when(G.contains(G.edges(F.col("rings")), F.col("p.x"), F.col("p.y")), F.col("p"))
+    return p.select("compound_id", F.round(held["x"], 4).alias("inner_x"), F.round(held["y"], 4).alias("inner_y"), "reason")
+
+
 @query(
     "a11_footprint_stats",
     f"{with_views('footprints')} SELECT footprint_id, round(CASE kind WHEN 'diamond' THEN 2 * hx * hy ELSE 4 * hx * hy END, 6) AS area_m2, 2 * hx AS width_m, 2 * hy AS height_m FROM footprints",
@@ -269,12 +295,12 @@ def feature_checks(spark, sf):
 
 @query(
     "v11_region_checks",
-    f"""{with_views("footprints")}, s AS (SELECT a.footprint_id AS a, b.footprint_id AS b FROM footprints a JOIN footprints b ON a.footprint_id < b.footprint_id AND abs(a.cx - b.cx) < a.hx + b.hx AND abs(a.cy - b.cy) < a.hy + b.hy AND a.kind = 'rect' AND b.kind = 'rect' AND a.part_no % 37 <> 0 AND b.part_no % 37 <> 0 AND a.part_no % 41 <> 0 AND b.part_no % 41 <> 0),
- f AS (SELECT part_no, CASE WHEN part_no % 37 <> 0 THEN footprint_id END AS footprint_id FROM footprints WHERE kind = 'rect') {planted_sql("f", {"null_name": ("part_no % 37 = 0", "", ""), "unusable": ("part_no % 41 = 0", "", "")}, "footprint_id")}
+    f"""{with_views("footprints")}, {_NEAR_PAIRS} AND a.part_no % 37 <> 0 AND b.part_no % 37 <> 0 AND a.part_no % 41 <> 0 AND b.part_no % 41 <> 0), s AS (SELECT a, b FROM near_pairs WHERE {_OVERLAP}),
+ f AS (SELECT part_no, CASE WHEN part_no % 37 <> 0 THEN footprint_id END AS footprint_id FROM footprints) {planted_sql("f", {"null_name": ("part_no % 37 = 0", "", ""), "unusable": ("part_no % 41 = 0", "", "")}, "footprint_id")}
  UNION ALL SELECT 'missing_region', 1, 'Nowhere,Nowhere' UNION ALL SELECT 'duplicate_name', count(*), concat_ws(',', min(footprint_id), max(footprint_id)) FROM f WHERE part_no % 20 = 10 AND part_no % 37 <> 0 AND part_no % 41 <> 0 UNION ALL SELECT 'overlap', count(*), concat_ws(',', min(concat(a, '|', b)), max(concat(a, '|', b))) FROM s""",
 )
 def region_checks(spark, sf):
-    p = footprint_polygons(spark, sf).filter("kind = 'rect'")  # regions of one shape; j24 has all kinds
+    p = footprint_polygons(spark, sf)
     bad = planted(p, {"a": ("part_no % 37 = 0", "footprint_id", "NULL"), "b": ("part_no % 41 = 0", "rings", "NULL")})
     again = bad.filter("part_no % 20 = 10 AND part_no % 37 <> 0 AND part_no % 41 <> 0")
     return X.region_checks(bad.unionByName(again).withColumnRenamed("footprint_id", "region_name"), ("M1", "M2", "Nowhere"), CELL)

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import contracts as C
+from ..operators import spatial as X
 from ..operators import subsample as U
 from ..operators import threshold as T
-from .fixtures import planted, planted_sql, view, with_views
+from .fixtures import VIEWS, planted, planted_sql, region_polygons, view, with_views
 from .q_pixels import _V, values
 from .q_scalars import GROUP_SQL, SHAPE_SQL
-from .q_spatial import CROSSWALK, crosswalk_rows
+from .q_spatial import CROSSWALK, REGION_CELL, REGION_NAMES, crosswalk_rows
 from .registry import query
 
 SUPPORTS, REPLICATES, SEED = (4, 9, 16, 25, 36, 49, 64, 81), 100, "d3"
@@ -169,6 +170,16 @@ def eligibility_counts(spark, sf):
     return C.counts_with_total(eligibility(spark, sf), F.col("trajectory_status"), T.STATUSES)
 
 
+@query(
+    "a36_eligible_by_region",
+    f"""{_ELIGIBLE}, rg AS ({VIEWS["regions"][1]}), h AS (SELECT row_no, min(region_name) AS region_name FROM sites JOIN rg ON x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy GROUP BY 1),
+of_region AS (SELECT e.footprint_id, h.region_name FROM e LEFT JOIN h ON e.row_no = h.row_no WHERE e.trajectory_status = 'eligible') SELECT region_name AS region, count(*) AS n_sites, count(DISTINCT footprint_id) AS n_footprints FROM of_region GROUP BY 1 UNION ALL SELECT 'total', count(*), count(DISTINCT footprint_id) FROM of_region""",
+)
+def eligible_by_region(spark, sf):
+    regions = X.assign_region(view(spark, sf, "sites"), region_polygons(spark, sf), REGION_NAMES, "other", REGION_CELL)
+    return T.eligible_by_region(eligibility(spark, sf), regions)
+
+
 @query(
     "j28_footprint_support",
     f"""{_SELECTED}, sup AS (SELECT footprint_id, CAST(hx * hy / 900 AS BIGINT) AS support_px FROM footprints WHERE part_no % 9 <> 0) SELECT st.footprint_id, st.region, st.commodity_group, st.shape_class, support_px, CASE WHEN support_px IS NULL THEN 'no_members' END AS reason, n_epoch_years, n_full_support_years,
