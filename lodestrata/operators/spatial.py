@@ -31,11 +31,13 @@ def _reaching(edges: Column, low: Column, high: Column, left: Column) -> Column:
     return F.when(F.size(edges) <= FEW_EDGES, edges).otherwise(F.filter(edges, near))
 
 
-def polygons_by_cell(polygons: DataFrame, id_col: str, cell: float, grow: float = 0.0) -> DataFrame:
-    """id, box, grid cells and the edges that matter there; empty and null polygons are in no cell. Rows of cells are cut out before cells of rows."""
+def polygons_by_cell(polygons: DataFrame, id_col: str, cell: float, grow: float = 0.0, whole: bool = False) -> DataFrame:
+    """id, box, grid cells and the edges that matter to points there (``whole``: all edges); empty and null polygons are in no cell. Rows of cells are cut out before cells of rows."""
     p = polygons.filter(F.size(F.flatten("rings")) > 0).select(id_col, G.edges(F.col("rings")).alias("_edges"), *[v.alias(f"_{k}") for k, v in G.bounds(F.col("rings")).items()])
     span = lambda lo, hi: F.sequence(F.floor((F.col(lo) - grow) / cell), F.floor((F.col(hi) + grow) / cell))
     pad = grow + cell * 1e-6  # more than the rounding of a place's cell
+    if whole:
+        return p.withColumn("_gy", F.explode(span("_miny", "_maxy"))).withColumn("_gx", F.explode(span("_minx", "_maxx")))
     p = p.withColumn("_gy", F.explode(span("_miny", "_maxy")))
     p = p.withColumn("_edges", _reaching(F.col("_edges"), F.col("_gy") * cell - pad, (F.col("_gy") + 1) * cell + pad, F.lit(float("-inf"))))
     p = p.withColumn("_gx", F.explode(span("_minx", "_maxx")))
@@ -178,8 +180,8 @@ def polygon_pairs(one: DataFrame, two: DataFrame, one_id: str, two_id: str, cell
 
     A pair that meets in several cells is kept in the cell of its boxes' common lower left corner only, so no distinct is needed.
     """
-    a = polygons_by_cell(one, one_id, cell)
-    b = polygons_by_cell(two, two_id, cell).join(two.select(two_id, *keep), two_id) if keep else polygons_by_cell(two, two_id, cell)
+    a, b = polygons_by_cell(one, one_id, cell, whole=True), polygons_by_cell(two, two_id, cell, whole=True)  # edges may meet in another cell
+    b = b.join(two.select(two_id, *keep), two_id) if keep else b
     b = b.select("_gx", "_gy", two_id, *keep, F.col("_edges").alias("_edges2"), *[F.col(f"_{k}").alias(f"_{k}2") for k in ("minx", "miny", "maxx", "maxy")])
     near = a.join(b, ["_gx", "_gy"])
     c = F.col

@@ -137,6 +137,26 @@ def albers(spark, sf):
     return c.select("c_custkey", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), *[F.round(v, 6).alias(k) for k, v in back.items()])
 
 
+_TURNS = [f"radians({v} / 3600)" for v in ("-0.0394924::DOUBLE", "-0.0327221::DOUBLE", "-0.0328979::DOUBLE")]
+
+
+@query(
+    "p26_shifted_datums",
+    f"""WITH c AS (SELECT c_custkey, radians(CAST(112 + c_custkey % 40 AS DOUBLE)) AS l, radians(CAST(-12 - c_custkey % 24 AS DOUBLE)) AS f, 1 / 298.257222101::DOUBLE AS fl, 6378137.0::DOUBLE AS a FROM customer), e AS (SELECT *, fl * (2 - fl) AS e2, a * (1 - fl) AS b FROM c),
+g AS (SELECT *, a / sqrt(1 - e2 * sin(f) * sin(f)) AS n FROM e), h AS (SELECT *, n * cos(f) * cos(l) AS x, n * cos(f) * sin(l) AS y, n * (1 - e2) * sin(f) AS z FROM g), s AS (SELECT *, 1 - 0.009994::DOUBLE * 0.000001::DOUBLE AS k FROM h),
+t AS (SELECT *, 0.06155::DOUBLE + k * (x + {_TURNS[2]} * y - {_TURNS[1]} * z) AS p, -0.01087::DOUBLE + k * (y - {_TURNS[2]} * x + {_TURNS[0]} * z) AS q, -0.04019::DOUBLE + k * (z + {_TURNS[1]} * x - {_TURNS[0]} * y) AS r FROM s),
+u AS (SELECT *, sqrt(p * p + q * q) AS d, atan2(r * a, sqrt(p * p + q * q) * b) AS w FROM t)
+SELECT c_custkey, round(degrees(atan2(q, p)), 8) AS lon, round(degrees(atan2(r + (a * a - b * b) / b * power(sin(w), 3), d - e2 * a * power(cos(w), 3))), 8) AS lat, 0.0 AS lost FROM u""",
+)
+def shifted_datums(spark, sf):
+    """GDA2020 of whole degrees of GDA94, and how far the way back misses them, to the tenth of a millimetre (1e-9 degrees)."""
+    lon, lat = (112 + F.col("c_custkey") % 40).cast("double"), (-12 - F.col("c_custkey") % 24).cast("double")
+    to = G.shift_datum(lon, lat, "EPSG:4283", "EPSG:7844")
+    there = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", lon.alias("lon0"), lat.alias("lat0"), to["lon"].alias("lon"), to["lat"].alias("lat"))
+    back = G.shift_datum(F.col("lon"), F.col("lat"), "EPSG:7844", "EPSG:4283")
+    return there.select("c_custkey", F.round("lon", 8).alias("lon"), F.round("lat", 8).alias("lat"), F.round(F.greatest(F.abs(back["lon"] - F.col("lon0")), F.abs(back["lat"] - F.col("lat0"))), 8).alias("lost"))
+
+
 @query(
     "p30_pixel_centres",
     f"{with_views('pixels')} SELECT DISTINCT tile, prow, pcol, tile * 96000.0 + (pcol + 0.5) * 30 AS x, (tile + 1) * 96000.0 - (prow + 0.5) * 30 AS y FROM pixels",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import summary as Y
 from .fixtures import planted, planted_sql, view, with_views
-from .q_trajectory import TRAJ, trajectories
+from .q_trajectory import TRAJ, stored_trajectories, trajectories
 from .registry import query
 
 METRICS = ("bare", "pv", "nbr", "ndmi")
@@ -68,7 +68,7 @@ SELECT cov.*, years_observed - years_computable AS years_not_computable, coalesc
 FROM cov LEFT JOIN cc USING (site_id) LEFT JOIN wide USING (site_id) LEFT JOIN fs USING (site_id) LEFT JOIN cs USING (site_id)""",
 )
 def site_summary(spark, sf):
-    t = trajectories(spark, sf)
+    t = stored_trajectories(spark, sf)
     return Y.site_summary(t, context(t), METRICS).withColumn("rainfall_annual_mean", F.round("rainfall_annual_mean", 6))
 
 
@@ -86,7 +86,7 @@ _OVERLAPS = {f"{m}_overlap_resolved": f"site_id LIKE 's{4 + i}%'" for i, m in en
 
 @query("v04_summary_checks", f"{TRAJ}, latest AS (SELECT DISTINCT site_id, max(year) FILTER (context_ok) OVER (PARTITION BY site_id) AS y FROM (SELECT site_id, year, year <> 1995 AS context_ok FROM traj)), s AS (SELECT site_id, CASE WHEN y IS NOT NULL THEN 'some' END AS fire_status_latest, 0 AS year_min, 0 AS years_computable, 0 AS last_recorded_fire_year FROM latest) {planted_sql('s', _BAD_SITES, 'site_id')} UNION ALL {planted_sql('s', {k: (w, '', '') for k, w in _OVERLAPS.items()}, 'site_id')}")
 def summary_checks(spark, sf):
-    t = trajectories(spark, sf)
+    t = stored_trajectories(spark, sf)
     s = planted(Y.site_summary(t, context(t), METRICS), _BAD_SITES)
     for m, where in zip(METRICS, _OVERLAPS.values(), strict=True):
         s = planted(s, {"a": (where, f"{m}_latest", "0.5"), "b": (where, f"{m}_latest_collections", "2")})

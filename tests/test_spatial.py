@@ -87,3 +87,27 @@ def test_covered_subset_and_the_rest(spark):
     points = spark.createDataFrame([(1, 5.0, 5.0, "p"), (2, 10.0, 5.0, "on the boundary"), (3, 11.0, 5.0, "out"), (4, None, 5.0, "nowhere")], "row_no int, x double, y double, note string")
     covered, rest = X.split_uncovered(points, regions, 5.0)
     assert sorted(r.note for r in covered.collect()) == ["on the boundary", "p"] and sorted(r.row_no for r in rest.collect()) == [3, 4]
+
+
+def plain_meet(one, two):
+    """Whether two polygons share a point, by every edge of both and a corner of every ring."""
+    edges = lambda rings: [e for r in rings for e in zip(r, r[1:], strict=False)]
+
+    def cross(e, p):
+        (x1, y1), (x2, y2) = e
+        return (x2 - x1) * (p[1] - y1) - (y2 - y1) * (p[0] - x1)
+
+    def meets(a, b):
+        return cross(a, b[0]) * cross(a, b[1]) < 0 and cross(b, a[0]) * cross(b, a[1]) < 0
+
+    return any(meets(a, b) for a in edges(one) for b in edges(two)) or any(inside(two, *r[0]) for r in one) or any(inside(one, *r[0]) for r in two)
+
+
+@pytest.mark.parametrize("cell", [500.0])
+def test_polygons_of_many_corners_meet(spark, cell):
+    """Polygons whose edges meet in one of many cells only, or that lie within another, in its hole or apart."""
+    rng = random.Random(4)
+    one = {f"a{i}": [star(rng.choice([6, 24]), rng.uniform(0, 2000), rng.uniform(0, 2000), rng.uniform(20, 500))] for i in range(12)} | {"ring": [star(60, 1000, 1000, 900), star(50, 1000, 1000, 400)]}
+    two = {f"b{i}": [star(rng.choice([6, 24]), rng.uniform(0, 2000), rng.uniform(0, 2000), rng.uniform(20, 500))] for i in range(12)} | {"in_hole": [star(20, 1000, 1000, 50)], "far": [star(20, 9000, 9000, 50)]}
+    got = sorted(tuple(r) for r in X.polygon_pairs(made(spark, one).withColumnRenamed("id", "a"), made(spark, two).withColumnRenamed("id", "b"), "a", "b", cell).collect())
+    assert got == sorted((k, n) for k, p in one.items() for n, q in two.items() if plain_meet(p, q))

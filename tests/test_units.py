@@ -260,6 +260,15 @@ def test_stream_refuses_strays(spark, tmp_path):
         stream_trajectories(stream, expected, f"{tmp_path}/out", f"{tmp_path}/check")
 
 
+def test_datum_shift_of_a_published_station(spark):
+    """Alice Springs in both datums, to the centimetre."""
+    degrees = lambda d, m, s: d + m / 60 + s / 3600
+    old, new = (degrees(133, 53, 7.847844), -degrees(23, 40, 12.446019)), (degrees(133, 53, 7.87779), -degrees(23, 40, 12.39650))
+    for (lon, lat), (x, y), way in ((old, new, ("EPSG:4283", "EPSG:7844")), (new, old, ("EPSG:7844", "EPSG:4326"))):
+        r = spark.range(1).select(*[v.alias(k) for k, v in G.shift_datum(F.lit(lon), F.lit(lat), *way).items()]).first()
+        assert abs(r.lon - x) * 102_000 < 0.01 and abs(r.lat - y) * 111_000 < 0.01
+
+
 def test_library_does_not_need_the_subpackage():
     import pathlib
 
