@@ -58,7 +58,7 @@ class Deliveries:
 
     def begin(self, delivery: str) -> bool:
         """Whether the delivery is to be read: it is new, or was begun and not closed. Refused while another one is open."""
-        if not re.fullmatch(r"[A-Za-z0-9_.-]+", delivery):
+        if not re.match(r"[A-Za-z0-9_.-]+\Z", delivery):
             raise Refused(f"a delivery's name is letters, digits and _.-, not {delivery!r}")
         whole = {r["delivery"] for r in self.closed().collect()}  # one row a delivery
         open_ = {r["delivery"] for r in self.entries().select("delivery").distinct().collect()} - whole - {delivery}
