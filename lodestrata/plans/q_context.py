@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import context as K
 from ..operators import spatial as X
 from .fixtures import fire_polygons, footprint_polygons, planted, planted_sql, view, with_views
-from .q_spatial import CELL, CROSSWALK, crosswalk_rows
+from .q_spatial import CELL, CROSSWALK, first_matches
 from .registry import query
 
 YEARS, ALL_YEARS, BASE, SNAPSHOT = (1994, 2001), (1992, 2001), (1996, 2000), 2000
@@ -31,7 +31,7 @@ context AS (SELECT f.site_id, f.footprint_id, f.year, fire_status, fire_record_c
 
 
 def pairs(spark, sf):
-    return crosswalk_rows(spark, sf).filter("confidence = 'high'").groupBy("site_id").agg(F.min("footprint_id").alias("footprint_id"))
+    return first_matches(spark, sf).filter("confidence = 'high'").select("site_id", "footprint_id")
 
 
 def annual(spark, sf):

@@ -111,3 +111,28 @@ def test_polygons_of_many_corners_meet(spark, cell):
     two = {f"b{i}": [star(rng.choice([6, 24]), rng.uniform(0, 2000), rng.uniform(0, 2000), rng.uniform(20, 500))] for i in range(12)} | {"in_hole": [star(20, 1000, 1000, 50)], "far": [star(20, 9000, 9000, 50)]}
     got = sorted(tuple(r) for r in X.polygon_pairs(made(spark, one).withColumnRenamed("id", "a"), made(spark, two).withColumnRenamed("id", "b"), "a", "b", cell).collect())
     assert got == sorted((k, n) for k, p in one.items() for n, q in two.items() if plain_meet(p, q))
+
+
+def test_copies_of_places_and_shapes_are_matched_once(spark, monkeypatch):
+    """Forty points of one place in thirty copies of one polygon: one pair is tested, and no link is lost."""
+    tested, join = [], X.grid_join
+
+    def watched(points, polygons, *args, **named):
+        tested.append((points.count(), polygons.count()))
+        return join(points, polygons, *args, **named)
+
+    monkeypatch.setattr(X, "grid_join", watched)
+    points = spark.createDataFrame([(i, f"s{i}", 5.0, 5.0) for i in range(40)] + [(40, "far", 12.0, 5.0), (41, "none", None, 5.0)], "row_no int, site_id string, x double, y double")
+    square = [[(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)]]
+    polygons = made(spark, {f"p{i:02}": [[(float(a), float(b)) for a, b in square[0]]] for i in range(30)})
+    assert len(X.points_in_polygons(points, polygons, "id", 20.0).collect()) == 1200
+    counts = {r.row_no: r.n for r in X.count_intersecting(points, polygons, "id", 20.0).collect()}
+    assert counts == {**dict.fromkeys(range(40), 30), 40: 0, 41: None}
+    rows = X.crosswalk(points.filter("x IS NOT NULL"), polygons, "id", 20.0, 5.0).collect()
+    assert len(rows) == 41 * 30 and {(r.stage, r.distance_m, r.confidence, r.ambiguity_n, r.shared_by_n) for r in rows} == {("containment", 0.0, "high", 30, 41), ("proximity", 2.0, "low", 30, 41)}
+    firsts = {r.site_id: (r.id, r.confidence) for r in X.first_matches(points, polygons, "id", 20.0, 5.0).collect()}
+    assert firsts == {**{f"s{i}": ("p00", "high") for i in range(40)}, "far": ("p00", "low"), "none": (None, "none")}
+    assert max(tested) == (2, 1)
+    assert X.overlapping_pairs(polygons, "id", 20.0).count() == 30 * 29 // 2
+    fires = polygons.withColumn("fire_year", F.lit(2000))
+    assert {(r.fire_year, r.n) for r in X.fire_year_counts(polygons.withColumnRenamed("id", "footprint_id"), fires, 20.0).collect()} == {(2000, 30)}
