@@ -62,16 +62,17 @@ def asset_disclosures(assets: DataFrame) -> DataFrame:
 def epoch_coverage(sites: DataFrame, items: DataFrame, sources: tuple[str, ...], cell: float) -> DataFrame:
     """row_no and, by source, the distinct years with an item whose box covers the site; null without a place, 0 where none does.
 
-    Items of one box and year are one row before the join, which is an equi-join on grid cells.
+    Items of one box are one row with the years of each source, and sites of one place are counted once, before the join, which is an equi-join on grid cells.
     """
-    boxes = items.select("source_id", "item_year", "minx", "miny", "maxx", "maxy").distinct()
+    box = ["minx", "miny", "maxx", "maxy"]
+    years = items.groupBy(*box).agg(*[F.collect_set(F.when(F.col("source_id") == s, F.col("item_year"))).alias(s) for s in sources])  # no more than there are years
     span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell)))
-    boxes = boxes.withColumn("gx", span("minx", "maxx")).withColumn("gy", span("miny", "maxy"))
-    placed = sites.filter("x IS NOT NULL AND y IS NOT NULL").select("row_no", "x", "y", F.floor(F.col("x") / cell).alias("gx"), F.floor(F.col("y") / cell).alias("gy"))
-    hit = placed.join(boxes, ["gx", "gy"]).filter("x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy")
-    counts = hit.groupBy("row_no").agg(*[F.count_distinct(F.when(F.col("source_id") == s, F.col("item_year"))).alias(s) for s in sources])
+    boxes = years.withColumn("gx", span("minx", "maxx")).withColumn("gy", span("miny", "maxy"))
     there = F.col("x").isNotNull() & F.col("y").isNotNull()
-    return sites.select("row_no", "x", "y").join(counts, "row_no", "left").select("row_no", *[F.when(there, F.coalesce(s, F.lit(0))).alias(s) for s in sources])
+    placed = sites.filter(there).select("x", "y").distinct().withColumns({"gx": F.floor(F.col("x") / cell), "gy": F.floor(F.col("y") / cell)})
+    hit = placed.join(boxes, ["gx", "gy"]).filter("x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy")
+    counts = hit.groupBy("x", "y").agg(*[F.size(F.array_distinct(F.flatten(F.collect_list(s)))).cast("long").alias(s) for s in sources])
+    return sites.select("row_no", "x", "y").join(counts, ["x", "y"], "left").select("row_no", *[F.when(there, F.coalesce(s, F.lit(0))).alias(s) for s in sources])
 
 
 def touched_tile_years(sites: DataFrame, items: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -146,11 +147,36 @@ def volume_totals(bounds: DataFrame) -> DataFrame:
     return bounds.agg(F.floor(F.sum("raw_bytes") * F.lit(COMPRESSION)).cast("long").alias("estimated_bytes"), requests.alias("requests"), F.sum("upper_bound_bytes").alias("upper_bound_bytes"))
 
 
+def tile_sets(footprint_tiles: DataFrame) -> DataFrame:
+    """(footprint_id, tiles): the sorted distinct tiles that each footprint touches. Footprints of the same tiles have the same items."""
+    return footprint_tiles.groupBy("footprint_id").agg(F.sort_array(F.collect_set(F.struct("tx", "ty"))).alias("tiles"))
+
+
+def _items_of_sets(sets: DataFrame, items: DataFrame) -> DataFrame:
+    """(tiles, tx, ty, source_id, item_year): the distinct items of each distinct set of tiles."""
+    each = sets.select("tiles").distinct().select("tiles", F.explode("tiles").alias("t")).select("tiles", "t.tx", "t.ty")
+    return each.join(items.select("source_id", "tx", "ty", "item_year").distinct(), ["tx", "ty"])
+
+
+def footprint_epochs(footprint_tiles: DataFrame, items: DataFrame) -> DataFrame:
+    """(footprint_id, source_id, n_years): the distinct years of each source's items on any tile that the footprint touches."""
+    sets = tile_sets(footprint_tiles)
+    years = _items_of_sets(sets, items).groupBy("tiles", "source_id").agg(F.count_distinct("item_year").alias("n_years"))
+    per = years.groupBy("tiles").agg(F.collect_list(F.struct("source_id", "n_years")).alias("e"))  # a row for each source
+    return sets.join(per, "tiles").select("footprint_id", F.inline("e"))
+
+
+def touched_items(footprint_tiles: DataFrame, items: DataFrame) -> DataFrame:
+    """(source_id, tx, ty, item_year): distinct tile-years on the tiles that any footprint touches."""
+    return items.select("source_id", "tx", "ty", "item_year").distinct().join(footprint_tiles.select("tx", "ty").distinct(), ["tx", "ty"], "left_semi")
+
+
 def epoch_covered_years(footprint_tiles: DataFrame, items: DataFrame) -> DataFrame:
     """(footprint_id, item_year): years in which some source has an item on every tile that the footprint touches."""
-    need = footprint_tiles.groupBy("footprint_id").agg(F.count_distinct("tx", "ty").alias("n_tiles"))
-    have = footprint_tiles.join(items.select("source_id", "tx", "ty", "item_year").distinct(), ["tx", "ty"]).groupBy("footprint_id", "source_id", "item_year").agg(F.count_distinct("tx", "ty").alias("n"))
-    return have.join(need, "footprint_id").filter("n = n_tiles").select("footprint_id", "item_year").distinct()
+    sets = tile_sets(footprint_tiles)
+    have = _items_of_sets(sets, items).groupBy("tiles", "source_id", "item_year").agg(F.count("*").alias("n")).filter("n = size(tiles)")
+    per = have.groupBy("tiles").agg(F.collect_set("item_year").alias("years"))  # no more than there are years
+    return sets.join(per, "tiles").select("footprint_id", F.explode("years").alias("item_year"))
 
 
 def coverage_rates(covered: DataFrame) -> DataFrame:

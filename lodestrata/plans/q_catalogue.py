@@ -162,7 +162,7 @@ r AS (SELECT source_id, CAST(sum(window_px * n_years) AS BIGINT) AS px_years, CA
 SELECT source_id, px_years, footprint_years, CASE WHEN sample_bytes IS NOT NULL THEN 'observed' ELSE 'assumed' END AS bytes_basis, px_years * n_assets * coalesce(sample_bytes, 2) AS raw_bytes, CAST(floor(px_years * n_assets * coalesce(sample_bytes, 2) * CAST(0.6 AS DOUBLE)) AS BIGINT) AS estimated_bytes FROM r JOIN a USING (source_id)""",
 )
 def volume_estimate(spark, sf):
-    epochs = footprint_tiles(spark, sf).join(view(spark, sf, "catalogue"), ["tx", "ty"]).groupBy("footprint_id", "source_id").agg(F.count_distinct("item_year").alias("n_years"))
+    epochs = K.footprint_epochs(footprint_tiles(spark, sf), view(spark, sf, "catalogue"))
     assets = spark.createDataFrame([("fc", 3, 1), ("gm5", 2, 2), ("gm7", 2, 2), ("gm8", 2, None)], "source_id string, n_assets int, sample_bytes int")
     side = S.window_side(2 * F.greatest("hx", "hy"))
     f = view(spark, sf, "footprints")
@@ -177,11 +177,10 @@ bounds AS (SELECT a.source_id, coalesce(raw_bytes, 0) AS raw_bytes, CAST(floor(c
 
 
 def _volume_bounds(spark, sf):
-    at = footprint_tiles(spark, sf).join(view(spark, sf, "catalogue"), ["tx", "ty"])
-    epochs = at.groupBy("footprint_id", "source_id").agg(F.count_distinct("item_year").alias("n_years"))
+    tiles, cat = footprint_tiles(spark, sf), view(spark, sf, "catalogue")
     rows = [("fc", 3, 1, 512, 256), ("gm5", 2, 2, 512, 512), ("gm7", 2, 2, 256, 512), ("gm8", 2, None, None, 512), ("gm9", 2, 2, None, None)]
     assets = spark.createDataFrame(rows, "source_id string, n_assets int, sample_bytes int, block_w int, block_h int")
-    return K.volume_bounds(view(spark, sf, "footprints"), epochs, assets, at.filter("item_year BETWEEN 1993 AND 1997"), S.window_side(2 * F.greatest("hx", "hy")), 3200)
+    return K.volume_bounds(view(spark, sf, "footprints"), K.footprint_epochs(tiles, cat), assets, K.touched_items(tiles, cat.filter("item_year BETWEEN 1993 AND 1997")), S.window_side(2 * F.greatest("hx", "hy")), 3200)
 
 
 @query("a10_volume_bounds", f"{_BOUNDS} SELECT * FROM bounds")
