@@ -9,6 +9,7 @@ from ..functions import geometry as G
 from ..functions import scalars as S
 from .contracts import enforce, violations
 from .quantiles import exact_quantiles
+from .spatial import shaped, shapes
 
 PIXEL, TILE = 30.0, 96000.0
 MIN_VALID = 0.95
@@ -92,6 +93,20 @@ def member_digests(members: DataFrame, id_col: str) -> DataFrame:
     return members.groupBy(id_col).agg(F.count("*").alias("support_px"), F.sha2(F.array_join(F.sort_array(F.collect_list(name)), ";"), 256).alias("members_sha256"))
 
 
+def pixel_digests(polygons: DataFrame, id_col: str, x0: float, y0: float, step: float, per_tile: int) -> DataFrame:
+    """member_digests() of pixel_members(), from runs of columns, which are listed only in the row that is digested; polygons of one shape share a digest."""
+    marked = shaped(polygons, [id_col])
+    spans = grid_spans(shapes(marked), "_shape", x0 + step / 2 - _BIG * step, y0 + step / 2 - _BIG * step, step, step, 2 * _BIG, 2 * _BIG, strict=False)
+    text = lambda v: v.cast("string")
+    gy, gx = F.col("iy") - _BIG, lambda ix: ix - _BIG
+    row = F.concat(F.lit(","), text(F.floor(gy / per_tile)), F.lit(","), text(per_tile - 1 - F.pmod(gy, F.lit(per_tile))), F.lit(","))
+    runs = spans.select("_shape", F.struct(row.alias("row"), "first", "last").alias("_r")).groupBy("_shape").agg(F.collect_list("_r").alias("_runs"))  # bounded by the shape's height
+    name = lambda r: lambda ix: F.concat(text(F.floor(gx(ix) / per_tile)), r["row"], text(F.pmod(gx(ix), F.lit(per_tile))))
+    names = runs.select("_shape", F.flatten(F.transform("_runs", lambda r: F.transform(F.sequence(r["first"], r["last"]), name(r)))).alias("_names"))
+    digests = names.select("_shape", F.size("_names").cast("long").alias("support_px"), F.sha2(F.array_join(F.sort_array("_names"), ";"), 256).alias("members_sha256"))
+    return marked.select(id_col, "_shape").join(digests, "_shape").drop("_shape")
+
+
 def member_checks(members: DataFrame, tiles: DataFrame) -> DataFrame:
     """(check, n, examples): members (tile, prow, pcol) of a tile that is not among ``tiles`` (tile, height, width), and members beyond its bounds."""
     known = members.join(tiles.select("tile", "height", "width").distinct(), "tile", "left")
@@ -163,14 +178,14 @@ def invalid_contiguity(members: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def window_sample(pixels: DataFrame, points: DataFrame, k: int, value: str) -> DataFrame:
-    """Mean of the k x k pixels around each point (key, tile, prow, pcol), nulls left out, cut off at the tile's edge."""
-    half = k // 2
+    """Mean of the k x k pixels around each point (key, tile, prow, pcol), nulls left out, cut off at the tile's edge. Points of one pixel share its window."""
+    half, at = k // 2, ["tile", "prow", "pcol"]
     offsets = F.sequence(F.lit(-half), F.lit(half))
-    around = points.withColumn("dr", F.explode(offsets)).withColumn("dc", F.explode(offsets))
-    around = around.select("key", "tile", (F.col("prow") + F.col("dr")).alias("prow"), (F.col("pcol") + F.col("dc")).alias("pcol"))
-    hit = around.join(pixels.select("tile", "prow", "pcol", F.col(value).alias("_v")), ["tile", "prow", "pcol"])
-    found = hit.groupBy("key").agg(F.count("*").alias("n_member"), F.count("_v").alias("n_valid"), F.avg("_v").alias("value"))
-    return points.select("key").join(found, "key", "left").select("key", F.coalesce("n_member", F.lit(0)).alias("n_member"), F.coalesce("n_valid", F.lit(0)).alias("n_valid"), "value")
+    around = points.select(*at).distinct().withColumn("dr", F.explode(offsets)).withColumn("dc", F.explode(offsets))
+    around = around.withColumns({"_row": F.col("prow") + F.col("dr"), "_col": F.col("pcol") + F.col("dc")})
+    hit = around.join(pixels.select("tile", F.col("prow").alias("_row"), F.col("pcol").alias("_col"), F.col(value).alias("_v")), ["tile", "_row", "_col"])
+    found = hit.groupBy(*at).agg(F.count("*").alias("n_member"), F.count("_v").alias("n_valid"), F.avg("_v").alias("value"))
+    return points.select("key", *at).join(found, at, "left").select("key", F.coalesce("n_member", F.lit(0)).alias("n_member"), F.coalesce("n_valid", F.lit(0)).alias("n_valid"), "value")
 
 
 def invalid_breakdown(values: DataFrame, keys: list[str], bands: tuple[str, ...]) -> DataFrame:

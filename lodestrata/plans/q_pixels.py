@@ -78,7 +78,7 @@ m AS (SELECT footprint_id, CAST(floor(gx / 40.0) AS BIGINT) AS tile_x, CAST(floo
 
 @query("j11_pixel_members", f"{_MEMBERS} SELECT footprint_id, count(*) AS support_px, sha256(string_agg(concat(tile_x, ',', tile_y, ',', prow, ',', pcol), ';' ORDER BY concat(tile_x, ',', tile_y, ',', prow, ',', pcol))) AS members_sha256 FROM m GROUP BY 1")
 def pixel_members(spark, sf):
-    return P.member_digests(P.pixel_members(footprint_polygons(spark, sf), "footprint_id", 0.0, 0.0, 30.0, 40), "footprint_id")
+    return P.pixel_digests(footprint_polygons(spark, sf), "footprint_id", 0.0, 0.0, 30.0, 40)
 
 
 @query(
