@@ -42,7 +42,7 @@ def catalogue_pages(spark, sf):
     root = f"{shared_folder(spark)}/pages"
     page = F.floor(F.substring("id", 2, 20).cast("long") / 100)  # a page has as many items as a catalogue sends at once
     pages = nested_items(spark, sf).groupBy("source_id", page.alias("page")).agg(F.to_json(F.struct(F.collect_list(F.struct("id", "bbox", "properties", "assets")).alias("features"))).alias("value"))
-    pages.select("value", "source_id").repartition("source_id").write.option("lineSep", "\n").partitionBy("source_id").text(root)
+    pages.select("value", "source_id").write.option("lineSep", "\n").partitionBy("source_id").text(root)
     # a folder is named source_id=x where a capture's is named x
     got = S.scan_catalogue_pages(spark, f"{root}/*", one_line=True).withColumn("source_id", F.regexp_replace("source_id", "^source_id=", ""))
     return got.select("source_id", "id", F.size("assets").alias("n_assets"), F.get("bbox", F.lit(0)).alias("minx"), "properties.datetime")
