@@ -91,6 +91,12 @@ def crosswalk_population(sites: DataFrame) -> DataFrame:
     ).drop("_many").withColumn("included", ~(F.col("null_id") | F.col("duplicate_id") | F.col("no_place")))
 
 
+def included_sites(sites: DataFrame) -> DataFrame:
+    """(site_id, x, y) of the rows that crosswalk_population() includes, from one grouping by id."""
+    one = sites.filter(F.col("site_id").isNotNull()).groupBy("site_id").agg(F.count("*").alias("_n"), F.first("x").alias("x"), F.first("y").alias("y"))
+    return one.filter("_n = 1 AND x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)").drop("_n")
+
+
 def population_counts(sites: DataFrame) -> DataFrame:
     p = crosswalk_population(sites)
     return p.agg(F.count("*").alias("rows"), *[F.count_if(c).alias(c) for c in ("null_id", "duplicate_id", "no_place", "included")], F.count_if(~F.col("included")).alias("excluded"))
