@@ -7,22 +7,33 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from .contracts import duplicates, together, violations
+from .lineage import cut
 
 #: Parts of names that no column may have, for context is no cause.
 FORBIDDEN = ("caus", "attribut", "driver", "explan")
 PAYLOAD = (
     "fire_status", "fire_record_count", "fire_coverage_status", "fire_reason", "cell", "annual_rainfall_mm", "rain_days_ge_1mm", "rainfall_anomaly_mm", "climate_status", "climate_reason",
 )
+#: So many annual rows of rain may be broadcast.
+FEW_ANNUAL = 200_000
 
 
 def scaffold(pairs: DataFrame, years: tuple[int, int]) -> DataFrame:
-    """Every pair in every year of the closed range, once."""
-    return pairs.select("site_id", "footprint_id", F.explode(F.sequence(F.lit(years[0]), F.lit(years[1]))).alias("year"))
+    """Every pair in every year of the closed range, once, with the pair's other columns."""
+    rest = [c for c in pairs.columns if c not in ("site_id", "footprint_id")]
+    return pairs.select("site_id", "footprint_id", *rest, F.explode(F.sequence(F.lit(years[0]), F.lit(years[1]))).alias("year"))
 
 
 def fire_context(pairs: DataFrame, counts: DataFrame, no_footprint: DataFrame, years: tuple[int, int], snapshot_year: int) -> DataFrame:
-    """One row per site and year: no footprint, else recorded, else not recorded inside the covered years, else unknown."""
-    rows = scaffold(pairs, years).join(no_footprint, "footprint_id", "left").join(counts.select("footprint_id", F.col("fire_year").alias("year"), "n"), ["footprint_id", "year"], "left")
+    """One row per site and year: no footprint, else recorded, else not recorded inside the covered years, else unknown.
+
+    A footprint's counts are put side by side, a column for each year of the range, so pairs and not their years meet them.
+    """
+    span = range(years[0], years[1] + 1)
+    per = counts.groupBy("footprint_id").agg(*[F.sum(F.when(F.col("fire_year") == y, F.col("n"))).alias(f"_n{y}") for y in span])
+    per = per.select("footprint_id", F.array(*[f"_n{y}" for y in span]).alias("_counts"))
+    rows = scaffold(pairs.join(no_footprint, "footprint_id", "left").join(per, "footprint_id", "left"), years)
+    rows = rows.withColumn("n", F.get("_counts", F.col("year") - years[0]))
     inside = S.in_coverage_window(F.col("year"), snapshot_year)
     none, some = F.col("no_footprint_reason").isNotNull(), F.coalesce(F.col("n") > 0, F.lit(False))
     return rows.select(
@@ -62,10 +73,15 @@ def rain_anomaly(annual: DataFrame, years: tuple[int, int]) -> DataFrame:
 
 
 def climate_context(pairs: DataFrame, cells: DataFrame, annual: DataFrame, base_years: tuple[int, int], years: tuple[int, int]) -> DataFrame:
-    """One row per site and year with its footprint's cell (footprint_id, cell); a year without daily rows is not computable."""
-    a = rain_anomaly(annual, base_years)
-    gaps = baselines(annual, base_years).select("cell", "gap")
-    rows = scaffold(pairs, years).join(cells, "footprint_id").join(gaps, "cell", "left").join(a, ["cell", "year"], "left")
+    """One row per site and year with its footprint's cell (footprint_id, cell); a year without daily rows is not computable.
+
+    Cells are few beside pairs, and many pairs share one: up to FEW_ANNUAL annual rows are broadcast, so no pair is shuffled by cell.
+    """
+    annual = cut(annual)
+    a, gaps = rain_anomaly(annual, base_years), baselines(annual, base_years).select("cell", "gap")
+    if annual.count() <= FEW_ANNUAL:
+        a, gaps = F.broadcast(a), F.broadcast(gaps)
+    rows = scaffold(pairs.join(cells, "footprint_id").join(gaps, "cell", "left"), years).join(a, ["cell", "year"], "left")
     reason = F.coalesce("gap", "reason", F.when(F.col("total_mm").isNull(), "no daily values"))
     return rows.select(
         "site_id", "footprint_id", "year", "cell", F.col("total_mm").alias("annual_rainfall_mm"), F.col("rain_days").cast("int").alias("rain_days_ge_1mm"), F.col("anomaly_mm").alias("rainfall_anomaly_mm"),
@@ -88,11 +104,33 @@ def context_join(fire: DataFrame, climate: DataFrame, years: tuple[int, int]) ->
 
 
 def join_checks(fire: DataFrame, climate: DataFrame, years: tuple[int, int]) -> DataFrame:
-    """What keeps fire and climate rows from being joined."""
-    keys = ["site_id", "year"]
-    both = fire.select(*keys, F.col("footprint_id").alias("f")).join(climate.select(*keys, F.col("footprint_id").alias("g")), keys, "full")
-    found = violations(both, {"only_in_fire": F.col("g").isNull(), "only_in_climate": F.col("f").isNull(), "footprint_disagrees": F.col("f") != F.col("g"), "year_outside_range": ~F.col("year").between(*years)}, F.col("site_id"))
-    return together(found, duplicates(fire, keys, "duplicate_fire"), duplicates(climate, keys, "duplicate_climate"))
+    """What keeps fire and climate rows from being joined.
+
+    Rows of both sides are shuffled once, by site and year, and counted by footprint: a key with F fire and G climate rows
+    has F * G joined ones, if both are there and the key has no null, else F + G.
+    """
+    keys, c = ["site_id", "year"], F.col
+    side = lambda df, f, g: df.select(*keys, "footprint_id", F.lit(f).alias("f"), F.lit(g).alias("g"))
+    dealt = side(fire, 1, 0).unionByName(side(climate, 0, 1)).repartition(*keys)
+    by = dealt.groupBy(*keys, "footprint_id").agg(F.sum("f").alias("f"), F.sum("g").alias("g"))
+    none = c("footprint_id").isNull()
+    per = by.groupBy(*keys).agg(
+        F.sum("f").alias("f"), F.sum("g").alias("g"), F.sum(F.when(none, c("f")).otherwise(0)).alias("f0"), F.sum(F.when(none, c("g")).otherwise(0)).alias("g0"), F.sum(F.when(~none, c("f") * c("g")).otherwise(0)).alias("same")
+    )
+    met = (c("f") > 0) & (c("g") > 0) & c("site_id").isNotNull() & c("year").isNotNull()
+    found = {
+        "only_in_fire": F.when(met, c("f") * c("g0")).otherwise(c("f") + c("g0")),
+        "only_in_climate": F.when(met, c("f0") * c("g")).otherwise(c("f0") + c("g")),
+        "footprint_disagrees": F.when(met, (c("f") - c("f0")) * (c("g") - c("g0")) - c("same")).otherwise(0),
+        "year_outside_range": F.when(F.coalesce(~c("year").between(*years), F.lit(False)), F.when(met, c("f") * c("g")).otherwise(c("f") + c("g"))).otherwise(0),
+        "duplicate_fire": (c("f") > 1).cast("long"), "duplicate_climate": (c("g") > 1).cast("long"),
+    }
+    key = F.concat_ws("|", *[F.coalesce(c(k).cast("string"), F.lit("")) for k in keys])
+    cells = []
+    for k, (name, n) in enumerate(found.items()):
+        shown = F.when(n > 0, key if name.startswith("duplicate") else c("site_id").cast("string"))
+        cells.append(F.struct(F.lit(name).alias("check"), F.coalesce(F.sum(n), F.lit(0)).alias("n"), F.concat_ws(",", F.min(shown), F.max(shown)).alias("examples")).alias(f"c{k}"))
+    return per.agg(*cells).select(F.explode(F.array(*[f"c{k}" for k in range(len(found))])).alias("c")).select("c.*")
 
 
 def context_checks(c: DataFrame, sites: DataFrame, years: tuple[int, int]) -> DataFrame:
