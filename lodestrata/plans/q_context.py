@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import context as K
 from ..operators import spatial as X
+from ..operators.lineage import cut
 from .fixtures import fire_polygons, footprint_polygons, planted, planted_sql, view, with_views
 from .q_spatial import CELL, CROSSWALK, first_matches
 from .registry import query
@@ -38,18 +39,19 @@ def annual(spark, sf):
     return K.annual_rain(view(spark, sf, "daily_rain"))
 
 
-def fire(spark, sf):
+def fire(spark, sf, of=None):
     none = view(spark, sf, "footprints").filter("part_no % 17 = 0").select("footprint_id", F.lit("null").alias("no_footprint_reason"))
-    return K.fire_context(pairs(spark, sf), X.fire_year_counts(footprint_polygons(spark, sf), fire_polygons(spark, sf), CELL), none, YEARS, SNAPSHOT)
+    return K.fire_context(pairs(spark, sf) if of is None else of, X.fire_year_counts(footprint_polygons(spark, sf), fire_polygons(spark, sf), CELL), none, YEARS, SNAPSHOT)
 
 
-def climate(spark, sf):
+def climate(spark, sf, of=None):
     cells = view(spark, sf, "footprints").select("footprint_id", (F.col("part_no") % 2).alias("cell"))
-    return K.climate_context(pairs(spark, sf), cells, annual(spark, sf), BASE, YEARS)
+    return K.climate_context(pairs(spark, sf) if of is None else of, cells, annual(spark, sf), BASE, YEARS)
 
 
 def context(spark, sf):
-    return K.context_join(fire(spark, sf), climate(spark, sf), ALL_YEARS)
+    of = cut(pairs(spark, sf))  # both read them
+    return K.context_join(fire(spark, sf, of), climate(spark, sf, of), ALL_YEARS)
 
 
 @query("a15_annual_rain", f"WITH {RAIN} SELECT cell, year, round(total_mm, 6) AS total_mm, rain_days, reason FROM annual")
@@ -133,7 +135,8 @@ def status_reconciliation(spark, sf):
 
 @query("v03_join_checks", f"{CONTEXT}, x AS (SELECT count(*) AS n, concat(min(site_id), ',', max(site_id)) AS e FROM fire WHERE year = 1994) SELECT 'only_in_fire' AS \"check\", n, e AS examples FROM x UNION ALL SELECT unnest(['only_in_climate', 'footprint_disagrees', 'year_outside_range', 'duplicate_fire', 'duplicate_climate']), 0, ''")
 def join_checks(spark, sf):
-    return K.join_checks(fire(spark, sf), climate(spark, sf).filter("year > 1994"), ALL_YEARS)
+    of = cut(pairs(spark, sf))  # both read them
+    return K.join_checks(fire(spark, sf, of), climate(spark, sf, of).filter("year > 1994"), ALL_YEARS)
 
 
 @query("v09_fire_record_checks", f"{with_views('fires')} SELECT 'unknown_code' AS \"check\", count(*) AS n, concat(min(CAST(event_id AS VARCHAR)), ',', max(CAST(event_id AS VARCHAR))) AS examples FROM fires WHERE upper(trim(fire_type)) NOT IN ('WF', 'PB') UNION ALL SELECT 'null_year', 0, '' UNION ALL SELECT 'year_outside', count(*), concat(min(CAST(event_id AS VARCHAR)), ',', max(CAST(event_id AS VARCHAR))) FROM fires WHERE fire_year > 2000")

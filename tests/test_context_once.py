@@ -46,3 +46,13 @@ def test_join_checks_count_what_a_full_join_has(spark):
         got = K.join_checks(fire, climate, (1994, 1999))
         assert _rows(got) == _rows(want)
         assert got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") <= 1
+
+
+def test_pairs_are_matched_once_for_both_contexts(spark, monkeypatch):
+    from lodestrata.plans import q_context as Q
+    from tests.conftest import SF
+
+    asked, pairs = [], Q.pairs
+    monkeypatch.setattr(Q, "pairs", lambda *a: asked.append(a) or pairs(*a))
+    assert {r.check: r.n > 0 for r in Q.join_checks(spark, SF).collect()} == {"only_in_fire": True, **dict.fromkeys(("only_in_climate", "footprint_disagrees", "year_outside_range", "duplicate_fire", "duplicate_climate"), False)}
+    assert len(asked) == 1
