@@ -3,8 +3,9 @@
 Found by pattern: e-mail addresses, IPv4 addresses, payment cards (Luhn) and phone numbers. Matches that
 overlap count as one, of the kind that starts first. Each has two protected entities: the value itself (letters lower-cased;
 of numbers the digits), and what it shares with others of its kind (the domain, the first two numbers of an IPv4 address,
-the first six digits of a card, the first four of a phone number). Terms near a match, the
-NEAR words before and after it as far as the next match, are judged by what the whole table says of them:
+the first six digits of a card, the first four of a phone number). Terms are judged twice by what the whole table says
+of them: near a match, the NEAR words before and after it as far as the next match, and wherever they stand in a text
+with matches. Near ones are judged so:
 
     P(e | t) is at least the lower Wilson bound of n(t,e) of n(t), one-sided at 95 %
     left(t, e) = -log2 P(e | t), the bits that are left to guess when the term is known
@@ -19,6 +20,11 @@ A P(e | t) of REMOVE or more (0.76 bits left) removes the term where it stands n
 more (1.25 bits) puts its class there.
 Where a term stands near several entities the most telling one decides. Matches of the patterns always go.
 
+All words of a text, however far from its matches, are judged with all its entities by the same bound and cuts, but n(t,e) and n(t) then
+count copies of a text with matches once: in copies every word meets every match again, which tells nothing of the two. A
+word goes by the more telling of both judgements. Terms that stand in the same texts, and entities that do, have the same counts,
+so sets of texts meet, not each term with each entity; sets too small or too unlike in size to reach a cut never meet.
+
 Patterns whose repeats could only be given back in vain use possessive repeats, and may start only where
 a run starts or the last match ended: the same matches, in time linear in the text. What is done with
 matches and words is linear in them as well.
@@ -113,6 +119,11 @@ def _near() -> Column:
     return F.flatten(F.zip_with("spans", sided, lambda x, g: around(x, g["a"], g["b"])))
 
 
+def _words() -> Column:
+    """array<struct<s:int,e:int,term:string>> of the column gaps: all words outside the spans."""
+    return F.flatten(F.transform("gaps", lambda g: F.transform(g["words"], lambda t: F.struct((t["s"] + g["s"]).alias("s"), (t["e"] + g["s"]).alias("e"), F.lower(t["m"]).alias("term")))))
+
+
 def _counts_of(terms: DataFrame, texts: DataFrame) -> DataFrame:
     """(term, n_t) of rows (term): in how many texts (column text) each stands."""
     held = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
@@ -127,20 +138,55 @@ def least_share(part: Column, whole: Column) -> Column:
     return (p + z2 / (2 * whole) - SURE * F.sqrt(p * (1 - p) / whole + z2 / (4 * whole * whole))) / (1 + z2 / whole)
 
 
-def disclosures(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of all pairs that stand near each other in found (spans, near) and reach GENERALISE."""
-    n = float(texts.count())
-    of_entity = found.select(F.explode(F.array_distinct(F.flatten(F.transform("spans", lambda x: x["entities"])))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+def _entities_of() -> Column:
+    return F.array_distinct(F.flatten(F.transform("spans", lambda x: x["entities"])))
+
+
+def pairs_near(found: DataFrame) -> DataFrame:
+    """(entity, term, n_te) of all pairs that stand near each other in found (spans, near)."""
     pairs = found.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("x"))
-    pairs = cut(pairs.groupBy("x.entity", "x.term").agg(F.count("*").alias("n_te")))
+    return cut(pairs.groupBy("x.entity", "x.term").agg(F.count("*").alias("n_te")))
+
+
+def disclosures(pairs: DataFrame, found: DataFrame, counts: DataFrame, n: float) -> DataFrame:
+    """(entity, term, disclosure) of pairs_near() that reach GENERALISE, by counts (term, n_t) of n documents."""
+    of_entity = found.select(F.explode(_entities_of()).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
     # a word that a match cuts may stand near more entities than it is counted as a word
-    judged = pairs.join(_counts_of(cut(pairs.select("term").distinct()), texts), "term").withColumn("n_t", F.greatest("n_t", "n_te").cast("double"))
+    judged = pairs.join(counts, "term").withColumn("n_t", F.greatest("n_t", "n_te").cast("double"))
     judged = judged.withColumn("disclosure", least_share(F.col("n_te"), F.col("n_t"))).filter(F.col("disclosure") >= GENERALISE)
     common = of_entity.filter(F.col("n_e") >= GENERALISE * n)  # for the others chance is less than any disclosure that is left
     judged = judged.join(common, "entity", "left").filter(F.col("n_e").isNull() | (F.col("disclosure") > F.col("n_e") / n))
     return judged.select("entity", "term", "disclosure")
 
 
+def _sets(rows: DataFrame, what: str, name: str) -> DataFrame:
+    """(what, name): the set of texts that hold each, as its size, its further copies and two digests; sets that can reach GENERALISE."""
+    a, b = F.bit_xor(F.xxhash64("_text")).alias("a"), F.bit_xor(F.xxhash64(F.lit("b"), "_text")).alias("b")
+    sets = rows.groupBy(what).agg(F.struct(F.count("*").alias("n"), F.sum(F.col("copies") - 1).alias("more"), a, b).alias(name))
+    return cut(sets.filter(least_share(F.col(f"{name}.n"), F.col(f"{name}.n")) >= GENERALISE))
+
+
+def pairs_in_texts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(term, of_term, of_entity, n_te) of terms and sets of entities that meet in texts of found (_text, spans, words), where they may reach GENERALISE; (_text, of_entity)."""
+    held = lambda values, name: found.select("_text", F.explode(values).alias(name)).groupBy("_text", name).agg(F.count("*").alias("copies"))
+    terms, entities = held(F.array_distinct(F.transform("words", lambda w: w["term"])), "term"), held(_entities_of(), "entity")
+    term_sets = _sets(terms, "term", "of_term")
+    within = cut(entities.join(_sets(entities, "entity", "of_entity"), "entity").select("_text", "of_entity").distinct())
+    t, e = F.col("of_term.n"), F.col("of_entity.n")
+    met = terms.join(term_sets, "term").select("_text", "of_term").distinct().join(within, "_text").filter(least_share(F.least(t, e), t) >= GENERALISE)
+    met = met.groupBy("of_term", "of_entity").agg(F.count("*").alias("n_te")).filter(least_share(F.col("n_te"), t) >= GENERALISE)
+    return cut(met.join(term_sets, "of_term").select("term", "of_term", "of_entity", "n_te")), within
+
+
+def disclosures_in_texts(pairs: DataFrame, found: DataFrame, counts: DataFrame, n: float) -> DataFrame:
+    """(term, of_entity, disclosure) of pairs_in_texts() that reach GENERALISE; further copies of found's texts count in neither n_t nor n."""
+    distinct = found.agg((F.lit(n) - F.count("*") + F.count_distinct("_text")).alias("n"))
+    judged = pairs.join(counts, "term").withColumn("n_t", F.greatest(F.col("n_t") - F.col("of_term.more"), "of_term.n").cast("double"))
+    judged = judged.withColumn("disclosure", least_share(F.col("n_te"), F.col("n_t"))).filter(F.col("disclosure") >= GENERALISE)
+    judged = judged.crossJoin(F.broadcast(distinct)).filter(F.col("disclosure") > F.col("of_entity.n") / F.col("n"))
+    return cut(judged.select("term", "of_entity", "disclosure"))
+
+
 def find_private(docs: DataFrame, keep: list[str]) -> DataFrame:
     """_row (a struct of the columns ``keep``), base and extra spans: one row per document.
 
@@ -154,10 +200,15 @@ def find_private(docs: DataFrame, keep: list[str]) -> DataFrame:
     none = F.array().cast("array<struct<s:int,rank:int,e:int,kind:string>>")
     hit = found.filter(F.size("base") > 0).withColumn("_at", F.monotonically_increasing_id())
     near = hit.select("_at", "text", F.transform(joined(F.col("base")), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), _entities(x["kind"], x["m"]).alias("entities"))).alias("spans"))
-    near = near.select("_at", "spans", _gaps(F.col("text"), F.col("spans")).alias("gaps"))
-    near = cut(near.select("_at", "spans", _near().alias("near")))
-    judged = disclosures(near, texts)
-    rows = near.select("_at", F.explode("near").alias("x")).select("_at", "x.*").join(judged, ["entity", "term"])
+    near = near.select("_at", F.unhex(F.md5("text")).alias("_text"), "spans", _gaps(F.col("text"), F.col("spans")).alias("gaps"))
+    near = cut(near.select("_at", "_text", "spans", _near().alias("near"), _words().alias("words")))
+    pairs, (met, within), n = pairs_near(near), pairs_in_texts(near), float(texts.count())
+    counts = cut(_counts_of(cut(pairs.select("term").union(met.select("term")).distinct()), texts))
+    rows = near.select("_at", F.explode("near").alias("x")).select("_at", "x.*").join(disclosures(pairs, near, counts, n), ["entity", "term"])
+    told = disclosures_in_texts(met, near, counts, n)
+    few = F.broadcast if told.count() <= FEW_TERMS else lambda df: df
+    far = near.select("_at", "_text", F.explode("words").alias("x")).select("_at", "_text", "x.*").join(few(told), "term").join(within, ["_text", "of_entity"])
+    rows = rows.select("_at", "s", "e", "disclosure").unionByName(far.select("_at", "s", "e", "disclosure"))
     rows = rows.groupBy("_at", "s", "e").agg(F.max("disclosure").alias("disclosure"))
     strong = F.col("disclosure") >= REMOVE
     span = F.struct("s", F.when(strong, 5).otherwise(4).alias("rank"), "e", F.when(strong, "term_removed").otherwise("term_general").alias("kind"))
