@@ -160,9 +160,9 @@ def disclosures(pairs: DataFrame, found: DataFrame, counts: DataFrame, n: float)
 
 
 def _sets(rows: DataFrame, what: str, name: str) -> DataFrame:
-    """(what, name): the set of texts that hold each, as its size, its further copies and two digests; sets that can reach GENERALISE."""
-    a, b = F.bit_xor(F.xxhash64("_text")).alias("a"), F.bit_xor(F.xxhash64(F.lit("b"), "_text")).alias("b")
-    sets = rows.groupBy(what).agg(F.struct(F.count("*").alias("n"), F.sum(F.col("copies") - 1).alias("more"), a, b).alias(name))
+    """(what, name): the set of texts that hold each, as its size, its further copies and a digest; sets that can reach GENERALISE."""
+    a, b = F.bit_xor(F.xxhash64("_text")), F.bit_xor(F.xxhash64(F.lit("b"), "_text"))
+    sets = rows.groupBy(what).agg(F.struct(F.count("*").alias("n"), F.sum(F.col("copies") - 1).alias("more"), F.xxhash64(a, b).alias("id")).alias(name))
     return cut(sets.filter(least_share(F.col(f"{name}.n"), F.col(f"{name}.n")) >= GENERALISE))
 
 
@@ -173,7 +173,7 @@ def pairs_in_texts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     term_sets = _sets(terms, "term", "of_term")
     within = cut(entities.join(_sets(entities, "entity", "of_entity"), "entity").select("_text", "of_entity").distinct())
     t, e = F.col("of_term.n"), F.col("of_entity.n")
-    met = terms.join(term_sets, "term").select("_text", "of_term").distinct().join(within, "_text").filter(least_share(F.least(t, e), t) >= GENERALISE)
+    met = terms.join(term_sets, "term").select("_text", "of_term").repartition("_text").distinct().join(within, "_text").filter(least_share(F.least(t, e), t) >= GENERALISE)
     met = met.groupBy("of_term", "of_entity").agg(F.count("*").alias("n_te")).filter(least_share(F.col("n_te"), t) >= GENERALISE)
     return cut(met.join(term_sets, "of_term").select("term", "of_term", "of_entity", "n_te")), within
 
@@ -200,7 +200,7 @@ def find_private(docs: DataFrame, keep: list[str]) -> DataFrame:
     none = F.array().cast("array<struct<s:int,rank:int,e:int,kind:string>>")
     hit = found.filter(F.size("base") > 0).withColumn("_at", F.monotonically_increasing_id())
     near = hit.select("_at", "text", F.transform(joined(F.col("base")), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), _entities(x["kind"], x["m"]).alias("entities"))).alias("spans"))
-    near = near.select("_at", F.unhex(F.md5("text")).alias("_text"), "spans", _gaps(F.col("text"), F.col("spans")).alias("gaps"))
+    near = near.select("_at", F.xxhash64("text").alias("_text"), "spans", _gaps(F.col("text"), F.col("spans")).alias("gaps"))
     near = cut(near.select("_at", "_text", "spans", _near().alias("near"), _words().alias("words")))
     pairs, (met, within), n = pairs_near(near), pairs_in_texts(near), float(texts.count())
     counts = cut(_counts_of(cut(pairs.select("term").union(met.select("term")).distinct()), texts))
