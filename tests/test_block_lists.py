@@ -46,3 +46,30 @@ def test_points_and_polygons_meet_as_lists(spark, monkeypatch, strict):
 def test_no_pair_of_points_is_shuffled(spark, monkeypatch, name):
     monkeypatch.setattr(X, "crosswalk_matches", lambda *a, **k: 1 / 0)
     assert "Exchange" not in _above_blocks(registry.QUERIES[name](spark, SF))
+
+
+def _overlaps(polygons):
+    a, b = (polygons.select(F.col("id").alias(n), G.edges(F.col("rings")).alias(f"_{n}")).filter(F.size(f"_{n}") > 0) for n in "ab")
+    return a.join(b, F.col("a") < F.col("b")).filter(G.interiors_overlap(F.col("_a"), F.col("_b"))).select("a", "b")
+
+
+def test_overlaps_come_from_lists_and_counts(spark, monkeypatch):
+    """Pairs and their summary are those of a test of every pair; neither lists a pair of shapes for a shuffle."""
+    polygons = _polygons(spark, 60, 9, KINDS).select("id", "rings").dropDuplicates(["id"])
+    polygons = polygons.unionByName(polygons.limit(12).withColumn("id", F.concat("id", F.lit("0")))).localCheckpoint()
+    pairs = _overlaps(polygons)
+    want, text = _rows(pairs), F.concat_ws("|", "a", "b")
+    total = _rows(pairs.agg(F.count("*"), F.min(text), F.max(text)))
+    assert len(want) > 200
+    monkeypatch.setattr(X, "polygon_pairs", lambda *a, **k: 1 / 0)
+    assert "Exchange" not in _above_blocks(X.overlapping_pairs(polygons, "id", 10.0))
+    for block, members, listed in ((8192, 1024, 1 << 18), (9, 2, 3)):
+        monkeypatch.setattr(X, "MEMBERS", members)
+        monkeypatch.setattr(M, "LISTED", listed)
+        assert _rows(X.overlapping_pairs(polygons, "id", 10.0, block)) == want
+    monkeypatch.setattr(X, "overlapping_pairs", lambda *a, **k: 1 / 0)
+    assert _rows(X.overlap_summary(polygons, "id", 10.0, 9)) == total
+    assert _rows(X.overlap_summary(polygons.limit(1), "id", 10.0)) == ["(0, None, None)"]
+    monkeypatch.undo()
+    barred = polygons.withColumn("id", F.concat("id", F.lit("|")))
+    assert _rows(X.overlap_summary(barred, "id", 10.0)) == _rows(_overlaps(barred).agg(F.count("*"), F.min(text), F.max(text)))
