@@ -73,3 +73,15 @@ def test_overlaps_come_from_lists_and_counts(spark, monkeypatch):
     monkeypatch.undo()
     barred = polygons.withColumn("id", F.concat("id", F.lit("|")))
     assert _rows(X.overlap_summary(barred, "id", 10.0)) == _rows(_overlaps(barred).agg(F.count("*"), F.min(text), F.max(text)))
+
+
+def test_regions_are_judged_by_shape_and_pairs_are_not_listed(spark, monkeypatch):
+    """Region checks test each shape's geometry once, where no filter can take it back to the rows that are read, and only count pairs."""
+    kept, cut = [], X.cut
+    monkeypatch.setattr(X, "cut", lambda df: kept.append(cut(df)) or kept[-1])
+    monkeypatch.setattr(X, "overlapping_pairs", lambda *a, **k: 1 / 0)
+    monkeypatch.setattr(X, "_overlapping", lambda *a, **k: 1 / 0)
+    checks = registry.QUERIES["v11_region_checks"](spark, SF)
+    assert {r.check: r.n > 0 for r in checks.collect()} == dict.fromkeys(("null_name", "unusable", "missing_region", "duplicate_name"), True) | {"overlap": False}
+    assert kept[0].columns == ["_shape", "rings", "_bad"] and kept[0].select("_shape").distinct().count() == kept[0].count()
+    assert "lambda" not in checks._jdf.queryExecution().optimizedPlan().toString()
