@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .contracts import duplicates, together, violations
+from .contracts import duplicates, together, violations  # noqa: F401
 from .lineage import cut
 
 #: Parts of names that no column may have, for context is no cause.
@@ -16,6 +16,8 @@ PAYLOAD = (
 )
 #: So many annual rows of rain may be broadcast.
 FEW_ANNUAL = 200_000
+#: So many places, with a footprint and its counts by year, may be broadcast: some 40 MB.
+FEW_PLACES = 200_000
 
 
 def scaffold(pairs: DataFrame, years: tuple[int, int]) -> DataFrame:
@@ -25,24 +27,33 @@ def scaffold(pairs: DataFrame, years: tuple[int, int]) -> DataFrame:
 
 
 def fire_context(pairs: DataFrame, counts: DataFrame, no_footprint: DataFrame, years: tuple[int, int], snapshot_year: int) -> DataFrame:
-    """One row per site and year: no footprint, else recorded, else not recorded inside the covered years, else unknown.
+    """One row per site and year: no footprint, else recorded, else not recorded inside the covered years, else unknown."""
+    return fire_years(with_fires(pairs, counts, no_footprint, years), years, snapshot_year)
 
-    A footprint's counts are put side by side, a column for each year of the range, so pairs and not their years meet them.
-    """
+
+def with_fires(pairs: DataFrame, counts: DataFrame, no_footprint: DataFrame, years: tuple[int, int]) -> DataFrame:
+    """Rows that have a footprint_id with no_footprint_reason and _counts: its counts side by side, one for each year of the range, so rows and not their years meet them."""
     span = range(years[0], years[1] + 1)
     per = counts.groupBy("footprint_id").agg(*[F.sum(F.when(F.col("fire_year") == y, F.col("n"))).alias(f"_n{y}") for y in span])
     per = per.select("footprint_id", F.array(*[f"_n{y}" for y in span]).alias("_counts"))
-    rows = scaffold(pairs.join(no_footprint, "footprint_id", "left").join(per, "footprint_id", "left"), years)
-    rows = rows.withColumn("n", F.get("_counts", F.col("year") - years[0]))
+    return pairs.join(no_footprint, "footprint_id", "left").join(per, "footprint_id", "left")
+
+
+def fire_years(pairs: DataFrame, years: tuple[int, int], snapshot_year: int) -> DataFrame:
+    """fire_context() of pairs with_fires()."""
+    return scaffold(pairs, years).select("site_id", "footprint_id", "year", *_fire(years, snapshot_year))
+
+
+def _fire(years: tuple[int, int], snapshot_year: int) -> list[Column]:
+    n = F.get("_counts", F.col("year") - years[0])
     inside = S.in_coverage_window(F.col("year"), snapshot_year)
-    none, some = F.col("no_footprint_reason").isNotNull(), F.coalesce(F.col("n") > 0, F.lit(False))
-    return rows.select(
-        "site_id", "footprint_id", "year",
+    none, some = F.col("no_footprint_reason").isNotNull(), F.coalesce(n > 0, F.lit(False))
+    return [
         F.when(none, "unknown").when(some, "recorded").when(inside, "not_recorded").otherwise("unknown").alias("fire_status"),
-        F.when(none, None).when(some, F.col("n")).when(inside, F.lit(0)).cast("int").alias("fire_record_count"),
+        F.when(none, None).when(some, n).when(inside, F.lit(0)).cast("int").alias("fire_record_count"),
         F.when(none, "no_footprint").when(inside, "covered").otherwise("outside_window").alias("fire_coverage_status"),
         F.when(none, F.col("no_footprint_reason")).when(~some & ~inside, "outside_coverage_window").alias("fire_reason"),
-    )
+    ]
 
 
 def annual_rain(daily: DataFrame) -> DataFrame:
@@ -77,16 +88,52 @@ def climate_context(pairs: DataFrame, cells: DataFrame, annual: DataFrame, base_
 
     Cells are few beside pairs, and many pairs share one: up to FEW_ANNUAL annual rows are broadcast, so no pair is shuffled by cell.
     """
+    return climate_years(pairs.join(cells, "footprint_id"), annual, base_years, years)
+
+
+def climate_years(pairs: DataFrame, annual: DataFrame, base_years: tuple[int, int], years: tuple[int, int]) -> DataFrame:
+    """climate_context() of pairs with their cell."""
+    return _with_climate(pairs, annual, base_years, years).select("site_id", "footprint_id", "year", "cell", *_climate())
+
+
+def _with_climate(pairs: DataFrame, annual: DataFrame, base_years: tuple[int, int], years: tuple[int, int]) -> DataFrame:
     annual = cut(annual)
     a, gaps = rain_anomaly(annual, base_years), baselines(annual, base_years).select("cell", "gap")
     if annual.count() <= FEW_ANNUAL:
         a, gaps = F.broadcast(a), F.broadcast(gaps)
-    rows = scaffold(pairs.join(cells, "footprint_id").join(gaps, "cell", "left"), years).join(a, ["cell", "year"], "left")
+    return scaffold(pairs.join(gaps, "cell", "left"), years).join(a, ["cell", "year"], "left")
+
+
+def _climate() -> list[Column]:
     reason = F.coalesce("gap", "reason", F.when(F.col("total_mm").isNull(), "no daily values"))
-    return rows.select(
-        "site_id", "footprint_id", "year", "cell", F.col("total_mm").alias("annual_rainfall_mm"), F.col("rain_days").cast("int").alias("rain_days_ge_1mm"), F.col("anomaly_mm").alias("rainfall_anomaly_mm"),
+    return [
+        F.col("total_mm").alias("annual_rainfall_mm"), F.col("rain_days").cast("int").alias("rain_days_ge_1mm"), F.col("anomaly_mm").alias("rainfall_anomaly_mm"),
         F.when(reason.isNull(), "computed").otherwise("not_computable").alias("climate_status"), reason.alias("climate_reason"),
-    )
+    ]
+
+
+def context_rows(pairs: DataFrame, annual: DataFrame, base_years: tuple[int, int], years: tuple[int, int], all_years: tuple[int, int], snapshot_year: int) -> DataFrame:
+    """context_join() of the fire_years() and climate_years() of pairs, which have a site once: made of one row a pair, so neither a pair's years nor its fire and climate rows are shuffled."""
+    first, last = min(years[0], all_years[0]), max(years[1], all_years[1])
+    year = F.col("year")
+    ours, wanted = year.between(*years), year.between(*all_years)
+    joined = ours & F.col("cell").isNotNull()
+    rows = _with_climate(pairs, annual, base_years, (first, last)).filter(joined | (~ours & wanted))
+    payload = [*_fire(years, snapshot_year), F.col("cell"), *_climate()]
+    names = ("fire_status", "fire_record_count", "fire_coverage_status", "fire_reason", "cell", "annual_rainfall_mm", "rain_days_ge_1mm", "rainfall_anomaly_mm", "climate_status", "climate_reason")
+    reason = F.concat(F.lit("no context for "), year.cast("string"), F.lit(f": it begins in {years[0]}"))
+    out = rows.select("site_id", "year", "footprint_id", *[F.when(ours, c).alias(n) for n, c in zip(names, payload, strict=True)], F.when(ours, "joined").otherwise("no_context_row").alias("context_row_status"), F.when(~ours, reason).alias("no_context_row_reason"))
+    return out.withColumn("context_complete", _complete())
+
+
+def _complete() -> Column:
+    return F.coalesce((F.col("context_row_status") == "joined") & (F.col("fire_coverage_status") == "covered") & (F.col("climate_status") == "computed"), F.lit(False))
+
+
+def on_places(sites: DataFrame, places: DataFrame) -> DataFrame:
+    """Sites with the columns of their place (x, y), for those that are among ``places``, which are kept rows. Up to FEW_PLACES of these are broadcast, so sites stay where they are."""
+    few = places.count() <= FEW_PLACES
+    return sites.join(F.broadcast(places) if few else places, ["x", "y"]).drop("x", "y")
 
 
 def context_join(fire: DataFrame, climate: DataFrame, years: tuple[int, int]) -> DataFrame:
@@ -99,8 +146,7 @@ def context_join(fire: DataFrame, climate: DataFrame, years: tuple[int, int]) ->
     reason = F.concat(F.lit("no context for "), F.col("year").cast("string"), F.lit(": it begins in "), F.col("context_start").cast("string"))
     absent = absent.select("site_id", "footprint_id", "year", F.lit("no_context_row").alias("context_row_status"), reason.alias("no_context_row_reason"))
     out = joined.unionByName(absent, allowMissingColumns=True)
-    complete = (F.col("context_row_status") == "joined") & (F.col("fire_coverage_status") == "covered") & (F.col("climate_status") == "computed")
-    return out.withColumn("context_complete", F.coalesce(complete, F.lit(False)))
+    return out.withColumn("context_complete", _complete())
 
 
 def join_checks(fire: DataFrame, climate: DataFrame, years: tuple[int, int]) -> DataFrame:
@@ -149,10 +195,17 @@ def context_checks(c: DataFrame, sites: DataFrame, years: tuple[int, int]) -> Da
         "year_outside_range": ~col("year").between(*years),
     }
     n_years = years[1] - years[0] + 1
+    # rows that come dealt by site are counted by key where they are
+    hits = {name: F.coalesce(bad, F.lit(False)) for name, bad in rules.items()}
+    by = c.groupBy("site_id", "year").agg(F.count("*").alias("_n"), *[F.count_if(hit).alias(f"_{name}") for name, hit in hits.items()])
+    key = F.concat_ws("|", *[F.coalesce(col(k).cast("string"), F.lit("")) for k in ("site_id", "year")])
+    counted = {name: (F.coalesce(F.sum(f"_{name}"), F.lit(0)), F.when(col(f"_{name}") > 0, col("site_id"))) for name in rules} | {"duplicate_key": (F.count_if(col("_n") > 1), F.when(col("_n") > 1, key))}
+    cells = [F.struct(F.lit(name).alias("check"), n.alias("n"), F.concat_ws(",", F.min(shown), F.max(shown)).alias("examples")).alias(f"c{k}") for k, (name, (n, shown)) in enumerate(counted.items())]
+    found = by.agg(*cells).select(F.explode(F.array(*[f"c{k}" for k in range(len(counted))])).alias("c")).select("c.*")
     short = sites.select("site_id").distinct().join(c.groupBy("site_id").agg(F.count("*").alias("n")), "site_id", "left").agg(F.lit("years_per_site").alias("check"), F.count_if(F.coalesce("n", F.lit(0)) != n_years).alias("n"), F.lit("").alias("examples"))
     named = sorted(name for name in c.columns if any(part in name.lower() for part in FORBIDDEN))
     names = c.sparkSession.createDataFrame([("forbidden_name", len(named), ",".join(named))], "check string, n long, examples string")
-    return together(violations(c, rules, col("site_id")), short, duplicates(c, ["site_id", "year"]), names)
+    return together(found, short, names)
 
 
 def status_reconciliation(joined: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:

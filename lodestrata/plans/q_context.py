@@ -8,7 +8,7 @@ from ..operators import context as K
 from ..operators import spatial as X
 from ..operators.lineage import cut
 from .fixtures import fire_polygons, footprint_polygons, planted, planted_sql, view, with_views
-from .q_spatial import CELL, CROSSWALK, first_matches
+from .q_spatial import CELL, CROSSWALK, first_matches, population
 from .registry import query
 
 YEARS, ALL_YEARS, BASE, SNAPSHOT = (1994, 2001), (1992, 2001), (1996, 2000), 2000
@@ -39,19 +39,38 @@ def annual(spark, sf):
     return K.annual_rain(view(spark, sf, "daily_rain"))
 
 
-def fire(spark, sf, of=None):
-    none = view(spark, sf, "footprints").filter("part_no % 17 = 0").select("footprint_id", F.lit("null").alias("no_footprint_reason"))
-    return K.fire_context(pairs(spark, sf) if of is None else of, X.fire_year_counts(footprint_polygons(spark, sf), fire_polygons(spark, sf), CELL), none, YEARS, SNAPSHOT)
+def _none(spark, sf):
+    return view(spark, sf, "footprints").filter("part_no % 17 = 0").select("footprint_id", F.lit("null").alias("no_footprint_reason"))
+
+
+def _cells(spark, sf):
+    return view(spark, sf, "footprints").select("footprint_id", (F.col("part_no") % 2).alias("cell"))
+
+
+def fire(spark, sf, of):
+    return K.fire_context(of, X.fire_year_counts(footprint_polygons(spark, sf), fire_polygons(spark, sf), CELL), _none(spark, sf), YEARS, SNAPSHOT)
 
 
 def climate(spark, sf, of=None):
-    cells = view(spark, sf, "footprints").select("footprint_id", (F.col("part_no") % 2).alias("cell"))
-    return K.climate_context(pairs(spark, sf) if of is None else of, cells, annual(spark, sf), BASE, YEARS)
+    return K.climate_context(pairs(spark, sf) if of is None else of, _cells(spark, sf), annual(spark, sf), BASE, YEARS)
 
 
-def context(spark, sf):
-    of = cut(pairs(spark, sf))  # both read them
-    return K.context_join(fire(spark, sf, of), climate(spark, sf, of), ALL_YEARS)
+def high_places(spark, sf):
+    """Places of high confidence with their first footprint, its fires by year and its cell, kept: what is asked of pairs depends on their place alone."""
+    per = X.first_matches_of_places(population(spark, sf), footprint_polygons(spark, sf), "footprint_id", CELL)
+    at = cut(per.filter("confidence = 'high'").select("x", "y", "footprint_id"))
+    ours = at.select("footprint_id").distinct()
+    counts = X.fire_year_counts(footprint_polygons(spark, sf).join(ours, "footprint_id", "left_semi"), fire_polygons(spark, sf), CELL)
+    return cut(K.with_fires(at, counts, _none(spark, sf), YEARS).join(_cells(spark, sf).join(ours, "footprint_id", "left_semi"), "footprint_id", "left"))
+
+
+def at_places(spark, sf, at):
+    """Pairs with what is known of their place; dealt by site, as the population is."""
+    return K.on_places(population(spark, sf), at)
+
+
+def context(spark, sf, at):
+    return K.context_rows(at_places(spark, sf, at), annual(spark, sf), BASE, YEARS, ALL_YEARS, SNAPSHOT)
 
 
 @query("a15_annual_rain", f"WITH {RAIN} SELECT cell, year, round(total_mm, 6) AS total_mm, rain_days, reason FROM annual")
@@ -80,7 +99,7 @@ def scaffold(spark, sf):
 
 @query("j18_fire_context", f"{CONTEXT} SELECT * FROM fire")
 def fire_context(spark, sf):
-    return fire(spark, sf)
+    return K.fire_years(at_places(spark, sf, high_places(spark, sf)), YEARS, SNAPSHOT)
 
 
 _ROUNDED = {"annual_rainfall_mm", "rainfall_anomaly_mm"}
@@ -93,7 +112,7 @@ def climate_context(spark, sf):
 
 @query("j20_context_join", f"{CONTEXT} SELECT * REPLACE (round(annual_rainfall_mm, 6) AS annual_rainfall_mm, round(rainfall_anomaly_mm, 6) AS rainfall_anomaly_mm) FROM context")
 def context_join(spark, sf):
-    return context(spark, sf).withColumns({c: F.round(c, 6) for c in _ROUNDED})
+    return context(spark, sf, high_places(spark, sf)).withColumns({c: F.round(c, 6) for c in _ROUNDED})
 
 
 _CHECKS = ["unknown_row_status", "payload_on_absent", "absent_without_reason", "joined_with_reason", "joined_without_status", "unknown_with_count", "computed_without_total", "complete_flag", "year_outside_range", "years_per_site", "duplicate_key"]
@@ -119,9 +138,11 @@ _GONE, _TWICE = "year = 2000 AND site_id LIKE '%1'", "year = 2000 AND site_id LI
 UNION ALL SELECT 'forbidden_name', 1, 'fire_cause'""",
 )
 def context_checks(spark, sf):
-    c = context(spark, sf).filter(f"NOT ({_GONE})")
-    rows = planted(c, _BAD_ROWS).unionByName(c.filter(_TWICE)).withColumn("fire_cause", F.lit(None).cast("string"))
-    return K.context_checks(rows, pairs(spark, sf), ALL_YEARS)
+    at = high_places(spark, sf)
+    # the second copies are made where their rows are, as a union would have to be dealt by site anew
+    c = context(spark, sf, at).filter(f"NOT ({_GONE})").withColumn("_copy", F.explode(F.expr(f"IF({_TWICE}, array(0, 1), array(0))")))
+    rows = planted(c, {k: (f"_copy = 0 AND {where}", column, value) for k, (where, column, value) in _BAD_ROWS.items()}).drop("_copy").withColumn("fire_cause", F.lit(None).cast("string"))
+    return K.context_checks(rows, at_places(spark, sf, at), ALL_YEARS)
 
 
 @query(
@@ -130,7 +151,9 @@ def context_checks(spark, sf):
  SELECT 'climate_status', CASE WHEN climate_reason IS NULL THEN 'computed' ELSE 'not_computable' END, count(*), count(*) FILTER (site_id NOT LIKE '%1') FROM climate GROUP BY 1, 2) SELECT *, n_source = n_joined AS agree FROM k""",
 )
 def status_reconciliation(spark, sf):
-    return K.status_reconciliation(context(spark, sf).filter("site_id NOT LIKE '%1'"), {"fire_status": fire(spark, sf), "climate_status": climate(spark, sf)})
+    at = high_places(spark, sf)
+    of = at_places(spark, sf, at)
+    return K.status_reconciliation(context(spark, sf, at).filter("site_id NOT LIKE '%1'"), {"fire_status": K.fire_years(of, YEARS, SNAPSHOT), "climate_status": K.climate_years(of.filter("cell IS NOT NULL"), annual(spark, sf), BASE, YEARS)})
 
 
 @query("v03_join_checks", f"{CONTEXT}, x AS (SELECT count(*) AS n, concat(min(site_id), ',', max(site_id)) AS e FROM fire WHERE year = 1994) SELECT 'only_in_fire' AS \"check\", n, e AS examples FROM x UNION ALL SELECT unnest(['only_in_climate', 'footprint_disagrees', 'year_outside_range', 'duplicate_fire', 'duplicate_climate']), 0, ''")
@@ -174,4 +197,5 @@ def context_holes(spark, sf):
 
 @query("v15_row_counts", f"{CONTEXT} SELECT (SELECT count(*) FROM fire) AS rows, (SELECT count(*) * 8 FROM pairs) AS expected, (SELECT count(*) FROM fire) AS by_status, true AS agree")
 def row_counts(spark, sf):
-    return K.row_count_checks(fire(spark, sf), pairs(spark, sf), 8, "fire_status")
+    of = at_places(spark, sf, high_places(spark, sf))
+    return K.row_count_checks(K.fire_years(of, YEARS, SNAPSHOT), of, 8, "fire_status")
